@@ -101,9 +101,9 @@ def _salted_left_join(
             .alias(salts),
         )
     )
-    hot_b = F.broadcast(hot)
-
-    r = right.join(hot_b, right[right_key] == hot_b[hk], "left").drop(hk)
+    # hot keys are matched by column name: ``hot`` derives from ``right``, so
+    # Dataset-bound column references would be ambiguous in a self-join
+    r = right.join(F.broadcast(hot), F.col(right_key) == F.col(hk), "left").drop(hk)
     r_cold = r.filter(F.col(salts).isNull()).select(*right_cols)
     r_hot = (
         r.filter(F.col(salts).isNotNull())
@@ -115,8 +115,7 @@ def _salted_left_join(
         .drop(salts, mult, chunk)
     )
 
-    hot_b2 = F.broadcast(hot.select(F.col(hk).alias(hk + "l"), F.col(salts)))
-    l = left.join(hot_b2, left[left_key] == hot_b2[hk + "l"], "left").drop(hk + "l")
+    l = left.join(F.broadcast(hot), F.col(left_key) == F.col(hk), "left").drop(hk)
     l_cold = l.filter(F.col(salts).isNull()).drop(salts)
     l_hot = (
         l.filter(F.col(salts).isNotNull())
@@ -124,15 +123,24 @@ def _salted_left_join(
         .drop(salts)
     )
 
-    cold = l_cold.join(r_cold, l_cold[left_key] == r_cold[right_key], "left")
+    lc, rc, lh, rh = (
+        l_cold.alias("ek_lc"), r_cold.alias("ek_rc"), l_hot.alias("ek_lh"), r_hot.alias("ek_rh")
+    )
+    cold = lc.join(rc, F.col(f"ek_lc.{left_key}") == F.col(f"ek_rc.{right_key}"), "left").select(
+        *[F.col(f"ek_lc.{c}") for c in left.columns], *[F.col(f"ek_rc.{c}") for c in right_cols]
+    )
     hot_joined = (
-        l_hot.join(
-            r_hot,
-            (l_hot[left_key] == r_hot[right_key]) & (l_hot[salt] == r_hot[salt]),
+        lh.join(
+            rh,
+            (F.col(f"ek_lh.{left_key}") == F.col(f"ek_rh.{right_key}"))
+            & (F.col(f"ek_lh.{salt}") == F.col(f"ek_rh.{salt}")),
             "inner",
         )
-        .select(*[l_hot[c] for c in left.columns], *[r_hot[c] for c in right_cols], r_hot[rep])
-        .withColumn(rep, F.explode(F.sequence(F.lit(1), F.col(rep))))
+        .select(
+            *[F.col(f"ek_lh.{c}") for c in left.columns],
+            *[F.col(f"ek_rh.{c}") for c in right_cols],
+            F.explode(F.sequence(F.lit(1), F.col(f"ek_rh.{rep}"))).alias(rep),
+        )
         .drop(rep)
     )
-    return cold.select(*left.columns, *right_cols).unionByName(hot_joined)
+    return cold.unionByName(hot_joined)

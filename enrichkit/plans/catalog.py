@@ -10,11 +10,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..operators.aggregate import group_stats
+from ..functions.columns import safe_ratio
+from ..operators.aggregate import distribution, group_stats, row_count
 from ..operators.classify import classify
+from ..operators.generate import ECONOMIC_MEASURES, keyed_indicators
 from ..operators.join import left_enrich
-from .tables import table
+from ..operators.nested import drop, flatten_countries, narrow, rename, with_columns
+from ..schemas import raw_country_schema
+from ..session import scratch_path
+from ..sources.documents import read_documents, write_documents
+from ..sources.key_list import read_key_list
+from ..sources.tables import conform, publish, read_table, save_table
+from . import jobs
+from .metrics import preview
+from .standins import brand_lines, country_documents, order_code_lines
+from .tables import TABLES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,7 +78,199 @@ def flagship_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- sources, nested access, derived columns -------------------------------
+
+def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land nested docs as JSON, scan with schema, flatten."""
+    path = scratch_path(spark, "raw_documents")
+    write_documents(country_documents(spark, sf_dir), path)
+    raw = read_documents(spark, path, raw_country_schema())
+    return flatten_countries(raw)
+
+
+def json_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse a JSON text column under a declared schema, read a field."""
+    events = table(spark, sf_dir, "events")
+    parsed = F.from_json("props", "k BIGINT")
+    return events.select("event_id", "event_type", parsed.getField("k").alias("k"))
+
+
+def select_rename_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3, P4, P9, P10, P11 on customer."""
+    c = table(spark, sf_dir, "customer")
+    c = rename(c, {"c_custkey": "customer_id", "c_name": "customer_name"})
+    c = with_columns(c, {"balance_k": F.col("c_acctbal") / 1000.0, "segment": F.lower("c_mktsegment")})
+    c = drop(c, "c_mktsegment")
+    return narrow(c, "customer_id", "customer_name", "c_nationkey", "balance_k", "segment")
+
+
+def safe_ratio_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, C4: key per unit of balance, NULL for zero or negative balances."""
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", safe_ratio("c_custkey", "c_acctbal").alias("ratio"))
+
+
+# --- joins and classification ----------------------------------------------
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "label_doc_id")
+    return left_enrich(docs, labels, "doc_id", "label_doc_id")
+
+
+def left_enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents LEFT JOIN labels on differently named keys."""
+    return labelled_documents(spark, sf_dir)
+
+
+def classify_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered rules under three-valued logic; unlabelled docs get the default."""
+    rules = [
+        ((F.col("quality") >= 1) & (F.col("toxic") <= 0), "keep"),
+        ((F.col("quality") >= 1) | (F.col("toxic") >= 1), "review"),
+    ]
+    out = classify(labelled_documents(spark, sf_dir), "decision", rules, "unknown")
+    return out.select("doc_id", "quality", "toxic", "decision")
+
+
+def _fanout(spark: SparkSession, sf_dir: str, skew_threshold: int | None) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return left_enrich(orders, items, "o_orderkey", "l_orderkey", skew_threshold=skew_threshold)
+
+
+def join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 with fan-out: one row per matching line item, unmatched orders kept once."""
+    return _fanout(spark, sf_dir, None)
+
+
+def join_fanout_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 through the salted hot-key strategy (orders with >= 4 items are hot)."""
+    return _fanout(spark, sf_dir, 4)
+
+
+# --- aggregation ------------------------------------------------------------
+
+def round_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A3, M2: rounded averages per brand."""
+    return group_stats(
+        table(spark, sf_dir, "part"),
+        ["p_brand"],
+        avgs={"avg_price": "p_retailprice", "avg_size": "p_size"},
+        count_alias=None,
+        rounding={"avg_price": 2, "avg_size": 3},
+    )
+
+
+def pivot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4, A5: one counter column per status value, per priority."""
+    return group_stats(
+        table(spark, sf_dir, "orders"),
+        ["o_orderpriority"],
+        counts_by_value=("o_orderstatus", {"F": "n_f", "O": "n_o", "P": "n_p"}),
+        count_alias="n_orders",
+    )
+
+
+def distribution_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per event type."""
+    return distribution(table(spark, sf_dir, "events"), "event_type")
+
+
+def row_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of every given table."""
+    parts = [
+        row_count(table(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "n_rows")
+        for t in TABLES
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- generation and key lists -----------------------------------------------
+
+def keyed_uniform_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeatable indicators for every part brand occurrence."""
+    keys = table(spark, sf_dir, "part").select("p_brand")
+    return keyed_indicators(keys, "p_brand", ECONOMIC_MEASURES, out_key="code", keep_occurrence=True)
+
+
+def key_list_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded key lines as text -> stripped keys -> counts."""
+    path = scratch_path(spark, "key_list")
+    brand_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    return distribution(read_key_list(spark, path, "value"), "value")
+
+
+# --- stored tables ----------------------------------------------------------
+
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwrite a stored table, then scan it back."""
+    path = scratch_path(spark, "orders_copy")
+    save_table(table(spark, sf_dir, "orders"), path)
+    return read_table(spark, path)
+
+
+def publish_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store the enriched orders, publish an unchanged copy, read it."""
+    src, dst = scratch_path(spark, "enriched_orders"), scratch_path(spark, "report")
+    save_table(enriched_orders(spark, sf_dir), src)
+    return publish(spark, src, dst)
+
+
+def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conform customer rows to a declared schema with a NOT NULL key."""
+    schema = "c_custkey BIGINT NOT NULL, c_name STRING, c_acctbal DOUBLE"
+    return conform(table(spark, sf_dir, "customer"), StructType.fromDDL(schema))
+
+
+def preview_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: first ten orders by key (a top-n, not a sort of everything)."""
+    return preview(table(spark, sf_dir, "orders"), 10, order_by=["o_orderkey"])
+
+
+# --- the composed country jobs ----------------------------------------------
+
+def _country_job(spark: SparkSession, sf_dir: str) -> dict[str, jobs.JobResult]:
+    docs_path, codes_path = scratch_path(spark, "docs"), scratch_path(spark, "codes")
+    write_documents(country_documents(spark, sf_dir), docs_path)
+    order_code_lines(spark, sf_dir).write.mode("overwrite").text(codes_path)
+    return jobs.run_all(spark, docs_path, codes_path, scratch_path(spark, "job"))
+
+
+def regional_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents + key list -> processed, indicators, enriched, stats."""
+    return read_table(spark, _country_job(spark, sf_dir)["regional_stats"].path)
+
+
+def country_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published enriched table, one row per (country, indicator line)."""
+    return read_table(spark, _country_job(spark, sf_dir)["report"].path)
+
+
 def queries() -> dict[str, Query]:
     return {
         "flagship_group_stats": flagship_group_stats,
+        "json_flatten": json_flatten,
+        "json_column": json_column,
+        "select_rename_drop": select_rename_drop,
+        "safe_ratio": safe_ratio_query,
+        "left_enrich": left_enrich_query,
+        "classify_nulls": classify_nulls,
+        "join_fanout": join_fanout,
+        "join_fanout_salted": join_fanout_salted,
+        "round_avg": round_avg,
+        "pivot_counts": pivot_counts,
+        "distribution": distribution_query,
+        "row_count": row_count_query,
+        "keyed_uniform": keyed_uniform_query,
+        "key_list": key_list_query,
+        "table_roundtrip": table_roundtrip,
+        "publish_copy": publish_copy,
+        "typed_rows": typed_rows,
+        "preview": preview_query,
+        "regional_rollup": regional_rollup,
+        "country_report": country_report,
     }

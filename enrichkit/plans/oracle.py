@@ -40,7 +40,142 @@ FROM e GROUP BY o_orderstatus, o_orderpriority
 """
 
 
+def _uniform(key: str, occ: str, low: float, high: float, seed: int, name: str) -> str:
+    text = f"concat_ws(':', '{seed}', '{name}', {key}, CAST({occ} AS VARCHAR))"
+    bits = f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)"
+    return (
+        f"({low!r}::DOUBLE + ({high!r}::DOUBLE - {low!r}::DOUBLE) "
+        f"* (CAST({bits} AS DOUBLE) / 4294967296.0::DOUBLE))"
+    )
+
+
+def _indicators(key: str, occ: str) -> str:
+    return (
+        f"{_uniform(key, occ, 1000.0, 100000.0, 42, 'gdp_per_capita')} AS gdp_per_capita, "
+        f"{_uniform(key, occ, 0.4, 0.99, 42, 'hdi')} AS hdi"
+    )
+
+
+PROCESSED_DOCS = """
+  WITH b AS (
+    SELECT c.c_custkey AS k, c.c_name, c.c_acctbal, c.c_mktsegment, c.c_nationkey,
+           n.n_nationkey, n.n_name, r.r_name
+    FROM customer c
+    LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+    LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+  f AS (
+    SELECT c_name AS common_name,
+           'Official ' || c_name AS official_name,
+           'N' || CAST(n_nationkey AS VARCHAR) AS country_code_2,
+           CASE WHEN k % 13 = 0 THEN NULL
+                WHEN k % 17 = 0 THEN 'c' || CAST(k AS VARCHAR)
+                ELSE 'C' || CAST(k AS VARCHAR) END AS country_code_3,
+           r_name AS region,
+           CASE WHEN k % 10 = 0 THEN NULL WHEN k % 10 = 5 THEN '' ELSE n_name END AS subregion,
+           CASE WHEN k % 4 IN (0, 1) THEN NULL WHEN k % 4 = 2 THEN c_name ELSE n_name END
+             AS capital_city,
+           CASE WHEN k % 8 = 3 THEN NULL ELSE k END AS population,
+           CASE WHEN k % 6 = 0 THEN NULL ELSE c_acctbal END AS area,
+           CASE WHEN k % 3 = 1 THEN CAST(k AS DOUBLE) * 1.5::DOUBLE END AS latitude,
+           CASE WHEN k % 3 = 1 THEN CAST(c_nationkey AS DOUBLE) - 10.25::DOUBLE END AS longitude,
+           CASE WHEN k % 7 IN (0, 1) THEN NULL ELSE lower(c_mktsegment) END AS currency_code,
+           CASE WHEN k % 7 IN (0, 1) OR k % 5 = 0 THEN NULL ELSE c_mktsegment END AS currency_name
+    FROM b)
+  SELECT *, CASE WHEN area > 0 THEN population / area END AS population_density FROM f
+"""
+
+ORDER_INDICATORS = f"""
+  SELECT code AS country_code_3_econ, {_indicators('code', 'occ')}
+  FROM (SELECT code, row_number() OVER (PARTITION BY code) AS occ
+        FROM (SELECT 'C' || CAST(o_custkey AS VARCHAR) AS code FROM orders))
+"""
+
+ENRICHED_COUNTRIES = f"""
+  SELECT d.*, e.gdp_per_capita, e.hdi,
+         CASE WHEN e.hdi >= 0.8::DOUBLE AND e.gdp_per_capita >= 20000::DOUBLE THEN 'Developed'
+              WHEN e.hdi >= 0.7::DOUBLE OR e.gdp_per_capita >= 12000::DOUBLE THEN 'Emerging'
+              ELSE 'Developing' END AS development_status
+  FROM ({PROCESSED_DOCS}) d
+  LEFT JOIN ({ORDER_INDICATORS}) e ON d.country_code_3 = e.country_code_3_econ
+"""
+
+REGIONAL_ROLLUP = f"""
+SELECT region, subregion,
+       CAST(sum(population) AS BIGINT) AS total_population,
+       {_r('avg(population_density)', 2)} AS avg_population_density,
+       {_r('avg(gdp_per_capita)', 2)} AS avg_gdp_per_capita,
+       {_r('avg(hdi)', 3)} AS avg_hdi,
+       CAST(sum(CASE WHEN development_status = 'Developed' THEN 1 ELSE 0 END) AS BIGINT)
+         AS developed_countries,
+       CAST(sum(CASE WHEN development_status = 'Emerging' THEN 1 ELSE 0 END) AS BIGINT)
+         AS emerging_countries,
+       CAST(sum(CASE WHEN development_status = 'Developing' THEN 1 ELSE 0 END) AS BIGINT)
+         AS developing_countries,
+       count(*) AS total_countries
+FROM ({ENRICHED_COUNTRIES}) GROUP BY region, subregion
+"""
+
+LABELLED_DOCS = """
+  SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "flagship_group_stats": FLAGSHIP,
+        "json_flatten": PROCESSED_DOCS,
+        "json_column": (
+            "SELECT event_id, event_type, CAST(props->>'$.k' AS BIGINT) AS k FROM events"
+        ),
+        "select_rename_drop": (
+            "SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey, "
+            "c_acctbal / 1000.0::DOUBLE AS balance_k, lower(c_mktsegment) AS segment FROM customer"
+        ),
+        "safe_ratio": (
+            "SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_custkey / c_acctbal END AS ratio "
+            "FROM customer"
+        ),
+        "left_enrich": LABELLED_DOCS,
+        "classify_nulls": f"""
+            SELECT doc_id, quality, toxic,
+                   CASE WHEN quality >= 1 AND toxic <= 0 THEN 'keep'
+                        WHEN quality >= 1 OR toxic >= 1 THEN 'review'
+                        ELSE 'unknown' END AS decision
+            FROM ({LABELLED_DOCS})""",
+        "join_fanout": """
+            SELECT o.o_orderkey, o.o_orderstatus, l.l_linenumber, l.l_quantity
+            FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""",
+        "join_fanout_salted": """
+            SELECT o.o_orderkey, o.o_orderstatus, l.l_linenumber, l.l_quantity
+            FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""",
+        "round_avg": f"""
+            SELECT p_brand, {_r('avg(p_retailprice)', 2)} AS avg_price,
+                   {_r('avg(p_size)', 3)} AS avg_size
+            FROM part GROUP BY p_brand""",
+        "pivot_counts": """
+            SELECT o_orderpriority,
+                   CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS n_f,
+                   CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS n_o,
+                   CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS BIGINT) AS n_p,
+                   count(*) AS n_orders
+            FROM orders GROUP BY o_orderpriority""",
+        "distribution": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
+        "row_count": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
+            for t in (
+                "region nation customer supplier part orders lineitem events documents "
+                "embeddings pages benchmark labels conversations"
+            ).split()
+        ),
+        "keyed_uniform": f"""
+            SELECT p_brand AS code, occ AS occurrence, {_indicators('p_brand', 'occ')}
+            FROM (SELECT p_brand, row_number() OVER (PARTITION BY p_brand) AS occ FROM part)""",
+        "key_list": "SELECT p_brand AS value, count(*) AS count FROM part GROUP BY p_brand",
+        "table_roundtrip": "SELECT * FROM orders",
+        "publish_copy": ENRICHED_ORDERS,
+        "typed_rows": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+        "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
+        "regional_rollup": REGIONAL_ROLLUP,
+        "country_report": ENRICHED_COUNTRIES,
     }

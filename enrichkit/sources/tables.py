@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, StructType
 
 
 class SchemaMismatchError(ValueError):
@@ -29,16 +30,41 @@ def typed_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -
     return spark.createDataFrame(list(rows), schema=schema)
 
 
+def _zero(data_type: DataType) -> Column:
+    return F.lit("") if isinstance(data_type, StringType) else F.lit(0).cast(data_type)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Reorder, cast and check nullability to a declared schema (S6 at scale).
+    """Select, cast and order ``df`` to a declared schema (S6 at scale).
 
-    A column declared NOT NULL must already be non-nullable in the plan (for
-    example after a filter on it), otherwise Spark refuses the conversion.
+    A field declared NOT NULL is checked row by row: a NULL raises at run time
+    (like ``createDataFrame`` with that schema), and the column is typed
+    non-nullable. The ``coalesce`` fallback is never reached; it only lets
+    Spark prove the column non-nullable.
     """
-    return df.to(schema)
+    cols = []
+    for field in schema.fields:
+        c = F.col(field.name).cast(field.dataType)
+        if not field.nullable:
+            guard = F.when(
+                c.isNull(), F.raise_error(F.lit(f"NULL in NOT NULL column {field.name}"))
+            ).otherwise(c)
+            c = F.coalesce(guard, _zero(field.dataType))
+        cols.append(c.alias(field.name))
+    return df.select(*cols).to(schema)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (Hadoop-compatible) file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
 
 
 def _stored_schema(spark: SparkSession, path: str, fmt: str) -> StructType | None:
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.format(fmt).load(path).schema
     except AnalysisException:
