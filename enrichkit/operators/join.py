@@ -103,6 +103,7 @@ def _salted_left_join(
     )
     # hot keys are matched by column name: ``hot`` derives from ``right``, so
     # Dataset-bound column references would be ambiguous in a self-join
+    width = int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = right.join(F.broadcast(hot), F.col(right_key) == F.col(hk), "left").drop(hk)
     r_cold = r.filter(F.col(salts).isNull()).select(*right_cols)
     r_hot = (
@@ -113,14 +114,19 @@ def _salted_left_join(
         .withColumn(rep, F.least(F.lit(threshold), F.col(mult) - F.col(chunk) * threshold))
         .withColumn(salt, F.pmod(F.xxhash64(*right_cols, chunk), F.col(salts)).cast("int"))
         .drop(salts, mult, chunk)
+        .repartition(width, F.col(right_key), F.col(salt))
     )
 
     l = left.join(F.broadcast(hot), F.col(left_key) == F.col(hk), "left").drop(hk)
     l_cold = l.filter(F.col(salts).isNull()).drop(salts)
+    # both hot sides are spread by (key, salt) at one fixed width: they are
+    # co-partitioned for the join, and if AQE broadcasts either one the other
+    # still streams from many tasks (AQE does not coalesce a fixed width)
     l_hot = (
         l.filter(F.col(salts).isNotNull())
         .withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(salts) - 1)))
         .drop(salts)
+        .repartition(width, F.col(left_key), F.col(salt))
     )
 
     lc, rc, lh, rh = (

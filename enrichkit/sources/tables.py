@@ -54,14 +54,23 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*cols).to(schema)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (Hadoop-compatible) file system."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hpath, fs = _hadoop_path(spark, path)
     return bool(fs.exists(hpath))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """Fully qualified URI of ``path`` (scheme and authority filled in)."""
+    hpath, fs = _hadoop_path(spark, path)
+    return str(fs.makeQualified(hpath).toUri().normalize().toString()).rstrip("/")
+
+
 def _stored_schema(spark: SparkSession, path: str, fmt: str) -> StructType | None:
     if not path_exists(spark, path):
         return None
@@ -97,9 +106,9 @@ def save_table(
             raise SchemaMismatchError(
                 f"schema of {path} is {stored.simpleString()}, new data has {df.schema.simpleString()}"
             )
-        norm = path.rstrip("/").replace("file:", "")
+        target = qualified(spark, path) + "/"
         for f in df.inputFiles():
-            if f.replace("file:", "").startswith(norm + "/"):
+            if qualified(spark, f).startswith(target):
                 raise ValueError(f"cannot overwrite {path}: it is an input of the data written")
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "delta" and overwrite_schema:

@@ -1,0 +1,34 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from enrichkit.operators.generate import key_occurrences, keyed_indicators
+
+
+def test_occurrences_are_one_to_n_per_key(spark):
+    keys = ["HOT"] * 1000 + ["A", "A", "B"]
+    df = spark.createDataFrame([(k,) for k in keys], "code string")
+    occ = key_occurrences(df, "code", chunk_rows=7, partitions=16)
+    got = Counter((r.code, r.occurrence) for r in occ.collect())
+    want = Counter([("HOT", i) for i in range(1, 1001)] + [("A", 1), ("A", 2), ("B", 1)])
+    assert got == want
+    # the hot key is expanded by many tasks, not one
+    per_task = occ.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    assert max(per_task) < 1000
+
+
+def test_indicators_repeatable_and_in_range(spark):
+    df = spark.createDataFrame([("X",), ("X",), ("Y",)], "code string")
+    a = keyed_indicators(df, "code", out_key="k").collect()
+    b = keyed_indicators(df.repartition(3), "code", out_key="k").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    xs = [r for r in a if r.k == "X"]
+    assert len(xs) == 2 and xs[0].gdp_per_capita != xs[1].gdp_per_capita  # fresh draw per line
+    assert all(1000 <= r.gdp_per_capita < 100000 and 0.4 <= r.hdi < 0.99 for r in a)
+
+
+def test_indicator_columns(spark):
+    df = spark.createDataFrame([("X",)], "code string")
+    out = keyed_indicators(df, "code", {"m": (0.0, 1.0)}, seed=7, keep_occurrence=True)
+    assert out.columns == ["code", "occurrence", "m"]
+    assert out.select(F.col("occurrence")).first()[0] == 1
