@@ -250,6 +250,23 @@ def country_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _country_job(spark, sf_dir)["report"].path)
 
 
+def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 + E3 as a Structured Streaming query over landed document files."""
+    from ..streaming.documents import start_enrichment
+
+    docs_path, codes_path = scratch_path(spark, "docs"), scratch_path(spark, "codes")
+    indicators_path = scratch_path(spark, "indicators")
+    write_documents(country_documents(spark, sf_dir), docs_path)
+    order_code_lines(spark, sf_dir).write.mode("overwrite").text(codes_path)
+    jobs.build_indicators(spark, codes_path, indicators_path)
+    out, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+    query = start_enrichment(spark, docs_path, read_table(spark, indicators_path), out, ckpt)
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return spark.read.parquet(out)
+
+
 def queries() -> dict[str, Query]:
     return {
         "flagship_group_stats": flagship_group_stats,
@@ -273,4 +290,5 @@ def queries() -> dict[str, Query]:
         "preview": preview_query,
         "regional_rollup": regional_rollup,
         "country_report": country_report,
+        "stream_enrich": stream_enrich,
     }

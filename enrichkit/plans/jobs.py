@@ -28,6 +28,10 @@ log = logging.getLogger("enrichkit")
 
 STATUS_LABELS = {DEVELOPED: "developed", EMERGING: "emerging", DEVELOPING: "developing"}
 
+# A code with this many indicator lines or more is joined through the salted
+# hot-key path, so its fan-out is produced by many tasks (see left_enrich).
+DEFAULT_SKEW_THRESHOLD = 1_000_000
+
 
 @dataclass
 class JobResult:
@@ -69,7 +73,7 @@ def enrich(
     indicators_path: str,
     out: str,
     *,
-    skew_threshold: int | None = None,
+    skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
     fmt: str | None = None,
 ) -> JobResult:
     """Processed LEFT JOIN indicators on the 3-letter code, then classify."""
@@ -118,7 +122,7 @@ def run_all(
     workdir: str,
     *,
     multi_line: bool = False,
-    skew_threshold: int | None = None,
+    skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
     fmt: str | None = None,
 ) -> dict[str, JobResult]:
     """{E1, E2} -> E3 -> {E4, E5}, in one session, handing over by table."""

@@ -178,4 +178,5 @@ def oracle_sql() -> dict[str, str]:
         "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
         "regional_rollup": REGIONAL_ROLLUP,
         "country_report": ENRICHED_COUNTRIES,
+        "stream_enrich": ENRICHED_COUNTRIES,
     }
