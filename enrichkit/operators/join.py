@@ -12,7 +12,8 @@ Physical strategy
   the key. AQE's skew handling splits hot LEFT partitions.
 * ``skew_threshold``: a right key with that many rows or more is a *hot* key
   whose fan-out would land in one task. The (at most ``max_hot_keys``)
-  hottest keys are broadcast as a bounded list; their right rows are spread
+  hottest keys are found first (one aggregation, an eager Spark job) and
+  broadcast as a bounded list; with none the plain join is used; their right rows are spread
   over ``ceil(n / skew_threshold)`` salts and their left rows are replicated
   once per salt, so every (left, right) pair is produced exactly once and by
   one of many tasks. Exact copies of a right row are first collapsed with a
@@ -87,8 +88,11 @@ def _salted_left_join(
         _P + "hk", _P + "salts", _P + "salt", _P + "mult", _P + "chunk", _P + "rep"
     )
     right_cols = right.columns
-    # bounded hot-key list: at most max_hot_keys rows, safe to broadcast
-    hot = (
+    spark = right.sparkSession
+    # bounded hot-key list: at most max_hot_keys rows, so it is safe to bring
+    # to the driver and to broadcast. Finding it is one aggregation over the
+    # right side; when no key is hot the plain join is used unchanged.
+    hot_rows = (
         right.groupBy(right_key)
         .agg(F.count(F.lit(1)).alias(_P + "n"))
         .filter(F.col(_P + "n") >= threshold)
@@ -100,10 +104,15 @@ def _salted_left_join(
             .cast("int")
             .alias(salts),
         )
+        .collect()
     )
+    if not hot_rows:
+        return left.join(right, left[left_key] == right[right_key], "left")
+    key_type = right.schema[right_key].dataType.simpleString()
+    hot = spark.createDataFrame(hot_rows, f"{hk} {key_type}, {salts} int")
     # hot keys are matched by column name: ``hot`` derives from ``right``, so
     # Dataset-bound column references would be ambiguous in a self-join
-    width = int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = right.join(F.broadcast(hot), F.col(right_key) == F.col(hk), "left").drop(hk)
     r_cold = r.filter(F.col(salts).isNull()).select(*right_cols)
     r_hot = (
