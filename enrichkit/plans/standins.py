@@ -29,9 +29,10 @@ def country_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    # nation and region are fixed-size dimension tables (25 and 5 rows)
-    base = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").join(
-        F.broadcast(r), n.n_regionkey == r.r_regionkey, "left"
+    # nation and region are small dimension tables; Catalyst broadcasts them
+    # after checking their size statistics, no hint needed
+    base = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(
+        r, n.n_regionkey == r.r_regionkey, "left"
     )
     k = F.col("c_custkey")
     null_str = F.lit(None).cast("string")

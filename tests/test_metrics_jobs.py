@@ -84,3 +84,15 @@ def test_run_all_end_to_end(spark, tmp_table):
     assert stats[("R2", None)].total_countries == 2
     report = read_table(spark, res["report"].path)
     assert report.schema == enriched.schema and report.count() == 5
+
+
+def test_process_documents_multiline_array(spark, tmp_table):
+    base = tmp_table("ml").replace("file:", "")
+    os.makedirs(os.path.join(base, "docs"))
+    with open(os.path.join(base, "docs", "all.json"), "w") as f:
+        json.dump(DOCS, f, indent=2)
+    res = jobs.process_documents(spark, os.path.join(base, "docs"), os.path.join(base, "p"), multi_line=True)
+    assert res.metrics["rows"] == 4
+    out = read_table(spark, res.path)
+    assert out.columns[-1] == "population_density"
+    assert {r.country_code_3: r.population_density for r in out.collect()}["AAA"] == 10.0
