@@ -7,6 +7,7 @@ grows with the data; each has an equivalent SQL text in ``oracle.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -233,10 +234,21 @@ def preview_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the composed country jobs ----------------------------------------------
 
-def _country_job(spark: SparkSession, sf_dir: str) -> dict[str, jobs.JobResult]:
+def _land_inputs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Write the derived documents (JSON Lines) and key list (text) in parallel."""
     docs_path, codes_path = scratch_path(spark, "docs"), scratch_path(spark, "codes")
-    write_documents(country_documents(spark, sf_dir), docs_path)
-    order_code_lines(spark, sf_dir).write.mode("overwrite").text(codes_path)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        docs = pool.submit(write_documents, country_documents(spark, sf_dir), docs_path)
+        codes = pool.submit(
+            lambda: order_code_lines(spark, sf_dir).write.mode("overwrite").text(codes_path)
+        )
+        docs.result()
+        codes.result()
+    return docs_path, codes_path
+
+
+def _country_job(spark: SparkSession, sf_dir: str) -> dict[str, jobs.JobResult]:
+    docs_path, codes_path = _land_inputs(spark, sf_dir)
     return jobs.run_all(spark, docs_path, codes_path, scratch_path(spark, "job"))
 
 
@@ -254,10 +266,8 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 + E3 as a Structured Streaming query over landed document files."""
     from ..streaming.documents import start_enrichment
 
-    docs_path, codes_path = scratch_path(spark, "docs"), scratch_path(spark, "codes")
+    docs_path, codes_path = _land_inputs(spark, sf_dir)
     indicators_path = scratch_path(spark, "indicators")
-    write_documents(country_documents(spark, sf_dir), docs_path)
-    order_code_lines(spark, sf_dir).write.mode("overwrite").text(codes_path)
     jobs.build_indicators(spark, codes_path, indicators_path)
     out, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
     query = start_enrichment(spark, docs_path, read_table(spark, indicators_path), out, ckpt)

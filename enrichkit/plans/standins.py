@@ -25,7 +25,11 @@ def _case(k: Column, m: int, branches: dict[int, Column], default: Column) -> Co
 
 
 def country_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested documents shaped like the raw country schema, one per customer."""
+    """Nested documents shaped like the raw country schema, one per customer.
+
+    Written as SQL expressions: one parse in the JVM instead of hundreds of
+    Python -> JVM calls for the nested CASE expressions.
+    """
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -34,55 +38,35 @@ def country_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(
         r, n.n_regionkey == r.r_regionkey, "left"
     )
-    k = F.col("c_custkey")
-    null_str = F.lit(None).cast("string")
-    segment = F.col("c_mktsegment")
-    currencies = F.map_from_arrays(
-        F.array(F.lower(segment), F.lit("aaa")),
-        F.array(
-            F.when(k % 5 == 0, F.lit(None).cast(CURRENCY_TYPE)).otherwise(
-                F.struct(segment.alias("name"), F.substring(segment, 1, 1).alias("symbol"))
-            ),
-            F.struct(F.lit("Alpha").alias("name"), F.lit("A").alias("symbol")),
-        ),
-    )
-    lat, lon = k * 1.5, F.col("c_nationkey") - 10.25
-    return base.select(
-        F.struct(
-            F.col("c_name").alias("common"),
-            F.concat(F.lit("Official "), F.col("c_name")).alias("official"),
-        ).alias("name"),
-        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("cca2"),
-        _case(k, 13, {0: null_str}, F.concat(F.lit("C"), k.cast("string")))
-        .alias("cca3_tmp"),
-        _case(
-            k,
-            4,
-            {0: F.array().cast("array<string>"), 1: F.lit(None).cast("array<string>"),
-             2: F.array(F.col("c_name"))},
-            F.array(F.col("n_name"), F.col("c_name")),
-        ).alias("capital"),
-        F.col("r_name").alias("region"),
-        _case(k, 10, {0: null_str, 5: F.lit("")}, F.col("n_name")).alias("subregion"),
-        _case(k, 6, {0: F.lit(None).cast("double")}, F.col("c_acctbal")).alias("area"),
-        _case(k, 8, {3: F.lit(None).cast("bigint")}, k).alias("population"),
-        _case(k, 3, {0: F.array(lat), 1: F.array(lat, lon)}, F.array(lat, lon, F.lit(0.0)))
-        .alias("latlng"),
-        _case(
-            k,
-            7,
-            {0: F.lit(None).cast(f"map<string,{CURRENCY_TYPE}>"),
-             1: F.create_map().cast(f"map<string,{CURRENCY_TYPE}>")},
-            currencies,
-        ).alias("currencies"),
-        k.alias("k"),
-    ).select(
-        "name", "cca2",
+    currency = f"CAST(NULL AS {CURRENCY_TYPE})"
+    currency_map = f"map<string,{CURRENCY_TYPE}>"
+    k = "c_custkey"
+    code = f"CASE WHEN {k} % 13 = 0 THEN NULL ELSE concat('C', CAST({k} AS STRING)) END"
+    lat, lon = f"CAST({k} AS DOUBLE) * 1.5D", "CAST(c_nationkey AS DOUBLE) - 10.25D"
+    return base.selectExpr(
+        "named_struct('common', c_name, 'official', concat('Official ', c_name)) AS name",
+        "concat('N', CAST(n_nationkey AS STRING)) AS cca2",
         # a lower-case code never matches an indicator key (unmatched rows)
-        F.when(F.col("k") % 17 == 0, F.lower(F.col("cca3_tmp")))
-        .otherwise(F.col("cca3_tmp"))
-        .alias("cca3"),
-        "capital", "region", "subregion", "area", "population", "latlng", "currencies",
+        f"CASE WHEN {k} % 17 = 0 THEN lower({code}) ELSE {code} END AS cca3",
+        f"""CASE WHEN {k} % 4 = 0 THEN CAST(array() AS array<string>)
+                 WHEN {k} % 4 = 1 THEN CAST(NULL AS array<string>)
+                 WHEN {k} % 4 = 2 THEN array(c_name)
+                 ELSE array(n_name, c_name) END AS capital""",
+        "r_name AS region",
+        f"CASE WHEN {k} % 10 = 0 THEN NULL WHEN {k} % 10 = 5 THEN '' ELSE n_name END AS subregion",
+        f"CASE WHEN {k} % 6 = 0 THEN CAST(NULL AS DOUBLE) ELSE c_acctbal END AS area",
+        f"CASE WHEN {k} % 8 = 3 THEN CAST(NULL AS BIGINT) ELSE {k} END AS population",
+        f"""CASE WHEN {k} % 3 = 0 THEN array({lat})
+                 WHEN {k} % 3 = 1 THEN array({lat}, {lon})
+                 ELSE array({lat}, {lon}, 0.0D) END AS latlng""",
+        f"""CASE WHEN {k} % 7 = 0 THEN CAST(NULL AS {currency_map})
+                 WHEN {k} % 7 = 1 THEN CAST(map() AS {currency_map})
+                 ELSE map_from_arrays(
+                   array(lower(c_mktsegment), 'aaa'),
+                   array(CASE WHEN {k} % 5 = 0 THEN {currency}
+                              ELSE named_struct('name', c_mktsegment,
+                                                'symbol', substring(c_mktsegment, 1, 1)) END,
+                         named_struct('name', 'Alpha', 'symbol', 'A'))) END AS currencies""",
     )
 
 
