@@ -100,3 +100,20 @@ def test_keyed_uniform_range_and_repeatable(spark):
     assert all(0.4 <= x < 0.99 for x in a)
     assert sorted(a) == sorted(b)
     assert len(set(a)) > 1990
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+# blanks of several kinds mixed with ordinary letters
+_ALPHABET = st.sampled_from(list("ab Z\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0       　​﻿"))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(_ALPHABET, max_size=8), min_size=1, max_size=60))
+def test_strip_text_property(spark, samples):
+    # one DataFrame per example keeps the number of Spark jobs small
+    samples = [s.replace("\n", "").replace("\r", "") for s in samples]
+    df = spark.createDataFrame([(s,) for s in samples], "v string")
+    got = [r[0] for r in df.select(strip_text("v")).collect()]
+    assert got == [s.strip() for s in samples]
