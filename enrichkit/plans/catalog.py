@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.columns import safe_ratio
+from ..functions.columns import is_not_blank, safe_ratio, strip_text
 from ..operators.aggregate import distribution, group_stats, row_count
-from ..operators.classify import classify
+from ..operators.classify import classify, development_status
 from ..operators.generate import ECONOMIC_MEASURES, keyed_indicators
 from ..operators.join import left_enrich
 from ..operators.nested import drop, flatten_countries, narrow, rename, with_columns
@@ -277,6 +277,27 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def key_list_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 alone: padded key list as text -> stripped codes -> indicator table."""
+    codes_path, out = scratch_path(spark, "codes"), scratch_path(spark, "indicators")
+    order_code_lines(spark, sf_dir).write.mode("overwrite").text(codes_path)
+    jobs.build_indicators(spark, codes_path, out)
+    return read_table(spark, out)
+
+
+def status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6, Q2 over one lazy plan: documents -> flatten -> LEFT JOIN indicators
+    -> development status -> rows per status (no intermediate table)."""
+    processed = flatten_countries(country_documents(spark, sf_dir))
+    codes = order_code_lines(spark, sf_dir).select(F.col("value").alias("line"))
+    codes = codes.select(strip_text("line").alias("code")).filter(is_not_blank(F.col("code")))
+    indicators = keyed_indicators(codes, "code", ECONOMIC_MEASURES, out_key="country_code_3_econ")
+    enriched = development_status(
+        left_enrich(processed, indicators, "country_code_3", "country_code_3_econ")
+    )
+    return distribution(enriched, "development_status")
+
+
 def queries() -> dict[str, Query]:
     return {
         "flagship_group_stats": flagship_group_stats,
@@ -301,4 +322,6 @@ def queries() -> dict[str, Query]:
         "regional_rollup": regional_rollup,
         "country_report": country_report,
         "stream_enrich": stream_enrich,
+        "key_list_indicators": key_list_indicators,
+        "status_distribution": status_distribution,
     }

@@ -179,4 +179,8 @@ def oracle_sql() -> dict[str, str]:
         "regional_rollup": REGIONAL_ROLLUP,
         "country_report": ENRICHED_COUNTRIES,
         "stream_enrich": ENRICHED_COUNTRIES,
+        "key_list_indicators": ORDER_INDICATORS,
+        "status_distribution": f"""
+            SELECT development_status, count(*) AS count
+            FROM ({ENRICHED_COUNTRIES}) GROUP BY development_status""",
     }

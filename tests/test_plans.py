@@ -19,7 +19,8 @@ def _plan(df) -> str:
 @pytest.mark.parametrize(
     "name",
     ["flagship_group_stats", "json_column", "left_enrich", "classify_nulls", "join_fanout",
-     "join_fanout_salted", "round_avg", "pivot_counts", "keyed_uniform", "typed_rows", "preview"],
+     "join_fanout_salted", "round_avg", "pivot_counts", "keyed_uniform", "typed_rows", "preview",
+     "status_distribution"],
 )
 def test_no_python_in_plans(spark, name):
     plan = _plan(catalog.queries()[name](spark, SF_SMALL))
