@@ -75,9 +75,14 @@ def enrich(
     out: str,
     *,
     skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
+    on_duplicate: str = "keep",
     fmt: str | None = None,
 ) -> JobResult:
-    """Processed LEFT JOIN indicators on the 3-letter code, then classify."""
+    """Processed LEFT JOIN indicators on the 3-letter code, then classify.
+
+    Duplicate indicator codes fan out like in the reference (``"keep"``);
+    ``on_duplicate="error"`` refuses them instead.
+    """
     with stage("enrich"):
         countries = read_table(spark, countries_path, fmt)
         indicators = read_table(spark, indicators_path, fmt)
@@ -88,6 +93,7 @@ def enrich(
             "country_code_3",
             "country_code_3_econ",
             skew_threshold=skew_threshold,
+            on_duplicate=on_duplicate,
         )
         enriched, obs = observe(
             development_status(joined),

@@ -56,8 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment to a shared file system and is
-    only read here. When it is unset (local runs, tests) a fresh local folder
-    is created and registered, so later ``checkpoint()`` calls use it too.
+    only read here; unset on a cluster is an error. When it is unset in local
+    mode (tests) a fresh local folder is created and registered, so later
+    ``checkpoint()`` calls use it too.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -66,6 +67,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir adds a per-application sub-folder; use its parent
         return os.path.dirname(current.rstrip("/"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared "
+            "folder (a machine-local temporary folder would be lost with its executor)"
+        )
     local = tempfile.mkdtemp(prefix="enrichkit-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -44,3 +44,13 @@ def test_distribution_and_row_count(spark):
     df = spark.createDataFrame([("x",), ("y",), ("x",), (None,)], "s string")
     assert {tuple(r) for r in distribution(df, "s").collect()} == {("x", 2), ("y", 1), (None, 1)}
     assert row_count(df).first()["n_rows"] == 4
+
+
+def test_sum_overflow_raises_under_ansi(spark):
+    import pytest
+
+    df = spark.createDataFrame(
+        [("R", "S", 2**62, None, None, None, "Developing")] * 3, SCHEMA
+    )
+    with pytest.raises(Exception, match="(?i)overflow"):
+        regional_stats(df).collect()

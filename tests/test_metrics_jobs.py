@@ -96,3 +96,17 @@ def test_process_documents_multiline_array(spark, tmp_table):
     out = read_table(spark, res.path)
     assert out.columns[-1] == "population_density"
     assert {r.country_code_3: r.population_density for r in out.collect()}["AAA"] == 10.0
+
+
+def test_enrich_refuses_duplicate_codes_on_request(spark, tmp_table):
+    from enrichkit.operators.join import DuplicateKeyError
+    from enrichkit.schemas import economic_schema
+    from enrichkit.sources.tables import save_table, typed_rows
+
+    base = tmp_table("dup")
+    countries = spark.createDataFrame([("AAA", 1)], "country_code_3 string, population bigint")
+    save_table(countries, base + "/c")
+    save_table(typed_rows(spark, [("AAA", 1.0, 0.5), ("AAA", 2.0, 0.6)], economic_schema()), base + "/i")
+    with pytest.raises(Exception) as info:
+        jobs.enrich(spark, base + "/c", base + "/i", base + "/e", on_duplicate="error")
+    assert isinstance(info.value.__cause__, DuplicateKeyError)

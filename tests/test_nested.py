@@ -88,3 +88,19 @@ def test_generic_projection_helpers(spark):
     assert out.columns == ["key", "twice"] and out.first()["twice"] == 4.0
     out = narrow(drop(with_columns(rename(df, {"s": "label"}), {"w": F.lit(1)}), "v"), "label", "w")
     assert out.columns == ["label", "w"]
+
+
+def test_landing_sink_keeps_non_ascii_unescaped(spark, tmp_table):
+    from enrichkit.sources.documents import write_documents
+
+    path = tmp_table("land")
+    df = spark.createDataFrame([("São Tomé", None)], "name string, capital string")
+    write_documents(df, path)
+    local = path.replace("file:", "")
+    text = "".join(
+        open(os.path.join(local, f), encoding="utf-8").read()
+        for f in os.listdir(local) if f.endswith(".json")
+    )
+    assert '"name":"São Tomé"' in text and "capital" not in text
+    back = spark.read.schema("name string, capital string").json(path).collect()
+    assert [tuple(r) for r in back] == [("São Tomé", None)]
