@@ -45,7 +45,11 @@ def process_documents(
 ) -> JobResult:
     """JSON documents -> flat table with population density."""
     with stage("process_documents"):
-        raw = read_documents(spark, json_path, raw_country_schema(), multi_line=multi_line)
+        # multi-line files parse in one task each; spread the rows afterwards
+        width = int(spark.conf.get("spark.sql.shuffle.partitions")) if multi_line else None
+        raw = read_documents(
+            spark, json_path, raw_country_schema(), multi_line=multi_line, partitions=width
+        )
         flat, obs = observe(flatten_countries(raw), "processed")
         save_table(flat, out, fmt, overwrite_schema=True)
         return JobResult(out, obs.get)

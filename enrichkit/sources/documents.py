@@ -17,6 +17,7 @@ def read_documents(
     multi_line: bool = False,
     mode: str = "PERMISSIVE",
     corrupt_column: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Scan JSON documents under a declared schema.
 
@@ -26,6 +27,12 @@ def read_documents(
     that span lines, including one top-level array per file, at one task per
     file. ``mode`` is Spark's parse mode: PERMISSIVE turns a wrong-typed field
     into NULL, FAILFAST raises, DROPMALFORMED drops the row.
+
+    ``partitions`` spreads the rows over that many partitions right after the
+    scan. Use it with ``multi_line``: a file holding one large array is parsed
+    by one task, but everything after the parse then runs in parallel.
+    Spark sorts before a round-robin repartition, so a retried task gets the
+    same rows.
     """
     if fields:
         schema = prune_schema(schema, fields)
@@ -33,7 +40,8 @@ def read_documents(
     if corrupt_column:
         schema = StructType(schema.fields).add(corrupt_column, "string")
         reader = reader.schema(schema).option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.json(path)
+    df = reader.json(path)
+    return df.repartition(partitions) if partitions else df
 
 
 def write_documents(df: DataFrame, path: str, *, keep_null_fields: bool = False) -> None:

@@ -104,3 +104,11 @@ def test_landing_sink_keeps_non_ascii_unescaped(spark, tmp_table):
     assert '"name":"São Tomé"' in text and "capital" not in text
     back = spark.read.schema("name string, capital string").json(path).collect()
     assert [tuple(r) for r in back] == [("São Tomé", None)]
+
+
+def test_multiline_scan_can_be_spread(spark, tmp_table):
+    raw = read_documents(
+        spark, _write(tmp_table, lines=False), raw_country_schema(), multi_line=True, partitions=4
+    )
+    assert raw.rdd.getNumPartitions() == 4
+    _check(flatten_countries(raw).collect())
