@@ -16,15 +16,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["flagship_group_stats", "json_column", "left_enrich", "classify_nulls", "join_fanout",
-     "join_fanout_salted", "round_avg", "pivot_counts", "keyed_uniform", "typed_rows", "preview",
-     "status_distribution"],
-)
-def test_no_python_in_plans(spark, name):
-    plan = _plan(catalog.queries()[name](spark, SF_SMALL))
+@pytest.mark.parametrize("name", sorted(ent.queries()))
+def test_no_python_or_cross_join_in_plans(spark, name):
+    plan = _plan(ent.queries()[name](spark, SF_SMALL))
     assert not any(node in plan for node in PYTHON_NODES)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_flagship_reads_only_needed_columns(spark):
