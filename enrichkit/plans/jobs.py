@@ -23,7 +23,7 @@ from ..schemas import economic_schema, raw_country_schema
 from ..sources.documents import read_documents
 from ..sources.key_list import read_key_list
 from ..sources.tables import conform, publish, read_table, save_table
-from .metrics import observe, schema_rows, stage, status_metrics
+from .metrics import observe, preview, schema_rows, stage, status_metrics
 
 log = logging.getLogger("enrichkit")
 
@@ -118,11 +118,25 @@ def aggregate_regions(spark: SparkSession, enriched_path: str, out: str, fmt: st
         return JobResult(out, obs.get)
 
 
-def publish_report(spark: SparkSession, enriched_path: str, out: str, fmt: str | None = None) -> JobResult:
-    """E5: copy the enriched table unchanged to the report location."""
+def publish_report(
+    spark: SparkSession,
+    enriched_path: str,
+    out: str,
+    fmt: str | None = None,
+    *,
+    preview_rows: int = 10,
+) -> JobResult:
+    """E5: copy the enriched table unchanged to the report location.
+
+    Logs the schema and, unless ``preview_rows`` is 0, a bounded preview of
+    the copy (a ``limit``; which rows is arbitrary, as in the reference).
+    """
     with stage("publish_report"):
         report = publish(spark, enriched_path, out, fmt)
         log.info("report schema: %s", schema_rows(report))
+        if preview_rows:
+            for row in preview(report, preview_rows).collect():
+                log.info("report row: %s", row.asDict())
         return JobResult(out)
 
 
