@@ -84,6 +84,10 @@ def _salted_left_join(
 ) -> DataFrame:
     if threshold < 1:
         raise ValueError("skew_threshold must be >= 1")
+    if any("map<" in f.dataType.simpleString() for f in right.schema.fields):
+        # copies are collapsed by grouping on every right column, and Spark
+        # cannot group on (or hash) map values
+        raise ValueError("the salted join needs right columns without map types")
     hk, salts, salt, mult, chunk, rep = (
         _P + "hk", _P + "salts", _P + "salt", _P + "mult", _P + "chunk", _P + "rep"
     )

@@ -23,7 +23,7 @@ from ..schemas import economic_schema, raw_country_schema
 from ..sources.documents import read_documents
 from ..sources.key_list import read_key_list
 from ..sources.tables import conform, publish, read_table, save_table
-from .metrics import observe, preview, schema_rows, stage, status_metrics
+from .metrics import bounded_report, observe, preview, schema_rows, stage, status_metrics
 
 log = logging.getLogger("enrichkit")
 
@@ -110,11 +110,30 @@ def enrich(
         return JobResult(out, metrics)
 
 
-def aggregate_regions(spark: SparkSession, enriched_path: str, out: str, fmt: str | None = None) -> JobResult:
-    """Per (region, subregion) statistics."""
+def aggregate_regions(
+    spark: SparkSession,
+    enriched_path: str,
+    out: str,
+    fmt: str | None = None,
+    *,
+    report_rows: int = 20,
+) -> JobResult:
+    """Per (region, subregion) statistics.
+
+    Logs at most ``report_rows`` groups of the written table (a bounded
+    report, never all groups); a NULL total is logged as such.
+    """
     with stage("aggregate_regions"):
         stats, obs = observe(regional_stats(read_table(spark, enriched_path, fmt)), "regions")
         save_table(stats, out, fmt, overwrite_schema=True)
+        if report_rows:
+            cols = ["region", "subregion", "total_countries", "total_population"]
+            for r in bounded_report(read_table(spark, out, fmt), cols, report_rows).collect():
+                total = "NULL" if r.total_population is None else f"{r.total_population:,}"
+                log.info(
+                    "region %r / %r: %s rows, total population %s",
+                    r.region, r.subregion, r.total_countries, total,
+                )
         return JobResult(out, obs.get)
 
 

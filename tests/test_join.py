@@ -72,3 +72,11 @@ def test_salted_join_splits_hot_key_over_tasks(spark):
     per_task = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per_task) == 4000
     assert max(per_task) < 4000  # not all pairs from one task
+
+
+def test_salted_join_refuses_map_columns(spark):
+    left = spark.createDataFrame([("A", 1)], LEFT_SCHEMA)
+    right = spark.createDataFrame([("A", {"k": 1})], "code_econ string, m map<string,int>")
+    with pytest.raises(ValueError, match="map"):
+        left_enrich(left, right, "code", "code_econ", skew_threshold=1)
+    assert left_enrich(left, right, "code", "code_econ").count() == 1

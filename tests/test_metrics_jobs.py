@@ -110,3 +110,21 @@ def test_enrich_refuses_duplicate_codes_on_request(spark, tmp_table):
     with pytest.raises(Exception) as info:
         jobs.enrich(spark, base + "/c", base + "/i", base + "/e", on_duplicate="error")
     assert isinstance(info.value.__cause__, DuplicateKeyError)
+
+
+def test_aggregate_job_logs_null_totals(spark, tmp_table, caplog):
+    import logging
+
+    from enrichkit.sources.tables import save_table
+
+    base = tmp_table("agg")
+    rows = [("R", "S", None, None, None, None, "Developing")]
+    schema = (
+        "region string, subregion string, population bigint, population_density double, "
+        "gdp_per_capita double, hdi double, development_status string"
+    )
+    save_table(spark.createDataFrame(rows, schema), base + "/e")
+    with caplog.at_level(logging.INFO, logger="enrichkit"):
+        res = jobs.aggregate_regions(spark, base + "/e", base + "/s")
+    assert res.metrics["rows"] == 1
+    assert any("total population NULL" in m for m in caplog.messages)
