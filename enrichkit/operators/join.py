@@ -45,8 +45,14 @@ def left_enrich(
     on_duplicate: str = "keep",
     skew_threshold: int | None = None,
     max_hot_keys: int = 10_000,
-    max_salts: int = 4096,
+    max_salts: int | None = None,
 ) -> DataFrame:
+    """Left join ``right`` onto ``left`` where ``left[left_key] == right[right_key]``.
+
+    ``max_salts`` caps the salts of one hot key; by default it is the shuffle
+    width, so a key holding a third of the rows is spread over every
+    partition and no task gets more than an average partition's share of it.
+    """
     if on_duplicate not in ("keep", "error"):
         raise ValueError("on_duplicate must be 'keep' or 'error'")
     if on_duplicate == "error":
@@ -80,7 +86,7 @@ def _salted_left_join(
     right_key: str,
     threshold: int,
     max_hot_keys: int,
-    max_salts: int,
+    max_salts: int | None,
 ) -> DataFrame:
     if threshold < 1:
         raise ValueError("skew_threshold must be >= 1")
@@ -93,6 +99,8 @@ def _salted_left_join(
     )
     right_cols = right.columns
     spark = right.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    max_salts = max_salts or width
     # bounded hot-key list: at most max_hot_keys rows, so it is safe to bring
     # to the driver and to broadcast. Finding it is one aggregation over the
     # right side; when no key is hot the plain join is used unchanged.
@@ -116,7 +124,6 @@ def _salted_left_join(
     hot = spark.createDataFrame(hot_rows, f"{hk} {key_type}, {salts} int")
     # hot keys are matched by column name: ``hot`` derives from ``right``, so
     # Dataset-bound column references would be ambiguous in a self-join
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = right.join(F.broadcast(hot), F.col(right_key) == F.col(hk), "left").drop(hk)
     r_cold = r.filter(F.col(salts).isNull()).select(*right_cols)
     r_hot = (
