@@ -31,20 +31,17 @@ def key_occurrences(
     keys: DataFrame, key: str, chunk_rows: int = 1_000_000, partitions: int | None = None
 ) -> DataFrame:
     """``(key, occurrence)`` for every row of ``keys``; occurrence is 1..n per key."""
-    n, chunk, occ = "__ek_n", "__ek_chunk", "__ek_occ"
+    n, chunk = "__ek_n", "__ek_chunk"
     counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias(n))
-    chunks = counts.select(
-        key, n, F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / chunk_rows))).alias(chunk)
-    )
+    last_chunk = F.expr(f"({n} - 1) div {int(chunk_rows)}")  # exact integer division
+    chunks = counts.select(key, n, F.explode(F.sequence(F.lit(0), last_chunk)).alias(chunk))
     # an explicit width keeps AQE from coalescing the (tiny) descriptors back
     # into one task before they are expanded
     width = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = chunks.repartition(width, key, chunk)
-    start = F.col(chunk) * chunk_rows + 1
-    end = F.least((F.col(chunk) + 1) * chunk_rows, F.col(n))
-    return chunks.select(key, F.explode(F.sequence(start, end)).alias(occ)).withColumnRenamed(
-        occ, "occurrence"
-    )
+    start = F.col(chunk) * F.lit(int(chunk_rows)) + 1
+    end = F.least((F.col(chunk) + 1) * F.lit(int(chunk_rows)), F.col(n))
+    return chunks.select(key, F.explode(F.sequence(start, end)).alias("occurrence"))
 
 
 def keyed_indicators(

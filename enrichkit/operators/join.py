@@ -105,7 +105,8 @@ def _salted_left_join(
     # to the driver and to broadcast. Finding it is one aggregation over the
     # right side; when no key is hot the plain join is used unchanged.
     hot_rows = (
-        right.groupBy(right_key)
+        right.filter(F.col(right_key).isNotNull())  # NULL keys never match anyway
+        .groupBy(right_key)
         .agg(F.count(F.lit(1)).alias(_P + "n"))
         .filter(F.col(_P + "n") >= threshold)
         .orderBy(F.col(_P + "n").desc(), F.col(right_key))
@@ -130,7 +131,7 @@ def _salted_left_join(
         r.filter(F.col(salts).isNotNull())
         .groupBy(*right_cols, salts)
         .agg(F.count(F.lit(1)).alias(mult))
-        .withColumn(chunk, F.explode(F.sequence(F.lit(0), F.floor((F.col(mult) - 1) / threshold))))
+        .withColumn(chunk, F.explode(F.sequence(F.lit(0), F.expr(f"({mult} - 1) div {threshold}"))))
         .withColumn(rep, F.least(F.lit(threshold), F.col(mult) - F.col(chunk) * threshold))
         .withColumn(salt, F.pmod(F.xxhash64(*right_cols, chunk), F.col(salts)).cast("int"))
         .drop(salts, mult, chunk)
