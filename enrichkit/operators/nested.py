@@ -55,7 +55,11 @@ def narrow(df: DataFrame, *names: str) -> DataFrame:
 # --- the country-document preset ------------------------------------------
 
 def country_flatten_spec() -> FlattenSpec:
-    """Processed-table columns of the country documents (§1.3), in order."""
+    """Processed-table columns of the country documents (§1.3), in order.
+
+    Fixed values: the output names and their order equal the reference's
+    processed table.
+    """
     return [
         ("common_name", "name.common"),
         ("official_name", "name.official"),

@@ -13,6 +13,10 @@ from pyspark.sql.types import (
 )
 
 
+# Field names and types of the raw documents and of the
+# indicator table must equal the reference's, so stored tables line up.
+
+
 def raw_country_schema() -> StructType:
     """Nested country document as read from JSON."""
     return StructType(
