@@ -3,7 +3,9 @@
 Each job runs exactly one Spark action (its write); row counts and the status
 distribution are ``Observation`` metrics of that same pass. Jobs hand over
 through written tables, which also cuts lineage: a lost executor never forces
-a recomputation of an earlier job.
+a recomputation of an earlier job. Like an overwrite of a stored Delta table,
+a write that would change the schema of the table already at the output path
+is refused unless ``overwrite_schema=True``.
 """
 
 from __future__ import annotations
@@ -41,7 +43,13 @@ class JobResult:
 
 
 def process_documents(
-    spark: SparkSession, json_path: str, out: str, *, multi_line: bool = False, fmt: str | None = None
+    spark: SparkSession,
+    json_path: str,
+    out: str,
+    *,
+    multi_line: bool = False,
+    fmt: str | None = None,
+    overwrite_schema: bool = False,
 ) -> JobResult:
     """JSON documents -> flat table with population density."""
     with stage("process_documents"):
@@ -51,7 +59,7 @@ def process_documents(
             spark, json_path, raw_country_schema(), multi_line=multi_line, partitions=width
         )
         flat, obs = observe(flatten_countries(raw), "processed")
-        save_table(flat, out, fmt, overwrite_schema=True)
+        save_table(flat, out, fmt, overwrite_schema=overwrite_schema)
         return JobResult(out, obs.get)
 
 
@@ -62,13 +70,14 @@ def build_indicators(
     *,
     seed: int = DEFAULT_SEED,
     fmt: str | None = None,
+    overwrite_schema: bool = False,
 ) -> JobResult:
     """Key list -> one indicator row per line (duplicates kept)."""
     with stage("build_indicators"):
         keys = read_key_list(spark, codes_path, "code")
         rows = keyed_indicators(keys, "code", ECONOMIC_MEASURES, seed=seed, out_key="country_code_3_econ")
         rows, obs = observe(conform(rows, economic_schema()), "indicators")
-        save_table(rows, out, fmt, overwrite_schema=True)
+        save_table(rows, out, fmt, overwrite_schema=overwrite_schema)
         return JobResult(out, obs.get)
 
 
@@ -81,6 +90,7 @@ def enrich(
     skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
     on_duplicate: str = "keep",
     fmt: str | None = None,
+    overwrite_schema: bool = False,
 ) -> JobResult:
     """Processed LEFT JOIN indicators on the 3-letter code, then classify.
 
@@ -104,7 +114,7 @@ def enrich(
             "enriched",
             status_metrics("development_status", STATUS_LABELS),
         )
-        save_table(enriched, out, fmt, overwrite_schema=True)
+        save_table(enriched, out, fmt, overwrite_schema=overwrite_schema)
         metrics = dict(obs.get)
         metrics["left_rows"] = left_obs.get["rows"]
         return JobResult(out, metrics)
@@ -117,6 +127,7 @@ def aggregate_regions(
     fmt: str | None = None,
     *,
     report_rows: int = 20,
+    overwrite_schema: bool = False,
 ) -> JobResult:
     """Per (region, subregion) statistics.
 
@@ -125,7 +136,7 @@ def aggregate_regions(
     """
     with stage("aggregate_regions"):
         stats, obs = observe(regional_stats(read_table(spark, enriched_path, fmt)), "regions")
-        save_table(stats, out, fmt, overwrite_schema=True)
+        save_table(stats, out, fmt, overwrite_schema=overwrite_schema)
         if report_rows:
             cols = ["region", "subregion", "total_countries", "total_population"]
             for r in bounded_report(read_table(spark, out, fmt), cols, report_rows).collect():
@@ -144,6 +155,7 @@ def publish_report(
     fmt: str | None = None,
     *,
     preview_rows: int = 10,
+    overwrite_schema: bool = False,
 ) -> JobResult:
     """E5: copy the enriched table unchanged to the report location.
 
@@ -151,7 +163,7 @@ def publish_report(
     the copy (a ``limit``; which rows is arbitrary, as in the reference).
     """
     with stage("publish_report"):
-        report = publish(spark, enriched_path, out, fmt)
+        report = publish(spark, enriched_path, out, fmt, overwrite_schema=overwrite_schema)
         log.info("report schema: %s", schema_rows(report))
         if preview_rows:
             for row in preview(report, preview_rows).collect():

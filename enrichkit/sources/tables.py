@@ -124,8 +124,15 @@ def save_table(
     writer.save(path)
 
 
-def publish(spark: SparkSession, source: str, target: str, fmt: str | None = None) -> DataFrame:
+def publish(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    fmt: str | None = None,
+    *,
+    overwrite_schema: bool = False,
+) -> DataFrame:
     """Copy a stored table unchanged to a report location (S9); returns the copy."""
     fmt = fmt or default_format(spark)
-    save_table(read_table(spark, source, fmt), target, fmt, overwrite_schema=True)
+    save_table(read_table(spark, source, fmt), target, fmt, overwrite_schema=overwrite_schema)
     return read_table(spark, target, fmt)

@@ -128,3 +128,22 @@ def test_aggregate_job_logs_null_totals(spark, tmp_table, caplog):
         res = jobs.aggregate_regions(spark, base + "/e", base + "/s")
     assert res.metrics["rows"] == 1
     assert any("total population NULL" in m for m in caplog.messages)
+
+
+def test_job_rerun_keeps_schema_guard(spark, tmp_table):
+    from enrichkit.sources.tables import SchemaMismatchError, save_table
+
+    base = tmp_table("rerun")
+    rows = [("R", "S", 1, 1.0, 1.0, 0.5, "Developing")]
+    schema = (
+        "region string, subregion string, population bigint, population_density double, "
+        "gdp_per_capita double, hdi double, development_status string"
+    )
+    save_table(spark.createDataFrame(rows, schema), base + "/e")
+    jobs.aggregate_regions(spark, base + "/e", base + "/s", report_rows=0)
+    jobs.aggregate_regions(spark, base + "/e", base + "/s", report_rows=0)  # same schema: fine
+    save_table(spark.createDataFrame([(1,)], "x int"), base + "/other")
+    with pytest.raises(StageError) as info:
+        jobs.publish_report(spark, base + "/other", base + "/s", preview_rows=0)
+    assert isinstance(info.value.__cause__, SchemaMismatchError)
+    jobs.publish_report(spark, base + "/other", base + "/s", preview_rows=0, overwrite_schema=True)
