@@ -34,9 +34,21 @@ def read_document_stream(
     return reader.json(json_dir)
 
 
-def enrich_stream(raw: DataFrame, indicators: DataFrame) -> DataFrame:
-    """Streaming counterpart of E1 + E3 (flatten, density, join, classify)."""
-    joined = left_enrich(flatten_countries(raw), indicators, "country_code_3", "country_code_3_econ")
+def enrich_stream(
+    raw: DataFrame, indicators: DataFrame, *, skew_threshold: int | None = None
+) -> DataFrame:
+    """Streaming counterpart of E1 + E3 (flatten, density, join, classify).
+
+    The indicator table is static, so hot codes can be found once up front
+    and the salted join applies to every micro-batch (``skew_threshold``).
+    """
+    joined = left_enrich(
+        flatten_countries(raw),
+        indicators,
+        "country_code_3",
+        "country_code_3_econ",
+        skew_threshold=skew_threshold,
+    )
     return development_status(joined)
 
 
@@ -50,6 +62,7 @@ def start_enrichment(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    skew_threshold: int | None = None,
 ) -> StreamingQuery:
     """Start the enrichment stream into a parquet table at ``out_path``.
 
@@ -59,6 +72,7 @@ def start_enrichment(
     stream = enrich_stream(
         read_document_stream(spark, json_dir, max_files_per_trigger=max_files_per_trigger),
         indicators,
+        skew_threshold=skew_threshold,
     )
     writer = (
         stream.writeStream.format("parquet")

@@ -33,3 +33,28 @@ def test_stream_enrichment_appends_and_resumes(spark, tmp_table):
     q = start_enrichment(spark, src, indicators, out, ckpt)
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 4
+
+
+def test_stream_with_salted_join_matches_batch(spark, tmp_table):
+    from collections import Counter
+
+    base = tmp_table("stream_salted").replace("file:", "")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "1.json"), "w") as f:
+        f.write("\n".join(json.dumps(d) for d in DOCS))
+    indicators = typed_rows(
+        spark, [("AAA", float(i), 0.5) for i in range(30)] + [("BBB", 1.0, 0.9)], economic_schema()
+    )
+    outs = {}
+    for threshold in (None, 4):
+        out = os.path.join(base, f"out{threshold}")
+        q = start_enrichment(
+            spark, src, indicators, out, os.path.join(base, f"ck{threshold}"), skew_threshold=threshold
+        )
+        q.awaitTermination()
+        outs[threshold] = Counter(
+            (r.country_code_3, r.gdp_per_capita, r.development_status)
+            for r in spark.read.parquet(out).collect()
+        )
+    assert outs[4] == outs[None] and sum(outs[4].values()) == 31
