@@ -54,3 +54,15 @@ def test_sum_overflow_raises_under_ansi(spark):
     )
     with pytest.raises(Exception, match="(?i)overflow"):
         regional_stats(df).collect()
+
+
+def test_conditional_counter_on_empty_input(spark):
+    from pyspark.sql import functions as F
+
+    from enrichkit.functions.columns import count_when
+
+    empty = spark.createDataFrame([], "s string")
+    row = empty.agg(count_when(F.col("s") == "x").alias("n"), F.count_if(F.col("s") == "x").alias("c")).first()
+    assert row.n is None and row.c == 0  # the reference's sum-of-CASE gives NULL here
+    one = spark.createDataFrame([("y",)], "s string")
+    assert one.groupBy("s").agg(count_when(F.col("s") == "x").alias("n")).first().n == 0
