@@ -80,3 +80,24 @@ def test_salted_join_refuses_map_columns(spark):
     with pytest.raises(ValueError, match="map"):
         left_enrich(left, right, "code", "code_econ", skew_threshold=1)
     assert left_enrich(left, right, "code", "code_econ").count() == 1
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_KEYS = st.sampled_from(["A", "B", "C", "D", None])
+
+
+@settings(max_examples=4, deadline=None)
+@given(
+    st.lists(st.tuples(_KEYS, st.integers(0, 3)), min_size=0, max_size=30),
+    st.lists(st.tuples(_KEYS, st.integers(0, 2)), min_size=0, max_size=80),
+    st.integers(1, 10),
+    st.integers(1, 3),
+)
+def test_salted_join_property(spark, left_rows, right_rows, threshold, max_hot):
+    l = spark.createDataFrame(left_rows, "code string, pop bigint")
+    r = spark.createDataFrame([(k, float(v)) for k, v in right_rows], RIGHT_SCHEMA)
+    plain = left_enrich(l, r, "code", "code_econ")
+    salted = left_enrich(l, r, "code", "code_econ", skew_threshold=threshold, max_hot_keys=max_hot)
+    assert _rows(salted) == _rows(plain)
