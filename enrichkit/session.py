@@ -63,17 +63,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception as exc:  # noqa: BLE001 - e.g. Spark Connect: no context
+        raise RuntimeError("spark.checkpoint.dir must be set for this session") from exc
+    current = sc.getCheckpointDir()
     if current:
         # setCheckpointDir adds a per-application sub-folder; use its parent
         return os.path.dirname(current.rstrip("/"))
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: on a cluster it must name a shared "
             "folder (a machine-local temporary folder would be lost with its executor)"
         )
     local = tempfile.mkdtemp(prefix="enrichkit-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable
 
@@ -60,14 +61,29 @@ def _hadoop_path(spark: SparkSession, path: str):
     return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _has_jvm(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jvm is not None
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context
+        return False
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (Hadoop-compatible) file system."""
+    if not _has_jvm(spark):
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except AnalysisException:
+            return False
     hpath, fs = _hadoop_path(spark, path)
     return bool(fs.exists(hpath))
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """Fully qualified URI of ``path`` (scheme and authority filled in)."""
+    if not _has_jvm(spark):
+        return path if "://" in path or path.startswith("file:") else "file:" + os.path.abspath(path)
     hpath, fs = _hadoop_path(spark, path)
     return str(fs.makeQualified(hpath).toUri().normalize().toString()).rstrip("/")
 
