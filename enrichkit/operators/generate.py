@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import keyed_uniform
@@ -28,11 +28,27 @@ DEFAULT_SEED = 42
 
 
 def key_occurrences(
-    keys: DataFrame, key: str, chunk_rows: int = 1_000_000, partitions: int | None = None
+    keys: DataFrame,
+    key: str,
+    chunk_rows: int = 1_000_000,
+    partitions: int | None = None,
+    *,
+    observation: Observation | None = None,
+    hot_threshold: int | None = None,
 ) -> DataFrame:
-    """``(key, occurrence)`` for every row of ``keys``; occurrence is 1..n per key."""
+    """``(key, occurrence)`` for every row of ``keys``; occurrence is 1..n per key.
+
+    With ``observation``, the per-key counts report ``keys`` (distinct keys),
+    ``max_per_key`` and, given ``hot_threshold``, ``hot_keys`` (keys with at
+    least that many rows), filled by the same action that uses the result.
+    """
     n, chunk = "__ek_n", "__ek_chunk"
     counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+    if observation is not None:
+        metrics = [F.count(F.lit(1)).alias("keys"), F.max(n).alias("max_per_key")]
+        if hot_threshold is not None:
+            metrics.append(F.count_if(F.col(n) >= hot_threshold).alias("hot_keys"))
+        counts = counts.observe(observation, *metrics)
     last_chunk = F.expr(f"({n} - 1) div {int(chunk_rows)}")  # exact integer division
     chunks = counts.select(key, n, F.explode(F.sequence(F.lit(0), last_chunk)).alias(chunk))
     # an explicit width keeps AQE from coalescing the (tiny) descriptors back
@@ -53,9 +69,13 @@ def keyed_indicators(
     out_key: str | None = None,
     keep_occurrence: bool = False,
     chunk_rows: int = 1_000_000,
+    observation: Observation | None = None,
+    hot_threshold: int | None = None,
 ) -> DataFrame:
     """One row per row of ``keys``: the key plus one uniform column per measure."""
-    occ = key_occurrences(keys, key, chunk_rows)
+    occ = key_occurrences(
+        keys, key, chunk_rows, observation=observation, hot_threshold=hot_threshold
+    )
     cols = [F.col(key).alias(out_key or key)]
     if keep_occurrence:
         cols.append(F.col("occurrence"))

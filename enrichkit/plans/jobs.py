@@ -14,7 +14,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators.aggregate import regional_stats
 from ..operators.classify import DEVELOPED, DEVELOPING, EMERGING, development_status
@@ -71,14 +71,24 @@ def build_indicators(
     seed: int = DEFAULT_SEED,
     fmt: str | None = None,
     overwrite_schema: bool = False,
+    hot_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
 ) -> JobResult:
-    """Key list -> one indicator row per line (duplicates kept)."""
+    """Key list -> one indicator row per line (duplicates kept).
+
+    Metrics of the same pass: ``rows``, ``keys`` (distinct codes),
+    ``max_per_key`` and ``hot_keys`` (codes with at least ``hot_threshold``
+    lines, which the enrich job will salt).
+    """
     with stage("build_indicators"):
         keys = read_key_list(spark, codes_path, "code")
-        rows = keyed_indicators(keys, "code", ECONOMIC_MEASURES, seed=seed, out_key="country_code_3_econ")
+        key_obs = Observation("indicator_keys")
+        rows = keyed_indicators(
+            keys, "code", ECONOMIC_MEASURES, seed=seed, out_key="country_code_3_econ",
+            observation=key_obs, hot_threshold=hot_threshold,
+        )
         rows, obs = observe(conform(rows, economic_schema()), "indicators")
         save_table(rows, out, fmt, overwrite_schema=overwrite_schema)
-        return JobResult(out, obs.get)
+        return JobResult(out, {**obs.get, **key_obs.get})
 
 
 def enrich(
@@ -193,11 +203,17 @@ def run_all(
         processed = pool.submit(
             process_documents, spark, json_path, paths["processed"], multi_line=multi_line, fmt=fmt
         )
-        indicators = pool.submit(build_indicators, spark, codes_path, paths["indicators"], fmt=fmt)
+        indicators = pool.submit(
+            build_indicators, spark, codes_path, paths["indicators"], fmt=fmt,
+            hot_threshold=skew_threshold,
+        )
         results = {"processed": processed.result(), "indicators": indicators.result()}
+        # E2 counted the lines per code in its own pass: with no hot code the
+        # enrich job needs no detection scan of the indicator table
+        hot_keys = results["indicators"].metrics.get("hot_keys")
         results["enriched"] = enrich(
             spark, paths["processed"], paths["indicators"], paths["enriched"],
-            skew_threshold=skew_threshold, fmt=fmt,
+            skew_threshold=None if hot_keys == 0 else skew_threshold, fmt=fmt,
         )
         stats = pool.submit(aggregate_regions, spark, paths["enriched"], paths["regional_stats"], fmt)
         report = pool.submit(publish_report, spark, paths["enriched"], paths["report"], fmt)

@@ -71,6 +71,8 @@ def test_run_all_end_to_end(spark, tmp_table):
     )
     assert res["processed"].metrics["rows"] == 4
     assert res["indicators"].metrics["rows"] == 4  # duplicates kept, blanks dropped
+    assert res["indicators"].metrics["keys"] == 3 and res["indicators"].metrics["max_per_key"] == 2
+    assert res["indicators"].metrics["hot_keys"] == 0
     enriched = read_table(spark, res["enriched"].path)
     # BBB occurs twice in the key list -> two enriched rows (fan-out)
     assert enriched.count() == 5 and res["enriched"].metrics["rows"] == 5
@@ -147,3 +149,25 @@ def test_job_rerun_keeps_schema_guard(spark, tmp_table):
         jobs.publish_report(spark, base + "/other", base + "/s", preview_rows=0)
     assert isinstance(info.value.__cause__, SchemaMismatchError)
     jobs.publish_report(spark, base + "/other", base + "/s", preview_rows=0, overwrite_schema=True)
+
+
+def test_run_all_with_hot_codes_equals_plain(spark, tmp_table):
+    from collections import Counter
+
+    base = tmp_table("job_hot").replace("file:", "")
+    os.makedirs(os.path.join(base, "docs"))
+    os.makedirs(os.path.join(base, "codes"))
+    with open(os.path.join(base, "docs", "d.json"), "w") as f:
+        f.write("\n".join(json.dumps(d) for d in DOCS))
+    with open(os.path.join(base, "codes", "c.txt"), "w") as f:
+        f.write("\n".join(["BBB"] * 9 + ["AAA", "ZZZ"]))
+    out = {}
+    for threshold in (None, 3):
+        res = jobs.run_all(
+            spark, os.path.join(base, "docs"), os.path.join(base, "codes"),
+            os.path.join(base, f"out{threshold}"), skew_threshold=threshold,
+        )
+        if threshold:
+            assert res["indicators"].metrics["hot_keys"] == 1
+        out[threshold] = Counter(tuple(r) for r in read_table(spark, res["enriched"].path).collect())
+    assert out[3] == out[None] and sum(out[3].values()) == 12
