@@ -14,7 +14,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from ..operators.aggregate import regional_stats
 from ..operators.classify import DEVELOPED, DEVELOPING, EMERGING, development_status
