@@ -111,6 +111,7 @@ def enrich(
         countries = read_table(spark, countries_path, fmt)
         indicators = read_table(spark, indicators_path, fmt)
         countries, left_obs = observe(countries, "countries")
+        indicators, right_obs = observe(indicators, "indicator_rows")
         joined = left_enrich(
             countries,
             indicators,
@@ -127,6 +128,7 @@ def enrich(
         save_table(enriched, out, fmt, overwrite_schema=overwrite_schema)
         metrics = dict(obs.get)
         metrics["left_rows"] = left_obs.get["rows"]
+        metrics["right_rows"] = right_obs.get["rows"]
         return JobResult(out, metrics)
 
 

@@ -77,6 +77,7 @@ def test_run_all_end_to_end(spark, tmp_table):
     # BBB occurs twice in the key list -> two enriched rows (fan-out)
     assert enriched.count() == 5 and res["enriched"].metrics["rows"] == 5
     assert res["enriched"].metrics["left_rows"] == 4
+    assert res["enriched"].metrics["right_rows"] == 4
     m = res["enriched"].metrics
     assert m["developed"] + m["emerging"] + m["developing"] == 5
     unmatched = enriched.filter(F.col("gdp_per_capita").isNull()).select("development_status").collect()
@@ -169,5 +170,7 @@ def test_run_all_with_hot_codes_equals_plain(spark, tmp_table):
         )
         if threshold:
             assert res["indicators"].metrics["hot_keys"] == 1
+        assert res["enriched"].metrics["right_rows"] == 11
+        assert res["enriched"].metrics["left_rows"] == 4
         out[threshold] = Counter(tuple(r) for r in read_table(spark, res["enriched"].path).collect())
     assert out[3] == out[None] and sum(out[3].values()) == 12
