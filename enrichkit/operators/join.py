@@ -20,6 +20,9 @@ Physical strategy
   count (map-side combine) and re-expanded after the join in chunks of at
   most ``skew_threshold`` rows, so even one row repeated a billion times is
   split. Keys beyond the list take the default path: results stay exact.
+  Cost: the right input is read three times (detection, cold and hot
+  branches) and the left input twice. It is therefore opt-in, and the enrich
+  job only uses it when its key counts show a hot code.
 """
 
 from __future__ import annotations
