@@ -13,16 +13,19 @@ Physical strategy
 * ``skew_threshold``: a right key with that many rows or more is a *hot* key
   whose fan-out would land in one task. The (at most ``max_hot_keys``)
   hottest keys are found first (one aggregation, an eager Spark job) and
-  broadcast as a bounded list; with none the plain join is used; their right rows are spread
-  over ``ceil(n / skew_threshold)`` salts and their left rows are replicated
-  once per salt, so every (left, right) pair is produced exactly once and by
-  one of many tasks. Exact copies of a right row are first collapsed with a
-  count (map-side combine) and re-expanded after the join in chunks of at
-  most ``skew_threshold`` rows, so even one row repeated a billion times is
-  split. Keys beyond the list take the default path: results stay exact.
-  Cost: the right input is read three times (detection, cold and hot
-  branches) and the left input twice. It is therefore opt-in, and the enrich
-  job only uses it when its key counts show a hot code.
+  broadcast as a bounded list; with none the plain join is used. Their right
+  rows are spread over ``ceil(n / skew_threshold)`` salts and their left rows
+  are replicated once per salt, so every (left, right) pair is produced
+  exactly once and by one of many tasks. Exact copies of a right row are
+  first collapsed with a count (map-side combine) and re-expanded after the
+  join in chunks of at most ``skew_threshold`` rows, so even one row repeated
+  a billion times is split. One marker row per (hot key, salt) keeps every
+  salt bucket non-empty, so the whole thing is ONE left join on
+  ``(key, salt)``: the left input is read once. Keys beyond the list keep
+  salt 0, the plain path; results stay exact. Cost: the right input is read
+  three times (detection, then its cold and hot parts), so the path is
+  opt-in, and the enrich job uses it only when its key counts show a hot
+  code.
 """
 
 from __future__ import annotations
@@ -97,8 +100,8 @@ def _salted_left_join(
         # copies are collapsed by grouping on every right column, and Spark
         # cannot group on (or hash) map values
         raise ValueError("the salted join needs right columns without map types")
-    hk, salts, salt, mult, chunk, rep = (
-        _P + "hk", _P + "salts", _P + "salt", _P + "mult", _P + "chunk", _P + "rep"
+    hk, salts, salt, mult, chunk, rep, marker = (
+        _P + "hk", _P + "salts", _P + "salt", _P + "mult", _P + "chunk", _P + "rep", _P + "marker"
     )
     right_cols = right.columns
     spark = right.sparkSession
@@ -126,51 +129,72 @@ def _salted_left_join(
         return left.join(right, left[left_key] == right[right_key], "left")
     key_type = right.schema[right_key].dataType.simpleString()
     hot = spark.createDataFrame(hot_rows, f"{hk} {key_type}, {salts} int")
-    # hot keys are matched by column name: ``hot`` derives from ``right``, so
-    # Dataset-bound column references would be ambiguous in a self-join
+
+    # right side: cold rows keep salt 0; hot rows are collapsed into
+    # (row, multiplicity), cut into chunks of at most ``threshold`` rows and
+    # hashed over the key's salts; one marker row per (hot key, salt) makes
+    # every salt bucket non-empty, so no salted left copy is left unmatched
+    # (hot keys are matched by column name: ``hot`` derives from ``right``)
     r = right.join(F.broadcast(hot), F.col(right_key) == F.col(hk), "left").drop(hk)
-    r_cold = r.filter(F.col(salts).isNull()).select(*right_cols)
+    r_cold = r.filter(F.col(salts).isNull()).select(
+        *right_cols,
+        F.lit(0).alias(salt),
+        F.lit(1).cast("long").alias(rep),
+        F.lit(False).alias(marker),
+    )
     r_hot = (
         r.filter(F.col(salts).isNotNull())
         .groupBy(*right_cols, salts)
         .agg(F.count(F.lit(1)).alias(mult))
         .withColumn(chunk, F.explode(F.sequence(F.lit(0), F.expr(f"({mult} - 1) div {threshold}"))))
-        .withColumn(rep, F.least(F.lit(threshold), F.col(mult) - F.col(chunk) * threshold))
-        .withColumn(salt, F.pmod(F.xxhash64(*right_cols, chunk), F.col(salts)).cast("int"))
-        .drop(salts, mult, chunk)
+        .select(
+            *right_cols,
+            F.pmod(F.xxhash64(*right_cols, chunk), F.col(salts)).cast("int").alias(salt),
+            F.least(F.lit(threshold), F.col(mult) - F.col(chunk) * threshold).cast("long").alias(rep),
+            F.lit(False).alias(marker),
+        )
+    )
+    types = {f.name: f.dataType for f in right.schema.fields}
+    markers = hot.select(
+        *[
+            F.col(hk).alias(c) if c == right_key else F.lit(None).cast(types[c]).alias(c)
+            for c in right_cols
+        ],
+        F.explode(F.sequence(F.lit(0), F.col(salts) - 1)).alias(salt),
+        F.lit(1).cast("long").alias(rep),
+        F.lit(True).alias(marker),
+    )
+    r_all = (
+        r_cold.unionByName(r_hot)
+        .unionByName(markers)
         .repartition(width, F.col(right_key), F.col(salt))
     )
 
-    l = left.join(F.broadcast(hot), F.col(left_key) == F.col(hk), "left").drop(hk)
-    l_cold = l.filter(F.col(salts).isNull()).drop(salts)
-    # both hot sides are spread by (key, salt) at one fixed width: they are
-    # co-partitioned for the join, and if AQE broadcasts either one the other
-    # still streams from many tasks (AQE does not coalesce a fixed width)
-    l_hot = (
-        l.filter(F.col(salts).isNotNull())
-        .withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(salts) - 1)))
+    # left side, read once: salt 0 for cold keys, one copy per salt for hot
+    # keys; both sides are spread by (key, salt) at one fixed width, so even
+    # if AQE broadcasts the right side the hot fan-out comes from many tasks
+    l_all = (
+        left.join(F.broadcast(hot), F.col(left_key) == F.col(hk), "left")
+        .drop(hk)
+        .withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(salts), F.lit(1)) - 1)))
         .drop(salts)
         .repartition(width, F.col(left_key), F.col(salt))
     )
 
-    lc, rc, lh, rh = (
-        l_cold.alias("ek_lc"), r_cold.alias("ek_rc"), l_hot.alias("ek_lh"), r_hot.alias("ek_rh")
-    )
-    cold = lc.join(rc, F.col(f"ek_lc.{left_key}") == F.col(f"ek_rc.{right_key}"), "left").select(
-        *[F.col(f"ek_lc.{c}") for c in left.columns], *[F.col(f"ek_rc.{c}") for c in right_cols]
-    )
-    hot_joined = (
+    lh, rh = l_all.alias("ek_l"), r_all.alias("ek_r")
+    return (
         lh.join(
             rh,
-            (F.col(f"ek_lh.{left_key}") == F.col(f"ek_rh.{right_key}"))
-            & (F.col(f"ek_lh.{salt}") == F.col(f"ek_rh.{salt}")),
-            "inner",
+            (F.col(f"ek_l.{left_key}") == F.col(f"ek_r.{right_key}"))
+            & (F.col(f"ek_l.{salt}") == F.col(f"ek_r.{salt}")),
+            "left",
         )
+        .filter(~F.coalesce(F.col(f"ek_r.{marker}"), F.lit(False)))
         .select(
-            *[F.col(f"ek_lh.{c}") for c in left.columns],
-            *[F.col(f"ek_rh.{c}") for c in right_cols],
-            F.explode(F.sequence(F.lit(1), F.col(f"ek_rh.{rep}"))).alias(rep),
+            *[F.col(f"ek_l.{c}") for c in left.columns],
+            *[F.col(f"ek_r.{c}") for c in right_cols],
+            F.explode(F.sequence(F.lit(1), F.coalesce(F.col(f"ek_r.{rep}"), F.lit(1).cast("long"))))
+            .alias(rep),
         )
         .drop(rep)
     )
-    return cold.unionByName(hot_joined)
