@@ -32,3 +32,21 @@ def test_indicator_columns(spark):
     out = keyed_indicators(df, "code", {"m": (0.0, 1.0)}, seed=7, keep_occurrence=True)
     assert out.columns == ["code", "occurrence", "m"]
     assert out.select(F.col("occurrence")).first()[0] == 1
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None)
+@given(
+    st.lists(st.sampled_from(["a", "b", "c", "hot"]), min_size=1, max_size=120),
+    st.integers(1, 9),
+    st.integers(1, 12),
+)
+def test_occurrences_property(spark, keys, chunk_rows, width):
+    df = spark.createDataFrame([(k,) for k in keys], "code string")
+    got = Counter((r.code, r.occurrence) for r in key_occurrences(df, "code", chunk_rows, width).collect())
+    counts = Counter(keys)
+    want = Counter((k, i) for k, n in counts.items() for i in range(1, n + 1))
+    assert got == want
