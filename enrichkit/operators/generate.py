@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import keyed_uniform
+from ..session import shuffle_width
 
 # Indicator ranges of the reference (uniform, inclusive low).
 ECONOMIC_MEASURES = {"gdp_per_capita": (1000.0, 100000.0), "hdi": (0.4, 0.99)}
@@ -53,7 +54,7 @@ def key_occurrences(
     chunks = counts.select(key, n, F.explode(F.sequence(F.lit(0), last_chunk)).alias(chunk))
     # an explicit width keeps AQE from coalescing the (tiny) descriptors back
     # into one task before they are expanded
-    width = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = partitions or shuffle_width(keys.sparkSession)
     chunks = chunks.repartition(width, key, chunk)
     start = F.col(chunk) * F.lit(int(chunk_rows)) + 1
     end = F.least((F.col(chunk) + 1) * F.lit(int(chunk_rows)), F.col(n))

@@ -33,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_width
+
 
 class DuplicateKeyError(ValueError):
     """Raised by ``on_duplicate="error"`` when a right key occurs twice."""
@@ -105,7 +107,7 @@ def _salted_left_join(
     )
     right_cols = right.columns
     spark = right.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = shuffle_width(spark)
     max_salts = max_salts or width
     # bounded hot-key list: at most max_hot_keys rows, so it is safe to bring
     # to the driver and to broadcast. Finding it is one aggregation over the

@@ -22,6 +22,7 @@ from ..operators.generate import DEFAULT_SEED, ECONOMIC_MEASURES, keyed_indicato
 from ..operators.join import left_enrich
 from ..operators.nested import flatten_countries
 from ..schemas import economic_schema, raw_country_schema
+from ..session import shuffle_width
 from ..sources.documents import read_documents
 from ..sources.key_list import read_key_list
 from ..sources.tables import conform, publish, read_table, save_table
@@ -54,7 +55,7 @@ def process_documents(
     """JSON documents -> flat table with population density."""
     with stage("process_documents"):
         # multi-line files parse in one task each; spread the rows afterwards
-        width = int(spark.conf.get("spark.sql.shuffle.partitions")) if multi_line else None
+        width = shuffle_width(spark) if multi_line else None
         raw = read_documents(
             spark, json_path, raw_country_schema(), multi_line=multi_line, partitions=width
         )

@@ -52,6 +52,18 @@ def get_session(
     return spark
 
 
+def shuffle_width(spark: SparkSession) -> int:
+    """The session's shuffle partition count, used as a fixed spreading width.
+
+    Falls back to 200 (Spark's default) when the setting is not a number.
+    """
+    value = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        return max(1, int(value))
+    except (TypeError, ValueError):
+        return 200
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
