@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -112,9 +113,16 @@ def save_table(
     fmt: str | None = None,
     *,
     overwrite_schema: bool = False,
+    staged: bool = False,
 ) -> None:
     """Replace the whole table at ``path``.
 
+    ``staged=True`` (not for Delta, which commits atomically by itself)
+    writes to a sibling staging folder first and only swaps it into place
+    once the write has succeeded, so a failed or interrupted job leaves the
+    previous table intact. The swap is a delete plus a file-system rename:
+    atomic on HDFS and local disks, a copy on object stores.
+
     Like an overwrite of a Delta table without ``overwriteSchema``, a write
     that would change column names or types is refused unless
     ``overwrite_schema``. Writing over a table that ``df`` itself reads is
@@ -137,7 +145,17 @@ def save_table(
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "delta" and overwrite_schema:
         writer = writer.option("overwriteSchema", "true")
-    writer.save(path)
+    if not staged or fmt == "delta" or not _has_jvm(spark):
+        writer.save(path)
+        return
+    staging = f"{path.rstrip('/')}._staging-{uuid.uuid4().hex}"
+    writer.save(staging)
+    target, fs = _hadoop_path(spark, path)
+    source, _ = _hadoop_path(spark, staging)
+    if fs.exists(target) and not fs.delete(target, True):
+        raise OSError(f"could not remove the previous table at {path}")
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {staging} to {path}")
 
 
 def publish(

@@ -80,3 +80,22 @@ def test_conform_casts(spark):
     schema = StructType.fromDDL("k BIGINT NOT NULL, v DOUBLE")
     out = conform(spark.createDataFrame([(1, 2)], "k int, v int"), schema)
     assert out.schema == schema and tuple(out.first()) == (1, 2.0)
+
+
+def test_staged_overwrite_keeps_old_table_on_failure(spark, tmp_table):
+    path = tmp_table("staged")
+    save_table(spark.createDataFrame([(1,), (2,)], "x int"), path, staged=True)
+    assert sorted(r.x for r in read_table(spark, path).collect()) == [1, 2]
+    bad = spark.createDataFrame([(0,)], "x int").select(
+        F.when(F.col("x") == 0, F.raise_error(F.lit("boom"))).otherwise(F.col("x")).cast("int").alias("x")
+    )
+    with pytest.raises(Exception, match="boom"):
+        save_table(bad, path, staged=True)
+    assert sorted(r.x for r in read_table(spark, path).collect()) == [1, 2]  # untouched
+    save_table(spark.createDataFrame([(3,)], "x int"), path, staged=True)
+    assert [r.x for r in read_table(spark, path).collect()] == [3]
+    parent = os.path.dirname(path.replace("file:", ""))
+    name = os.path.basename(path)
+    leftovers = [d for d in os.listdir(parent) if d.startswith(name + "._staging-")]
+    # the failed attempt's staging folder may remain; successful ones are moved
+    assert len(leftovers) <= 1
