@@ -51,6 +51,7 @@ def process_documents(
     multi_line: bool = False,
     fmt: str | None = None,
     overwrite_schema: bool = False,
+    staged: bool = False,
 ) -> JobResult:
     """JSON documents -> flat table with population density."""
     with stage("process_documents"):
@@ -60,7 +61,7 @@ def process_documents(
             spark, json_path, raw_country_schema(), multi_line=multi_line, partitions=width
         )
         flat, obs = observe(flatten_countries(raw), "processed")
-        save_table(flat, out, fmt, overwrite_schema=overwrite_schema)
+        save_table(flat, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
         return JobResult(out, obs.get)
 
 
@@ -73,6 +74,7 @@ def build_indicators(
     fmt: str | None = None,
     overwrite_schema: bool = False,
     hot_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
+    staged: bool = False,
 ) -> JobResult:
     """Key list -> one indicator row per line (duplicates kept).
 
@@ -88,7 +90,7 @@ def build_indicators(
             observation=key_obs, hot_threshold=hot_threshold,
         )
         rows, obs = observe(conform(rows, economic_schema()), "indicators")
-        save_table(rows, out, fmt, overwrite_schema=overwrite_schema)
+        save_table(rows, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
         return JobResult(out, {**obs.get, **key_obs.get})
 
 
@@ -102,6 +104,7 @@ def enrich(
     on_duplicate: str = "keep",
     fmt: str | None = None,
     overwrite_schema: bool = False,
+    staged: bool = False,
 ) -> JobResult:
     """Processed LEFT JOIN indicators on the 3-letter code, then classify.
 
@@ -126,7 +129,7 @@ def enrich(
             "enriched",
             status_metrics("development_status", STATUS_LABELS),
         )
-        save_table(enriched, out, fmt, overwrite_schema=overwrite_schema)
+        save_table(enriched, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
         metrics = dict(obs.get)
         metrics["left_rows"] = left_obs.get["rows"]
         metrics["right_rows"] = right_obs.get["rows"]
@@ -141,6 +144,7 @@ def aggregate_regions(
     *,
     report_rows: int = 20,
     overwrite_schema: bool = False,
+    staged: bool = False,
 ) -> JobResult:
     """Per (region, subregion) statistics.
 
@@ -149,7 +153,7 @@ def aggregate_regions(
     """
     with stage("aggregate_regions"):
         stats, obs = observe(regional_stats(read_table(spark, enriched_path, fmt)), "regions")
-        save_table(stats, out, fmt, overwrite_schema=overwrite_schema)
+        save_table(stats, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
         if report_rows:
             cols = ["region", "subregion", "total_countries", "total_population"]
             for r in bounded_report(read_table(spark, out, fmt), cols, report_rows).collect():
@@ -169,6 +173,7 @@ def publish_report(
     *,
     preview_rows: int = 10,
     overwrite_schema: bool = False,
+    staged: bool = False,
 ) -> JobResult:
     """E5: copy the enriched table unchanged to the report location.
 
@@ -176,7 +181,7 @@ def publish_report(
     the copy (a ``limit``; which rows is arbitrary, as in the reference).
     """
     with stage("publish_report"):
-        report = publish(spark, enriched_path, out, fmt, overwrite_schema=overwrite_schema)
+        report = publish(spark, enriched_path, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
         log.info("report schema: %s", schema_rows(report))
         if preview_rows:
             for row in preview(report, preview_rows).collect():
@@ -193,6 +198,7 @@ def run_all(
     multi_line: bool = False,
     skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
     fmt: str | None = None,
+    staged: bool = False,
 ) -> dict[str, JobResult]:
     """{E1, E2} -> E3 -> {E4, E5}, in one session, handing over by table."""
     paths = {
@@ -204,11 +210,12 @@ def run_all(
     # on the same executors, so small jobs overlap instead of queueing
     with ThreadPoolExecutor(max_workers=2) as pool:
         processed = pool.submit(
-            process_documents, spark, json_path, paths["processed"], multi_line=multi_line, fmt=fmt
+            process_documents, spark, json_path, paths["processed"],
+            multi_line=multi_line, fmt=fmt, staged=staged,
         )
         indicators = pool.submit(
             build_indicators, spark, codes_path, paths["indicators"], fmt=fmt,
-            hot_threshold=skew_threshold,
+            hot_threshold=skew_threshold, staged=staged,
         )
         results = {"processed": processed.result(), "indicators": indicators.result()}
         # E2 counted the lines per code in its own pass: with no hot code the
@@ -216,10 +223,14 @@ def run_all(
         hot_keys = results["indicators"].metrics.get("hot_keys")
         results["enriched"] = enrich(
             spark, paths["processed"], paths["indicators"], paths["enriched"],
-            skew_threshold=None if hot_keys == 0 else skew_threshold, fmt=fmt,
+            skew_threshold=None if hot_keys == 0 else skew_threshold, fmt=fmt, staged=staged,
+        )
+        stats = pool.submit(
+            aggregate_regions, spark, paths["enriched"], paths["regional_stats"], fmt, staged=staged
+        )
+        report = pool.submit(
+            publish_report, spark, paths["enriched"], paths["report"], fmt, staged=staged
         )
-        stats = pool.submit(aggregate_regions, spark, paths["enriched"], paths["regional_stats"], fmt)
-        report = pool.submit(publish_report, spark, paths["enriched"], paths["report"], fmt)
         results["regional_stats"] = stats.result()
         results["report"] = report.result()
     return results

@@ -165,8 +165,11 @@ def publish(
     fmt: str | None = None,
     *,
     overwrite_schema: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """Copy a stored table unchanged to a report location (S9); returns the copy."""
     fmt = fmt or default_format(spark)
-    save_table(read_table(spark, source, fmt), target, fmt, overwrite_schema=overwrite_schema)
+    save_table(
+        read_table(spark, source, fmt), target, fmt, overwrite_schema=overwrite_schema, staged=staged
+    )
     return read_table(spark, target, fmt)

@@ -67,7 +67,8 @@ def test_run_all_end_to_end(spark, tmp_table):
     with open(os.path.join(base, "codes", "c.txt"), "w") as f:
         f.write("\n".join(CODES))
     res = jobs.run_all(
-        spark, os.path.join(base, "docs"), os.path.join(base, "codes"), os.path.join(base, "out")
+        spark, os.path.join(base, "docs"), os.path.join(base, "codes"), os.path.join(base, "out"),
+        staged=True,
     )
     assert res["processed"].metrics["rows"] == 4
     assert res["indicators"].metrics["rows"] == 4  # duplicates kept, blanks dropped
