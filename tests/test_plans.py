@@ -42,3 +42,19 @@ def test_entry_contract(spark):
     df = ent.entry(spark)
     assert df.count() > 0
     assert set(ent.queries()) == set(ent.oracle_sql())
+
+
+def test_flagship_at_scale_reuses_the_aggregate_partitioning(spark):
+    # at 100 TB the per-order lineitem aggregate is far above the broadcast
+    # threshold: simulate that and check the sort-merge plan shuffles only
+    # three times (lineitem partials by key, orders by key, final groups)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(catalog.flagship_group_stats(spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 3
