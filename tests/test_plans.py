@@ -58,3 +58,11 @@ def test_flagship_at_scale_reuses_the_aggregate_partitioning(spark):
             spark.conf.set(k, v)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_occurrence_spreading_uses_a_fixed_width(spark):
+    plan = _plan(catalog.keyed_uniform_query(spark, SF_SMALL))
+    # the chunk descriptors move through an explicit-width repartition,
+    # which AQE never coalesces back into one task
+    assert "REPARTITION_BY_NUM" in plan
+    assert re.search(r"hashpartitioning\(p_brand#\d+, __ek_chunk#\d+L?, \d+\), REPARTITION_BY_NUM", plan)
