@@ -20,14 +20,14 @@ from ..operators.generate import ECONOMIC_MEASURES, keyed_indicators
 from ..operators.join import left_enrich
 from ..operators.nested import drop, flatten_countries, narrow, rename, with_columns
 from ..schemas import raw_country_schema
-from ..session import scratch_path
+from ..session import scratch_path, shuffle_width
 from ..sources.documents import read_documents, write_documents
 from ..sources.key_list import read_key_list
 from ..sources.tables import conform, publish, read_table, save_table
 from ..streaming.documents import start_enrichment
 from . import jobs
 from .metrics import preview
-from .standins import brand_lines, country_documents, order_code_lines
+from .standins import brand_lines, country_documents, order_code_lines, write_document_arrays
 from .tables import TABLES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,17 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_countries(raw)
 
 
+def json_array_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 in the reference's layout: files holding one top-level JSON array,
+    read with ``multiLine`` (one task per file), spread, then flattened."""
+    path = scratch_path(spark, "raw_arrays")
+    write_document_arrays(country_documents(spark, sf_dir, with_key=True), path)
+    raw = read_documents(
+        spark, path, raw_country_schema(), multi_line=True, partitions=shuffle_width(spark)
+    )
+    return flatten_countries(raw)
+
+
 def json_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse a JSON text column under a declared schema, read a field."""
     events = table(spark, sf_dir, "events")
@@ -305,6 +316,7 @@ def queries() -> dict[str, Query]:
     return {
         "flagship_group_stats": flagship_group_stats,
         "json_flatten": json_flatten,
+        "json_array_flatten": json_array_flatten,
         "json_column": json_column,
         "select_rename_drop": select_rename_drop,
         "safe_ratio": safe_ratio_query,

@@ -125,6 +125,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "flagship_group_stats": FLAGSHIP,
         "json_flatten": PROCESSED_DOCS,
+        "json_array_flatten": PROCESSED_DOCS,
         "json_column": (
             "SELECT event_id, event_type, CAST(props->>'$.k' AS BIGINT) AS k FROM events"
         ),

@@ -24,9 +24,11 @@ def _case(k: Column, m: int, branches: dict[int, Column], default: Column) -> Co
     return expr.otherwise(default)
 
 
-def country_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def country_documents(spark: SparkSession, sf_dir: str, *, with_key: bool = False) -> DataFrame:
     """Nested documents shaped like the raw country schema, one per customer.
 
+    ``with_key`` adds the customer key as ``doc_key`` (not a document field).
+
     Written as SQL expressions: one parse in the JVM instead of hundreds of
     Python -> JVM calls for the nested CASE expressions.
     """
@@ -67,7 +69,22 @@ def country_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                               ELSE named_struct('name', c_mktsegment,
                                                 'symbol', substring(c_mktsegment, 1, 1)) END,
                          named_struct('name', 'Alpha', 'symbol', 'A'))) END AS currencies""",
+        *([f"{k} AS doc_key"] if with_key else []),
+    )
+
+
+def write_document_arrays(docs: DataFrame, path: str, per_file: int = 1000) -> None:
+    """Land documents as files that each hold ONE top-level JSON array.
+
+    This is the layout of the reference's raw file, in bounded pieces: at
+    most ``per_file`` documents per array (chunks of ``doc_key``), one file
+    per chunk, so no group grows with the data.
+    """
+    fields = [c for c in docs.columns if c != "doc_key"]
+    arrays = docs.withColumn("chunk", F.expr(f"doc_key div {int(per_file)}")).groupBy("chunk").agg(
+        F.to_json(F.collect_list(F.struct(*fields))).alias("value")
     )
+    arrays.repartition("chunk").write.mode("overwrite").partitionBy("chunk").text(path)
 
 
 # Blanks used to pad key-list lines (all removed by str.strip).
