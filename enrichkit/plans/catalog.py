@@ -28,7 +28,7 @@ from ..streaming.documents import start_enrichment
 from . import jobs
 from .metrics import preview
 from .standins import brand_lines, country_documents, order_code_lines, write_document_arrays
-from .tables import TABLES, table
+from .tables import TABLES, table, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,8 +37,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order indicators from lineitem (one row per order key)."""
+    return _order_measures(table(spark, sf_dir, "lineitem"))
+
+
+def _order_measures(lineitem: DataFrame) -> DataFrame:
     return (
-        table(spark, sf_dir, "lineitem")
+        lineitem
         .groupBy("l_orderkey")
         .agg(
             F.count(F.lit(1)).alias("n_items"),
@@ -50,10 +54,9 @@ def order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders LEFT JOIN per-order measures, classified into size tiers."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
-    )
-    joined = left_enrich(orders, order_measures(spark, sf_dir), "o_orderkey", "l_orderkey")
+    orders, lineitem = tables(spark, sf_dir, "orders", "lineitem")
+    orders = orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    joined = left_enrich(orders, _order_measures(lineitem), "o_orderkey", "l_orderkey")
     rules = [
         ((F.col("max_discount") >= 0.08) & (F.col("total_qty") >= 150.0), "large"),
         ((F.col("max_discount") >= 0.06) | (F.col("total_qty") >= 100.0), "medium"),
@@ -126,8 +129,9 @@ def safe_ratio_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins and classification ----------------------------------------------
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "label_doc_id")
+    docs, labels = tables(spark, sf_dir, "documents", "labels")
+    docs = docs.select("doc_id", "lang", "source", "n_chars")
+    labels = labels.withColumnRenamed("doc_id", "label_doc_id")
     return left_enrich(docs, labels, "doc_id", "label_doc_id")
 
 
@@ -147,8 +151,9 @@ def classify_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fanout(spark: SparkSession, sf_dir: str, skew_threshold: int | None) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    orders, items = tables(spark, sf_dir, "orders", "lineitem")
+    orders = orders.select("o_orderkey", "o_orderstatus")
+    items = items.select("l_orderkey", "l_linenumber", "l_quantity")
     return left_enrich(orders, items, "o_orderkey", "l_orderkey", skew_threshold=skew_threshold)
 
 
@@ -199,8 +204,7 @@ def row_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     seeds = spark.createDataFrame([(t, 0) for t in TABLES], "table_name string, one int")
     # schema discovery of 14 files is driver-side work: do it concurrently
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        scans = list(pool.map(lambda t: table(spark, sf_dir, t), TABLES))
+    scans = tables(spark, sf_dir, *TABLES)
     rows = seeds
     for t, scan in zip(TABLES, scans):
         rows = rows.unionByName(scan.select(F.lit(t).alias("table_name"), F.lit(1).alias("one")))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import table, tables
 
 CURRENCY_TYPE = "struct<name:string,symbol:string>"
 
@@ -32,9 +32,7 @@ def country_documents(spark: SparkSession, sf_dir: str, *, with_key: bool = Fals
     Written as SQL expressions: one parse in the JVM instead of hundreds of
     Python -> JVM calls for the nested CASE expressions.
     """
-    c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
+    c, n, r = tables(spark, sf_dir, "customer", "nation", "region")
     # nation and region are small dimension tables; Catalyst broadcasts them
     # after checking their size statistics, no hint needed
     base = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(
