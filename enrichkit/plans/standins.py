@@ -76,7 +76,8 @@ def write_document_arrays(docs: DataFrame, path: str, per_file: int = 1000) -> N
 
     This is the layout of the reference's raw file, in bounded pieces: at
     most ``per_file`` documents per array (chunks of ``doc_key``), one file
-    per chunk, so no group grows with the data.
+    per chunk, so no group grows with the data. ``per_file`` trades the
+    number of files (one read task each) against the size of one array row.
     """
     fields = [c for c in docs.columns if c != "doc_key"]
     arrays = docs.withColumn("chunk", F.expr(f"doc_key div {int(per_file)}")).groupBy("chunk").agg(
