@@ -25,7 +25,7 @@ from ..schemas import economic_schema, raw_country_schema
 from ..session import shuffle_width
 from ..sources.documents import read_documents
 from ..sources.key_list import read_key_list
-from ..sources.tables import conform, publish, read_table, save_table
+from ..sources.tables import conform, publish, read_sidecar, read_table, save_table, write_sidecar
 from .metrics import bounded_report, observe, preview, schema_rows, stage, status_metrics
 
 log = logging.getLogger("enrichkit")
@@ -91,7 +91,10 @@ def build_indicators(
         )
         rows, obs = observe(conform(rows, economic_schema()), "indicators")
         save_table(rows, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
-        return JobResult(out, {**obs.get, **key_obs.get})
+        metrics = {**obs.get, **key_obs.get, "hot_threshold": hot_threshold}
+        # lets a later, separately submitted enrich job skip hot-key detection
+        write_sidecar(spark, out, metrics)
+        return JobResult(out, metrics)
 
 
 def enrich(
@@ -112,6 +115,9 @@ def enrich(
     ``on_duplicate="error"`` refuses them instead.
     """
     with stage("enrich"):
+        known = read_sidecar(spark, indicators_path) if skew_threshold is not None else None
+        if known and known.get("hot_threshold") == skew_threshold and known.get("hot_keys") == 0:
+            skew_threshold = None  # the indicator job counted no hot code
         countries = read_table(spark, countries_path, fmt)
         indicators = read_table(spark, indicators_path, fmt)
         countries, left_obs = observe(countries, "countries")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -94,6 +95,43 @@ def _norm_uri(uri: str) -> str:
     return re.sub(r"^([A-Za-z][\w+.-]*):///", r"\1:/", uri).rstrip("/")
 
 
+SIDECAR = "_enrichkit_metrics.json"  # Spark's readers skip names starting with "_"
+
+
+def write_sidecar(spark: SparkSession, table_path: str, metrics: dict) -> bool:
+    """Store small run metrics next to a table's files (inside its folder).
+
+    An overwrite of the table deletes the folder, so a sidecar never outlives
+    the data it describes. Returns False when no JVM gateway is available.
+    """
+    if not _has_jvm(spark):
+        return False
+    target, fs = _hadoop_path(spark, f"{table_path.rstrip('/')}/{SIDECAR}")
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(json.dumps(metrics, sort_keys=True).encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def read_sidecar(spark: SparkSession, table_path: str) -> dict | None:
+    """Metrics stored by ``write_sidecar``, or None."""
+    if not _has_jvm(spark):
+        return None
+    target, fs = _hadoop_path(spark, f"{table_path.rstrip('/')}/{SIDECAR}")
+    if not fs.exists(target):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(target)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        text = "".join(iter(reader.readLine, None))
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
 def _stored_schema(spark: SparkSession, path: str, fmt: str) -> StructType | None:
     if not path_exists(spark, path):
         return None

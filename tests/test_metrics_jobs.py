@@ -175,3 +175,27 @@ def test_run_all_with_hot_codes_equals_plain(spark, tmp_table):
         assert res["enriched"].metrics["left_rows"] == 4
         out[threshold] = Counter(tuple(r) for r in read_table(spark, res["enriched"].path).collect())
     assert out[3] == out[None] and sum(out[3].values()) == 12
+
+
+def test_standalone_enrich_uses_indicator_sidecar(spark, tmp_table):
+    from enrichkit.sources.tables import read_sidecar
+
+    base = tmp_table("side_job").replace("file:", "")
+    os.makedirs(os.path.join(base, "docs"))
+    os.makedirs(os.path.join(base, "codes"))
+    with open(os.path.join(base, "docs", "d.json"), "w") as f:
+        f.write("\n".join(json.dumps(d) for d in DOCS))
+    with open(os.path.join(base, "codes", "c.txt"), "w") as f:
+        f.write("\n".join(CODES))
+    jobs.process_documents(spark, os.path.join(base, "docs"), os.path.join(base, "p"))
+    ind = jobs.build_indicators(spark, os.path.join(base, "codes"), os.path.join(base, "i"), hot_threshold=2)
+    side = read_sidecar(spark, ind.path)
+    assert side["hot_threshold"] == 2 and side["hot_keys"] == 1 and side["rows"] == 4
+    # BBB is hot at threshold 2: the salted path runs and the result is exact
+    res = jobs.enrich(spark, os.path.join(base, "p"), ind.path, os.path.join(base, "e"), skew_threshold=2)
+    assert res.metrics["rows"] == 5
+    # at the default threshold nothing is hot: detection is skipped, same rows
+    ind2 = jobs.build_indicators(spark, os.path.join(base, "codes"), os.path.join(base, "i2"))
+    assert read_sidecar(spark, ind2.path)["hot_keys"] == 0
+    res2 = jobs.enrich(spark, os.path.join(base, "p"), ind2.path, os.path.join(base, "e2"))
+    assert res2.metrics["rows"] == 5

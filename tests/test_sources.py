@@ -99,3 +99,16 @@ def test_staged_overwrite_keeps_old_table_on_failure(spark, tmp_table):
     leftovers = [d for d in os.listdir(parent) if d.startswith(name + "._staging-")]
     # the failed attempt's staging folder may remain; successful ones are moved
     assert len(leftovers) <= 1
+
+
+def test_sidecar_metrics_live_and_die_with_the_table(spark, tmp_table):
+    from enrichkit.sources.tables import read_sidecar, write_sidecar
+
+    path = tmp_table("side")
+    save_table(spark.createDataFrame([(1,)], "x int"), path)
+    assert read_sidecar(spark, path) is None
+    assert write_sidecar(spark, path, {"hot_keys": 0, "rows": 1})
+    assert read_sidecar(spark, path) == {"hot_keys": 0, "rows": 1}
+    assert read_table(spark, path).count() == 1  # the reader ignores the sidecar
+    save_table(spark.createDataFrame([(2,)], "x int"), path)
+    assert read_sidecar(spark, path) is None  # overwritten with the table
