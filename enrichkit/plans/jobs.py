@@ -1,7 +1,9 @@
 """Composed jobs E1-E6: parameters in, tables out.
 
-Each job runs exactly one Spark action (its write); row counts and the status
-distribution are ``Observation`` metrics of that same pass. Jobs hand over
+Each job does its data work in one Spark action (its write); row counts and
+the status distribution are ``Observation`` metrics of that same pass. The
+enrich job adds a bounded hot-key detection only when a code may be hot, and
+the aggregate and publish jobs log a bounded report (a ``limit``). Jobs hand over
 through written tables, which also cuts lineage: a lost executor never forces
 a recomputation of an earlier job. Like an overwrite of a stored Delta table,
 a write that would change the schema of the table already at the output path
