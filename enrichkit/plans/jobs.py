@@ -28,7 +28,15 @@ from ..session import shuffle_width
 from ..sources.documents import read_documents
 from ..sources.key_list import read_key_list
 from ..sources.tables import conform, publish, read_sidecar, read_table, save_table, write_sidecar
-from .metrics import bounded_report, observe, preview, schema_rows, stage, status_metrics
+from .metrics import (
+    bounded_report,
+    observe,
+    preview,
+    schema_rows,
+    stage,
+    status_metrics,
+    unique_name,
+)
 
 log = logging.getLogger("enrichkit")
 
@@ -86,7 +94,7 @@ def build_indicators(
     """
     with stage("build_indicators"):
         keys = read_key_list(spark, codes_path, "code")
-        key_obs = Observation("indicator_keys")
+        key_obs = Observation(unique_name("indicator_keys"))
         rows = keyed_indicators(
             keys, "code", ECONOMIC_MEASURES, seed=seed, out_key="country_code_3_econ",
             observation=key_obs, hot_threshold=hot_threshold,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import logging
+import uuid
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -38,13 +39,18 @@ def stage(name: str) -> Iterator[None]:
         raise StageError(name, exc) from exc
 
 
+def unique_name(name: str) -> str:
+    """Observation names must not collide between jobs running at the same time."""
+    return f"{name}-{uuid.uuid4().hex[:12]}"
+
+
 def observe(df: DataFrame, name: str, metrics: Mapping[str, Column] | None = None):
     """Attach metrics that are filled by the next action on the result (Q1).
 
     Returns ``(df_observed, observation)``; ``observation.get`` blocks until
     the action has run. Default metric: ``rows`` = row count.
     """
-    obs = Observation(name)
+    obs = Observation(unique_name(name))
     exprs = dict(metrics or {"rows": F.count(F.lit(1))})
     return df.observe(obs, *[e.alias(k) for k, e in exprs.items()]), obs
 

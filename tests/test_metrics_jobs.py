@@ -199,3 +199,19 @@ def test_standalone_enrich_uses_indicator_sidecar(spark, tmp_table):
     assert read_sidecar(spark, ind2.path)["hot_keys"] == 0
     res2 = jobs.enrich(spark, os.path.join(base, "p"), ind2.path, os.path.join(base, "e2"))
     assert res2.metrics["rows"] == 5
+
+
+def test_concurrent_jobs_keep_their_own_metrics(spark, tmp_table):
+    from concurrent.futures import ThreadPoolExecutor
+
+    base = tmp_table("conc").replace("file:", "")
+    paths = []
+    for i, n in enumerate((3, 7)):
+        d = os.path.join(base, f"docs{i}")
+        os.makedirs(d)
+        with open(os.path.join(d, "d.json"), "w") as f:
+            f.write("\n".join(json.dumps(DOCS[0]) for _ in range(n)))
+        paths.append((d, os.path.join(base, f"out{i}")))
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        results = list(pool.map(lambda p: jobs.process_documents(spark, p[0], p[1]), paths))
+    assert [r.metrics["rows"] for r in results] == [3, 7]
