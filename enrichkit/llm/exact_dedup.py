@@ -29,7 +29,13 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ._common import col, written
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "spark.sql.streaming.stateStore."
+#: The store of the keyed state; many small partitions must not preallocate log files.
+STORE_CONF = {
+    _STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    _STATE + "rocksdb.changelogCheckpointing.enabled": "true",
+    _STATE + "rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256_digest(text: Column) -> Column:
@@ -72,9 +78,9 @@ def keyed_state(
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.max("who").alias("who"))
     )
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STORE_CONF}
+    for k, v in STORE_CONF.items():
+        spark.conf.set(k, v)
     try:
         run = (
             state.writeStream.format("noop")
@@ -85,7 +91,8 @@ def keyed_state(
         )
         run.awaitTermination()
     finally:
-        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     if not run.recentProgress and spark.read.schema(schema).parquet(path).isEmpty():
         return state_schema(spark, schema, id_col)
     stored = spark.read.format("statestore").load(checkpoint)
