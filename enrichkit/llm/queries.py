@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, simhash
+from ..session import scratch_path
+from . import decontaminate, exact_dedup, language_id, license_scan, line_dedup, packing, simhash, token_count, toxicity, warc
 from ._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,74 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.without_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    kept = F.coalesce("text", F.lit("")).cast("binary")
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
+    n = F.col("out.n_tokens")
+    return found.select("row.doc_id", "out.n_bytes", "out.n_tokens", (n > 1024).alias("over_limit"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
+    return packing.pack(counted.select("row.doc_id", "out.n_tokens"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        F.size("matches").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("matches", lambda m: m["template"]), ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)).alias("containment"),
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.learn(docs), keep=["doc_id"])
+    return found.select(
+        "row.doc_id", language_id.held_out(F.col("row.doc_id")).alias("held_out"), "out.lang_pred", "out.score"
+    )
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "warc")
+    warc.write_archives(spark, f"{sf_dir.rstrip('/')}/pages.parquet", out)
+    found = warc.captures(warc.read_records(spark, out))
+    kind = F.col("capture.type")
+    return found.select(
+        F.col("metadata.page_id").cast("long").alias("page_id"),
+        F.col("original.payload_bytes").alias("payload_bytes"),
+        F.col("capture.payload_digest").alias("payload_digest"),
+        kind.alias("record_type"),
+        F.when(kind == "revisit", F.col("original.page_id").cast("long")).alias("refers_to"),
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, model, keep=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        language_id.held_out(F.col("row.doc_id")).alias("held_out"),
+        F.col("out.score").alias("score"),
+        F.when(F.col("out.score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
