@@ -10,30 +10,30 @@ Physical strategy
   its estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and
   AQE re-checks it on the real shuffle size, otherwise a sort-merge join on
   the key. AQE's skew handling splits hot LEFT partitions.
-* ``skew_threshold``: a right key with that many rows or more is a *hot* key
-  whose fan-out would land in one task. The (at most ``max_hot_keys``)
-  hottest keys are found first (one aggregation, an eager Spark job) and
-  broadcast as a bounded list; with none the plain join is used. Their right
-  rows are spread over ``ceil(n / skew_threshold)`` salts and their left rows
-  are replicated once per salt, so every (left, right) pair is produced
-  exactly once and by one of many tasks. Exact copies of a right row are
-  first collapsed with a count (map-side combine) and re-expanded after the
-  join in chunks of at most ``skew_threshold`` rows, so even one row repeated
-  a billion times is split. One marker row per (hot key, salt) keeps every
-  salt bucket non-empty, so the whole thing is ONE left join on
-  ``(key, salt)``: the left input is read once. Keys beyond the list keep
-  salt 0, the plain path; results stay exact. Cost: the right input is read
-  three times (detection, then its cold and hot parts), so the path is
-  opt-in, and the enrich job uses it only when its key counts show a hot
-  code.
+* ``skew_threshold``: the rows per key of both sides are counted first (a
+  map-side combined count, written to the scratch folder). A key with that
+  many rows on either side is *hot*; the hot list stays a DataFrame, of any
+  length, and Catalyst broadcasts it only if it is small. A hot key becomes a
+  grid of cells ``(key, a, b)``: its left rows are dealt over ``a`` and copied
+  along ``b``, its right rows are dealt over ``b`` and copied along ``a``, so
+  every pair meets in exactly one cell, and no cell takes more than about
+  ``skew_threshold`` rows of a side or 100 times that many pairs. Equal rows
+  of a hot key are first collapsed into (row, count) and cut into chunks, so
+  one row repeated a billion times is split as well. The row itself is
+  carried along, never rebuilt, so -0.0, NaN and map entries stay as they
+  are. Left rows with a NULL key go around the join without any shuffle.
+
+With a streaming left side only the right side is counted; left rows are
+copied along the right side's cells, and NULL-key rows are spread by a hash
+of the row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shuffle_width
+from ..session import scratch_path, shuffle_width
 
 
 class DuplicateKeyError(ValueError):
@@ -41,6 +41,12 @@ class DuplicateKeyError(ValueError):
 
 
 _P = "__ek_"  # prefix of internal helper columns
+_A, _B, _REP, _KEY, _HIT = _P + "a", _P + "b", _P + "rep", _P + "key", _P + "hit"
+
+
+def _col(name: str, of: str | None = None) -> Column:
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{of}.{quoted}" if of else quoted)
 
 
 def left_enrich(
@@ -52,34 +58,35 @@ def left_enrich(
     drop_right_key: bool = True,
     on_duplicate: str = "keep",
     skew_threshold: int | None = None,
-    max_hot_keys: int = 10_000,
-    max_salts: int | None = None,
 ) -> DataFrame:
     """Left join ``right`` onto ``left`` where ``left[left_key] == right[right_key]``.
 
-    ``max_salts`` caps the salts of one hot key; by default it is the shuffle
-    width, so a key holding a third of the rows is spread over every
-    partition and no task gets more than an average partition's share of it.
+    The right key is dropped also when both keys have the same name.
+    ``on_duplicate="error"`` refuses a right key that occurs twice (NULL keys
+    never match, so they do not count).
     """
     if on_duplicate not in ("keep", "error"):
         raise ValueError("on_duplicate must be 'keep' or 'error'")
+    if skew_threshold is not None and skew_threshold < 1:
+        raise ValueError("skew_threshold must be >= 1")
     if on_duplicate == "error":
         _fail_on_duplicate_keys(right, right_key)
-    if skew_threshold is None:
-        joined = left.join(right, left[left_key] == right[right_key], "left")
-    else:
-        joined = _salted_left_join(
-            left, right, left_key, right_key, skew_threshold, max_hot_keys, max_salts
-        )
-    return joined.drop(right_key) if drop_right_key and right_key != left_key else joined
+    kept = [c for c in right.columns if not (drop_right_key and c == right_key)]
+    hot = None if skew_threshold is None else _hot_keys(left, right, left_key, right_key, skew_threshold)
+    if hot is not None:
+        return _grid_join(left, right, left_key, right_key, kept, hot)
+    joined = left.alias("ek_l").join(
+        right.alias("ek_r"), _col(left_key, "ek_l") == _col(right_key, "ek_r"), "left"
+    )
+    return joined.select("ek_l.*", *[_col(c, "ek_r") for c in kept])
 
 
 def _fail_on_duplicate_keys(right: DataFrame, key: str) -> None:
     dup = (
-        right.groupBy(key)
+        right.filter(_col(key).isNotNull())
+        .groupBy(_col(key))
         .agg(F.count(F.lit(1)).alias(_P + "n"))
         .filter(F.col(_P + "n") > 1)
-        .select(key)
         .limit(1)
         .collect()
     )
@@ -87,116 +94,142 @@ def _fail_on_duplicate_keys(right: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"right key {key!r} is not unique, e.g. {dup[0][0]!r}")
 
 
-def _salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    threshold: int,
-    max_hot_keys: int,
-    max_salts: int | None,
-) -> DataFrame:
-    if threshold < 1:
-        raise ValueError("skew_threshold must be >= 1")
-    if any("map<" in f.dataType.simpleString() for f in right.schema.fields):
-        # copies are collapsed by grouping on every right column, and Spark
-        # cannot group on (or hash) map values
-        raise ValueError("the salted join needs right columns without map types")
-    hk, salts, salt, mult, chunk, rep, marker = (
-        _P + "hk", _P + "salts", _P + "salt", _P + "mult", _P + "chunk", _P + "rep", _P + "marker"
+def _key_counts(df: DataFrame, key: str, name: str) -> DataFrame:
+    return (
+        df.filter(_col(key).isNotNull())
+        .groupBy(_col(key).alias(_P + name))
+        .agg(F.count(F.lit(1)).alias(name))
     )
-    right_cols = right.columns
-    spark = right.sparkSession
-    width = shuffle_width(spark)
-    max_salts = max_salts or width
-    # bounded hot-key list: at most max_hot_keys rows, so it is safe to bring
-    # to the driver and to broadcast. Finding it is one aggregation over the
-    # right side; when no key is hot the plain join is used unchanged.
-    hot_rows = (
-        right.filter(F.col(right_key).isNotNull())  # NULL keys never match anyway
-        .groupBy(right_key)
-        .agg(F.count(F.lit(1)).alias(_P + "n"))
-        .filter(F.col(_P + "n") >= threshold)
-        .orderBy(F.col(_P + "n").desc(), F.col(right_key))
-        .limit(max_hot_keys)
-        .select(
-            F.col(right_key).alias(hk),
-            F.least(F.ceil(F.col(_P + "n") / F.lit(threshold)), F.lit(max_salts))
-            .cast("int")
-            .alias(salts),
+
+
+def _hot_keys(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, threshold: int
+) -> DataFrame | None:
+    """(key, cells_l, cells_r, chunk_l, chunk_r) of the hot keys, or None without any."""
+    counts = _key_counts(right, right_key, "n_r")
+    if left.isStreaming:
+        counts = counts.select(F.col(_P + "n_r").alias(_KEY), "n_r", F.lit(1).cast("long").alias("n_l"))
+    else:
+        own = _key_counts(left, left_key, "n_l")
+        counts = counts.join(own, F.col(_P + "n_r") == F.col(_P + "n_l"), "full").select(
+            F.coalesce(_P + "n_r", _P + "n_l").alias(_KEY),
+            F.coalesce("n_r", F.lit(0)).alias("n_r"),
+            F.coalesce("n_l", F.lit(0)).alias("n_l"),
+        )
+    up = lambda n, d: F.ceil(n / d).cast("long")
+    t = F.lit(threshold)
+    hot = (
+        counts.filter((F.col("n_r") >= t) | (F.col("n_l") >= t))
+        .withColumn("cells_r", F.greatest(up(F.col("n_r"), t), F.lit(1)))
+        .withColumn(
+            "cells_l",
+            F.greatest(
+                F.lit(1),
+                F.least(
+                    "n_l",
+                    F.greatest(
+                        up(F.col("n_l"), t),
+                        up(F.col("n_l").cast("double") * F.col("n_r"), F.col("cells_r") * t * 100),
+                    ),
+                ),
+            ),
         )
-        .collect()
-    )
-    if not hot_rows:
-        return left.join(right, left[left_key] == right[right_key], "left")
-    key_type = right.schema[right_key].dataType.simpleString()
-    hot = spark.createDataFrame(hot_rows, f"{hk} {key_type}, {salts} int")
-
-    # right side: cold rows keep salt 0; hot rows are collapsed into
-    # (row, multiplicity), cut into chunks of at most ``threshold`` rows and
-    # hashed over the key's salts; one marker row per (hot key, salt) makes
-    # every salt bucket non-empty, so no salted left copy is left unmatched
-    # (hot keys are matched by column name: ``hot`` derives from ``right``)
-    r = right.join(F.broadcast(hot), F.col(right_key) == F.col(hk), "left").drop(hk)
-    r_cold = r.filter(F.col(salts).isNull()).select(
-        *right_cols,
-        F.lit(0).alias(salt),
-        F.lit(1).cast("long").alias(rep),
-        F.lit(False).alias(marker),
-    )
-    r_hot = (
-        r.filter(F.col(salts).isNotNull())
-        .groupBy(*right_cols, salts)
-        .agg(F.count(F.lit(1)).alias(mult))
-        .withColumn(chunk, F.explode(F.sequence(F.lit(0), F.expr(f"({mult} - 1) div {threshold}"))))
         .select(
-            *right_cols,
-            F.pmod(F.xxhash64(*right_cols, chunk), F.col(salts)).cast("int").alias(salt),
-            F.least(F.lit(threshold), F.col(mult) - F.col(chunk) * threshold).cast("long").alias(rep),
-            F.lit(False).alias(marker),
+            _KEY,
+            "cells_l",
+            "cells_r",
+            up(F.col("n_l"), F.col("cells_l")).alias("chunk_l"),
+            up(F.col("n_r"), F.col("cells_r")).alias("chunk_r"),
         )
     )
-    types = {f.name: f.dataType for f in right.schema.fields}
-    markers = hot.select(
-        *[
-            F.col(hk).alias(c) if c == right_key else F.lit(None).cast(types[c]).alias(c)
-            for c in right_cols
-        ],
-        F.explode(F.sequence(F.lit(0), F.col(salts) - 1)).alias(salt),
-        F.lit(1).cast("long").alias(rep),
-        F.lit(True).alias(marker),
+    spark = right.sparkSession
+    path = scratch_path(spark, "hot_keys")
+    hot.write.parquet(path)
+    stored = spark.read.schema(hot.schema).parquet(path)
+    return None if stored.isEmpty() else stored
+
+
+def _signature(df: DataFrame) -> Column:
+    """A digest that two rows share only if they are equal bit for bit (JSON keeps -0.0 and entry order)."""
+    exact = {
+        "ignoreNullFields": "false",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    named = [_col(c).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    return F.sha2(F.to_json(F.struct(*named), exact).cast("binary"), 256)
+
+
+def _dealt(df: DataFrame, key: str, hot: DataFrame, side: str) -> DataFrame:
+    """Rows with their cell: dealt along the own axis, copied along the other one."""
+    own, other, chunk = f"cells_{side}", "cells_r" if side == "l" else "cells_l", f"chunk_{side}"
+    axis, across = (_A, _B) if side == "l" else (_B, _A)
+    columns = [_col(c) for c in df.columns]
+    keyed = df.join(hot, _col(key) == F.col(_KEY), "left").drop(_KEY)
+    if df.isStreaming:
+        spread = F.pmod(F.xxhash64(_signature(df)), F.lit(shuffle_width(df.sparkSession)))
+        rows = keyed.select(
+            *columns, other, F.lit(1).cast("long").alias(_REP),
+            F.when(_col(key).isNull(), spread).otherwise(F.lit(0)).alias(axis),
+        )
+    else:
+        single = F.coalesce(F.col(own), F.lit(1)) == 1
+        cold = keyed.filter(single).select(
+            *columns, other, F.lit(1).cast("long").alias(_REP), F.lit(0).cast("long").alias(axis)
+        )
+        collapsed = (
+            keyed.filter(~single)
+            .groupBy(_signature(df).alias(_P + "sig"), own, other, chunk)
+            .agg(F.first(F.struct(*columns)).alias(_P + "row"), F.count(F.lit(1)).alias(_P + "n"))
+        )
+        chunks = F.sequence(F.lit(0).cast("long"), F.expr(f"({_P}n - 1) div {chunk}"))
+        split = collapsed.select("*", F.explode(chunks).alias(_P + "i")).select(
+            f"{_P}row.*",
+            other,
+            F.least(F.col(chunk), F.col(_P + "n") - F.col(_P + "i") * F.col(chunk)).alias(_REP),
+            F.pmod(F.xxhash64(_P + "sig", _P + "i"), F.col(own)).alias(axis),
+        )
+        rows = cold.unionByName(split)
+    cells = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other), F.lit(1)) - 1)
+    return rows.select("*", F.explode(cells).alias(across))
+
+
+def _grid_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, kept: list[str], hot: DataFrame
+) -> DataFrame:
+    width = shuffle_width(right.sparkSession)
+    with_key = left if left.isStreaming else left.filter(_col(left_key).isNotNull())
+    # both sides at one fixed width, so the hot cells come from many tasks
+    # even if AQE broadcasts one side
+    lh = _dealt(with_key, left_key, hot, "l").repartition(width, _col(left_key), _A, _B).alias("ek_l")
+    rh = (
+        _dealt(right.filter(_col(right_key).isNotNull()), right_key, hot, "r")
+        .withColumn(_HIT, F.lit(True))
+        .repartition(width, _col(right_key), _A, _B)
+        .alias("ek_r")
     )
-    r_all = (
-        r_cold.unionByName(r_hot)
-        .unionByName(markers)
-        .repartition(width, F.col(right_key), F.col(salt))
+    joined = lh.join(
+        rh,
+        (_col(left_key, "ek_l") == _col(right_key, "ek_r"))
+        & (F.col(f"ek_l.{_A}") == F.col(f"ek_r.{_A}"))
+        & (F.col(f"ek_l.{_B}") == F.col(f"ek_r.{_B}")),
+        "left",
     )
-
-    # left side, read once: salt 0 for cold keys, one copy per salt for hot
-    # keys; both sides are spread by (key, salt) at one fixed width, so even
-    # if AQE broadcasts the right side the hot fan-out comes from many tasks
-    l_all = (
-        left.join(F.broadcast(hot), F.col(left_key) == F.col(hk), "left")
-        .drop(hk)
-        .withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(salts), F.lit(1)) - 1)))
-        .drop(salts)
-        .repartition(width, F.col(left_key), F.col(salt))
+    # a key of several right cells has right rows; a cell without any is no miss
+    real = F.col(f"ek_r.{_HIT}").isNotNull() | (F.coalesce(F.col("ek_l.cells_r"), F.lit(1)) == 1)
+    one = F.lit(1).cast("long")
+    out = joined.filter(real).select(
+        *[_col(c, "ek_l") for c in left.columns],
+        *[_col(c, "ek_r") for c in kept],
+        F.col(f"ek_l.{_REP}").alias(_P + "times_l"),
+        F.coalesce(F.col(f"ek_r.{_REP}"), one).alias(_P + "times_r"),
     )
-
-    lh, rh = l_all.alias("ek_l"), r_all.alias("ek_r")
-    return (
-        lh.join(
-            rh,
-            (F.col(f"ek_l.{left_key}") == F.col(f"ek_r.{right_key}"))
-            & (F.col(f"ek_l.{salt}") == F.col(f"ek_r.{salt}")),
-            "left",
-        )
-        .filter(~F.coalesce(F.col(f"ek_r.{marker}"), F.lit(False)))
-        .select(
-            *[F.col(f"ek_l.{c}") for c in left.columns],
-            *[F.col(f"ek_r.{c}") for c in right_cols],
-            F.explode(F.sequence(F.lit(1), F.coalesce(F.col(f"ek_r.{rep}"), F.lit(1).cast("long"))))
-            .alias(rep),
-        )
-        .drop(rep)
+    for times in (_P + "times_l", _P + "times_r"):
+        out = out.withColumn(_P + "i", F.explode(F.sequence(one, F.col(times)))).drop(_P + "i", times)
+    if left.isStreaming:
+        return out
+    types = {f.name: f.dataType for f in right.schema.fields}
+    without = left.filter(_col(left_key).isNull()).select(
+        *[_col(c) for c in left.columns], *[F.lit(None).cast(types[c]).alias(c) for c in kept]
     )
+    return out.union(without)

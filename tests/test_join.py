@@ -45,8 +45,8 @@ def test_keep_right_key(spark):
     assert out.columns == ["code", "pop", "code_econ", "gdp"]
 
 
-@pytest.mark.parametrize("threshold,max_hot", [(1, 10_000), (3, 2), (50, 10_000), (7, 1)])
-def test_salted_join_equals_plain_join(spark, threshold, max_hot):
+@pytest.mark.parametrize("threshold", [1, 3, 7, 50])
+def test_salted_join_equals_plain_join(spark, threshold):
     rnd = random.Random(threshold)
     # one very hot key (a third of the right rows, many exact copies), some
     # warm keys, unmatched and NULL keys on both sides
@@ -58,9 +58,7 @@ def test_salted_join_equals_plain_join(spark, threshold, max_hot):
     l = spark.createDataFrame(left, LEFT_SCHEMA)
     r = spark.createDataFrame(right, RIGHT_SCHEMA)
     plain = left_enrich(l, r, "code", "code_econ")
-    salted = left_enrich(
-        l, r, "code", "code_econ", skew_threshold=threshold, max_hot_keys=max_hot
-    )
+    salted = left_enrich(l, r, "code", "code_econ", skew_threshold=threshold)
     assert salted.columns == plain.columns
     assert _rows(salted) == _rows(plain)
 
@@ -74,12 +72,59 @@ def test_salted_join_splits_hot_key_over_tasks(spark):
     assert max(per_task) < 4000  # not all pairs from one task
 
 
-def test_salted_join_refuses_map_columns(spark):
+def _bits(df):
+    """Rows with every value spelled out: 0.0 and -0.0 differ, NaN equals NaN, maps keep their order."""
+    return Counter(tuple(repr(v) for v in r) for r in df.collect())
+
+
+@pytest.mark.parametrize("threshold", [1, 4, 20])
+def test_salted_join_is_exact_bit_for_bit(spark, threshold):
+    nan = float("nan")
+    values = [0.0, -0.0, nan, 1.5, None]
+    right = [("HOT", values[i % 5], {"b": -0.0 if i % 2 else 0.0, "a": 1.0}, [0.0, -0.0][i % 2]) for i in range(60)]
+    right += [(None, 1.0, None, 0.0)] * 30 + [("K1", -0.0, {}, nan)] * 3
+    left = [("HOT", -0.0 if i % 2 else 0.0) for i in range(40)] + [(None, -0.0)] * 40 + [("K1", nan), ("K2", 0.0)]
+    l = spark.createDataFrame(left, "code string, x double")
+    r = spark.createDataFrame(right, "code_econ string, v double, m map<string,double>, w double")
+    plain = left_enrich(l, r, "code", "code_econ")
+    salted = left_enrich(l, r, "code", "code_econ", skew_threshold=threshold)
+    assert _bits(salted) == _bits(plain)
+
+
+@pytest.mark.parametrize("threshold", [None, 2])
+def test_equal_key_names_keep_one_key(spark, threshold, tmp_table):
+    left = spark.createDataFrame([("A", 1), ("A", 2), (None, 3), ("B", 4)], "k string, id int")
+    right = spark.createDataFrame([("A", 10.0), ("A", 11.0), (None, 1.0)], "k string, v double")
+    out = left_enrich(left, right, "k", "k", skew_threshold=threshold)
+    assert out.columns == ["k", "id", "v"]
+    out.write.parquet(tmp_table("equal_names"))
+    assert _rows(out) == Counter(
+        {("A", 1, 10.0): 1, ("A", 1, 11.0): 1, ("A", 2, 10.0): 1, ("A", 2, 11.0): 1, (None, 3, None): 1, ("B", 4, None): 1}
+    )
+    both = left_enrich(left, right, "k", "k", skew_threshold=threshold, drop_right_key=False)
+    assert both.columns == ["k", "id", "k", "v"]
+
+
+def test_null_right_keys_are_no_duplicates(spark):
     left = spark.createDataFrame([("A", 1)], LEFT_SCHEMA)
-    right = spark.createDataFrame([("A", {"k": 1})], "code_econ string, m map<string,int>")
-    with pytest.raises(ValueError, match="map"):
-        left_enrich(left, right, "code", "code_econ", skew_threshold=1)
-    assert left_enrich(left, right, "code", "code_econ").count() == 1
+    right = spark.createDataFrame([("A", 1.0), (None, 2.0), (None, 3.0)], RIGHT_SCHEMA)
+    assert left_enrich(left, right, "code", "code_econ", on_duplicate="error").count() == 1
+
+
+def test_no_task_is_much_larger_with_null_and_hot_left_keys(spark):
+    n = 30_000  # a third NULL, a third one key, both with many equal rows
+    key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "HOT").otherwise(F.col("id").cast("string"))
+    left = spark.range(n).repartition(6).select(key.alias("code"), (F.col("id") % 7).alias("pop"))
+    right = spark.createDataFrame([("HOT", float(i)) for i in range(3)] + [("5", 1.0)], RIGHT_SCHEMA)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = left_enrich(left, right, "code", "code_econ", skew_threshold=200)
+        per_task = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(per_task) == n + n // 3 * 2
+    assert max(per_task) < 4 * sum(per_task) / len(per_task)
 
 
 from hypothesis import given, settings
@@ -93,11 +138,10 @@ _KEYS = st.sampled_from(["A", "B", "C", "D", None])
     st.lists(st.tuples(_KEYS, st.integers(0, 3)), min_size=0, max_size=30),
     st.lists(st.tuples(_KEYS, st.integers(0, 2)), min_size=0, max_size=80),
     st.integers(1, 10),
-    st.integers(1, 3),
 )
-def test_salted_join_property(spark, left_rows, right_rows, threshold, max_hot):
+def test_salted_join_property(spark, left_rows, right_rows, threshold):
     l = spark.createDataFrame(left_rows, "code string, pop bigint")
     r = spark.createDataFrame([(k, float(v)) for k, v in right_rows], RIGHT_SCHEMA)
     plain = left_enrich(l, r, "code", "code_econ")
-    salted = left_enrich(l, r, "code", "code_econ", skew_threshold=threshold, max_hot_keys=max_hot)
+    salted = left_enrich(l, r, "code", "code_econ", skew_threshold=threshold)
     assert _rows(salted) == _rows(plain)
