@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.columns import is_not_blank, safe_ratio, strip_text
-from ..operators.aggregate import distribution, group_stats
+from ..operators.aggregate import distribution, group_stats, row_count
 from ..operators.classify import classify, development_status
 from ..operators.generate import ECONOMIC_MEASURES, keyed_indicators
 from ..operators.join import left_enrich
@@ -26,8 +27,14 @@ from ..sources.key_list import read_key_list
 from ..sources.tables import conform, publish, read_table, save_table
 from ..streaming.documents import start_enrichment
 from . import jobs
-from .metrics import preview
-from .standins import brand_lines, country_documents, order_code_lines, write_document_arrays
+from .metrics import preview, region_report
+from .standins import (
+    brand_lines,
+    broken_document_lines,
+    country_documents,
+    order_code_lines,
+    write_document_arrays,
+)
 from .tables import TABLES, table, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +111,14 @@ def json_array_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_countries(raw)
 
 
+def json_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with undeclared fields, some cut off: two declared fields and whether the line parsed."""
+    path = scratch_path(spark, "broken_lines")
+    broken_document_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    raw = read_documents(spark, path, raw_country_schema(), fields=["cca3", "population"], corrupt_column="_corrupt")
+    return raw.select("cca3", "population", F.col("_corrupt").isNull().alias("parsed"))
+
+
 def json_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse a JSON text column under a declared schema, read a field."""
     events = table(spark, sf_dir, "events")
@@ -163,10 +178,20 @@ def join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_fanout_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 through the salted hot-key strategy (orders with >= 4 items are hot)."""
+    """J1 through the hot-key cells (orders with >= 4 items are hot)."""
     return _fanout(spark, sf_dir, 4)
 
 
+def join_hot_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 with a third of the left keys NULL and a third one hot key, both dealt over many tasks."""
+    items, nation = tables(spark, sf_dir, "lineitem", "nation")
+    part = F.col("l_orderkey") % 3
+    key = F.when(part == 0, None).when(part == 1, 7).otherwise(F.col("l_suppkey") % 40)
+    left = items.select("l_orderkey", "l_linenumber", key.cast("bigint").alias("k"))
+    right = nation.select(F.col("n_nationkey").cast("bigint").alias("k"), "n_name")
+    return left_enrich(left, right, "k", "k", skew_threshold=1000)
+
+
 # --- aggregation ------------------------------------------------------------
 
 def round_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,19 +221,9 @@ def distribution_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count of every given table, in one job with one shuffle.
-
-    Each scan reads no column (a literal per row), is counted map-side, and
-    only the partial counts are shuffled. A zero seed per table keeps an
-    empty table in the result with ``n_rows = 0``.
-    """
-    seeds = spark.createDataFrame([(t, 0) for t in TABLES], "table_name string, one int")
-    # schema discovery of 14 files is driver-side work: do it concurrently
-    scans = tables(spark, sf_dir, *TABLES)
-    rows = seeds
-    for t, scan in zip(TABLES, scans):
-        rows = rows.unionByName(scan.select(F.lit(t).alias("table_name"), F.lit(1).alias("one")))
-    return rows.groupBy("table_name").agg(F.sum("one").cast("bigint").alias("n_rows"))
+    """Row count of every given table; each scan reads no column and is counted map-side."""
+    counts = [row_count(t).select(F.lit(n).alias("table_name"), "n_rows") for n, t in zip(TABLES, tables(spark, sf_dir, *TABLES))]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # --- generation and key lists -----------------------------------------------
@@ -243,9 +258,21 @@ def publish_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conform customer rows to a declared schema with a NOT NULL key."""
-    schema = "c_custkey BIGINT NOT NULL, c_name STRING, c_acctbal DOUBLE"
-    return conform(table(spark, sf_dir, "customer"), StructType.fromDDL(schema))
+    """Conform order rows to a declared schema, NOT NULL for a key, a date, a decimal and a timestamp."""
+    schema = (
+        "o_orderkey BIGINT NOT NULL, o_orderstatus STRING, price DECIMAL(18,2) NOT NULL, "
+        "day DATE NOT NULL, at TIMESTAMP_NTZ NOT NULL"
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.col("o_orderdate").cast("date").cast("timestamp_ntz").alias("at"),
+    )
+    typed = conform(orders, StructType.fromDDL(schema))
+    # spelled out, as clients differ in how they show decimals and dates
+    return typed.select("o_orderkey", "o_orderstatus", *[F.col(c).cast("string").alias(c) for c in ("price", "day", "at")])
 
 
 def preview_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,19 +295,63 @@ def _land_inputs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return docs_path, codes_path
 
 
-def _country_job(spark: SparkSession, sf_dir: str) -> dict[str, jobs.JobResult]:
+def _enriched(spark: SparkSession, sf_dir: str) -> jobs.JobResult:
+    """E1, E2 and E3 over the landed inputs."""
     docs_path, codes_path = _land_inputs(spark, sf_dir)
-    return jobs.run_all(spark, docs_path, codes_path, scratch_path(spark, "job"))
+    processed, indicators, enriched = (scratch_path(spark, n) for n in ("processed", "indicators", "enriched"))
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        first = pool.submit(jobs.process_documents, spark, docs_path, processed)
+        second = pool.submit(jobs.build_indicators, spark, codes_path, indicators)
+        first.result()
+        second.result()
+    return jobs.enrich(spark, processed, indicators, enriched)
+
+
+def _regional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "regional_stats")
+    jobs.aggregate_regions(spark, _enriched(spark, sf_dir).path, out, report_rows=0)
+    return read_table(spark, out)
 
 
 def regional_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents + key list -> processed, indicators, enriched, stats."""
-    return read_table(spark, _country_job(spark, sf_dir)["regional_stats"].path)
+    """Documents + key list -> processed, indicators, enriched, stats."""
+    return _regional(spark, sf_dir)
+
+
+def region_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: the whole per-group report of the stored statistics, ordered."""
+    return region_report(_regional(spark, sf_dir))
 
 
 def country_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published enriched table, one row per (country, indicator line)."""
-    return read_table(spark, _country_job(spark, sf_dir)["report"].path)
+    """The published enriched table, one row per (country, indicator line)."""
+    out = scratch_path(spark, "report")
+    jobs.publish_report(spark, _enriched(spark, sf_dir).path, out, preview_rows=0)
+    return read_table(spark, out)
+
+
+def job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the composed jobs observed during their writes, as rows."""
+    docs_path, codes_path = _land_inputs(spark, sf_dir)
+    done = jobs.run_all(spark, docs_path, codes_path, scratch_path(spark, "job"))
+    rows = [(job, name, int(done[job].metrics[name])) for job, name in JOB_COUNTS]
+    return spark.createDataFrame(rows, "job string, metric string, n bigint")
+
+
+JOB_COUNTS = (
+    ("processed", "rows"),
+    ("processed", "corrupt"),
+    ("indicators", "rows"),
+    ("indicators", "keys"),
+    ("indicators", "max_per_key"),
+    ("enriched", "left_rows"),
+    ("enriched", "right_rows"),
+    ("enriched", "rows"),
+    ("enriched", "developed"),
+    ("enriched", "emerging"),
+    ("enriched", "developing"),
+    ("regional_stats", "rows"),
+)
 
 
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,7 +383,10 @@ def status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = codes.select(strip_text("line").alias("code")).filter(is_not_blank(F.col("code")))
     indicators = keyed_indicators(codes, "code", ECONOMIC_MEASURES, out_key="country_code_3_econ")
     enriched = development_status(
-        left_enrich(processed, indicators, "country_code_3", "country_code_3_econ")
+        left_enrich(
+            processed, indicators, "country_code_3", "country_code_3_econ",
+            skew_threshold=jobs.DEFAULT_SKEW_THRESHOLD,
+        )
     )
     return distribution(enriched, "development_status")
 
@@ -322,6 +396,7 @@ def queries() -> dict[str, Query]:
         "flagship_group_stats": flagship_group_stats,
         "json_flatten": json_flatten,
         "json_array_flatten": json_array_flatten,
+        "json_corrupt": json_corrupt,
         "json_column": json_column,
         "select_rename_drop": select_rename_drop,
         "safe_ratio": safe_ratio_query,
@@ -329,6 +404,7 @@ def queries() -> dict[str, Query]:
         "classify_nulls": classify_nulls,
         "join_fanout": join_fanout,
         "join_fanout_salted": join_fanout_salted,
+        "join_hot_left": join_hot_left,
         "round_avg": round_avg,
         "pivot_counts": pivot_counts,
         "distribution": distribution_query,
@@ -340,7 +416,9 @@ def queries() -> dict[str, Query]:
         "typed_rows": typed_rows,
         "preview": preview_query,
         "regional_rollup": regional_rollup,
+        "region_report": region_report_query,
         "country_report": country_report,
+        "job_counts": job_counts,
         "stream_enrich": stream_enrich,
         "key_list_indicators": key_list_indicators,
         "status_distribution": status_distribution,

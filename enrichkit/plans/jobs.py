@@ -2,8 +2,8 @@
 
 Each job does its data work in one Spark action (its write); row counts and
 the status distribution are ``Observation`` metrics of that same pass. The
-enrich job adds a bounded hot-key detection only when a code may be hot, and
-the aggregate and publish jobs log a bounded report (a ``limit``). Jobs hand over
+enrich job first counts the rows per code for its hot keys, and the aggregate
+and publish jobs log the first rows (a ``limit``). Jobs hand over
 through written tables, which also cuts lineage: a lost executor never forces
 a recomputation of an earlier job. Like an overwrite of a stored Delta table,
 a write that would change the schema of the table already at the output path
@@ -17,6 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.aggregate import regional_stats
 from ..operators.classify import DEVELOPED, DEVELOPING, EMERGING, development_status
@@ -27,11 +28,11 @@ from ..schemas import economic_schema, raw_country_schema
 from ..session import shuffle_width
 from ..sources.documents import read_documents
 from ..sources.key_list import read_key_list
-from ..sources.tables import conform, publish, read_sidecar, read_table, save_table, write_sidecar
+from ..sources.tables import conform, publish, read_table, save_table
 from .metrics import (
-    bounded_report,
     observe,
     preview,
+    region_report,
     schema_rows,
     stage,
     status_metrics,
@@ -59,19 +60,36 @@ def process_documents(
     out: str,
     *,
     multi_line: bool = False,
+    mode: str = "PERMISSIVE",
+    corrupt_column: str = "_corrupt_record",
     fmt: str | None = None,
     overwrite_schema: bool = False,
-    staged: bool = False,
 ) -> JobResult:
-    """JSON documents -> flat table with population density."""
+    """JSON documents -> flat table with population density.
+
+    Metrics: ``rows`` and ``corrupt`` (records that could not be parsed; in
+    PERMISSIVE mode they are rows of NULLs). When no record at all could be
+    parsed, for example an indented array read without ``multi_line``, the
+    job fails and the stored table stays as it was.
+    """
     with stage("process_documents"):
         # multi-line files parse in one task each; spread the rows afterwards
         width = shuffle_width(spark) if multi_line else None
         raw = read_documents(
-            spark, json_path, raw_country_schema(), multi_line=multi_line, partitions=width
+            spark, json_path, raw_country_schema(), multi_line=multi_line, mode=mode,
+            corrupt_column=corrupt_column if mode.upper() == "PERMISSIVE" else None, partitions=width,
         )
-        flat, obs = observe(flatten_countries(raw), "processed")
-        save_table(flat, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
+        broken = F.col(corrupt_column).isNotNull() if corrupt_column in raw.columns else F.lit(False)
+        raw, obs = observe(raw, "processed", {"rows": F.count(F.lit(1)), "corrupt": F.count_if(broken)})
+
+        def any_parsed() -> None:
+            if obs.get["rows"] and obs.get["corrupt"] == obs.get["rows"]:
+                raise ValueError(
+                    f"none of the {obs.get['rows']} records of {json_path} could be parsed"
+                    + ("" if multi_line else "; documents that span lines need multi_line=True")
+                )
+
+        save_table(flatten_countries(raw), out, fmt, overwrite_schema=overwrite_schema, check=any_parsed)
         return JobResult(out, obs.get)
 
 
@@ -84,7 +102,6 @@ def build_indicators(
     fmt: str | None = None,
     overwrite_schema: bool = False,
     hot_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
-    staged: bool = False,
 ) -> JobResult:
     """Key list -> one indicator row per line (duplicates kept).
 
@@ -100,11 +117,8 @@ def build_indicators(
             observation=key_obs, hot_threshold=hot_threshold,
         )
         rows, obs = observe(conform(rows, economic_schema()), "indicators")
-        save_table(rows, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
-        metrics = {**obs.get, **key_obs.get, "hot_threshold": hot_threshold}
-        # lets a later, separately submitted enrich job skip hot-key detection
-        write_sidecar(spark, out, metrics)
-        return JobResult(out, metrics)
+        save_table(rows, out, fmt, overwrite_schema=overwrite_schema)
+        return JobResult(out, {**obs.get, **key_obs.get, "hot_threshold": hot_threshold})
 
 
 def enrich(
@@ -117,7 +131,6 @@ def enrich(
     on_duplicate: str = "keep",
     fmt: str | None = None,
     overwrite_schema: bool = False,
-    staged: bool = False,
 ) -> JobResult:
     """Processed LEFT JOIN indicators on the 3-letter code, then classify.
 
@@ -125,9 +138,6 @@ def enrich(
     ``on_duplicate="error"`` refuses them instead.
     """
     with stage("enrich"):
-        known = read_sidecar(spark, indicators_path) if skew_threshold is not None else None
-        if known and known.get("hot_threshold") == skew_threshold and known.get("hot_keys") == 0:
-            skew_threshold = None  # the indicator job counted no hot code
         countries = read_table(spark, countries_path, fmt)
         indicators = read_table(spark, indicators_path, fmt)
         countries, left_obs = observe(countries, "countries")
@@ -145,7 +155,7 @@ def enrich(
             "enriched",
             status_metrics("development_status", STATUS_LABELS),
         )
-        save_table(enriched, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
+        save_table(enriched, out, fmt, overwrite_schema=overwrite_schema)
         metrics = dict(obs.get)
         metrics["left_rows"] = left_obs.get["rows"]
         metrics["right_rows"] = right_obs.get["rows"]
@@ -160,19 +170,20 @@ def aggregate_regions(
     *,
     report_rows: int = 20,
     overwrite_schema: bool = False,
-    staged: bool = False,
 ) -> JobResult:
     """Per (region, subregion) statistics.
 
-    Logs at most ``report_rows`` groups of the written table (a bounded
-    report, never all groups); a NULL total is logged as such.
+    Logs the first ``report_rows`` groups of the written table, in order, and
+    how many there are; ``region_report`` is the whole report. A NULL total is
+    logged as such.
     """
     with stage("aggregate_regions"):
         stats, obs = observe(regional_stats(read_table(spark, enriched_path, fmt)), "regions")
-        save_table(stats, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
+        save_table(stats, out, fmt, overwrite_schema=overwrite_schema)
         if report_rows:
-            cols = ["region", "subregion", "total_countries", "total_population"]
-            for r in bounded_report(read_table(spark, out, fmt), cols, report_rows).collect():
+            rows = region_report(read_table(spark, out, fmt)).limit(report_rows).collect()
+            log.info("%s of %s groups:", len(rows), obs.get["rows"])
+            for r in rows:
                 total = "NULL" if r.total_population is None else f"{r.total_population:,}"
                 log.info(
                     "region %r / %r: %s rows, total population %s",
@@ -189,7 +200,6 @@ def publish_report(
     *,
     preview_rows: int = 10,
     overwrite_schema: bool = False,
-    staged: bool = False,
 ) -> JobResult:
     """E5: copy the enriched table unchanged to the report location.
 
@@ -197,7 +207,7 @@ def publish_report(
     the copy (a ``limit``; which rows is arbitrary, as in the reference).
     """
     with stage("publish_report"):
-        report = publish(spark, enriched_path, out, fmt, overwrite_schema=overwrite_schema, staged=staged)
+        report = publish(spark, enriched_path, out, fmt, overwrite_schema=overwrite_schema)
         log.info("report schema: %s", schema_rows(report))
         if preview_rows:
             for row in preview(report, preview_rows).collect():
@@ -214,7 +224,6 @@ def run_all(
     multi_line: bool = False,
     skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
     fmt: str | None = None,
-    staged: bool = False,
 ) -> dict[str, JobResult]:
     """{E1, E2} -> E3 -> {E4, E5}, in one session, handing over by table."""
     paths = {
@@ -227,25 +236,22 @@ def run_all(
     with ThreadPoolExecutor(max_workers=2) as pool:
         processed = pool.submit(
             process_documents, spark, json_path, paths["processed"],
-            multi_line=multi_line, fmt=fmt, staged=staged,
+            multi_line=multi_line, fmt=fmt,
         )
         indicators = pool.submit(
             build_indicators, spark, codes_path, paths["indicators"], fmt=fmt,
-            hot_threshold=skew_threshold, staged=staged,
+            hot_threshold=skew_threshold,
         )
         results = {"processed": processed.result(), "indicators": indicators.result()}
-        # E2 counted the lines per code in its own pass: with no hot code the
-        # enrich job needs no detection scan of the indicator table
-        hot_keys = results["indicators"].metrics.get("hot_keys")
         results["enriched"] = enrich(
             spark, paths["processed"], paths["indicators"], paths["enriched"],
-            skew_threshold=None if hot_keys == 0 else skew_threshold, fmt=fmt, staged=staged,
+            skew_threshold=skew_threshold, fmt=fmt,
         )
         stats = pool.submit(
-            aggregate_regions, spark, paths["enriched"], paths["regional_stats"], fmt, staged=staged
+            aggregate_regions, spark, paths["enriched"], paths["regional_stats"], fmt
         )
         report = pool.submit(
-            publish_report, spark, paths["enriched"], paths["report"], fmt, staged=staged
+            publish_report, spark, paths["enriched"], paths["report"], fmt
         )
         results["regional_stats"] = stats.result()
         results["report"] = report.result()

@@ -63,9 +63,12 @@ def status_metrics(column: str, labels: Mapping[str, str]) -> dict[str, Column]:
     return out
 
 
-def bounded_report(df: DataFrame, columns: list[str], n: int = 20) -> DataFrame:
-    """At most ``n`` rows of the narrow column set, for logging (Q3)."""
-    return df.select(*columns).limit(n)
+REPORT_COLUMNS = ("region", "subregion", "total_countries", "total_population")
+
+
+def region_report(stats: DataFrame) -> DataFrame:
+    """The whole per-group report (Q3): its narrow columns, ordered by group, NULLs first."""
+    return stats.select(*REPORT_COLUMNS).orderBy("region", "subregion")
 
 
 def schema_rows(df: DataFrame) -> list[tuple[str, str, bool]]:

@@ -126,6 +126,10 @@ def oracle_sql() -> dict[str, str]:
         "flagship_group_stats": FLAGSHIP,
         "json_flatten": PROCESSED_DOCS,
         "json_array_flatten": PROCESSED_DOCS,
+        "json_corrupt": f"""
+            SELECT CASE WHEN k % 9 <> 0 THEN country_code_3 END AS cca3,
+                   CASE WHEN k % 9 <> 0 THEN population END AS population, k % 9 <> 0 AS parsed
+            FROM (SELECT CAST(substr(common_name, 10) AS BIGINT) AS k, * FROM ({PROCESSED_DOCS}))""",
         "json_column": (
             "SELECT event_id, event_type, CAST(props->>'$.k' AS BIGINT) AS k FROM events"
         ),
@@ -150,6 +154,12 @@ def oracle_sql() -> dict[str, str]:
         "join_fanout_salted": """
             SELECT o.o_orderkey, o.o_orderstatus, l.l_linenumber, l.l_quantity
             FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""",
+        "join_hot_left": """
+            SELECT l_orderkey, l_linenumber, k, n_name
+            FROM (SELECT l_orderkey, l_linenumber,
+                         CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN l_orderkey % 3 = 1 THEN 7
+                              ELSE l_suppkey % 40 END AS k FROM lineitem)
+            LEFT JOIN nation ON k = n_nationkey""",
         "round_avg": f"""
             SELECT p_brand, {_r('avg(p_retailprice)', 2)} AS avg_price,
                    {_r('avg(p_size)', 3)} AS avg_size
@@ -175,10 +185,31 @@ def oracle_sql() -> dict[str, str]:
         "key_list": "SELECT p_brand AS value, count(*) AS count FROM part GROUP BY p_brand",
         "table_roundtrip": "SELECT * FROM orders",
         "publish_copy": ENRICHED_ORDERS,
-        "typed_rows": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+        "typed_rows": """
+            SELECT o_orderkey, o_orderstatus,
+                   CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
+                   CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
+                   CAST(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS VARCHAR) AS at
+            FROM orders""",
         "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
         "regional_rollup": REGIONAL_ROLLUP,
+        "region_report": f"""
+            SELECT region, subregion, total_countries, total_population FROM ({REGIONAL_ROLLUP})""",
         "country_report": ENRICHED_COUNTRIES,
+        "job_counts": f"""
+            WITH p AS ({PROCESSED_DOCS}), i AS ({ORDER_INDICATORS}), e AS ({ENRICHED_COUNTRIES})
+            SELECT 'processed' AS job, 'rows' AS metric, count(*) AS n FROM p
+            UNION ALL SELECT 'processed', 'corrupt', 0
+            UNION ALL SELECT 'indicators', 'rows', count(*) FROM i
+            UNION ALL SELECT 'indicators', 'keys', count(DISTINCT country_code_3_econ) FROM i
+            UNION ALL SELECT 'indicators', 'max_per_key', max(n) FROM (SELECT count(*) AS n FROM i GROUP BY country_code_3_econ)
+            UNION ALL SELECT 'enriched', 'left_rows', count(*) FROM p
+            UNION ALL SELECT 'enriched', 'right_rows', count(*) FROM i
+            UNION ALL SELECT 'enriched', 'rows', count(*) FROM e
+            UNION ALL SELECT 'enriched', 'developed', count(*) FROM e WHERE development_status = 'Developed'
+            UNION ALL SELECT 'enriched', 'emerging', count(*) FROM e WHERE development_status = 'Emerging'
+            UNION ALL SELECT 'enriched', 'developing', count(*) FROM e WHERE development_status = 'Developing'
+            UNION ALL SELECT 'regional_stats', 'rows', count(*) FROM (SELECT DISTINCT region, subregion FROM e)""",
         "stream_enrich": ENRICHED_COUNTRIES,
         "key_list_indicators": ORDER_INDICATORS,
         "status_distribution": f"""

@@ -71,19 +71,26 @@ def country_documents(spark: SparkSession, sf_dir: str, *, with_key: bool = Fals
     )
 
 
-def write_document_arrays(docs: DataFrame, path: str, per_file: int = 1000) -> None:
+def write_document_arrays(docs: DataFrame, path: str, per_array: int = 1000) -> None:
     """Land documents as files that each hold ONE top-level JSON array.
 
     This is the layout of the reference's raw file, in bounded pieces: at
-    most ``per_file`` documents per array (chunks of ``doc_key``), one file
-    per chunk, so no group grows with the data. ``per_file`` trades the
-    number of files (one read task each) against the size of one array row.
+    most ``per_array`` documents (chunks of ``doc_key``) make an array, and
+    ``maxRecordsPerFile`` starts a new file for each one, all in one folder.
     """
     fields = [c for c in docs.columns if c != "doc_key"]
-    arrays = docs.withColumn("chunk", F.expr(f"doc_key div {int(per_file)}")).groupBy("chunk").agg(
+    arrays = docs.groupBy(F.expr(f"doc_key div {int(per_array)}").alias("chunk")).agg(
         F.to_json(F.collect_list(F.struct(*fields))).alias("value")
     )
-    arrays.repartition("chunk").write.mode("overwrite").partitionBy("chunk").text(path)
+    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
+def broken_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON lines with undeclared extra fields; every ninth line is cut off (column ``value``)."""
+    docs = country_documents(spark, sf_dir, with_key=True)
+    fields = [c for c in docs.columns if c != "doc_key"]
+    line = F.to_json(F.struct(*fields, F.lit("x").alias("undeclared"), F.struct(F.lit(1).alias("deep")).alias("extra")))
+    return docs.select(F.when(F.col("doc_key") % 9 == 0, F.substring(line, 1, 25)).otherwise(line).alias("value"))
 
 
 # Blanks used to pad key-list lines (all removed by str.strip).

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import json
-import os
-import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql import types as T
+from pyspark.sql.types import DataType, StructType
 
 
 class SchemaMismatchError(ValueError):
@@ -25,8 +24,9 @@ def default_format(spark: SparkSession) -> str:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Load a stored table by path."""
-    return spark.read.format(fmt or default_format(spark)).load(path)
+    """Load a stored table by path (S7): its current version, or plain files."""
+    fmt = fmt or default_format(spark)
+    return spark.read.format(fmt).load(path if fmt == "delta" else current_path(spark, path))
 
 
 def typed_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -> DataFrame:
@@ -34,8 +34,28 @@ def typed_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -
     return spark.createDataFrame(list(rows), schema=schema)
 
 
-def _zero(data_type: DataType) -> Column:
-    return F.lit("") if isinstance(data_type, StringType) else F.lit(0).cast(data_type)
+def _zero(kind: DataType) -> Column:
+    """A value of the type that Spark knows to be non-null (never seen in results)."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_zero(f.dataType).alias(f.name) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return F.array().cast(kind)
+    if isinstance(kind, T.MapType):
+        return F.create_map().cast(kind)
+    if isinstance(kind, T.DecimalType):
+        return F.lit(Decimal(0).scaleb(-kind.scale)).cast(kind)
+    if isinstance(kind, T.NumericType):
+        return F.lit(0).cast(kind)
+    plain = {
+        T.BooleanType: "false",
+        T.BinaryType: "X''",
+        T.DateType: "DATE '1970-01-01'",
+        T.TimestampType: "TIMESTAMP_LTZ '1970-01-01 00:00:00'",
+        T.TimestampNTZType: "TIMESTAMP_NTZ '1970-01-01 00:00:00'",
+        T.DayTimeIntervalType: "INTERVAL '0' SECOND",
+        T.YearMonthIntervalType: "INTERVAL '0' MONTH",
+    }
+    return F.expr(plain.get(type(kind), "''")).cast(kind)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -82,61 +102,70 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """Fully qualified URI of ``path`` (scheme and authority filled in)."""
-    if not _has_jvm(spark):
-        return path if "://" in path or path.startswith("file:") else "file:" + os.path.abspath(path)
-    hpath, fs = _hadoop_path(spark, path)
-    return str(fs.makeQualified(hpath).toUri().normalize().toString()).rstrip("/")
-
-
-def _norm_uri(uri: str) -> str:
-    # "file:///x" and "file:/x" name the same file (empty authority)
-    return re.sub(r"^([A-Za-z][\w+.-]*):///", r"\1:/", uri).rstrip("/")
+POINTER = "_current"  # Spark's readers skip names starting with "_"
 
 
-SIDECAR = "_enrichkit_metrics.json"  # Spark's readers skip names starting with "_"
+def current_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds the table's current files.
 
-
-def write_sidecar(spark: SparkSession, table_path: str, metrics: dict) -> bool:
-    """Store small run metrics next to a table's files (inside its folder).
-
-    An overwrite of the table deletes the folder, so a sidecar never outlives
-    the data it describes. Returns False when no JVM gateway is available.
+    ``save_table`` keeps every version in a folder of its own and names the
+    current one in a small pointer file; a folder without a pointer holds the
+    files itself. Append to this folder, not to the table's path.
     """
     if not _has_jvm(spark):
-        return False
-    target, fs = _hadoop_path(spark, f"{table_path.rstrip('/')}/{SIDECAR}")
-    out = fs.create(target, True)
+        return path
+    pointer, fs = _hadoop_path(spark, f"{path.rstrip('/')}/{POINTER}")
+    if not fs.exists(pointer):
+        return path
+    stream = fs.open(pointer)
     try:
-        out.write(bytearray(json.dumps(metrics, sort_keys=True).encode("utf-8")))
+        jvm = spark.sparkContext._jvm
+        name = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
-        out.close()
-    return True
+        stream.close()
+    return f"{path.rstrip('/')}/{name}"
 
 
-def read_sidecar(spark: SparkSession, table_path: str) -> dict | None:
-    """Metrics stored by ``write_sidecar``, or None."""
-    if not _has_jvm(spark):
-        return None
-    target, fs = _hadoop_path(spark, f"{table_path.rstrip('/')}/{SIDECAR}")
-    if not fs.exists(target):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(target)
+def _switch(spark: SparkSession, path: str, version: str) -> None:
+    """Point the table at ``version``: a rename over the old pointer, atomic on HDFS and local disks."""
+    root = path.rstrip("/")
+    fresh, fs = _hadoop_path(spark, f"{root}/{POINTER}.{uuid.uuid4().hex}")
+    target, _ = _hadoop_path(spark, f"{root}/{POINTER}")
+    out = fs.create(fresh, False)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        text = "".join(iter(reader.readLine, None))
+        out.write(bytearray(f"{version}\n".encode()))
     finally:
-        stream.close()
-    return json.loads(text)
+        out.close()
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    try:
+        options = sc._gateway.new_array(hadoop.Options.Rename, 1)
+        options[0] = hadoop.Options.Rename.OVERWRITE
+        context = hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+        context.rename(fs.makeQualified(fresh), fs.makeQualified(target), options)
+    except Exception:  # noqa: BLE001 - object stores without rename: one put replaces the pointer
+        out = fs.create(target, True)
+        try:
+            out.write(bytearray(f"{version}\n".encode()))
+        finally:
+            out.close()
+        fs.delete(fresh, False)
+
+
+def _drop_old(spark: SparkSession, path: str, keep: set[str]) -> None:
+    """Remove the versions and plain files that are neither current nor the one before."""
+    root, fs = _hadoop_path(spark, path)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name != POINTER and name not in keep:
+            fs.delete(status.getPath(), True)
 
 
 def _stored_schema(spark: SparkSession, path: str, fmt: str) -> StructType | None:
     if not path_exists(spark, path):
         return None
     try:
-        return spark.read.format(fmt).load(path).schema
+        return read_table(spark, path, fmt).schema
     except AnalysisException:
         return None
 
@@ -151,49 +180,50 @@ def save_table(
     fmt: str | None = None,
     *,
     overwrite_schema: bool = False,
-    staged: bool = False,
+    check: Callable[[], None] | None = None,
 ) -> None:
     """Replace the whole table at ``path``.
 
-    ``staged=True`` (not for Delta, which commits atomically by itself)
-    writes to a sibling staging folder first and only swaps it into place
-    once the write has succeeded, so a failed or interrupted job leaves the
-    previous table intact. The swap is a delete plus a file-system rename:
-    atomic on HDFS and local disks, a copy on object stores.
+    The new rows go to a version folder of their own; only when all are
+    written (and ``check`` did not raise) the table's pointer is switched to
+    it. A failed or interrupted job leaves the table as it was, there is no
+    moment without a table, no file is copied, and a table may be overwritten
+    with rows read from itself. The version before stays for running readers,
+    older ones are removed. One job writes a table at a time. Delta tables are
+    written by Delta, which commits atomically by itself.
 
     Like an overwrite of a Delta table without ``overwriteSchema``, a write
     that would change column names or types is refused unless
-    ``overwrite_schema``. Writing over a table that ``df`` itself reads is
-    refused before any file is touched (the files would be deleted first).
+    ``overwrite_schema``.
     """
     spark = df.sparkSession
     fmt = fmt or default_format(spark)
     stored = _stored_schema(spark, path, fmt)
-    if stored is not None:
-        if not overwrite_schema and _strip_nullability(stored) != _strip_nullability(df.schema):
-            raise SchemaMismatchError(
-                f"schema of {path} is {stored.simpleString()}, new data has {df.schema.simpleString()}"
-            )
-        if fmt != "delta":  # Delta reads a snapshot, so overwriting an input is safe
-            # input files are already qualified: qualify the target once and
-            # compare strings (no per-file call, even for 100k-file inputs)
-            target = _norm_uri(qualified(spark, path)) + "/"
-            if any(_norm_uri(f).startswith(target) for f in df.inputFiles()):
-                raise ValueError(f"cannot overwrite {path}: it is an input of the data written")
-    writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "delta" and overwrite_schema:
-        writer = writer.option("overwriteSchema", "true")
-    if not staged or fmt == "delta" or not _has_jvm(spark):
+    if stored is not None and not overwrite_schema and _strip_nullability(stored) != _strip_nullability(df.schema):
+        raise SchemaMismatchError(
+            f"schema of {path} is {stored.simpleString()}, new data has {df.schema.simpleString()}"
+        )
+    if fmt == "delta" or not _has_jvm(spark):
+        writer = df.write.format(fmt).mode("overwrite")
+        if fmt == "delta" and overwrite_schema:
+            writer = writer.option("overwriteSchema", "true")
         writer.save(path)
+        if check:
+            check()
         return
-    staging = f"{path.rstrip('/')}._staging-{uuid.uuid4().hex}"
-    writer.save(staging)
-    target, fs = _hadoop_path(spark, path)
-    source, _ = _hadoop_path(spark, staging)
-    if fs.exists(target) and not fs.delete(target, True):
-        raise OSError(f"could not remove the previous table at {path}")
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {staging} to {path}")
+    root = path.rstrip("/")
+    before = current_path(spark, root).removeprefix(root).strip("/")
+    version = f"v-{uuid.uuid4().hex}"
+    try:
+        df.write.format(fmt).save(f"{root}/{version}")
+        if check:
+            check()
+    except Exception:
+        failed, fs = _hadoop_path(spark, f"{root}/{version}")
+        fs.delete(failed, True)
+        raise
+    _switch(spark, root, version)
+    _drop_old(spark, root, {version, before})
 
 
 def publish(
@@ -203,11 +233,8 @@ def publish(
     fmt: str | None = None,
     *,
     overwrite_schema: bool = False,
-    staged: bool = False,
 ) -> DataFrame:
     """Copy a stored table unchanged to a report location (S9); returns the copy."""
     fmt = fmt or default_format(spark)
-    save_table(
-        read_table(spark, source, fmt), target, fmt, overwrite_schema=overwrite_schema, staged=staged
-    )
+    save_table(read_table(spark, source, fmt), target, fmt, overwrite_schema=overwrite_schema)
     return read_table(spark, target, fmt)

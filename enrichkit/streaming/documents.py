@@ -34,13 +34,19 @@ def read_document_stream(
     return reader.json(json_dir)
 
 
+#: Indicator rows of one code from which on the code is dealt over several tasks.
+SKEW_THRESHOLD = 1_000_000
+
+
 def enrich_stream(
-    raw: DataFrame, indicators: DataFrame, *, skew_threshold: int | None = None
+    raw: DataFrame, indicators: DataFrame, *, skew_threshold: int | None = SKEW_THRESHOLD
 ) -> DataFrame:
     """Streaming counterpart of E1 + E3 (flatten, density, join, classify).
 
-    The indicator table is static, so hot codes can be found once up front
-    and the salted join applies to every micro-batch (``skew_threshold``).
+    The indicator table is static, so hot codes are found once up front and
+    dealt over several tasks in every micro-batch, where Spark's adaptive
+    execution, and with it its skew join, is off. Documents without a code
+    are spread by a hash of the row then.
     """
     joined = left_enrich(
         flatten_countries(raw),
@@ -62,7 +68,7 @@ def start_enrichment(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
-    skew_threshold: int | None = None,
+    skew_threshold: int | None = SKEW_THRESHOLD,
 ) -> StreamingQuery:
     """Start the enrichment stream into a parquet table at ``out_path``.
 

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from enrichkit.plans import jobs
 from enrichkit.plans.metrics import (
     StageError,
-    bounded_report,
     observe,
     preview,
+    region_report,
     schema_rows,
     stage,
     status_metrics,
 )
-from enrichkit.sources.tables import read_table
+from enrichkit.sources.tables import current_path, read_table
 
 
 def test_observe_counts_in_same_pass(spark, tmp_table):
@@ -39,7 +39,6 @@ def test_stage_error_keeps_name_and_cause():
 
 def test_reports(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
-    assert bounded_report(df, ["v"], 5).count() == 5
     assert [r.id for r in preview(df, 3, order_by=["id"]).collect()] == [0, 1, 2]
     assert preview(df, 10).count() == 10
     assert schema_rows(df) == [("id", "bigint", False), ("v", "bigint", False)]
@@ -68,7 +67,6 @@ def test_run_all_end_to_end(spark, tmp_table):
         f.write("\n".join(CODES))
     res = jobs.run_all(
         spark, os.path.join(base, "docs"), os.path.join(base, "codes"), os.path.join(base, "out"),
-        staged=True,
     )
     assert res["processed"].metrics["rows"] == 4
     assert res["indicators"].metrics["rows"] == 4  # duplicates kept, blanks dropped
@@ -177,10 +175,8 @@ def test_run_all_with_hot_codes_equals_plain(spark, tmp_table):
     assert out[3] == out[None] and sum(out[3].values()) == 12
 
 
-def test_standalone_enrich_uses_indicator_sidecar(spark, tmp_table):
-    from enrichkit.sources.tables import read_sidecar
-
-    base = tmp_table("side_job").replace("file:", "")
+def test_standalone_enrich_finds_hot_codes_itself(spark, tmp_table):
+    base = tmp_table("alone_job").replace("file:", "")
     os.makedirs(os.path.join(base, "docs"))
     os.makedirs(os.path.join(base, "codes"))
     with open(os.path.join(base, "docs", "d.json"), "w") as f:
@@ -189,16 +185,48 @@ def test_standalone_enrich_uses_indicator_sidecar(spark, tmp_table):
         f.write("\n".join(CODES))
     jobs.process_documents(spark, os.path.join(base, "docs"), os.path.join(base, "p"))
     ind = jobs.build_indicators(spark, os.path.join(base, "codes"), os.path.join(base, "i"), hot_threshold=2)
-    side = read_sidecar(spark, ind.path)
-    assert side["hot_threshold"] == 2 and side["hot_keys"] == 1 and side["rows"] == 4
-    # BBB is hot at threshold 2: the salted path runs and the result is exact
+    assert ind.metrics["hot_keys"] == 1
+    # rows appended behind the indicator job's back are counted, too
+    extra = read_table(spark, ind.path).filter("country_code_3_econ = 'AAA'")
+    extra.write.mode("append").parquet(current_path(spark, ind.path))
     res = jobs.enrich(spark, os.path.join(base, "p"), ind.path, os.path.join(base, "e"), skew_threshold=2)
-    assert res.metrics["rows"] == 5
-    # at the default threshold nothing is hot: detection is skipped, same rows
-    ind2 = jobs.build_indicators(spark, os.path.join(base, "codes"), os.path.join(base, "i2"))
-    assert read_sidecar(spark, ind2.path)["hot_keys"] == 0
-    res2 = jobs.enrich(spark, os.path.join(base, "p"), ind2.path, os.path.join(base, "e2"))
-    assert res2.metrics["rows"] == 5
+    assert res.metrics["rows"] == 6
+
+
+INDENTED = json.dumps(DOCS, indent=4)
+
+
+def test_indented_array_without_multi_line_fails_and_keeps_the_table(spark, tmp_table):
+    base = tmp_table("indented").replace("file:", "")
+    os.makedirs(os.path.join(base, "docs"))
+    with open(os.path.join(base, "docs", "d.json"), "w") as f:
+        f.write(INDENTED)
+    docs, out = os.path.join(base, "docs"), os.path.join(base, "p")
+    res = jobs.process_documents(spark, docs, out, multi_line=True)
+    assert res.metrics == {"rows": 4, "corrupt": 0}
+    with pytest.raises(StageError, match="multi_line=True"):
+        jobs.process_documents(spark, docs, out)
+    assert read_table(spark, out).count() == 4
+
+
+def test_broken_lines_are_counted(spark, tmp_table):
+    base = tmp_table("broken").replace("file:", "")
+    os.makedirs(os.path.join(base, "docs"))
+    with open(os.path.join(base, "docs", "d.json"), "w") as f:
+        f.write("\n".join([json.dumps(DOCS[0]), "{broken", json.dumps(DOCS[1])]))
+    docs, out = os.path.join(base, "docs"), os.path.join(base, "p")
+    assert jobs.process_documents(spark, docs, out).metrics == {"rows": 3, "corrupt": 1}
+    assert jobs.process_documents(spark, docs, out, mode="DROPMALFORMED").metrics["rows"] == 2
+    with pytest.raises(StageError):
+        jobs.process_documents(spark, docs, out, mode="FAILFAST")
+    assert read_table(spark, out).count() == 2
+
+
+def test_region_report_is_whole_and_ordered(spark):
+    rows = [("b", "x", 1, 2), (None, "y", 3, None), ("a", None, 5, 6), ("a", "z", 7, 8)]
+    df = spark.createDataFrame(rows, "region string, subregion string, total_countries int, total_population int")
+    got = [tuple(r) for r in region_report(df.withColumn("more", F.lit(1))).collect()]
+    assert got == [(None, "y", 3, None), ("a", None, 5, 6), ("a", "z", 7, 8), ("b", "x", 1, 2)]
 
 
 def test_concurrent_jobs_keep_their_own_metrics(spark, tmp_table):

@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as ent
+from enrichkit.plans import catalog, oracle
 from enrichkit.plans.tables import TABLES
 
 from .conftest import SF_SMALL
@@ -38,10 +38,10 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(ent.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    got = _rows(ent.queries()[name](spark, SF_SMALL).toPandas())
-    want = _rows(duck.sql(ent.oracle_sql()[name]).df())
+    got = _rows(catalog.queries()[name](spark, SF_SMALL).toPandas())
+    want = _rows(duck.sql(oracle.oracle_sql()[name]).df())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]

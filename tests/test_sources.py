@@ -48,12 +48,12 @@ def test_save_read_roundtrip_and_schema_guard(spark, tmp_table):
     assert read_table(spark, path).columns == ["x"]
 
 
-def test_overwrite_of_own_input_is_refused(spark, tmp_table):
+def test_overwrite_of_own_input(spark, tmp_table):
     path = tmp_table("self")
     save_table(spark.createDataFrame([(1,)], "x int"), path)
-    with pytest.raises(ValueError, match="input"):
+    for n in (2, 3, 4):
         save_table(read_table(spark, path).withColumn("x", F.col("x") + 1), path)
-    assert read_table(spark, path).first()["x"] == 1
+        assert [r.x for r in read_table(spark, path).collect()] == [n]
 
 
 def test_publish_copies_unchanged(spark, tmp_table):
@@ -82,33 +82,57 @@ def test_conform_casts(spark):
     assert out.schema == schema and tuple(out.first()) == (1, 2.0)
 
 
-def test_staged_overwrite_keeps_old_table_on_failure(spark, tmp_table):
-    path = tmp_table("staged")
-    save_table(spark.createDataFrame([(1,), (2,)], "x int"), path, staged=True)
-    assert sorted(r.x for r in read_table(spark, path).collect()) == [1, 2]
+def test_failed_overwrite_keeps_the_table(spark, tmp_table):
+    path = tmp_table("failing")
+    save_table(spark.createDataFrame([(1,), (2,)], "x int"), path)
     bad = spark.createDataFrame([(0,)], "x int").select(
         F.when(F.col("x") == 0, F.raise_error(F.lit("boom"))).otherwise(F.col("x")).cast("int").alias("x")
     )
     with pytest.raises(Exception, match="boom"):
-        save_table(bad, path, staged=True)
-    assert sorted(r.x for r in read_table(spark, path).collect()) == [1, 2]  # untouched
-    save_table(spark.createDataFrame([(3,)], "x int"), path, staged=True)
+        save_table(bad, path)
+
+    def refuse():
+        raise ValueError("not these rows")
+
+    with pytest.raises(ValueError, match="not these rows"):
+        save_table(spark.createDataFrame([(9,)], "x int"), path, check=refuse)
+    assert sorted(r.x for r in read_table(spark, path).collect()) == [1, 2]
+    local = path.replace("file:", "")
+    versions = lambda: [d for d in os.listdir(local) if d.startswith("v-")]
+    assert len(versions()) == 1  # nothing is left of the failed writes
+    reader = read_table(spark, path)
+    save_table(spark.createDataFrame([(3,)], "x int"), path)
     assert [r.x for r in read_table(spark, path).collect()] == [3]
-    parent = os.path.dirname(path.replace("file:", ""))
-    name = os.path.basename(path)
-    leftovers = [d for d in os.listdir(parent) if d.startswith(name + "._staging-")]
-    # the failed attempt's staging folder may remain; successful ones are moved
-    assert len(leftovers) <= 1
+    assert sorted(r.x for r in reader.collect()) == [1, 2]  # the version before stays for its readers
+    save_table(spark.createDataFrame([(4,)], "x int"), path)
+    assert len(versions()) == 2
 
 
-def test_sidecar_metrics_live_and_die_with_the_table(spark, tmp_table):
-    from enrichkit.sources.tables import read_sidecar, write_sidecar
+def test_plain_files_become_a_versioned_table(spark, tmp_table):
+    path = tmp_table("plain")
+    spark.createDataFrame([(1,)], "x int").write.parquet(path)
+    assert [r.x for r in read_table(spark, path).collect()] == [1]
+    save_table(read_table(spark, path).withColumn("x", F.col("x") + 1), path)
+    assert [r.x for r in read_table(spark, path).collect()] == [2]
+    assert sorted(os.listdir(path.replace("file:", "")))[0].startswith((".", "_current"))
 
-    path = tmp_table("side")
-    save_table(spark.createDataFrame([(1,)], "x int"), path)
-    assert read_sidecar(spark, path) is None
-    assert write_sidecar(spark, path, {"hot_keys": 0, "rows": 1})
-    assert read_sidecar(spark, path) == {"hot_keys": 0, "rows": 1}
-    assert read_table(spark, path).count() == 1  # the reader ignores the sidecar
-    save_table(spark.createDataFrame([(2,)], "x int"), path)
-    assert read_sidecar(spark, path) is None  # overwritten with the table
+
+@pytest.mark.parametrize(
+    "kind",
+    "STRING BOOLEAN TINYINT SMALLINT INT BIGINT FLOAT DOUBLE DECIMAL(10,2) DECIMAL(38,18) DECIMAL(5,5) DATE TIMESTAMP "
+    "TIMESTAMP_NTZ BINARY ARRAY<INT> MAP<STRING,DOUBLE> STRUCT<a:INT,b:ARRAY<DATE>>".split()
+    + ["INTERVAL DAY TO SECOND", "INTERVAL YEAR TO MONTH"],
+)
+def test_conform_not_null_of_every_type(spark, kind):
+    schema = StructType.fromDDL(f"k INT, v {kind} NOT NULL")
+    value = {"STRUCT<a:INT,b:ARRAY<DATE>>": "named_struct('a', 1, 'b', array(DATE '2020-01-02'))", "ARRAY<INT>": "array(1)",
+             "MAP<STRING,DOUBLE>": "map('a', 1.5D)", "DATE": "DATE '2020-01-02'", "BINARY": "X'01'", "BOOLEAN": "true",
+             "TIMESTAMP": "TIMESTAMP '2020-01-02 03:04:05'", "TIMESTAMP_NTZ": "TIMESTAMP_NTZ '2020-01-02 03:04:05'",
+             "INTERVAL DAY TO SECOND": "INTERVAL '1 02:03:04' DAY TO SECOND",
+             "INTERVAL YEAR TO MONTH": "INTERVAL '1-2' YEAR TO MONTH"}.get(kind, "0.5" if "5,5" in kind else "7")
+    good = spark.range(1).selectExpr("CAST(id AS INT) AS k", f"CAST({value} AS {kind}) AS v")
+    out = conform(good, schema)
+    assert out.schema == schema and out.count() == 1
+    assert out.select(F.to_json(F.struct("v"))).first() == good.select(F.to_json(F.struct("v"))).first()
+    with pytest.raises(Exception, match="NOT NULL"):
+        conform(good.withColumn("v", F.lit(None).cast(kind)), schema).collect()
