@@ -124,7 +124,7 @@ def compiled(counts: dict) -> dict:
     contexts = sorted({c for tree in counts.values() for c in tree if c[0] > 1})
     rows = {c: i + 1 for i, c in enumerate(contexts)}  # row 0 is the empty context
     table = np.empty((len(contexts) + 1, 256, max(len(langs), 1)), np.float32)
-    order0 = np.empty((256, max(len(langs), 1)))
+    order0 = np.full((256, max(len(langs), 1)), 8.0)
     for k, lang in enumerate(langs):
         order0[:, k] = _lengths(counts[lang].get((1, 0), {}), np.full(256, 8.0))
     table[0] = order0

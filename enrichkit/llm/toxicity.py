@@ -7,12 +7,12 @@ voters fire on shouting, runs of exclamation marks, stretched letters, direct
 address, insults after "you" and several different insults. Each voter fires
 or abstains.
 
-Label model: a two-class generative model. EM over the training sample
-estimates the class balance and, for each voter, how often it fires in either
-class (its accuracy); the gold label takes part as one more voter, also with
-errors. From the posteriors the model then estimates the correlation of every
-pair of voters within the classes; a voter's evidence is divided by the sum
-of its correlations, so voters that repeat each other count once.
+Label model: a two-class generative model. It starts from the gold labels
+and estimates the correlation of every pair of voters within the classes; a
+voter's evidence is divided by the sum of its correlations, so voters that
+repeat each other count once. EM over the training sample then estimates the
+class balance and, for each voter, how often it fires in either class (its
+accuracy); the gold label takes part as one more voter, also with errors.
 
 Classifier: logistic regression on the same votes plus their share among the
 words, fitted to the posterior labels. It never sees label, language, source
@@ -160,7 +160,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> tuple[
         prior = np.clip(post.mean(), 0.01, 0.99)
         rate1 = (post @ seen + 0.5) / (post.sum() + 1)
         rate0 = ((1 - post) @ seen + 0.5) / ((1 - post).sum() + 1)
-        if step in (rounds // 3, 2 * rounds // 3):
+        if step == 0:  # while the posteriors are the gold labels and no voter has taken over a class
             rest = seen - np.outer(post, rate1) - np.outer(1 - post, rate0)
             cov = rest.T @ rest / len(rest)
             dev = np.sqrt(np.maximum(np.diag(cov), 1e-9))

@@ -1,0 +1,72 @@
+import re
+
+from pyspark.sql import functions as F
+
+from enrichkit.llm import license_scan as ls
+
+from .edge import ROWS, frame
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+
+
+def shingles(text):
+    w = words(text)
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(text):
+    held = shingles(text)
+    found = {k: len(held & shingles(t)) / len(shingles(t)) for k, t in ls.TEMPLATES.items()}
+    return {k: v for k, v in found.items() if v >= 0.8}
+
+
+def texts():
+    filler = "lorem ipsum dolor sit amet " * 30
+    out = []
+    for name, text in ls.TEMPLATES.items():
+        w = text.split()
+        out += [text, filler + text + filler, text.upper().replace(" ", "\n"), " ".join(w[: len(w) // 2]), " ".join(w[2:])]
+        for step in (12, 20, 40):  # scattered edits
+            out.append(" ".join("changed" if i % step == 7 else x for i, x in enumerate(w)))
+        for cut in range(0, len(w), 9):  # one missing stretch, at any place
+            out.append(filler + " ".join(w[:cut] + w[cut + max(1, len(w) // 12) :]))
+        del name
+    return out
+
+
+def run(df, **options):
+    return [(r["row"], {m["template"]: m["containment"] for m in r["matches"]}, r["n_words"]) for r in ls.licenses(df, **options).collect()]
+
+
+def test_templates_and_edits_against_brute_force(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string")
+    some = 0
+    for row, found, n in run(df):
+        assert found == brute(row["text"]) and n == len(words(row["text"]))
+        some += bool(found)
+    assert some > 40
+
+
+def test_edge_cases(spark):
+    got = run(frame(spark))
+    assert len(got) == len(ROWS) and all(found == {} for _, found, _ in got)
+    assert run(frame(spark, [])) == []
+    assert all(found == {} for _, found, _ in run(frame(spark), templates={}))
+
+
+def test_short_template_is_its_whole_word_sequence(spark):
+    got = run(frame(spark), templates={"tiny": "One", "none": "?"})
+    assert [row["doc_id"] for row, found, _ in got if found] == [13]
+
+
+def test_collision_probability():
+    assert ls.collision_probability(1.0) == 1.0
+    assert ls.collision_probability(0.5, windows=3) > 0.999
+
+
+def test_one_map_pass_without_python_or_shuffle(spark):
+    df = ls.licenses(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).select(F.size("matches"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
