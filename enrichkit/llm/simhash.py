@@ -216,10 +216,12 @@ def _node_pairs(levels: list[DataFrame], bits: list[int], budgets: list[int]) ->
     """
     spark = levels[0].sparkSession
     node = "struct<bits:int,prefix:bigint,leaf:boolean>"
-    root = "named_struct('bits', 0, 'prefix', 0L, 'leaf', false)"
-    open_ = spark.range(1).select(F.expr(f"CAST({root} AS {node})").alias("a"), F.expr(f"CAST({root} AS {node})").alias("b"))
-    closed = []
-    for level, b in zip(levels, bits, strict=True):
+    top = sorted((bits[0], r["prefix"], r["leaf"]) for r in levels[0].collect())  # at most 2 ** STEP nodes
+    first = [(x, y) for i, x in enumerate(top) for y in top[i:] if (x[1] ^ y[1]).bit_count() <= budgets[0]]
+    pairs = spark.createDataFrame(first, f"a {node}, b {node}")
+    closed = [pairs.filter("a.leaf and b.leaf")]
+    open_ = pairs.filter("not (a.leaf and b.leaf)")
+    for level, b in zip(levels[1:], bits[1:], strict=True):
         children = level.select(
             _up("prefix").alias("parent"),
             F.struct(F.lit(b).alias("bits"), "prefix", "leaf").cast(node).alias("node"),
