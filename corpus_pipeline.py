@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from enrichkit.llm import decontaminate, line_dedup, packing, simhash, token_count, toxicity
+from enrichkit.llm import decontaminate, line_dedup, queries, simhash, toxicity
 from enrichkit.llm._common import table, written
-from enrichkit.llm.queries import tokenizer_path
 
 
 def toxic_documents_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +38,7 @@ def contaminated_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: every remaining document gets its bucket, batch and slot."""
-    counted = token_count.token_counts(docs, tokenizer_path(), keep=["doc_id"])
-    return packing.pack(counted.select("row.doc_id", "out.n_tokens"))
+    return queries.packed(docs)
 
 
 STAGES = [

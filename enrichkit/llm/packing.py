@@ -25,11 +25,12 @@ place in the written table; null ids are dealt by that place.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shuffle_width
-from ._common import written
+from ._common import arrow_pass, col, written
 
 
 def best_boundaries(lengths: np.ndarray, counts: np.ndarray, n_buckets: int) -> list[int]:
@@ -61,6 +62,39 @@ def best_boundaries(lengths: np.ndarray, counts: np.ndarray, n_buckets: int) ->
     return bounds[::-1]
 
 
+def token_lengths(
+    docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, n_tokens) by the tokenizer's own library, as the batches need no count by transducers.
+
+    ``ranks_path`` is a byte-BPE file of the tiktoken library, ``pattern`` its
+    pre-token pattern; both are read on the driver (fixed size) and broadcast.
+    """
+    with open(ranks_path, "rb") as f:
+        shared = docs.sparkSession.sparkContext.broadcast({"lines": f.read(), "pattern": pattern})
+
+    def make():
+        tables = shared.value
+        if "encoding" not in tables:  # once in each Python worker
+            import base64
+
+            import tiktoken
+
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, tables["lines"].splitlines())}
+            tables["encoding"] = tiktoken.Encoding(
+                "packing", pat_str=tables["pattern"], mergeable_ranks=ranks, special_tokens={}
+            )
+        encode = tables["encoding"].encode_ordinary
+
+        def run(texts: pa.Array) -> list:
+            return [[len(encode(t)) if t else 0 for t in texts.to_pylist()]]
+
+        return run
+
+    made = arrow_pass(docs, [id_col], {"text": col(text_col).cast("string")}, make, "n long")
+    return made.select(F.col("row")[id_col].alias("doc_id"), F.col("out.n").alias("n_tokens"))
+
+
 def _rounded(n: Column, multiple: int) -> Column:
     return (F.ceil(n / multiple) * multiple).cast("long")
 

@@ -60,9 +60,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "out.n_bytes", "out.n_tokens", (n > 1024).alias("over_limit"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack(packing.token_lengths(docs, path, public_tokenizers.PATTERN))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
-    return packing.pack(counted.select("row.doc_id", "out.n_tokens"))
+    return packed(table(spark, sf_dir, "documents"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from hypothesis import strategies as st
 
 from enrichkit.llm import packing
 
+from .edge import frame, tuples
+
 
 def padding(lengths, bounds):
     return sum(min(b for b in bounds if b >= x) - x for x in lengths)
@@ -53,3 +55,15 @@ def test_empty_table_and_empty_texts(spark):
     assert packing.pack(none).count() == 0
     rows = [(i, 0) for i in range(20)]
     check(rows, packing.pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), max_tokens=8).collect(), 8)
+
+
+def test_token_lengths_are_the_librarys(spark):
+    import public_tokenizers as tokenizers
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path("byte_bpe_50k.tiktoken")
+    df = frame(spark)
+    got = tuples(packing.token_lengths(df, path, tokenizers.PATTERN), "doc_id", "n_tokens")
+    lib = Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json"))
+    assert got == sorted(((r["doc_id"], len(lib.encode(r["text"] or "").ids)) for r in df.collect()), key=repr)
+    assert packing.token_lengths(frame(spark, []), path, tokenizers.PATTERN).count() == 0
