@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .license_scan import SHINGLE, SIMILARITY, TEMPLATES
+
 #: A document word list; the class is that of the contract.
 _WORDS = (
     "regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -46,5 +48,79 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP4 = f"""
+WITH doc AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), line AS (
+  SELECT doc_id, i, lines[i] AS line, translate(trim(lines[i], {_SPACES}), {_LOWER}) AS key
+  FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i FROM doc)
+), repeat AS (
+  SELECT key, max(doc_id) AS keep_id FROM line WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT line.*, repeat.key IS NOT NULL AND doc_id <> keep_id AS dropped FROM line LEFT JOIN repeat USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def _op7() -> str:
+    names = ", ".join(f"('{k}', '{v.replace(chr(39), chr(39) * 2)}')" for k, v in sorted(TEMPLATES.items()))
+    words = "regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    shingles = "unnest(generate_series(1, greatest(1, len(w) - {k} + 1))) AS i".format(k=SHINGLE)
+    shingle = f"array_to_string(w[i : i + {SHINGLE} - 1], ' ')"
+    return f"""
+WITH template AS (
+  SELECT DISTINCT id, {shingle} AS s
+  FROM (SELECT id, w, {shingles} FROM (SELECT id, {words} AS w FROM (VALUES {names}) t(id, text)))
+), size AS (
+  SELECT id, count(*) AS n FROM template GROUP BY id
+), doc AS (
+  SELECT doc_id, {words} AS w FROM documents
+), held AS (
+  SELECT DISTINCT doc_id, s FROM (SELECT doc_id, {shingle} AS s FROM (SELECT doc_id, w, {shingles} FROM doc WHERE len(w) > 0))
+  WHERE s IN (SELECT s FROM template)
+), found AS (
+  SELECT doc_id, id, count(*) / any_value(n)::DOUBLE AS c
+  FROM held JOIN template USING (s) JOIN size USING (id) GROUP BY doc_id, id HAVING count(*) >= {SIMILARITY} * any_value(n)
+), each AS (
+  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids, max(c) AS c FROM found GROUP BY doc_id
+)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_licenses,
+  coalesce(ids, '') AS licenses, coalesce(c, 0.0)::DOUBLE AS containment
+FROM doc LEFT JOIN each USING (doc_id)
+"""
+
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST(('0x' || substr(h, {5 * g + 1}, 5)) AS BIGINT) // {32**p}) % 32 AS INTEGER), 1)"
+    for g in range(8)
+    for p in (3, 2, 1, 0)
+)
+
+OP9 = f"""
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+), judged AS (
+  SELECT *, max(page_id) OVER (PARTITION BY body) AS first_id FROM page
+)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op2_exact_dedup": OP2}
+    return {
+        "op1_decontamination": OP1,
+        "op2_exact_dedup": OP2,
+        "op4_line_dedup": OP4,
+        "op7_license_scan": _op7(),
+        "op9_warc": OP9,
+    }
