@@ -7,6 +7,7 @@ belongs to the deployment and is passed through ``extra``.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -93,6 +94,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the checkpoint root for intermediate tables."""
-    return os.path.join(checkpoint_root(spark), "enrichkit", f"{name}-{uuid.uuid4().hex}")
+    """A new, unique path under the checkpoint root for intermediate tables.
+
+    Results read these tables lazily, so they stay until ``clear_scratch``,
+    which also runs when the program ends with its session still open.
+    """
+    if not _made:
+        atexit.register(_clear_at_exit)
+    path = os.path.join(checkpoint_root(spark), "enrichkit", f"{name}-{uuid.uuid4().hex}")
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove every scratch folder of this program; results not yet read are lost. Returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
+
+
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        clear_scratch(spark)
