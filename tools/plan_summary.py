@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as ent  # noqa: E402
+from enrichkit.plans import catalog  # noqa: E402
 from enrichkit.session import get_session  # noqa: E402
 
 JOINS = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct")
@@ -57,7 +57,7 @@ def main() -> None:
     print(f"Generated by `tools/plan_summary.py` at `{os.path.basename(sf_dir)}`, Spark 4.1.2, ")
     print("8 shuffle partitions, AQE on (plans before run-time re-planning). Queries that")
     print("write intermediate tables show the plan of their final read only.\n")
-    for name, fn in ent.queries().items():
+    for name, fn in catalog.queries().items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         print(f"## {name}\n")
