@@ -11,8 +11,8 @@ Two deterministic transducers are built from the tokenizer file:
   the change of the token count. Byte-pair merges are local: a token sequence
   is the tokenizer's own exactly if every adjacent pair is, so after each byte
   just one last token is possible. A state holds the open trie positions with
-  the token before each of them; states and transitions are made on first use
-  and dropped together when there are ``MAX_STATES`` of them.
+  the token before each of them. States and transitions are compiled on first
+  use, up to ``MAX_STATES``; a rare word that needs more runs on uncompiled.
 
 Special strings of the tokenizer inside a text count as one token each, as
 the tokenizer's own library has it by default.
@@ -38,8 +38,9 @@ from pyspark.sql import DataFrame
 
 from ._common import arrow_pass, col
 
-MAX_STATES = 60_000
-MAX_WORDS = 400_000
+MAX_STATES = 100_000
+MAX_PAIRS = 1_000_000
+MAX_WORDS = 600_000
 CHUNK = 512
 WINDOW = 1 << 21
 
@@ -122,13 +123,16 @@ def load_tokenizer(path: str) -> dict:
 
 
 class Merger:
-    """The merge transducer; ``count(word)`` runs it over the bytes of a pre-token."""
+    """The merge transducer; ``count(word)`` runs it over the bytes of a pre-token.
+
+    An item of a state is (trie node, token before it, tokens up to there
+    less the tokens up to the last byte).
+    """
 
     def __init__(self, tokens: dict[int, bytes], merges: list[tuple[int, int, int]]):
         self.byte = {t[0]: i for i, t in tokens.items() if len(t) == 1}
         self.pair = {(a, b): (rank, c) for rank, (a, b, c) in enumerate(merges)}
         self.parts = {c: (rank, a, b) for rank, (a, b, c) in enumerate(merges)}
-        self.bytes_of = tokens
         self.child: dict[int, int] = {}
         self.ends = [-1]
         for i, t in tokens.items():
@@ -139,35 +143,28 @@ class Merger:
                     self.child[key] = len(self.ends)
                     self.ends.append(-1)
                 node = self.child[key]
-            self.ends[node] = i
-        self.grows = {key >> 8 for key in self.child}
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.own: dict[int, bool] = {}
-        self.forget()
-
-    def forget(self) -> None:
+            if len(t) == 1 or self.merged(t) == [i]:  # else the token never comes out
+                self.ends[node] = i
+        self.grows = bytearray(len(self.ends))
+        for key in self.child:
+            self.grows[key >> 8] = 1
+        self.fits: dict[int, bool] = {}
         start = ((0, -1, 0),)
         self.items = [start]
         self.known = {start: 0}
-        self.moves: list[dict[int, tuple[int, int]]] = [{}]
+        self.moves: dict[int, tuple[int, int]] = {}
 
     def merged(self, data: bytes) -> list[int]:
-        """The merges carried out one by one (used once per vocabulary token)."""
+        """The merges carried out one by one (once per vocabulary token)."""
         parts = [self.byte[b] for b in data]
         while len(parts) > 1:
-            best = min(((self.pair[p][0], i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if p in self.pair), default=None)
-            if best is None:
+            ranks = [(self.pair[p][0], i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if p in self.pair]
+            if not ranks:
                 break
-            i = best[1]
+            i = min(ranks)[1]
             parts[i : i + 2] = [self.pair[parts[i], parts[i + 1]][1]]
         return parts
 
-    def stands(self, token: int) -> bool:
-        """Whether the token's bytes merge to the token itself."""
-        if token not in self.own:
-            self.own[token] = self.merged(self.bytes_of[token]) == [token]
-        return self.own[token]
-
     def adjoin(self, left: int, right: int) -> bool:
         """Whether ``left`` and ``right`` stay two tokens side by side.
 
@@ -175,15 +172,13 @@ class Merger:
         across the seam must not have come before the one that used up
         either neighbour.
         """
-        key = (left, right)
-        if key in self.fits:
-            return self.fits[key]
-        pieces = len(self.pair)
-        used_left = used_right = pieces  # rank of the merge that used up the piece
+        key = left << 20 | right
+        never = len(self.pair)
+        used_left = used_right = never  # rank of the merge that used up the piece
         good = True
         while True:
             across = self.pair.get((left, right))
-            if across and across[0] < used_left and across[0] <= used_right and across[0] < pieces:
+            if across and across[0] < used_left and across[0] <= used_right:
                 good = False
                 break
             by_left, by_right = self.parts.get(left), self.parts.get(right)
@@ -193,44 +188,57 @@ class Merger:
                 used_left, left = by_left[0], by_left[2]
             else:
                 used_right, right = by_right[0], by_right[1]
+        if len(self.fits) >= MAX_PAIRS:
+            self.fits.clear()
         self.fits[key] = good
         return good
 
-    def step(self, state: int, byte: int) -> tuple[int, int]:
-        open_, done = [], None
-        for node, last, ahead in self.items[state]:
-            node = self.child.get(node << 8 | byte, -1)
-            if node < 0:
+    def advance(self, items: tuple, byte: int) -> tuple[tuple, int]:
+        """The items after one more byte and the change of the token count."""
+        child, ends, grows, fits = self.child, self.ends, self.grows, self.fits
+        open_ = []
+        token, change = -1, 0
+        for node, last, ahead in items:
+            node = child.get(node << 8 | byte)
+            if node is None:
                 continue
-            open_.append((node, last, ahead))
-            token = self.ends[node]
-            if done is None and token >= 0 and self.stands(token) and (last < 0 or self.adjoin(last, token)):
-                done = (token, ahead + 1)
-        token, change = done
-        items = (*((n, t, a - change) for n, t, a in open_ if n in self.grows), (0, token, 0))
-        if items not in self.known:
-            self.known[items] = len(self.items)
-            self.items.append(items)
-            self.moves.append({})
-        move = self.moves[state][byte] = (self.known[items], change)
-        return move
+            if token < 0:
+                end = ends[node]
+                if end >= 0:
+                    fit = last < 0 or fits.get(last << 20 | end)
+                    if fit is None:
+                        fit = self.adjoin(last, end)
+                    if fit:
+                        token, change = end, ahead + 1
+            if grows[node]:
+                open_.append((node, last, ahead))
+        if change:
+            open_ = [(n, t, a - change) for n, t, a in open_]
+        open_.append((0, token, 0))
+        return tuple(open_), change
 
     def count(self, word: bytes) -> int:
-        if len(self.items) > MAX_STATES:
-            self.forget()
-        if len(self.fits) > 4 * MAX_STATES:
-            self.fits.clear()
         state = total = 0
-        for byte in word:
-            move = self.moves[state].get(byte) or self.step(state, byte)
-            state, change = move
-            total += change
-            if len(self.items) > 2 * MAX_STATES:  # one very long word
-                items = self.items[state]
-                self.forget()
-                self.items.append(items)
-                self.moves.append({})
-                self.known[items] = state = 1
+        for i, byte in enumerate(word):
+            move = self.moves.get(state << 8 | byte)
+            if move is None:
+                items, change = self.advance(self.items[state], byte)
+                total += change
+                to = self.known.get(items)
+                if to is None:
+                    if len(self.items) >= MAX_STATES:  # the rest without compiling it
+                        for b in word[i + 1 :]:
+                            items, change = self.advance(items, b)
+                            total += change
+                        return total
+                    to = self.known[items] = len(self.items)
+                    self.items.append(items)
+                if len(self.moves) < 4 * MAX_STATES:
+                    self.moves[state << 8 | byte] = (to, change)
+                state = to
+            else:
+                state, change = move
+                total += change
         return total
 
 
