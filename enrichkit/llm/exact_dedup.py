@@ -12,8 +12,9 @@ The state is then joined with the documents by digest (ids and digests move,
 texts do not). Full bytes are checked on every hit: for each digest with more
 than one row, the smallest and the largest text must be the same bytes. Both
 come from a map-side combined aggregate, so a group holding a third of all
-rows costs one row per task. Digests whose texts differ are grouped by the
-full text instead.
+rows costs one row per task. A broadcast bitmap of fixed size keeps the texts
+without a copy from moving. Digests whose texts differ are grouped by the full
+text instead.
 
 Defined cases: null and empty texts are equal. Of equal texts the row with
 the largest id stays; null ids rank lowest; of equal ids the row with the
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ._common import col, written
 
+#: Bits of the broadcast filter of digests with more than one row (8 MB).
+HIT_BITS = 1 << 26
 _STATE = "spark.sql.streaming.stateStore."
 #: The store of the keyed state; many small partitions must not preallocate log files.
 STORE_CONF = {
@@ -94,7 +97,7 @@ def keyed_state(
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     if not run.recentProgress and spark.read.schema(schema).parquet(path).isEmpty():
-        return state_schema(spark, schema, id_col)
+        return _no_groups(spark, schema, id_col)
     stored = spark.read.format("statestore").load(checkpoint)
     fields = stored.schema["value"].dataType.fieldNames()
     return stored.select(
@@ -104,7 +107,7 @@ def keyed_state(
     )
 
 
-def state_schema(spark: SparkSession, schema, id_col: str) -> DataFrame:
+def _no_groups(spark: SparkSession, schema, id_col: str) -> DataFrame:
     kind = schema[id_col].dataType.simpleString()
     return spark.createDataFrame([], f"digest string, n long, who struct<id:{kind},file:string,at:bigint>")
 
@@ -130,9 +133,8 @@ def exact_groups(
     rows = _rows(spark.read.parquet(path), id_col, text_col, digest)
 
     # full bytes on hits: one digest, one text
-    hits = state.filter("n > 1").select(F.col("digest").alias("hit"))
     spans = (
-        rows.join(hits, F.col("digest") == F.col("hit"), "left_semi")
+        _maybe_hits(rows, state.filter("n > 1"))
         .groupBy("digest")
         .agg(F.min("text").alias("low"), F.max("text").alias("high"))
     )
@@ -149,6 +151,24 @@ def exact_groups(
     return _result(plain).unionByName(_result(mixed))
 
 
+def _maybe_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """The rows whose digest is among ``hits``, and few others, without moving any row.
+
+    The hits set bits in ``HIT_BITS`` positions; the bitmaps (at most that
+    many bits in all) are broadcast. If they fill up, more rows pass.
+    """
+    slot = 1 + F.pmod(F.xxhash64("digest"), F.lit(HIT_BITS))
+    bitmaps = (
+        hits.groupBy(F.bitmap_bucket_number(slot).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    )
+    bit = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.floor(byte / F.pow(F.lit(2), bit % 8)).cast("int") % 2 == 1
+    marked = rows.join(F.broadcast(bitmaps), F.bitmap_bucket_number(slot) == F.col("bucket"))
+    return marked.filter(is_set).drop("bucket", "bits")
+
+
 def _result(joined: DataFrame) -> DataFrame:
     return joined.select(
         F.col("who.id").alias("id"),
