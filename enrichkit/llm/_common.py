@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StringType, StructType, _parse_datatype_string
 
 from ..session import scratch_path
 
@@ -48,39 +48,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows handed to a function at once (bounds the Python objects of a task).
+ROWS_AT_ONCE = 500
+
+
 def arrow_pass(
     df: DataFrame,
     keep: Iterable[str],
-    use: dict[str, Column],
-    make: Callable[[], Callable[..., list]],
+    text: str,
+    make: Callable[[], Callable[[pa.Array], list]],
     result: str,
 ) -> DataFrame:
-    """Run ``make()(*arrays)`` over Arrow batches and attach what it returns.
+    """Run ``make()(texts)`` over Arrow batches and attach what it returns.
 
     The columns ``keep`` ride along inside one struct ``row`` and the results
     (``result`` is their DDL) come back inside one struct ``out``, so no
     column of the input can clash with a name used here. ``make`` is called
-    once per task; the function gets one Arrow array per entry of ``use`` and
-    returns one list or array per field of ``result``.
+    once per task; its function gets the column ``text`` as strings, a few
+    hundred rows at a time, and returns one list or array per field of
+    ``result``.
     """
     schema = _parse_datatype_string(result)
     assert isinstance(schema, StructType)
     types = [to_arrow_type(f.dataType) for f in schema.fields]
     names = schema.fieldNames()
-    n_use = len(use)
-    row = F.struct(*[col(c) for c in keep])
-    source = df.select(row.alias("row"), *[c.alias(f"u{i}") for i, c in enumerate(use.values())])
+    keep = list(keep)
+    row = F.struct(*[col(c) for c in keep]).alias("row")
+    # a text that rides along anyway is not sent a second time
+    inside = keep.index(text) if text in keep and df.schema[text].dataType == StringType() else None
+    source = df.select(row) if inside is not None else df.select(row, col(text).cast("string").alias("text"))
     out_schema = StructType().add("row", source.schema["row"].dataType).add("out", schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            made = fn(*[batch.column(1 + i) for i in range(n_use)])
-            made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types, strict=True)]
-            out = pa.StructArray.from_arrays(made, names=names)
-            yield pa.RecordBatch.from_arrays([batch.column(0), out], names=["row", "out"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                rows = batch.column(0)
+                made = fn(batch.column(1) if inside is None else rows.field(inside))
+                made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types, strict=True)]
+                out = pa.StructArray.from_arrays(made, names=names)
+                yield pa.RecordBatch.from_arrays([rows, out], names=["row", "out"])
 
     return source.mapInArrow(run, out_schema)
 

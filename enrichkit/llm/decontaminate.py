@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_pass, col, utf8, written
+from ._common import arrow_pass, utf8, written
 
 #: Bytes 0-9, a-z and 0x80-0xFF stay, A-Z become a-z, all others a space.
 WORD_BYTES = bytes(
@@ -109,7 +109,7 @@ def benchmark_blocks(
         return windows
 
     rows = written(
-        arrow_pass(benchmark, [item_col], {"text": col(text_col).cast("string")}, make, "w array<string>")
+        arrow_pass(benchmark, [item_col], text_col, make, "w array<string>")
         .select(F.col(f"row.`{item_col}`").cast("string").alias("item"), F.explode("out.w").alias("w"))
         .distinct(),
         "benchmark-windows",
@@ -163,7 +163,7 @@ def contamination(
 
         return scan
 
-    return arrow_pass(docs, keep or docs.columns, {"text": col(text_col).cast("string")}, make, RESULT)
+    return arrow_pass(docs, keep or docs.columns, text_col, make, RESULT)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

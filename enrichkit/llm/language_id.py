@@ -50,8 +50,9 @@ def held_out(doc_id: Column) -> Column:
 def bounded_sample(df: DataFrame, group: Column, row_id: Column, max_rows: int) -> DataFrame:
     """About ``max_rows`` rows of each group, chosen by a hash of the row id.
 
-    The group sizes are counted first (one row per group). Which rows are in
-    does not depend on the partitioning.
+    The group sizes are counted first and broadcast, one row per group
+    (languages, labels: there must be few). Which rows are in does not depend
+    on the partitioning.
     """
     sizes = df.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n"))
     share = F.lit(float(1 << 31)) * max_rows / F.col("n")
@@ -254,7 +255,7 @@ def predict(docs: DataFrame, model: dict, *, keep: list[str] | None = None, text
 
         return run
 
-    return arrow_pass(docs, keep or docs.columns, {"text": col(text_col).cast("string")}, make, "lang_pred string, score double")
+    return arrow_pass(docs, keep or docs.columns, text_col, make, "lang_pred string, score double")
 
 
 def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_train_rows: int = 1500) -> dict:

@@ -164,8 +164,8 @@ def without_repeats(
 
         return run
 
-    use = {"text": col(text_col).cast("string")}
-    marked = arrow_pass(docs, keep, use, make, "suspects array<int>, n_lines long")
+    use = text_col
+    marked = arrow_pass(docs, keep, text_col, make, "suspects array<int>, n_lines long")
     clear = marked.filter(F.size("out.suspects") == 0).select(
         "row", F.col("row")[text_col].cast("string").alias("text"), "out.n_lines", F.lit(0).cast("long").alias("n_dropped")
     )

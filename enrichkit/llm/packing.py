@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shuffle_width
-from ._common import arrow_pass, col, written
+from ._common import arrow_pass, written
 
 
 def best_boundaries(lengths: np.ndarray, counts: np.ndarray, n_buckets: int) -> list[int]:
@@ -91,7 +91,7 @@ def token_lengths(
 
         return run
 
-    made = arrow_pass(docs, [id_col], {"text": col(text_col).cast("string")}, make, "n long")
+    made = arrow_pass(docs, [id_col], text_col, make, "n long")
     return made.select(F.col("row")[id_col].alias("doc_id"), F.col("out.n").alias("n_tokens"))
 
 

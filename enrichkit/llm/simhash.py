@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_pass, col, utf8, written
+from ._common import arrow_pass, utf8, written
 from .components import components
 
 #: Bits per DataFrame step of the walk above the cut nodes.
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, *, keep: list[str] | None = None, text_col: st
 
         return run
 
-    return arrow_pass(docs, keep or docs.columns, {"text": col(text_col).cast("string")}, make, "fp long")
+    return arrow_pass(docs, keep or docs.columns, text_col, make, "fp long")
 
 
 def _prefix(fp: Column, bits: int) -> Column:

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import arrow_pass, col
+from ._common import arrow_pass
 
 MAX_STATES = 100_000
 MAX_PAIRS = 1_000_000
@@ -387,4 +387,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, keep: list[str] | None
 
         return run
 
-    return arrow_pass(docs, keep or docs.columns, {"text": col(text_col).cast("string")}, make, "n_bytes long, n_tokens long")
+    return arrow_pass(docs, keep or docs.columns, text_col, make, "n_bytes long, n_tokens long")

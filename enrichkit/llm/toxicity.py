@@ -125,7 +125,7 @@ def mined_voters(sample: DataFrame, *, max_voters: int, min_support: int) -> lis
 
         return run
 
-    seen = arrow_pass(sample, ["toxic"], {"text": F.col("text")}, make, "units array<string>, sketch long")
+    seen = arrow_pass(sample, ["toxic"], "text", make, "units array<string>, sketch long")
     seen = seen.select(F.col("row.toxic").alias("toxic"), F.col("out.sketch").alias("sketch"), F.col("out.units").alias("units"))
     seen = written(seen.groupBy("toxic", "sketch").agg(F.max("units").alias("units")), "toxicity-sketches")
     sizes = {bool(r["toxic"]): r["n"] for r in seen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -222,7 +222,7 @@ def learn(
 
         return run
 
-    made = arrow_pass(sample, ["id", "toxic"], {"text": F.col("text")}, make, "x array<float>")
+    made = arrow_pass(sample, ["id", "toxic"], "text", make, "x array<float>")
     rows = made.select("row.id", "row.toxic", "out.x").orderBy("id").toPandas()  # at most about 2 * max_train_rows
     if len(rows) == 0 or rows["toxic"].nunique() < 2:
         return {"voters": names, "weights": _insults_only(names)}
@@ -256,7 +256,7 @@ def score(docs: DataFrame, model: dict, *, keep: list[str] | None = None, text_c
 
         return run
 
-    return arrow_pass(docs, keep or docs.columns, {"text": col(text_col).cast("string")}, make, "score double")
+    return arrow_pass(docs, keep or docs.columns, text_col, make, "score double")
 
 
 def drop_toxic(docs: DataFrame, model: dict, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:

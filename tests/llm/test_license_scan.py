@@ -25,14 +25,13 @@ def brute(text):
 def texts():
     filler = "lorem ipsum dolor sit amet " * 30
     out = []
-    for name, text in ls.TEMPLATES.items():
+    for text in ls.TEMPLATES.values():
         w = text.split()
         out += [text, filler + text + filler, text.upper().replace(" ", "\n"), " ".join(w[: len(w) // 2]), " ".join(w[2:])]
         for step in (12, 20, 40):  # scattered edits
             out.append(" ".join("changed" if i % step == 7 else x for i, x in enumerate(w)))
         for cut in range(0, len(w), 9):  # one missing stretch, at any place
             out.append(filler + " ".join(w[:cut] + w[cut + max(1, len(w) // 12) :]))
-        del name
     return out
 
 
