@@ -9,8 +9,8 @@ or abstains.
 
 Label model: a two-class generative model. It starts from the gold labels
 and estimates the correlation of every pair of voters within the classes; a
-voter's evidence is divided by the sum of its correlations, so voters that
-repeat each other count once. EM over the training sample then estimates the
+voter's evidence is divided by the sum of its strong correlations, so voters
+that repeat each other count once. EM over the training sample then estimates the
 class balance and, for each voter, how often it fires in either class (its
 accuracy); the gold label takes part as one more voter, also with errors.
 
@@ -57,8 +57,10 @@ STRETCHED = re.compile(r"(\w)\1{3,}")
 PATTERNS = ("shouting", "bangs", "stretched", "address", "insult_after_you", "several_insults")
 #: Lengths of the word beginnings that may become voters.
 STEMS = (4, 5, 6)
+#: Correlation within the classes from which on two voters share their evidence.
+REPEATS = 0.6
 #: Strength of the L2 penalty of the classifier.
-PENALTY = 1e-3
+PENALTY = 0.05
 
 
 class Voters:
@@ -166,7 +168,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> tuple[
             dev = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             correlation = cov / np.outer(dev, dev)
             np.fill_diagonal(correlation, 1.0)
-            strong = np.where(correlation > 0.2, correlation, 0.0)
+            strong = np.where(correlation > REPEATS, correlation, 0.0)
             weight = 1.0 / np.maximum(strong.sum(axis=1), 1.0)
         on = np.log(rate1 / rate0) * weight
         off = np.log((1 - rate1) / (1 - rate0)) * weight
@@ -179,8 +181,8 @@ def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 25) -> np.ndarra
     """Logistic regression on soft labels by Newton steps with an L2 penalty."""
     w = np.zeros(x.shape[1])
     x = x.astype(np.float64)
-    penalty = np.full(x.shape[1], PENALTY * len(x))
-    penalty[-1] = 1e-6 * len(x)
+    penalty = np.full(x.shape[1], PENALTY)
+    penalty[-1] = 1e-4
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (p - target) + penalty * w
