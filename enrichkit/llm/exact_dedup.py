@@ -6,7 +6,8 @@ distinct digest in the disk-backed RocksDB store: the group size and the
 largest (identifier, content locator). The locator is the source file and the
 row number in it. The state is checkpointed in the shared folder, so a lost
 executor or a restarted driver goes on from the last batch, and a later run
-over new files only adds to it.
+over new files only adds to it, whatever their modification times. A state
+whose counts do not sum to the rows of the table is refused.
 
 The state is then joined with the documents by digest (ids and digests move,
 texts do not). Full bytes are checked on every hit: for each digest with more
@@ -32,6 +33,8 @@ from ._common import col, written
 
 #: Bits of the broadcast filter of digests with more than one row (8 MB).
 HIT_BITS = 1 << 26
+#: A stream passes over new files older than this, counted back from the newest file it has seen.
+MAX_FILE_AGE = "36500d"
 _STATE = "spark.sql.streaming.stateStore."
 #: The store of the keyed state; many small partitions must not preallocate log files.
 STORE_CONF = {
@@ -75,7 +78,8 @@ def keyed_state(
     schema = spark.read.parquet(path).schema
     plain = path.rstrip("/")
     as_glob = f"{plain[:-1]}[{plain[-1]}]"  # a stream takes a single file only as a pattern
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_batch).parquet(as_glob)
+    options = {"maxFilesPerTrigger": max_files_per_batch, "maxFileAge": MAX_FILE_AGE}
+    stream = spark.readStream.schema(schema).options(**options).parquet(as_glob)
     state = (
         _rows(stream, id_col, text_col, digest)
         .groupBy("digest")
@@ -130,7 +134,11 @@ def exact_groups(
         ),
         "exact-dedup-groups",
     )
-    rows = _rows(spark.read.parquet(path), id_col, text_col, digest)
+    source = spark.read.parquet(path)
+    n_state, n_rows = state.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], source.count()
+    if n_state != n_rows:
+        raise ValueError(f"the state at {checkpoint} counts {n_state} rows, the table at {path} has {n_rows}")
+    rows = _rows(source, id_col, text_col, digest)
 
     # full bytes on hits: one digest, one text
     spans = (

@@ -1,4 +1,6 @@
 import hashlib
+import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +57,28 @@ def test_state_goes_on_over_new_files_and_batches(spark, tmp_table):
     assert sorted((str(r["id"]), str(r["keep_id"]), r["group_size"]) for r in got) == [x[:3] for x in sorted((a, b, c) for a, b, c, _ in expected(TEXTS))]
 
 
+def test_new_files_with_old_times_enter_the_state(spark, tmp_table):
+    path, checkpoint = tmp_table("late"), tmp_table("late-state")
+    save(spark, path, TEXTS[:5])
+    exact_dedup.keyed_state(spark, path, checkpoint)
+    folder = Path(path.removeprefix("file:"))
+    first = set(folder.glob("*.parquet"))
+    spark.createDataFrame(TEXTS[5:], "doc_id long, text string").write.mode("append").parquet(path)
+    for file in set(folder.glob("*.parquet")) - first:
+        os.utime(file, (1e9, 1e9))  # 2001, as after a copy that keeps times
+    got = exact_dedup.exact_groups(spark, path, checkpoint=checkpoint).collect()
+    assert sorted((str(r["id"]), str(r["keep_id"]), r["group_size"]) for r in got) == sorted(x[:3] for x in expected(TEXTS))
+
+
+def test_state_that_misses_rows_is_refused(spark, tmp_table):
+    path, checkpoint = tmp_table("gone"), tmp_table("gone-state")
+    save(spark, path, TEXTS, parts=1)
+    exact_dedup.keyed_state(spark, path, checkpoint)
+    spark.createDataFrame(TEXTS[:3], "doc_id long, text string").coalesce(1).write.mode("overwrite").parquet(path)
+    with pytest.raises(ValueError, match="counts"):
+        exact_dedup.exact_groups(spark, path, checkpoint=checkpoint)
+
+
 def test_no_python_on_the_main_path(spark, tmp_table):
     path = save(spark, tmp_table("plan"), TEXTS)
     plan = exact_dedup.exact_groups(spark, path)._jdf.queryExecution().executedPlan().toString()
