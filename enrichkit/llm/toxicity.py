@@ -54,6 +54,10 @@ YOU = frozenset(("you", "your", "youre", "du", "dich", "tu", "vous", "toi", "tú
 WORD = re.compile(r"[^\W_]+")
 BANGS = re.compile(r"!{3,}")
 STRETCHED = re.compile(r"(\w)\1{3,}")
+ASCII = re.compile(r"[\x00-\x7f]+")
+#: The ASCII characters that are no letters, and those that are no capitals.
+NO_LETTERS = bytes(c for c in range(128) if not chr(c).isalpha())
+NO_CAPITALS = bytes(c for c in range(128) if not chr(c).isupper())
 PATTERNS = ("shouting", "bangs", "stretched", "address", "insult_after_you", "several_insults")
 #: Lengths of the word beginnings that may become voters.
 STEMS = (4, 5, 6)
@@ -63,6 +67,16 @@ REPEATS = 0.6
 PENALTY = 0.05
 
 
+def cases(text: str) -> tuple[int, int]:
+    """How many letters and how many upper-case characters the whole text holds."""
+    plain = text.encode("ascii", "ignore")
+    letters, capitals = len(plain.translate(None, NO_LETTERS)), len(plain.translate(None, NO_CAPITALS))
+    if len(plain) < len(text):
+        rest = ASCII.sub("", text)
+        letters, capitals = letters + sum(map(str.isalpha, rest)), capitals + sum(map(str.isupper, rest))
+    return letters, capitals
+
+
 class Voters:
     """The lexicon voters by name, ready for lookup."""
 
@@ -94,8 +108,8 @@ def features(text: str, voters: Voters) -> np.ndarray:
             out[i] = 1
             hits.add(w)
     bangs = BANGS.search(text) is not None
-    letters = sum(map(str.isalpha, text)) if bangs or text.isupper() else 0
-    out[n] = letters > 20 and sum(map(str.isupper, text)) > 0.6 * letters
+    letters, capitals = cases(text)
+    out[n] = letters > 20 and capitals > 0.6 * letters
     out[n + 1] = bangs
     out[n + 2] = STRETCHED.search(text) is not None
     out[n + 3] = not YOU.isdisjoint(distinct)

@@ -9,6 +9,17 @@ from .edge import ROWS, frame
 SF = "/root/testdata/sf0.01"
 
 
+def test_shouting_counts_every_text():
+    voters = tx.Voters([])
+    at = tx.PATTERNS.index("shouting")
+    loud = ["THIS IS MOSTLY CAPITALS but not whole", "ÄÖÜ ÉÈ ÑÇ ÄÖÜ ÉÈ ÑÇ STRASSE LAUT aber", "ALL OF THIS IS LOUD AND LONG"]
+    calm = ["This Is Not Loud At All But Has Capitals", "SHORT and low", "", "漢字" * 30 + "ABC", "X" * 12 + "y" * 12 + "!!!"]
+    for text in loud + calm:
+        letters, capitals = sum(map(str.isalpha, text)), sum(map(str.isupper, text))
+        assert tx.features(text, voters)[at] == (letters > 20 and capitals > 0.6 * letters) == (text in loud)
+        assert tx.cases(text) == (letters, capitals)
+
+
 def test_label_model_finds_accuracies_and_correlations():
     rng = np.random.default_rng(0)
     y = rng.random(6000) < 0.2
