@@ -8,17 +8,19 @@ length of a whole text is the exact sum over all its bytes, under frozen
 statistics. The language with the shortest code wins; the score is its
 posterior under equal priors.
 
-For scoring, the trees of all languages are compiled into one table: the
-longest context that any language knows gets a dense row, holding for each
-next byte the code length under each language with all its escapes. Scoring
-a byte is one lookup, vectorised over a batch.
+For scoring, the trees of all languages are compiled into sorted arrays: each
+(context, next byte) that any language has seen holds the code length under
+each language with all its escapes, and each context holds what each language
+pays to escape from it. Scoring looks a byte up after the longest context that
+any language knows; where none has seen it there, the escapes are paid and the
+next shorter context is tried. All is vectorised over a batch.
 
 Training counts whole texts of a bounded sample of the labelled rows: rows
 are taken by a hash of their id so that about ``max_train_rows`` of each
 language are used (all, when there are fewer). Counting is a map pass with
-map-side sums; the driver gets only contexts seen at least ``min_count``
-times (order 0 and 1 always) and at most ``max_contexts`` of them, the most
-frequent first, so the broadcast table has a fixed bound.
+map-side sums. ``learn`` uses every context of the sample, also those seen
+once, so the model grows with the different byte runs of the sample (8 bytes,
+and 4 for each language, a run) and is bounded by ``max_train_rows`` alone.
 
 Defined cases: a null text or one without letters is ``und`` with score 0;
 without any training row every text is ``und``. Rows whose language is null
@@ -100,47 +102,71 @@ def gram_counts(sample: DataFrame, *, lang: str = "lang", text: str = "text") ->
     return counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(sample: DataFrame, *, max_contexts: int = 30_000, min_count: int = 2) -> dict:
-    """The compiled model: plain arrays of a size bounded by ``max_contexts`` and the languages."""
-    grams = written(gram_counts(sample), "ppm-grams")
-    context = F.shiftright("gram", 8)
-    totals = grams.filter("size > 1").groupBy(F.col("size").alias("s"), context.alias("c")).agg(F.sum("n").alias("total"))
-    kept = (
-        totals.filter((F.col("s") == 2) | (F.col("total") >= min_count))
-        .orderBy("s", F.desc("total"), "c")
-        .limit(max_contexts)
-    )
-    kept = written(kept, "ppm-contexts")
-    rows = grams.join(kept.select("s", "c"), (F.col("size") == F.col("s")) & (context == F.col("c")), "left_semi")
-    rows = grams.filter("size = 1").unionByName(rows).orderBy("lang", "size", "gram")
+def train(sample: DataFrame, *, min_count: int = 2) -> dict:
+    """The compiled model: plain arrays.
+
+    Contexts of two and more bytes seen fewer than ``min_count`` times are left out.
+    """
+    rows = written(gram_counts(sample), "ppm-grams")
+    if min_count > 1:
+        context = F.shiftright("gram", 8)
+        totals = rows.filter("size > 1").groupBy(F.col("size").alias("s"), context.alias("c")).agg(F.sum("n").alias("total"))
+        rare = totals.filter((F.col("s") > 2) & (F.col("total") < min_count))
+        rows = rows.join(rare, (F.col("size") == F.col("s")) & (context == F.col("c")), "left_anti")
     counts: dict = {}
-    for lang, size, gram, n in rows.toLocalIterator():
+    for lang, size, gram, n in rows.orderBy("lang", "size", "gram").toLocalIterator():
         counts.setdefault(lang, {}).setdefault((size, gram >> 8), {})[gram & 255] = n
     return compiled(counts)
 
 
 def compiled(counts: dict) -> dict:
-    """One dense row of code lengths for each context, by byte and language."""
+    """Code lengths of the bytes seen after each context, and its escapes, by language."""
     langs = sorted(counts)
+    width = max(len(langs), 1)
     contexts = sorted({c for tree in counts.values() for c in tree if c[0] > 1})
     rows = {c: i + 1 for i, c in enumerate(contexts)}  # row 0 is the empty context
-    table = np.empty((len(contexts) + 1, 256, max(len(langs), 1)), np.float32)
-    order0 = np.full((256, max(len(langs), 1)), 8.0)
+    order0 = np.full((256, width), 8.0)
     for k, lang in enumerate(langs):
         order0[:, k] = _lengths(counts[lang].get((1, 0), {}), np.full(256, 8.0))
-    table[0] = order0
+    # byte runs in ascending order of (row, byte); the empty context knows all bytes
+    at = {byte: byte for byte in range(256)}
+    escapes = np.zeros((len(contexts) + 1, width), np.float32)
+    parents = np.zeros(len(contexts) + 1, np.int32)
+
+    def length(row: int, byte: int) -> np.ndarray:
+        """Code lengths of any byte after the context of ``row``."""
+        paid = np.zeros(width)
+        while (row << 8 | byte) not in at:
+            paid, row = paid + escapes[row], int(parents[row])
+        return paid + table[at[row << 8 | byte]]
+
+    size_of = 256 + sum(len({b for t in counts.values() for b in t.get(c, ())}) for c in contexts)
+    table = np.empty((size_of, width), np.float32)
+    table[:256] = order0
     for c in contexts:  # shorter contexts first
         size, code = c
-        shorter = code & ((1 << 8 * (size - 2)) - 1)
-        base = table[rows.get((size - 1, shorter), 0)] if size > 2 else table[0]
-        for k, lang in enumerate(langs):
-            seen = counts[lang].get(c)
-            table[rows[c], :, k] = _lengths(seen, base[:, k].astype(float)) if seen else base[:, k]
+        row = rows[c]
+        # a known context of one language has known shorter ones, down to the empty context
+        parents[row] = rows.get((size - 1, code & ((1 << 8 * (size - 2)) - 1)), 0) if size > 2 else 0
+        trees = [(k, counts[lang][c]) for k, lang in enumerate(langs) if c in counts[lang]]
+        totals = {}
+        for k, seen in trees:
+            totals[k] = sum(seen.values()) + len(seen)
+            escapes[row, k] = -np.log2(len(seen) / totals[k])
+        for byte in sorted({b for _, seen in trees for b in seen}):
+            own = length(int(parents[row]), byte) + escapes[row]
+            for k, seen in trees:
+                if byte in seen:
+                    own[k] = -np.log2(seen[byte] / totals[k])
+            i = len(at)
+            at[row << 8 | byte] = i
+            table[i] = own
     by_order = []
     for size in range(2, ORDER + 2):
         codes = [code for s, code in contexts if s == size]
         by_order.append((np.array(codes, np.int64), np.array([rows[size, c] for c in codes], np.int32)))
-    return {"langs": langs, "table": table, "orders": by_order}
+    keys = np.fromiter(at, np.int64, len(at))
+    return {"langs": langs, "keys": keys, "table": table, "escapes": escapes, "parents": parents, "orders": by_order}
 
 
 def _lengths(seen: dict[int, int], shorter: np.ndarray) -> np.ndarray:
@@ -177,7 +203,6 @@ def _context_rows(model: dict) -> np.ndarray:
             direct[where] = rows.reshape((-1,) + (1,) * (ORDER - size + 1))
         model["classes"], model["width"] = classes, width
         model["map"] = direct.ravel()
-        model["flat"] = model["table"].reshape(-1, model["table"].shape[2])
     return model["map"]
 
 
@@ -196,11 +221,29 @@ def code_lengths(data: np.ndarray, starts: np.ndarray, model: dict) -> np.ndarra
         near[j:] = cls[: n - j]
         near[blocked] = 0
         at = at * width + near
-    at = direct[at].astype(np.int64) * 256 + data
-    bits = model["flat"][at]
+    bits = _bits(direct[at].astype(np.int64), data.astype(np.int64), model)
     return np.add.reduceat(np.concatenate([bits, np.zeros((1, bits.shape[1]), bits.dtype)]), starts, axis=0, dtype=np.float64)
 
 
+def _bits(row: np.ndarray, byte: np.ndarray, model: dict) -> np.ndarray:
+    """Code length of each byte after the context of ``row``, by language."""
+    keys, table = model["keys"], model["table"]
+    want = row << 8 | byte
+    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+    bits = table[at]
+    left = np.flatnonzero(keys[at] != want)
+    bits[left] = 0
+    while len(left):
+        bits[left] += model["escapes"][row[left]]
+        row[left] = model["parents"][row[left]]
+        want = row[left] << 8 | byte[left]
+        at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        hit = keys[at] == want
+        bits[left[hit]] += table[at[hit]]
+        left = left[~hit]
+    return bits
+
+
 def score_texts(texts: list[bytes], model: dict) -> np.ndarray:
     """Code lengths of every text, in blocks of bounded size; long texts continue over blocks."""
     out = np.zeros((len(texts), len(model["langs"])))
@@ -262,4 +305,4 @@ def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     """Train on the rows that are not held out and whose language is known."""
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"), col(lang_col).alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    return train(bounded_sample(rows, F.col("lang"), F.col("id"), max_train_rows))
+    return train(bounded_sample(rows, F.col("lang"), F.col("id"), max_train_rows), min_count=1)

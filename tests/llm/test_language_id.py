@@ -50,6 +50,27 @@ def test_exact_code_lengths(spark, monkeypatch):
         assert np.allclose(li.score_texts([t.encode() for t in texts], model), want, rtol=1e-5)
 
 
+def test_learning_keeps_every_context(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, "".join(map(chr, rng.integers(0x4E00, 0x9FA6, 1500))), "zh") for i in range(20)]
+    rows += [(100 + i, "the cat sat on the mat " * (i % 2) + "once", "en") for i in range(9)]
+    model = li.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts = {}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 5 == 0:
+            continue
+        data = text.encode()
+        for k in range(len(data)):
+            for order in range(min(li.ORDER, k) + 1):
+                row = counts.setdefault(lang, {}).setdefault((order, data[k - order : k]), {})
+                row[data[k]] = row.get(data[k], 0) + 1
+    kept = {key for tree in counts.values() for key in tree}
+    assert sum(len(codes) for codes, _ in model["orders"]) == len([key for key in kept if key[0]]) > 30_000
+    texts = [rows[1][1][:50], "漢字かな the mat", "once upon the cat", "\xff"]
+    want = np.array([[brute_bits(counts, kept, lang, t.encode()) for lang in model["langs"]] for t in texts])
+    assert np.allclose(li.score_texts([t.encode() for t in texts], model), want, rtol=1e-5)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = li.predict(docs, li.learn(docs), keep=["doc_id", "lang"]).filter(li.held_out(F.col("row.doc_id"))).collect()
