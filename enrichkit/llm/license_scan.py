@@ -12,7 +12,9 @@ windows of one shingle, whose MinHash is the shingle itself: they are always
 retrieved.
 
 A retrieved template is then verified: it matches if the text holds at least
-0.8 of its distinct shingles, compared as strings.
+0.8 of its distinct shingles, compared as strings. All matches are returned:
+of licences with nearly the same words (GPL 2 and 3 headers, BSD 2 and 3) the
+one with the highest containment is the text's own.
 
 Scale: one map pass without any shuffle. The templates are a fixed list of at
 most ``MAX_TEMPLATE_SHINGLES`` shingles that goes into the plan as a literal.
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import col, let
+from .license_texts import NOTICES
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -63,6 +66,7 @@ TEMPLATES = {
         "following conditions: The above copyright notice and this permission notice shall be included in all "
         "copies or substantial portions of the Software."
     ),
+    **NOTICES,
 }
 
 
@@ -119,7 +123,8 @@ def _template_rows(spark, templates: dict[str, str]) -> list:
 
 
 def _literal(values: list, kind: str) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+    """A constant array (words hold no line end), folded once by the optimizer."""
+    return F.split(F.lit("\n".join(map(str, values))), "\n").cast(f"array<{kind}>")
 
 
 def licenses(
@@ -133,8 +138,8 @@ def licenses(
     df = docs.select(F.struct(*[col(c) for c in keep or docs.columns]).alias("row"), col(text_col).cast("string").alias("text"))
     df = let(df, words=words_of(F.col("text"))).drop("text")
     df = let(df, hashes=hashed_shingles("words"))
-    all_bands = _literal(sorted({b for r in known for b in r["bands"]}), "bigint")
-    df = let(df, hits=F.array_intersect(F.concat("hashes", window_bands("hashes", STRIDE)), all_bands)).drop("hashes")
+    all_bands = sorted({b for r in known for b in r["bands"]})
+    df = let(df, hits=F.filter(F.concat("hashes", window_bands("hashes", STRIDE)), lambda x: x.isin(all_bands))).drop("hashes")
     df = let(df, held=F.when(F.size("hits") > 0, shingles("words")))
     found = [
         F.when(

@@ -48,6 +48,21 @@ def test_templates_and_edits_against_brute_force(spark):
     assert some > 40
 
 
+def test_common_licences_are_known(spark):
+    wanted = {
+        "This project is licensed under the MIT License.": "MIT-notice",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0-spdx",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution 3.0 Unported License.": "CC-BY-3.0",
+        ls.TEMPLATES["GPL-3.0-header"].replace("version 3", "version 2"): "GPL-2.0-header",
+    }
+    for name in ("BSD-3-Clause-text", "ISC-text", "MPL-2.0-header", "LGPL-2.1-header", "AGPL-3.0-header", "Unlicense-text"):
+        wanted["Some words before. " + ls.TEMPLATES.get(name, "") + " Some words after it."] = name
+    df = spark.createDataFrame(list(enumerate(wanted)), "doc_id long, text string")
+    for row, found, _ in run(df):
+        assert found and max(found, key=found.get) == wanted[row["text"]]
+
+
 def test_edge_cases(spark):
     got = run(frame(spark))
     assert len(got) == len(ROWS) and all(found == {} for _, found, _ in got)
