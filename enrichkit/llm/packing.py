@@ -1,11 +1,13 @@
 """Operator 6, packing into optimal length buckets.
 
-1. Lengths are rounded up to a multiple of ``multiple`` and counted in a
-   global histogram (a map-side combined count). Lengths over the token
-   budget form a class of their own, so the histogram has at most
-   ``max_tokens / multiple`` rows at any input size.
+1. Lengths, rounded up to a multiple of ``multiple`` (1: as they are), are
+   counted in a global histogram (a map-side combined count). Lengths over the
+   token budget form a class of their own, so the histogram has at most
+   ``max_tokens / multiple + 1`` rows at any input size.
 2. Dynamic programming over the whole histogram chooses the at most
-   ``n_buckets`` boundaries with the least total padding.
+   ``n_buckets`` boundaries with the least total padding. The best start of a
+   bucket never moves back when its end moves on, so each round divides and
+   conquers.
 3. Inside a bucket with boundary ``b`` each batch takes ``max_tokens // b``
    documents. Positions in a bucket are global: every bucket is dealt into
    parts by a hash of the id, in proportion to its size, so a bucket that
@@ -47,10 +49,18 @@ def best_boundaries(lengths: np.ndarray, counts: np.ndarray, n_buckets: int) ->
     for _ in range(min(n_buckets, d)):
         nxt, back = np.full(d + 1, np.inf), np.zeros(d + 1, np.int64)
         nxt[0] = 0.0
-        for j in range(1, d + 1):  # the bucket holds lengths i .. j - 1 and ends at x[j - 1]
-            pad = cost[:j] + x[j - 1] * (docs[j] - docs[:j]) - (tokens[j] - tokens[:j])
-            back[j] = i = int(np.argmin(pad))
-            nxt[j] = pad[i]
+        spans = [(1, d, 0, d - 1)]  # ends first .. last, whose best starts lie in low .. high
+        while spans:
+            first, last, low, high = spans.pop()
+            j = (first + last) // 2  # the bucket holds lengths i .. j - 1 and ends at x[j - 1]
+            i = slice(low, min(high, j - 1) + 1)
+            pad = cost[i] + x[j - 1] * (docs[j] - docs[i]) - (tokens[j] - tokens[i])
+            at = int(np.argmin(pad))
+            back[j], nxt[j] = low + at, pad[at]
+            if first < j:
+                spans.append((first, j - 1, low, low + at))
+            if j < last:
+                spans.append((j + 1, last, low + at, high))
         cost = nxt
         choice.append(back)
     bounds, j = [], d
@@ -106,7 +116,7 @@ def pack(
     length_col: str = "n_tokens",
     n_buckets: int = 16,
     max_tokens: int = 16_384,
-    multiple: int = 8,
+    multiple: int = 1,
 ) -> DataFrame:
     """doc_id, n_tokens, bucket, batch, slot and padded_to per document.
 

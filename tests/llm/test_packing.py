@@ -50,6 +50,29 @@ def test_batches(spark, hot):
     check(rows, packing.pack(df, max_tokens=512).collect(), 512)
 
 
+def test_boundaries_sit_on_real_lengths(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, 1001 if i % 3 == 0 else int(n)) for i, n in enumerate(rng.integers(0, 3000, 600))]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), max_tokens=4096).collect()
+    check(rows, got, 4096)
+    x, n = np.unique([n for _, n in rows], return_counts=True)
+    bounds = packing.best_boundaries(x, n, 16)
+    assert sum(r["padded_to"] - r["n_tokens"] for r in got) == padding([n for _, n in rows], bounds)
+    assert {r["padded_to"] for r in got if r["n_tokens"] == 1001} == {1001}
+
+
+def test_divided_search_is_as_good_as_the_whole_one():
+    rng = np.random.default_rng(6)
+    x = np.sort(rng.choice(4000, 500, replace=False)).astype(float)
+    n = rng.integers(1, 1000, 500).astype(float)
+    docs, tokens = np.r_[0, n.cumsum()], np.r_[0, (n * x).cumsum()]
+    cost = np.r_[0, np.full(500, np.inf)]
+    for _ in range(16):  # every start of every bucket
+        cost = np.r_[0, [min(cost[:j] + x[j - 1] * (docs[j] - docs[:j]) - (tokens[j] - tokens[:j])) for j in range(1, 501)]]
+    bounds = packing.best_boundaries(x, n, 16)
+    assert sum(k * (min(b for b in bounds if b >= v) - v) for v, k in zip(x, n, strict=True)) == cost[-1]
+
+
 def test_empty_table_and_empty_texts(spark):
     none = spark.createDataFrame([], "doc_id long, n_tokens long, bucket string, place int")
     assert packing.pack(none).count() == 0
