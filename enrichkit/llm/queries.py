@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, exact_dedup, language_id, license_scan, line_dedup, packing, simhash, token_count, toxicity, warc
+from . import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    packing,
+    simhash,
+    suffix_dedup,
+    token_count,
+    toxicity,
+    warc,
+)
 from ._common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +128,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeated_strings(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "row.doc_id", "out.n_bytes", "out.n_removed", "out.n_spans", F.sha2("out.kept", 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
