@@ -116,6 +116,39 @@ FROM judged
 """
 
 
+#: Every 100-byte string of every text; texts are taken apart in pieces of 512 starts.
+OP11 = """
+WITH doc AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), piece AS (
+  SELECT doc_id, b, substr(h, 2 * b + 1, 2 * 611) AS h, least(512, n - 99 - b) AS k
+  FROM (SELECT doc_id, h, n, unnest(range(0, greatest(0, n - 99), 512)) AS b FROM doc)
+), win AS (
+  SELECT doc_id, b + i AS x, md5_number(substr(h, 2 * i + 1, 200)) AS w
+  FROM (SELECT doc_id, b, h, unnest(range(0, k)) AS i FROM piece)
+), early AS (
+  SELECT w, min(struct_pack(d := doc_id, x := x)) AS f FROM win GROUP BY w HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, x FROM win JOIN early USING (w) WHERE doc_id > f.d OR (doc_id = f.d AND win.x > f.x)
+), run AS (
+  SELECT doc_id, x, x - lag(x, 1, -1000) OVER (PARTITION BY doc_id ORDER BY x) > 100 AS new FROM gone
+), span AS (
+  SELECT doc_id, min(x) AS a, max(x) + 100 AS e
+  FROM (SELECT doc_id, x, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY x) AS g FROM run) GROUP BY doc_id, g
+), cut AS (
+  SELECT doc_id, a, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM span
+), rest AS (
+  SELECT doc_id, count(*) AS n_spans, sum(e - a) AS n_removed, max(e) AS tail,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM cut JOIN doc USING (doc_id) GROUP BY doc_id
+)
+SELECT doc.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM doc LEFT JOIN rest USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": OP1,
@@ -123,4 +156,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": OP4,
         "op7_license_scan": _op7(),
         "op9_warc": OP9,
+        "op11_suffix_dedup": OP11,
     }
