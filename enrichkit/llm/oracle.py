@@ -149,6 +149,60 @@ FROM doc LEFT JOIN rest USING (doc_id)
 """
 
 
+def _crc_table() -> list[int]:
+    """CRC-32 of every byte."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [x >> 1 ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    return table
+
+
+OP13 = f"""
+WITH doc AS (
+  SELECT doc_id, coalesce({_WORDS.format(t="text")}, []) AS w FROM documents
+), item AS (
+  SELECT coalesce({_WORDS.format(t="text")}, []) AS w FROM benchmark
+), feature AS (
+  SELECT doc_id, f, count(*) AS k FROM (
+    SELECT doc_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM doc
+  ) GROUP BY doc_id, f
+), item_feature AS (
+  SELECT f, count(*) AS k FROM (
+    SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM item
+  ) GROUP BY f
+), name AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM feature UNION SELECT f FROM item_feature)
+), bucket AS (
+  SELECT f, xor(4294967295, list_reduce(
+      list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+      lambda c, b: xor(c // 256, ({_crc_table()})[1 + (xor(c, b) & 255)]), 4294967295)) % 10000 AS b
+  FROM name
+), corpus AS (
+  SELECT b, sum(k) AS s FROM feature JOIN bucket USING (f) GROUP BY b
+), target AS (
+  SELECT b, sum(k) AS t FROM item_feature JOIN bucket USING (f) GROUP BY b
+), total AS (
+  SELECT (SELECT coalesce(sum(s), 0) FROM corpus)::DOUBLE AS s, (SELECT coalesce(sum(t), 0) FROM target)::DOUBLE AS t
+), gain AS (
+  SELECT b, floor(1000 * ln(((coalesce(c.t, 0) + 1)::DOUBLE * (total.s + 10000)) / ((corpus.s + 1)::DOUBLE * (total.t + 10000))))::BIGINT AS g
+  FROM corpus LEFT JOIN target c USING (b), total
+), weighed AS (
+  SELECT doc_id, sum(k) AS n, sum(k * g) AS total FROM feature JOIN bucket USING (f) JOIN gain USING (b) GROUP BY doc_id
+), scored AS (
+  SELECT doc.doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features,
+    coalesce((total - ((total % n) + n) % n) // n, 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('7:' || coalesce(doc.doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM doc LEFT JOIN weighed USING (doc_id)
+), noisy AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM scored
+), ordered AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS r, count(*) OVER () AS n FROM noisy WHERE n_words >= 20
+)
+SELECT noisy.doc_id, n_features, weight, score, CASE WHEN r <= 25 * n // 100 THEN r END AS rank
+FROM noisy LEFT JOIN ordered USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": OP1,
@@ -157,4 +211,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_license_scan": _op7(),
         "op9_warc": OP9,
         "op11_suffix_dedup": OP11,
+        "op13_importance_resampling": OP13,
     }

@@ -15,6 +15,7 @@ from . import (
     license_scan,
     line_dedup,
     packing,
+    resample,
     simhash,
     suffix_dedup,
     token_count,
@@ -135,6 +136,12 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = resample.resample(docs, target, keep=["doc_id"])
+    return found.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))

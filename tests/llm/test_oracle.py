@@ -34,6 +34,7 @@ CONTRACT = {
     9: "page_id bigint payload_bytes bigint payload_digest string record_type string refers_to bigint",
     10: "doc_id bigint held_out boolean score double predicted int",
     11: "doc_id bigint n_bytes bigint n_removed bigint n_spans bigint kept_sha256 string",
+    13: "doc_id bigint n_features bigint weight bigint score bigint rank bigint",
 }
 
 
