@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
+    conversations,
     decontaminate,
     exact_dedup,
     language_id,
@@ -136,6 +137,12 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversations.report(rows.select(F.col("conv_id").alias("conv")), conversations.damaged(rows))
+    return found.withColumnsRenamed({"conv": "conv_id", "digest": "repaired_sha256"})
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = resample.resample(docs, target, keep=["doc_id"])

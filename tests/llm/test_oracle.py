@@ -34,6 +34,8 @@ CONTRACT = {
     9: "page_id bigint payload_bytes bigint payload_digest string record_type string refers_to bigint",
     10: "doc_id bigint held_out boolean score double predicted int",
     11: "doc_id bigint n_bytes bigint n_removed bigint n_spans bigint kept_sha256 string",
+    12: "conv_id bigint gaps bigint blank bigint duplicate bigint truncated bigint illegal bigint cost bigint audit string "
+    "repaired_sha256 string",
     13: "doc_id bigint n_features bigint weight bigint score bigint rank bigint",
 }
 
@@ -43,5 +45,6 @@ def test_columns_of_the_contract(spark, n):
     name = next(q for q in queries.queries() if q.startswith(f"op{n}_"))
     df = queries.queries()[name](spark, SF)
     assert " ".join(f"{a} {b}" for a, b in df.dtypes) == CONTRACT[n]
-    table = "pages" if n == 9 else "documents"
-    assert df.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    table = {9: "pages", 12: "conversations"}.get(n, "documents")
+    rows = spark.read.parquet(f"{SF}/{table}.parquet")
+    assert df.count() == (rows.select("conv_id").distinct() if n == 12 else rows).count()
