@@ -12,11 +12,16 @@ windows of one shingle, whose MinHash is the shingle itself: they are always
 retrieved.
 
 A retrieved template is then verified: it matches if the text holds at least
-0.8 of its distinct shingles, compared as strings. All matches are returned:
-of licences with nearly the same words (GPL 2 and 3 headers, BSD 2 and 3) the
-one with the highest containment is the text's own.
-
-Scale: one map pass without any shuffle. The templates are a fixed list of at
+0.8 of its distinct shingles, compared as strings. Licences with nearly the same
+words (GPL 2 and 3 headers, BSD 2 and 3) are told apart by what distinguishes
+them: of the shingles that a template does not share with a rival (a template
+that holds half of its shingles or more) the text must hold half as well, for
+each rival. So a GPL 3 text gives GPL 3 only, and a text with both notices gives
+both. Templates under five words (``SPDX-License-Identifier: MIT``) have no
+shingle of their own; they match where their words stand in a row.
+
+Scale: one map pass without any shuffle. Only texts that hold a shingle of some
+template, without which none can match, are sketched. The templates are a fixed list of at
 most ``MAX_TEMPLATE_SHINGLES`` shingles that goes into the plan as a literal.
 
 Defined cases: null, empty and word-free texts match nothing. Every row is
@@ -29,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import col, let
-from .license_texts import NOTICES
+from .license_texts import NOTICES, OPENINGS, PHRASES
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -67,8 +72,18 @@ TEMPLATES = {
         "copies or substantial portions of the Software."
     ),
     **NOTICES,
+    **OPENINGS,
+    **PHRASES,
 }
 
+#: What the names of templates add to the identifier of their licence.
+KINDS = ("deed", "header", "later", "notice", "preamble", "short", "spdx", "terms", "text", "v")
+
+
+def licence_of(template: Column) -> Column:
+    """The licence of a template, by its name."""
+    return F.regexp_replace(template, f"-({'|'.join(KINDS)})$", "")
+
 
 def collision_probability(shared: float, windows: int = 1) -> float:
     """Chance that a template is retrieved by ``windows`` windows of Jaccard similarity ``shared``."""
@@ -116,12 +131,23 @@ def _template_rows(spark, templates: dict[str, str]) -> list:
     df = let(df, words=words_of(F.col("text")))
     df = let(df, hashes=hashed_shingles("words"), shingles=F.array_distinct(shingles("words")))
     bands = F.when(F.size("hashes") <= WINDOW, F.col("hashes")).otherwise(window_bands("hashes", 1))
-    rows = df.select("id", "shingles", F.array_distinct(bands).alias("bands")).filter(F.size("shingles") > 0).collect()
+    known = df.select("id", F.size("words").alias("n"), "shingles", "hashes", F.array_distinct(bands).alias("bands"))
+    rows = known.filter("n > 0").collect()
     if sum(len(r["shingles"]) for r in rows) > MAX_TEMPLATE_SHINGLES:
         raise ValueError(f"templates hold more than {MAX_TEMPLATE_SHINGLES} shingles; scan with parts of the list")
     return rows
 
 
+def _distinguishing(row, rows: list) -> list[tuple[str, ...]]:
+    """For each rival of a template, the shingles that it does not share with it."""
+    own, found = set(row["shingles"]), set()
+    for other in rows:
+        apart = own - set(other["shingles"])
+        if apart and other["n"] >= SHINGLE and 2 * len(apart) <= len(own):
+            found.add(tuple(sorted(apart)))
+    return sorted(found)
+
+
 def _literal(values: list, kind: str) -> Column:
     """A constant array (words hold no line end), folded once by the optimizer."""
     return F.split(F.lit("\n".join(map(str, values))), "\n").cast(f"array<{kind}>")
@@ -135,28 +161,32 @@ def licenses(
     ``matches`` is an array of (template, containment), sorted by template.
     """
     known = _template_rows(docs.sparkSession, TEMPLATES if templates is None else templates)
+    phrases, known = [r for r in known if r["n"] < SHINGLE], [r for r in known if r["n"] >= SHINGLE]
     df = docs.select(F.struct(*[col(c) for c in keep or docs.columns]).alias("row"), col(text_col).cast("string").alias("text"))
     df = let(df, words=words_of(F.col("text"))).drop("text")
-    df = let(df, hashes=hashed_shingles("words"))
+    df = let(df, hashes=hashed_shingles("words"), line=F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
+    rough = F.exists("hashes", lambda x: x.isin(sorted({h for r in known for h in r["hashes"]})))
     all_bands = sorted({b for r in known for b in r["bands"]})
-    df = let(df, hits=F.filter(F.concat("hashes", window_bands("hashes", STRIDE)), lambda x: x.isin(all_bands))).drop("hashes")
+    hits = F.filter(F.concat("hashes", window_bands("hashes", STRIDE)), lambda x: x.isin(all_bands))
+    df = let(df, hits=F.when(rough, hits).otherwise(F.array().cast("array<bigint>"))).drop("hashes")
     df = let(df, held=F.when(F.size("hits") > 0, shingles("words")))
-    found = [
-        F.when(
-            F.arrays_overlap(F.col("hits"), _literal(r["bands"], "bigint")),
-            F.struct(
-                F.lit(r["id"]).alias("template"),
-                (F.size(F.array_intersect(_literal(r["shingles"], "string"), F.col("held"))) / len(r["shingles"])).alias(
-                    "containment"
-                ),
-            ),
-        )
-        for r in known
-    ]
+
+    def holds(wanted) -> Column:
+        return F.size(F.array_intersect(_literal(wanted, "string"), F.col("held")))
+
+    def match(row, containment: Column) -> Column:
+        return F.struct(F.lit(row["id"]).alias("template"), containment.alias("containment"))
+
+    found = []
+    for r in known:
+        fits = F.arrays_overlap(F.col("hits"), _literal(r["bands"], "bigint"))
+        fits &= holds(r["shingles"]) >= SIMILARITY * len(r["shingles"])
+        for apart in _distinguishing(r, known):
+            fits &= holds(apart) * 2 >= len(apart)
+        found.append((r["id"], F.when((F.size("hits") > 0) & fits, match(r, holds(r["shingles"]) / len(r["shingles"])))))
+    for r in phrases:
+        sequence = r["shingles"][0]  # all its words
+        found.append((r["id"], F.when(F.col("line").contains(f" {sequence} "), match(r, F.lit(1.0)))))
     none = F.array().cast("array<struct<template:string,containment:double>>")
-    matches = F.filter(F.array(*found), lambda m: m.isNotNull() & (m["containment"] >= SIMILARITY)) if found else none
-    return df.select(
-        "row",
-        F.size("words").cast("long").alias("n_words"),
-        F.when(F.size("hits") > 0, matches).otherwise(none).alias("matches"),
-    )
+    matches = F.filter(F.array(*[m for _, m in sorted(found, key=lambda x: x[0])]), lambda m: m.isNotNull()) if found else none
+    return df.select("row", F.size("words").cast("long").alias("n_words"), matches.alias("matches"))

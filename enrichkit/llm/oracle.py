@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .license_scan import SHINGLE, SIMILARITY, TEMPLATES
+from .license_scan import KINDS, SHINGLE, SIMILARITY, TEMPLATES
 
 #: A document word list; the class is that of the contract.
 _WORDS = (
@@ -74,12 +74,22 @@ def _op7() -> str:
     words = "regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     shingles = "unnest(generate_series(1, greatest(1, len(w) - {k} + 1))) AS i".format(k=SHINGLE)
     shingle = f"array_to_string(w[i : i + {SHINGLE} - 1], ' ')"
+    licence = f"regexp_replace(id, '-({'|'.join(KINDS)})$', '')"
     return f"""
-WITH template AS (
-  SELECT DISTINCT id, {shingle} AS s
-  FROM (SELECT id, w, {shingles} FROM (SELECT id, {words} AS w FROM (VALUES {names}) t(id, text)))
+WITH word AS (
+  SELECT id, {words} AS w FROM (VALUES {names}) t(id, text)
+), template AS (
+  SELECT DISTINCT id, {shingle} AS s FROM (SELECT id, w, {shingles} FROM word WHERE len(w) >= {SHINGLE})
 ), size AS (
   SELECT id, count(*) AS n FROM template GROUP BY id
+), rival AS (
+  SELECT a.id, b.id AS other FROM template a JOIN template b ON a.s = b.s AND a.id <> b.id JOIN size ON size.id = a.id
+  GROUP BY a.id, b.id HAVING 2 * count(*) >= any_value(n)
+), apart AS (
+  SELECT rival.id, other, s FROM rival JOIN template USING (id)
+  WHERE NOT EXISTS (SELECT 1 FROM template x WHERE x.id = rival.other AND x.s = template.s)
+), apart_size AS (
+  SELECT id, other, count(*) AS n FROM apart GROUP BY id, other
 ), doc AS (
   SELECT doc_id, {words} AS w FROM documents
 ), held AS (
@@ -88,11 +98,21 @@ WITH template AS (
 ), found AS (
   SELECT doc_id, id, count(*) / any_value(n)::DOUBLE AS c
   FROM held JOIN template USING (s) JOIN size USING (id) GROUP BY doc_id, id HAVING count(*) >= {SIMILARITY} * any_value(n)
+), told AS (
+  SELECT doc_id, id, other, count(*) AS k FROM held JOIN apart USING (s) GROUP BY doc_id, id, other
+), whole AS (
+  SELECT doc_id, id, c FROM found WHERE NOT EXISTS (
+    SELECT 1 FROM apart_size a LEFT JOIN told t ON t.doc_id = found.doc_id AND t.id = a.id AND t.other = a.other
+    WHERE a.id = found.id AND 2 * coalesce(t.k, 0) < a.n)
+  UNION ALL
+  SELECT doc_id, word.id, 1.0::DOUBLE FROM doc JOIN word
+    ON len(word.w) BETWEEN 1 AND {SHINGLE - 1} AND contains(' ' || array_to_string(doc.w, ' ') || ' ', ' ' || array_to_string(word.w, ' ') || ' ')
 ), each AS (
-  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids, max(c) AS c FROM found GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT {licence}) AS n, string_agg(DISTINCT {licence}, ',' ORDER BY {licence}) AS ids,
+    string_agg(id, ',' ORDER BY id) AS templates, max(c) AS c FROM whole GROUP BY doc_id
 )
 SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_licenses,
-  coalesce(ids, '') AS licenses, coalesce(c, 0.0)::DOUBLE AS containment
+  coalesce(ids, '') AS licenses, coalesce(templates, '') AS templates, coalesce(c, 0.0)::DOUBLE AS containment
 FROM doc LEFT JOIN each USING (doc_id)
 """
 

@@ -87,11 +87,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: license_scan.licence_of(m["template"]))))
     return found.select(
         "row.doc_id",
         "n_words",
-        F.size("matches").cast("long").alias("n_licenses"),
-        F.array_join(F.transform("matches", lambda m: m["template"]), ",").alias("licenses"),
+        F.size(names).cast("long").alias("n_licenses"),
+        F.array_join(names, ",").alias("licenses"),
+        F.array_join(F.transform("matches", lambda m: m["template"]), ",").alias("templates"),
         F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)).alias("containment"),
     )
 
