@@ -23,11 +23,12 @@ from .operators import (
 )
 from .plans.jobs import run_all
 from .session import get_session
-from .sources import publish, read_documents, read_key_list, read_table, save_table, write_documents
+from .sources import append_table, publish, read_documents, read_key_list, read_table, save_table, write_documents
 
 __version__ = "0.1.0"
 
 __all__ = [
+    "append_table",
     "classify",
     "development_status",
     "distribution",

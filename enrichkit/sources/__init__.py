@@ -4,23 +4,31 @@ from .documents import read_documents, write_documents
 from .key_list import read_key_list
 from .tables import (
     SchemaMismatchError,
+    StrayFilesError,
+    append_table,
     conform,
+    current_path,
     default_format,
     publish,
     read_table,
     save_table,
+    table_name,
     typed_rows,
 )
 
 __all__ = [
     "SchemaMismatchError",
+    "StrayFilesError",
+    "append_table",
     "conform",
+    "current_path",
     "default_format",
     "publish",
     "read_documents",
     "read_key_list",
     "read_table",
     "save_table",
+    "table_name",
     "typed_rows",
     "write_documents",
 ]

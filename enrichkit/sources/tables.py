@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
 from collections.abc import Callable, Iterable
 from decimal import Decimal
@@ -26,7 +28,15 @@ def default_format(spark: SparkSession) -> str:
 def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Load a stored table by path (S7): its current version, or plain files."""
     fmt = fmt or default_format(spark)
-    return spark.read.format(fmt).load(path if fmt == "delta" else current_path(spark, path))
+    if fmt == "delta":
+        return spark.read.format(fmt).load(path)
+    current = current_path(spark, path)
+    if current.rstrip("/") != path.rstrip("/"):
+        _refuse_stray_files(spark, path.rstrip("/"), current)
+    if spark.catalog.tableExists(table_name(path)):
+        spark.catalog.refreshTable(table_name(path))  # others may have appended
+        return spark.table(table_name(path))
+    return spark.read.format(fmt).load(current)
 
 
 def typed_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -> DataFrame:
@@ -102,63 +112,77 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-POINTER = "_current"  # Spark's readers skip names starting with "_"
+def table_name(path: str) -> str:
+    """The catalog name under which the table at ``path`` is registered."""
+    root = path.rstrip("/")
+    base = re.sub(r"[^0-9a-z]+", "_", root.rsplit("/", 1)[-1].lower()).strip("_") or "table"
+    return f"spark_catalog.default.{base}_{hashlib.md5(root.encode()).hexdigest()[:10]}"
+
+
+class StrayFilesError(RuntimeError):
+    """Rows were appended beside a table's current version, where no reader of the table looks."""
+
+
+def _names(spark: SparkSession, root: str) -> dict[str, tuple[bool, int]]:
+    """name -> (is a folder, modification time) of what lies in a folder, without hidden names."""
+    folder, fs = _hadoop_path(spark, root)
+    if not fs.exists(folder):
+        return {}
+    found = {s.getPath().getName(): (s.isDirectory(), s.getModificationTime()) for s in fs.listStatus(folder)}
+    return {n: x for n, x in found.items() if n[0] not in "._"}
+
+
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """The version folders of a table, oldest first (a folder gets this name when all is written)."""
+    return sorted(n for n, (folder, _) in _names(spark, root).items() if folder and _VERSION.fullmatch(n))
+
+
+_VERSION = re.compile(r"v\d{6}-[0-9a-f]{8}")
 
 
 def current_path(spark: SparkSession, path: str) -> str:
-    """The folder that holds the table's current files.
+    """The plain folder that holds the table's current files, for any reader (and for ``append``).
 
-    ``save_table`` keeps every version in a folder of its own and names the
-    current one in a small pointer file; a folder without a pointer holds the
-    files itself. Append to this folder, not to the table's path.
+    The catalog says which; a session whose catalog does not know the table
+    (an in-memory one, in another program) takes the newest version folder.
+    A folder without versions holds the files itself.
     """
+    root, name = path.rstrip("/"), table_name(path)
+    if spark.catalog.tableExists(name):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+        return rows[0]["data_type"]
+    versions = _versions(spark, root) if _has_jvm(spark) else []
+    return f"{root}/{versions[-1]}" if versions else path
+
+
+def _refuse_stray_files(spark: SparkSession, root: str, current: str) -> None:
     if not _has_jvm(spark):
-        return path
-    pointer, fs = _hadoop_path(spark, f"{path.rstrip('/')}/{POINTER}")
-    if not fs.exists(pointer):
-        return path
-    stream = fs.open(pointer)
-    try:
-        jvm = spark.sparkContext._jvm
-        name = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return f"{path.rstrip('/')}/{name}"
+        return
+    names = _names(spark, root)
+    since = names.get(current.rsplit("/", 1)[-1], (True, 0))[1]
+    stray = sorted(n for n, (folder, changed) in names.items() if not folder and changed > since)
+    if stray:
+        raise StrayFilesError(
+            f"{root} holds {len(stray)} newer files beside its current version, e.g. {stray[0]}; "
+            "append with append_table or to current_path"
+        )
 
 
-def _switch(spark: SparkSession, path: str, version: str) -> None:
-    """Point the table at ``version``: a rename over the old pointer, atomic on HDFS and local disks."""
-    root = path.rstrip("/")
-    fresh, fs = _hadoop_path(spark, f"{root}/{POINTER}.{uuid.uuid4().hex}")
-    target, _ = _hadoop_path(spark, f"{root}/{POINTER}")
-    out = fs.create(fresh, False)
-    try:
-        out.write(bytearray(f"{version}\n".encode()))
-    finally:
-        out.close()
-    sc = spark.sparkContext
-    hadoop = sc._jvm.org.apache.hadoop.fs
-    try:
-        options = sc._gateway.new_array(hadoop.Options.Rename, 1)
-        options[0] = hadoop.Options.Rename.OVERWRITE
-        context = hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
-        context.rename(fs.makeQualified(fresh), fs.makeQualified(target), options)
-    except Exception:  # noqa: BLE001 - object stores without rename: one put replaces the pointer
-        out = fs.create(target, True)
-        try:
-            out.write(bytearray(f"{version}\n".encode()))
-        finally:
-            out.close()
-        fs.delete(fresh, False)
+def _register(spark: SparkSession, name: str, folder: str, fmt: str, schema: StructType) -> None:
+    """Make ``folder`` the place of the catalog's table: the switch from one version to the next."""
+    if spark.catalog.tableExists(name):
+        if _strip_nullability(spark.table(name).schema) == _strip_nullability(schema):
+            place = folder.replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")  # another schema: registered anew (the files are external)
+    spark.catalog.createTable(name, path=folder, source=fmt, schema=schema)
 
 
-def _drop_old(spark: SparkSession, path: str, keep: set[str]) -> None:
-    """Remove the versions and plain files that are neither current nor the one before."""
-    root, fs = _hadoop_path(spark, path)
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name != POINTER and name not in keep:
-            fs.delete(status.getPath(), True)
+def _delete(spark: SparkSession, path: str) -> None:
+    found, fs = _hadoop_path(spark, path)
+    fs.delete(found, True)
 
 
 def _stored_schema(spark: SparkSession, path: str, fmt: str) -> StructType | None:
@@ -184,13 +208,13 @@ def save_table(
 ) -> None:
     """Replace the whole table at ``path``.
 
-    The new rows go to a version folder of their own; only when all are
-    written (and ``check`` did not raise) the table's pointer is switched to
-    it. A failed or interrupted job leaves the table as it was, there is no
-    moment without a table, no file is copied, and a table may be overwritten
-    with rows read from itself. The version before stays for running readers,
-    older ones are removed. One job writes a table at a time. Delta tables are
-    written by Delta, which commits atomically by itself.
+    Spark writes the new rows to a version folder of their own, a plain folder
+    for any reader; only when all are written (and ``check`` did not raise)
+    the catalog's table ``table_name(path)`` gets that folder as its location.
+    A failed or interrupted job leaves the table as it was, no file is copied,
+    and a table may be overwritten with rows read from itself. The version
+    before stays for running readers, older ones are removed. One job writes a
+    table at a time. Delta tables are written by Delta.
 
     Like an overwrite of a Delta table without ``overwriteSchema``, a write
     that would change column names or types is refused unless
@@ -203,27 +227,54 @@ def save_table(
         raise SchemaMismatchError(
             f"schema of {path} is {stored.simpleString()}, new data has {df.schema.simpleString()}"
         )
-    if fmt == "delta" or not _has_jvm(spark):
+    if fmt == "delta":
         writer = df.write.format(fmt).mode("overwrite")
-        if fmt == "delta" and overwrite_schema:
+        if overwrite_schema:
             writer = writer.option("overwriteSchema", "true")
         writer.save(path)
         if check:
             check()
         return
-    root = path.rstrip("/")
-    before = current_path(spark, root).removeprefix(root).strip("/")
-    version = f"v-{uuid.uuid4().hex}"
+    root, files = path.rstrip("/"), _has_jvm(spark)
+    before = current_path(spark, root)
+    number = int(m[0][1:7]) if (m := _VERSION.search(before)) else 0
+    version = f"v{number + 1:06d}-{uuid.uuid4().hex[:8]}"
+    # a hidden name until all is written: no other session takes it for a version
+    fresh = f"{root}/_{version}" if files else f"{root}/{version}"
     try:
-        df.write.format(fmt).save(f"{root}/{version}")
+        df.write.format(fmt).save(fresh)
         if check:
             check()
+        if files:
+            source, fs = _hadoop_path(spark, fresh)
+            if not fs.rename(source, _hadoop_path(spark, f"{root}/{version}")[0]):
+                raise OSError(f"could not rename {fresh}")
     except Exception:
-        failed, fs = _hadoop_path(spark, f"{root}/{version}")
-        fs.delete(failed, True)
+        if files:
+            _delete(spark, fresh)
         raise
-    _switch(spark, root, version)
-    _drop_old(spark, root, {version, before})
+    _register(spark, table_name(root), f"{root}/{version}", fmt, df.schema)
+    if files:
+        kept = {version, before.rsplit("/", 1)[-1]}
+        plain = before.rstrip("/") == root  # the version before is the plain files of the folder
+        for name, (folder, _) in _names(spark, root).items():
+            if name not in kept and not (plain and not folder):
+                _delete(spark, f"{root}/{name}")
+
+
+def append_table(df: DataFrame, path: str, fmt: str | None = None) -> None:
+    """Add rows to the current version of a table; columns are matched by name."""
+    spark = df.sparkSession
+    fmt = fmt or default_format(spark)
+    stored = _stored_schema(spark, path, fmt)
+    if stored is None:
+        return save_table(df, path, fmt)
+    if sorted(_strip_nullability(stored)) != sorted(_strip_nullability(df.schema)):
+        raise SchemaMismatchError(f"schema of {path} is {stored.simpleString()}, new rows have {df.schema.simpleString()}")
+    rows = df.select(*["`" + c.replace("`", "``") + "`" for c in stored.names])
+    rows.write.format(fmt).mode("append").save(path if fmt == "delta" else current_path(spark, path))
+    if fmt != "delta" and spark.catalog.tableExists(table_name(path)):
+        spark.catalog.refreshTable(table_name(path))
 
 
 def publish(

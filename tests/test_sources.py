@@ -1,4 +1,5 @@
 import os
+import time
 from collections import Counter
 
 import pytest
@@ -14,9 +15,13 @@ from enrichkit.sources.tables import (
     SchemaMismatchError,
     conform,
     path_exists,
+    StrayFilesError,
+    append_table,
+    current_path,
     publish,
     read_table,
     save_table,
+    table_name,
     typed_rows,
 )
 
@@ -101,7 +106,7 @@ def test_failed_overwrite_keeps_the_table(spark, tmp_table):
         save_table(spark.createDataFrame([(9,)], "x int"), path, check=refuse)
     assert sorted(r.x for r in read_table(spark, path).collect()) == [1, 2]
     local = path.replace("file:", "")
-    versions = lambda: [d for d in os.listdir(local) if d.startswith("v-")]
+    versions = lambda: [d for d in os.listdir(local) if d.startswith("v0")]
     assert len(versions()) == 1  # nothing is left of the failed writes
     reader = read_table(spark, path)
     save_table(spark.createDataFrame([(3,)], "x int"), path)
@@ -117,7 +122,50 @@ def test_plain_files_become_a_versioned_table(spark, tmp_table):
     assert [r.x for r in read_table(spark, path).collect()] == [1]
     save_table(read_table(spark, path).withColumn("x", F.col("x") + 1), path)
     assert [r.x for r in read_table(spark, path).collect()] == [2]
-    assert sorted(os.listdir(path.replace("file:", "")))[0].startswith((".", "_current"))
+    save_table(read_table(spark, path).withColumn("x", F.col("x") + 1), path)
+    left = [n for n in os.listdir(path.replace("file:", "")) if n[0] not in "._"]
+    assert sorted(n[:7] for n in left) == ["v000001", "v000002"]  # the plain files are older than the one before
+
+
+def test_readers_of_a_plain_folder_outlive_the_first_overwrite(spark, tmp_table):
+    path = tmp_table("plain_reader")
+    spark.createDataFrame([(1,)], "x int").write.parquet(path)
+    reader = read_table(spark, path)
+    save_table(spark.createDataFrame([(2,)], "x int"), path)
+    assert [r.x for r in reader.collect()] == [1]
+
+
+def test_stored_tables_are_open_to_other_readers(spark, tmp_table):
+    """By name in the catalog, and by the current folder for plain Spark and for other engines."""
+    import duckdb
+
+    path = tmp_table("open")
+    for rows in ([(1, "a")], [(2, "b"), (3, "c")], [(4, "d"), (5, "e")]):
+        save_table(spark.createDataFrame(rows, "x int, s string"), path)
+    assert sorted(tuple(r) for r in spark.table(table_name(path)).collect()) == [(4, "d"), (5, "e")]
+    folder = current_path(spark, path)
+    assert sorted(tuple(r) for r in spark.read.parquet(folder).collect()) == [(4, "d"), (5, "e")]
+    local = folder.replace("file:", "")
+    assert duckdb.sql(f"SELECT x, s FROM read_parquet('{local}/*.parquet') ORDER BY x").fetchall() == [(4, "d"), (5, "e")]
+    # a catalog that does not know the table (another program) finds the same version
+    spark.sql(f"DROP TABLE {table_name(path)}")
+    assert current_path(spark, path).rstrip("/").rsplit("/", 1)[-1] == local.rstrip("/").rsplit("/", 1)[-1]
+    assert read_table(spark, path).count() == 2
+
+
+def test_appended_rows_are_read_and_stray_files_are_no_silent_loss(spark, tmp_table):
+    path = tmp_table("append")
+    append_table(spark.createDataFrame([(1, "a")], "x int, s string"), path)
+    append_table(spark.createDataFrame([("b", 2)], "s string, x int"), path)
+    assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [(1, "a"), (2, "b")]
+    spark.createDataFrame([(3, "c")], "x int, s string").write.mode("append").parquet(current_path(spark, path))
+    assert read_table(spark, path).count() == 3
+    with pytest.raises(SchemaMismatchError):
+        append_table(spark.createDataFrame([(1,)], "x int"), path)
+    time.sleep(1.1)
+    spark.createDataFrame([(4, "d")], "x int, s string").write.mode("append").parquet(path)
+    with pytest.raises(StrayFilesError):
+        read_table(spark, path)
 
 
 @pytest.mark.parametrize(
