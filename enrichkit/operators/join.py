@@ -10,10 +10,16 @@ Physical strategy
   its estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and
   AQE re-checks it on the real shuffle size, otherwise a sort-merge join on
   the key. AQE's skew handling splits hot LEFT partitions.
-* ``skew_threshold``: the rows per key of both sides are counted first (a
-  map-side combined count, written to the scratch folder). A key with that
-  many rows on either side is *hot*; the hot list stays a DataFrame, of any
-  length, and Catalyst broadcasts it only if it is small. A hot key becomes a
+* ``skew_threshold``: a key with that many rows on either side is *hot*. A
+  sketch finds where to look (a count-min sketch of one row of ``SKETCH``
+  counters: keys are hashed into buckets and counted map-side combined, so a
+  task sends at most that many rows whatever the number of keys); a bucket
+  below the threshold holds no hot key, and mostly none is above. Only the
+  keys of the other buckets are counted one by one. The hot list is a written
+  DataFrame of any length that Catalyst broadcasts only if it is small.
+  ``left_keys`` / ``right_keys`` may give a cheaper DataFrame with the same
+  keys as often (for lazy plans), ``hot_sides`` may leave out a side known to
+  have no hot key. A hot key becomes a
   grid of cells ``(key, a, b)``: its left rows are dealt over ``a`` and copied
   along ``b``, its right rows are dealt over ``b`` and copied along ``a``, so
   every pair meets in exactly one cell, and no cell takes more than about
@@ -32,6 +38,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.types import DataType
 
 from ..session import scratch_path, shuffle_width
 
@@ -40,8 +48,21 @@ class DuplicateKeyError(ValueError):
     """Raised by ``on_duplicate="error"`` when a right key occurs twice."""
 
 
-_P = "__ek_"  # prefix of internal helper columns
-_A, _B, _REP, _KEY, _HIT = _P + "a", _P + "b", _P + "rep", _P + "key", _P + "hit"
+#: Counters of the sketch: what it sends is bounded by this, whatever the keys.
+SKETCH = 1 << 16
+
+
+class _Names:
+    """Names of helper columns that begin with what no column of either side begins with."""
+
+    def __init__(self, *frames: DataFrame):
+        names = [c.lower() for f in frames for c in f.columns]
+        prefix = "__ek_"
+        while any(c.startswith(prefix) for c in names):
+            prefix += "_"
+        for name in ("l", "r", "a", "b", "rep", "key", "hit", "n", "n_l", "n_r", "key_l", "key_r", "cells_l", "cells_r",
+                     "chunk_l", "chunk_r", "sig", "row", "i", "times_l", "times_r", "bucket"):
+            setattr(self, name, prefix + name)
 
 
 def _col(name: str, of: str | None = None) -> Column:
@@ -58,6 +79,9 @@ def left_enrich(
     drop_right_key: bool = True,
     on_duplicate: str = "keep",
     skew_threshold: int | None = None,
+    hot_sides: tuple[str, ...] = ("left", "right"),
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``right`` onto ``left`` where ``left[left_key] == right[right_key]``.
 
@@ -72,77 +96,85 @@ def left_enrich(
     if on_duplicate == "error":
         _fail_on_duplicate_keys(right, right_key)
     kept = [c for c in right.columns if not (drop_right_key and c == right_key)]
-    hot = None if skew_threshold is None else _hot_keys(left, right, left_key, right_key, skew_threshold)
+    names, hot = _Names(left, right), None
+    if skew_threshold is not None:
+        of_left = None if left.isStreaming else (left if left_keys is None else left_keys)
+        of_right = right if right_keys is None else right_keys
+        hot = _hot_keys(of_left, of_right, left_key, right_key, skew_threshold, hot_sides, names)
     if hot is not None:
-        return _grid_join(left, right, left_key, right_key, kept, hot)
-    joined = left.alias("ek_l").join(
-        right.alias("ek_r"), _col(left_key, "ek_l") == _col(right_key, "ek_r"), "left"
+        return _grid_join(left, right, left_key, right_key, kept, hot, names)
+    joined = left.alias(names.l).join(
+        right.alias(names.r), _col(left_key, names.l) == _col(right_key, names.r), "left"
     )
-    return joined.select("ek_l.*", *[_col(c, "ek_r") for c in kept])
+    return joined.select(f"{names.l}.*", *[_col(c, names.r) for c in kept])
 
 
 def _fail_on_duplicate_keys(right: DataFrame, key: str) -> None:
-    dup = (
-        right.filter(_col(key).isNotNull())
-        .groupBy(_col(key))
-        .agg(F.count(F.lit(1)).alias(_P + "n"))
-        .filter(F.col(_P + "n") > 1)
-        .limit(1)
-        .collect()
-    )
+    keys = right.filter(_col(key).isNotNull()).select(_col(key).alias("key"))
+    dup = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"right key {key!r} is not unique, e.g. {dup[0][0]!r}")
 
 
-def _key_counts(df: DataFrame, key: str, name: str) -> DataFrame:
-    return (
-        df.filter(_col(key).isNotNull())
-        .groupBy(_col(key).alias(_P + name))
-        .agg(F.count(F.lit(1)).alias(name))
-    )
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SKETCH))
+
+
+def _hashes_like_it_compares(left: DataType, right: DataType) -> bool:
+    """Whether equal keys of the two types surely have equal hashes."""
+    plain = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DateType, T.BooleanType, T.TimestampType, T.BinaryType)
+    return left == right and (isinstance(left, plain) or left == T.StringType())
 
 
 def _hot_keys(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, threshold: int
+    left: DataFrame | None,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    threshold: int,
+    sides: tuple[str, ...],
+    x: _Names,
 ) -> DataFrame | None:
     """(key, cells_l, cells_r, chunk_l, chunk_r) of the hot keys, or None without any."""
-    counts = _key_counts(right, right_key, "n_r")
-    if left.isStreaming:
-        counts = counts.select(F.col(_P + "n_r").alias(_KEY), "n_r", F.lit(1).cast("long").alias("n_l"))
+    spark, t, one = right.sparkSession, F.lit(threshold), F.lit(1)
+    keys = {"right": right.filter(_col(right_key).isNotNull()).select(_col(right_key).alias(x.key))}
+    if left is not None:
+        keys["left"] = left.filter(_col(left_key).isNotNull()).select(_col(left_key).alias(x.key))
+    looked = [keys[s] for s in sides if s in keys]
+    if not looked:
+        return None
+    if left is None or _hashes_like_it_compares(left.schema[left_key].dataType, right.schema[right_key].dataType):
+        counted = [k.groupBy(_bucket(F.col(x.key)).alias(x.bucket)).agg(F.count(one).alias(x.n)) for k in looked]
+        full = counted[0] if len(counted) == 1 else counted[0].union(counted[1])
+        buckets = [r[0] for r in full.filter(F.col(x.n) >= t).select(x.bucket).distinct().collect()]  # at most SKETCH
+        if not buckets:
+            return None
+        wanted = F.broadcast(spark.createDataFrame([(b,) for b in buckets], f"{x.bucket} long"))
+        keys = {s: k.join(wanted, _bucket(F.col(x.key)) == F.col(x.bucket), "left_semi") for s, k in keys.items()}
+    counts = keys["right"].groupBy(F.col(x.key).alias(x.key_r)).agg(F.count(one).alias(x.n_r))
+    if left is None:
+        counts = counts.select(F.col(x.key_r).alias(x.key), x.n_r, one.cast("long").alias(x.n_l))
     else:
-        own = _key_counts(left, left_key, "n_l")
-        counts = counts.join(own, F.col(_P + "n_r") == F.col(_P + "n_l"), "full").select(
-            F.coalesce(_P + "n_r", _P + "n_l").alias(_KEY),
-            F.coalesce("n_r", F.lit(0)).alias("n_r"),
-            F.coalesce("n_l", F.lit(0)).alias("n_l"),
+        own = keys["left"].groupBy(F.col(x.key).alias(x.key_l)).agg(F.count(one).alias(x.n_l))
+        counts = counts.join(own, F.col(x.key_r) == F.col(x.key_l), "full").select(
+            F.coalesce(x.key_r, x.key_l).alias(x.key),
+            F.coalesce(x.n_r, F.lit(0)).alias(x.n_r),
+            F.coalesce(x.n_l, F.lit(0)).alias(x.n_l),
         )
     up = lambda n, d: F.ceil(n / d).cast("long")
-    t = F.lit(threshold)
+    n_l, n_r = F.col(x.n_l), F.col(x.n_r)
+    cells_r = F.greatest(up(n_r, t), one.cast("long"))
+    # enough left cells that no cell has more than 100 thresholds of pairs
+    cells_l = F.greatest(up(n_l, t), up(n_l.cast("double") * n_r, F.col(x.cells_r) * t * 100))
     hot = (
-        counts.filter((F.col("n_r") >= t) | (F.col("n_l") >= t))
-        .withColumn("cells_r", F.greatest(up(F.col("n_r"), t), F.lit(1)))
-        .withColumn(
-            "cells_l",
-            F.greatest(
-                F.lit(1),
-                F.least(
-                    "n_l",
-                    F.greatest(
-                        up(F.col("n_l"), t),
-                        up(F.col("n_l").cast("double") * F.col("n_r"), F.col("cells_r") * t * 100),
-                    ),
-                ),
-            ),
-        )
+        counts.filter((n_r >= t) | (n_l >= t))
+        .withColumn(x.cells_r, cells_r)
+        .withColumn(x.cells_l, F.greatest(one.cast("long"), F.least(n_l, cells_l)))
         .select(
-            _KEY,
-            "cells_l",
-            "cells_r",
-            up(F.col("n_l"), F.col("cells_l")).alias("chunk_l"),
-            up(F.col("n_r"), F.col("cells_r")).alias("chunk_r"),
+            x.key, x.cells_l, x.cells_r,
+            up(n_l, F.col(x.cells_l)).alias(x.chunk_l), up(n_r, F.col(x.cells_r)).alias(x.chunk_r),
         )
-    )
-    spark = right.sparkSession
+    )
     path = scratch_path(spark, "hot_keys")
     hot.write.parquet(path)
     stored = spark.read.schema(hot.schema).parquet(path)
@@ -160,72 +192,70 @@ def _signature(df: DataFrame) -> Column:
     return F.sha2(F.to_json(F.struct(*named), exact).cast("binary"), 256)
 
 
-def _dealt(df: DataFrame, key: str, hot: DataFrame, side: str) -> DataFrame:
+def _dealt(df: DataFrame, key: str, hot: DataFrame, side: str, x: _Names) -> DataFrame:
     """Rows with their cell: dealt along the own axis, copied along the other one."""
-    own, other, chunk = f"cells_{side}", "cells_r" if side == "l" else "cells_l", f"chunk_{side}"
-    axis, across = (_A, _B) if side == "l" else (_B, _A)
+    own, other, chunk = (x.cells_l, x.cells_r, x.chunk_l) if side == "l" else (x.cells_r, x.cells_l, x.chunk_r)
+    axis, across = (x.a, x.b) if side == "l" else (x.b, x.a)
     columns = [_col(c) for c in df.columns]
-    keyed = df.join(hot, _col(key) == F.col(_KEY), "left").drop(_KEY)
+    one = F.lit(1).cast("long")
+    keyed = df.join(hot, _col(key) == F.col(x.key), "left").drop(x.key)
     if df.isStreaming:
         spread = F.pmod(F.xxhash64(_signature(df)), F.lit(shuffle_width(df.sparkSession)))
         rows = keyed.select(
-            *columns, other, F.lit(1).cast("long").alias(_REP),
-            F.when(_col(key).isNull(), spread).otherwise(F.lit(0)).alias(axis),
+            *columns, other, one.alias(x.rep), F.when(_col(key).isNull(), spread).otherwise(F.lit(0)).alias(axis)
         )
     else:
-        single = F.coalesce(F.col(own), F.lit(1)) == 1
-        cold = keyed.filter(single).select(
-            *columns, other, F.lit(1).cast("long").alias(_REP), F.lit(0).cast("long").alias(axis)
-        )
+        single = F.coalesce(F.col(own), one) == 1
+        cold = keyed.filter(single).select(*columns, other, one.alias(x.rep), F.lit(0).cast("long").alias(axis))
         collapsed = (
             keyed.filter(~single)
-            .groupBy(_signature(df).alias(_P + "sig"), own, other, chunk)
-            .agg(F.first(F.struct(*columns)).alias(_P + "row"), F.count(F.lit(1)).alias(_P + "n"))
+            .groupBy(_signature(df).alias(x.sig), own, other, chunk)
+            .agg(F.first(F.struct(*columns)).alias(x.row), F.count(F.lit(1)).alias(x.n))
         )
-        chunks = F.sequence(F.lit(0).cast("long"), F.expr(f"({_P}n - 1) div {chunk}"))
-        split = collapsed.select("*", F.explode(chunks).alias(_P + "i")).select(
-            f"{_P}row.*",
+        chunks = F.sequence(F.lit(0).cast("long"), F.expr(f"({x.n} - 1) div {chunk}"))
+        split = collapsed.select("*", F.explode(chunks).alias(x.i)).select(
+            f"{x.row}.*",
             other,
-            F.least(F.col(chunk), F.col(_P + "n") - F.col(_P + "i") * F.col(chunk)).alias(_REP),
-            F.pmod(F.xxhash64(_P + "sig", _P + "i"), F.col(own)).alias(axis),
+            F.least(F.col(chunk), F.col(x.n) - F.col(x.i) * F.col(chunk)).alias(x.rep),
+            F.pmod(F.xxhash64(x.sig, x.i), F.col(own)).alias(axis),
         )
         rows = cold.unionByName(split)
-    cells = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other), F.lit(1)) - 1)
+    cells = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other), one) - 1)
     return rows.select("*", F.explode(cells).alias(across))
 
 
 def _grid_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, kept: list[str], hot: DataFrame
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, kept: list[str], hot: DataFrame, x: _Names
 ) -> DataFrame:
     width = shuffle_width(right.sparkSession)
     with_key = left if left.isStreaming else left.filter(_col(left_key).isNotNull())
     # both sides at one fixed width, so the hot cells come from many tasks
     # even if AQE broadcasts one side
-    lh = _dealt(with_key, left_key, hot, "l").repartition(width, _col(left_key), _A, _B).alias("ek_l")
+    lh = _dealt(with_key, left_key, hot, "l", x).repartition(width, _col(left_key), x.a, x.b).alias(x.l)
     rh = (
-        _dealt(right.filter(_col(right_key).isNotNull()), right_key, hot, "r")
-        .withColumn(_HIT, F.lit(True))
-        .repartition(width, _col(right_key), _A, _B)
-        .alias("ek_r")
+        _dealt(right.filter(_col(right_key).isNotNull()), right_key, hot, "r", x)
+        .withColumn(x.hit, F.lit(True))
+        .repartition(width, _col(right_key), x.a, x.b)
+        .alias(x.r)
     )
     joined = lh.join(
         rh,
-        (_col(left_key, "ek_l") == _col(right_key, "ek_r"))
-        & (F.col(f"ek_l.{_A}") == F.col(f"ek_r.{_A}"))
-        & (F.col(f"ek_l.{_B}") == F.col(f"ek_r.{_B}")),
+        (_col(left_key, x.l) == _col(right_key, x.r))
+        & (_col(x.a, x.l) == _col(x.a, x.r))
+        & (_col(x.b, x.l) == _col(x.b, x.r)),
         "left",
     )
     # a key of several right cells has right rows; a cell without any is no miss
-    real = F.col(f"ek_r.{_HIT}").isNotNull() | (F.coalesce(F.col("ek_l.cells_r"), F.lit(1)) == 1)
     one = F.lit(1).cast("long")
+    real = _col(x.hit, x.r).isNotNull() | (F.coalesce(_col(x.cells_r, x.l), one) == 1)
     out = joined.filter(real).select(
-        *[_col(c, "ek_l") for c in left.columns],
-        *[_col(c, "ek_r") for c in kept],
-        F.col(f"ek_l.{_REP}").alias(_P + "times_l"),
-        F.coalesce(F.col(f"ek_r.{_REP}"), one).alias(_P + "times_r"),
+        *[_col(c, x.l) for c in left.columns],
+        *[_col(c, x.r) for c in kept],
+        _col(x.rep, x.l).alias(x.times_l),
+        F.coalesce(_col(x.rep, x.r), one).alias(x.times_r),
     )
-    for times in (_P + "times_l", _P + "times_r"):
-        out = out.withColumn(_P + "i", F.explode(F.sequence(one, F.col(times)))).drop(_P + "i", times)
+    times = F.col(x.times_l) * F.col(x.times_r)
+    out = out.withColumn(x.i, F.explode(F.sequence(one, times))).drop(x.i, x.times_l, x.times_r)
     if left.isStreaming:
         return out
     types = {f.name: f.dataType for f in right.schema.fields}

@@ -386,6 +386,7 @@ def status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
         left_enrich(
             processed, indicators, "country_code_3", "country_code_3_econ",
             skew_threshold=jobs.DEFAULT_SKEW_THRESHOLD,
+            right_keys=codes.select(F.col("code").alias("country_code_3_econ")),
         )
     )
     return distribution(enriched, "development_status")

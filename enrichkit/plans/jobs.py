@@ -2,7 +2,7 @@
 
 Each job does its data work in one Spark action (its write); row counts and
 the status distribution are ``Observation`` metrics of that same pass. The
-enrich job first counts the rows per code for its hot keys, and the aggregate
+enrich job first sketches the codes for its hot keys, and the aggregate
 and publish jobs log the first rows (a ``limit``). Jobs hand over
 through written tables, which also cuts lineage: a lost executor never forces
 a recomputation of an earlier job. Like an overwrite of a stored Delta table,
@@ -129,13 +129,16 @@ def enrich(
     *,
     skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
     on_duplicate: str = "keep",
+    hot_sides: tuple[str, ...] = ("left", "right"),
     fmt: str | None = None,
     overwrite_schema: bool = False,
 ) -> JobResult:
     """Processed LEFT JOIN indicators on the 3-letter code, then classify.
 
     Duplicate indicator codes fan out like in the reference (``"keep"``);
-    ``on_duplicate="error"`` refuses them instead.
+    ``on_duplicate="error"`` refuses them instead. ``hot_sides`` without
+    ``"right"`` says that no code has ``skew_threshold`` indicator lines, as
+    E2 has counted, and saves that count.
     """
     with stage("enrich"):
         countries = read_table(spark, countries_path, fmt)
@@ -149,6 +152,7 @@ def enrich(
             "country_code_3_econ",
             skew_threshold=skew_threshold,
             on_duplicate=on_duplicate,
+            hot_sides=hot_sides,
         )
         enriched, obs = observe(
             development_status(joined),
@@ -243,9 +247,11 @@ def run_all(
             hot_threshold=skew_threshold,
         )
         results = {"processed": processed.result(), "indicators": indicators.result()}
+        # E2 has counted the lines of every code in its own pass
+        few = skew_threshold is not None and results["indicators"].metrics["hot_keys"] == 0
         results["enriched"] = enrich(
             spark, paths["processed"], paths["indicators"], paths["enriched"],
-            skew_threshold=skew_threshold, fmt=fmt,
+            skew_threshold=skew_threshold, hot_sides=("left",) if few else ("left", "right"), fmt=fmt,
         )
         stats = pool.submit(
             aggregate_regions, spark, paths["enriched"], paths["regional_stats"], fmt

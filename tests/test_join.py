@@ -91,6 +91,41 @@ def test_salted_join_is_exact_bit_for_bit(spark, threshold):
     assert _bits(salted) == _bits(plain)
 
 
+HELPERS = ("__ek_a", "__ek_cells_l", "__ek_cells_r", "__ek_chunk_l", "__ek_l", "cells_l", "cells_r", "chunk_l", "chunk_r", "ek_l", "ek_r", "n_l", "n_r")
+
+
+@pytest.mark.parametrize("threshold", [None, 2])
+@pytest.mark.parametrize("upper", [False, True])
+def test_helper_names_as_columns(spark, threshold, upper):
+    left = spark.createDataFrame([("A", 1)] * 3 + [("B", 2), (None, 3)], "code string, id int")
+    right = spark.createDataFrame([("A", 1.0)] * 3 + [("C", 2.0), (None, 3.0)], "code_econ string, v double")
+    for i, name in enumerate(HELPERS):
+        name = name.upper() if upper else name
+        left, right = left.withColumn(name, F.lit(i)), right.withColumn(name, F.lit(-i))
+    out = left_enrich(left, right, "code", "code_econ", skew_threshold=threshold)
+    assert out.columns == [*left.columns, "v", *right.columns[2:]]
+    want = [("A", 1, *range(13), 1.0, *(-i for i in range(13)))] * 9
+    want += [("B", 2, *range(13), *[None] * 14), (None, 3, *range(13), *[None] * 14)]
+    assert _rows(out) == Counter(want)
+
+
+def test_sketch_leaves_only_candidates_to_count(spark, monkeypatch):
+    """Also with so few counters that most keys share one; types that hash apart are counted exactly."""
+    from enrichkit.operators import join
+
+    l = spark.range(300).selectExpr("id % 50 AS code", "id AS pop")
+    r = spark.range(200).selectExpr("CASE WHEN id < 60 THEN 7 ELSE id END AS code_econ", "CAST(id AS DOUBLE) AS gdp")
+    plain = _rows(left_enrich(l, r, "code", "code_econ"))
+    for counters in (2, 7, 1 << 16):
+        monkeypatch.setattr(join, "SKETCH", counters)
+        assert _rows(left_enrich(l, r, "code", "code_econ", skew_threshold=20)) == plain
+        assert join._hot_keys(l, r, "code", "code_econ", 20, ("left", "right"), join._Names(l, r)).count() == 1
+        assert join._hot_keys(l, r, "code", "code_econ", 20, ("left",), join._Names(l, r)) is None or counters < 50
+        narrow = l.withColumn("code", F.col("code").cast("int"))
+        assert _rows(left_enrich(narrow, r, "code", "code_econ", skew_threshold=20)) == plain
+    assert join._hot_keys(l, r, "code", "code_econ", 500, ("left", "right"), join._Names(l, r)) is None
+
+
 @pytest.mark.parametrize("threshold", [None, 2])
 def test_equal_key_names_keep_one_key(spark, threshold, tmp_table):
     left = spark.createDataFrame([("A", 1), ("A", 2), (None, 3), ("B", 4)], "k string, id int")
