@@ -111,6 +111,13 @@ def json_array_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_countries(raw)
 
 
+def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 over indented arrays, cut by structure so that many tasks share a file, then flattened."""
+    path = scratch_path(spark, "raw_indented")
+    write_document_arrays(country_documents(spark, sf_dir, with_key=True), path, indented=True)
+    return flatten_countries(read_documents(spark, path, raw_country_schema(), multi_line="array"))
+
+
 def json_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with undeclared fields, some cut off: two declared fields and whether the line parsed."""
     path = scratch_path(spark, "broken_lines")
@@ -397,6 +404,7 @@ def queries() -> dict[str, Query]:
         "flagship_group_stats": flagship_group_stats,
         "json_flatten": json_flatten,
         "json_array_flatten": json_array_flatten,
+        "json_array_split": json_array_split,
         "json_corrupt": json_corrupt,
         "json_column": json_column,
         "select_rename_drop": select_rename_drop,

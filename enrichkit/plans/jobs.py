@@ -59,7 +59,7 @@ def process_documents(
     json_path: str,
     out: str,
     *,
-    multi_line: bool = False,
+    multi_line: bool | str = False,
     mode: str = "PERMISSIVE",
     corrupt_column: str = "_corrupt_record",
     fmt: str | None = None,
@@ -74,7 +74,7 @@ def process_documents(
     """
     with stage("process_documents"):
         # multi-line files parse in one task each; spread the rows afterwards
-        width = shuffle_width(spark) if multi_line else None
+        width = shuffle_width(spark) if multi_line is True else None
         raw = read_documents(
             spark, json_path, raw_country_schema(), multi_line=multi_line, mode=mode,
             corrupt_column=corrupt_column if mode.upper() == "PERMISSIVE" else None, partitions=width,
@@ -86,7 +86,7 @@ def process_documents(
             if obs.get["rows"] and obs.get["corrupt"] == obs.get["rows"]:
                 raise ValueError(
                     f"none of the {obs.get['rows']} records of {json_path} could be parsed"
-                    + ("" if multi_line else "; documents that span lines need multi_line=True")
+                    + ("" if multi_line else "; documents that span lines need multi_line=True or \"array\"")
                 )
 
         save_table(flatten_countries(raw), out, fmt, overwrite_schema=overwrite_schema, check=any_parsed)
@@ -225,7 +225,7 @@ def run_all(
     codes_path: str,
     workdir: str,
     *,
-    multi_line: bool = False,
+    multi_line: bool | str = False,
     skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
     fmt: str | None = None,
 ) -> dict[str, JobResult]:

@@ -126,6 +126,7 @@ def oracle_sql() -> dict[str, str]:
         "flagship_group_stats": FLAGSHIP,
         "json_flatten": PROCESSED_DOCS,
         "json_array_flatten": PROCESSED_DOCS,
+        "json_array_split": PROCESSED_DOCS,
         "json_corrupt": f"""
             SELECT CASE WHEN k % 9 <> 0 THEN country_code_3 END AS cca3,
                    CASE WHEN k % 9 <> 0 THEN population END AS population, k % 9 <> 0 AS parsed

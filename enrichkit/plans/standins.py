@@ -71,16 +71,17 @@ def country_documents(spark: SparkSession, sf_dir: str, *, with_key: bool = Fals
     )
 
 
-def write_document_arrays(docs: DataFrame, path: str, per_array: int = 1000) -> None:
+def write_document_arrays(docs: DataFrame, path: str, per_array: int = 1000, *, indented: bool = False) -> None:
     """Land documents as files that each hold ONE top-level JSON array.
 
     This is the layout of the reference's raw file, in bounded pieces: at
     most ``per_array`` documents (chunks of ``doc_key``) make an array, and
     ``maxRecordsPerFile`` starts a new file for each one, all in one folder.
+    ``indented`` spreads each document over many lines.
     """
     fields = [c for c in docs.columns if c != "doc_key"]
     arrays = docs.groupBy(F.expr(f"doc_key div {int(per_array)}").alias("chunk")).agg(
-        F.to_json(F.collect_list(F.struct(*fields))).alias("value")
+        F.to_json(F.collect_list(F.struct(*fields)), {"pretty": str(indented).lower()}).alias("value")
     )
     arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 

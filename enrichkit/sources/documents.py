@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..schemas import prune_schema
+from .arrays import read_array_documents
 
 
 def read_documents(
@@ -14,7 +15,7 @@ def read_documents(
     schema: StructType,
     *,
     fields: list[str] | tuple[str, ...] | None = None,
-    multi_line: bool = False,
+    multi_line: bool | str = False,
     mode: str = "PERMISSIVE",
     corrupt_column: str | None = None,
     partitions: int | None = None,
@@ -25,7 +26,9 @@ def read_documents(
     first, so the scan never materialises the others (S3). JSON Lines input
     (the default) is split across tasks; ``multi_line=True`` reads documents
     that span lines, including one top-level array per file, at one task per
-    file. ``mode`` is Spark's parse mode: PERMISSIVE turns a wrong-typed field
+    file; ``multi_line="array"`` reads files of one top-level array each, its
+    records on lines of their own, by many tasks a file (``sources.arrays``;
+    modes PERMISSIVE and FAILFAST). ``mode`` is Spark's parse mode: PERMISSIVE turns a wrong-typed field
     into NULL, FAILFAST raises, DROPMALFORMED drops the row.
 
     ``partitions`` spreads the rows over that many partitions right after the
@@ -36,6 +39,9 @@ def read_documents(
     """
     if fields:
         schema = prune_schema(schema, fields)
+    if multi_line == "array":
+        df = read_array_documents(spark, path, schema, mode=mode, corrupt_column=corrupt_column)
+        return df.repartition(partitions) if partitions else df
     reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode)
     if corrupt_column:
         schema = StructType(schema.fields).add(corrupt_column, "string")
