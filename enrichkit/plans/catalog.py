@@ -212,6 +212,20 @@ def round_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def exact_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1-A3, M2: sums and averages of doubles rounded once from the exact sum, whatever the partitioning."""
+    items = table(spark, sf_dir, "lineitem")
+    return group_stats(
+        items.withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount"))),
+        ["l_returnflag", "l_linestatus"],
+        sums={"sum_net": "net"},
+        avgs={"avg_net": "net", "avg_price": "l_extendedprice"},
+        count_alias="n_items",
+        rounding={"sum_net": 2, "avg_net": 3, "avg_price": 3},
+        exact=True,
+    )
+
+
 def pivot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4, A5: one counter column per status value, per priority."""
     return group_stats(
@@ -415,6 +429,7 @@ def queries() -> dict[str, Query]:
         "join_fanout_salted": join_fanout_salted,
         "join_hot_left": join_hot_left,
         "round_avg": round_avg,
+        "exact_stats": exact_stats,
         "pivot_counts": pivot_counts,
         "distribution": distribution_query,
         "row_count": row_count_query,

@@ -1,7 +1,8 @@
 """Composed jobs E1-E6: parameters in, tables out.
 
-Each job does its data work in one Spark action (its write); row counts and
-the status distribution are ``Observation`` metrics of that same pass. The
+Each job does its data work in one Spark action (its write); counts of written
+rows and the status distribution are ``Observation`` metrics of that same pass,
+above every shuffle; other counts are taken from committed tables. The
 enrich job first sketches the codes for its hot keys, and the aggregate
 and publish jobs log the first rows (a ``limit``). Jobs hand over
 through written tables, which also cuts lineage: a lost executor never forces
@@ -16,7 +17,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import regional_stats
@@ -30,13 +31,13 @@ from ..sources.documents import read_documents
 from ..sources.key_list import read_key_list
 from ..sources.tables import conform, publish, read_table, save_table
 from .metrics import (
+    key_metrics,
     observe,
     preview,
     region_report,
     schema_rows,
     stage,
     status_metrics,
-    unique_name,
 )
 
 log = logging.getLogger("enrichkit")
@@ -105,20 +106,18 @@ def build_indicators(
 ) -> JobResult:
     """Key list -> one indicator row per line (duplicates kept).
 
-    Metrics of the same pass: ``rows``, ``keys`` (distinct codes),
+    Metrics: ``rows`` of the same pass; ``keys`` (distinct codes),
     ``max_per_key`` and ``hot_keys`` (codes with at least ``hot_threshold``
-    lines, which the enrich job will salt).
+    lines, which the enrich job will deal into cells), counted over the
+    written codes, so that a map stage run twice cannot raise them.
     """
     with stage("build_indicators"):
         keys = read_key_list(spark, codes_path, "code")
-        key_obs = Observation(unique_name("indicator_keys"))
-        rows = keyed_indicators(
-            keys, "code", ECONOMIC_MEASURES, seed=seed, out_key="country_code_3_econ",
-            observation=key_obs, hot_threshold=hot_threshold,
-        )
+        rows = keyed_indicators(keys, "code", ECONOMIC_MEASURES, seed=seed, out_key="country_code_3_econ")
         rows, obs = observe(conform(rows, economic_schema()), "indicators")
         save_table(rows, out, fmt, overwrite_schema=overwrite_schema)
-        return JobResult(out, {**obs.get, **key_obs.get, "hot_threshold": hot_threshold})
+        counted = key_metrics(read_table(spark, out, fmt), "country_code_3_econ", hot_threshold)
+        return JobResult(out, {**obs.get, **counted, "hot_threshold": hot_threshold})
 
 
 def enrich(
@@ -143,8 +142,6 @@ def enrich(
     with stage("enrich"):
         countries = read_table(spark, countries_path, fmt)
         indicators = read_table(spark, indicators_path, fmt)
-        countries, left_obs = observe(countries, "countries")
-        indicators, right_obs = observe(indicators, "indicator_rows")
         joined = left_enrich(
             countries,
             indicators,
@@ -161,8 +158,8 @@ def enrich(
         )
         save_table(enriched, out, fmt, overwrite_schema=overwrite_schema)
         metrics = dict(obs.get)
-        metrics["left_rows"] = left_obs.get["rows"]
-        metrics["right_rows"] = right_obs.get["rows"]
+        # of the committed files (their footers), not of a pass below the join's shuffle
+        metrics["left_rows"], metrics["right_rows"] = countries.count(), indicators.count()
         return JobResult(out, metrics)
 
 

@@ -48,7 +48,8 @@ def observe(df: DataFrame, name: str, metrics: Mapping[str, Column] | None = Non
     """Attach metrics that are filled by the next action on the result (Q1).
 
     Returns ``(df_observed, observation)``; ``observation.get`` blocks until
-    the action has run. Default metric: ``rows`` = row count.
+    the action has run. Observe above the last shuffle: below one, a map stage
+    that runs again after a lost executor is counted twice. Default metric: ``rows`` = row count.
     """
     obs = Observation(unique_name(name))
     exprs = dict(metrics or {"rows": F.count(F.lit(1))})
@@ -63,6 +64,15 @@ def status_metrics(column: str, labels: Mapping[str, str]) -> dict[str, Column]:
     return out
 
 
+def key_metrics(table: DataFrame, key: str, hot_threshold: int | None = None) -> dict[str, int | None]:
+    """Distinct keys, most rows of a key and, given a threshold, keys with that many rows (map-side combined)."""
+    counts = table.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    columns = [F.count(F.lit(1)).alias("keys"), F.max("n").alias("max_per_key")]
+    if hot_threshold is not None:
+        columns.append(F.count_if(F.col("n") >= hot_threshold).alias("hot_keys"))
+    return counts.agg(*columns).first().asDict()
+
+
 REPORT_COLUMNS = ("region", "subregion", "total_countries", "total_population")
 
 

@@ -165,6 +165,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT p_brand, {_r('avg(p_retailprice)', 2)} AS avg_price,
                    {_r('avg(p_size)', 3)} AS avg_size
             FROM part GROUP BY p_brand""",
+        "exact_stats": """
+            SELECT l_returnflag, l_linestatus, CAST(round(sum(net), 2) AS DOUBLE) AS sum_net,
+                   CAST(round(sum(net) / CAST(count(*) AS DECIMAL(18,0)), 3) AS DOUBLE) AS avg_net,
+                   CAST(round(sum(price) / CAST(count(*) AS DECIMAL(18,0)), 3) AS DOUBLE) AS avg_price, count(*) AS n_items
+            FROM (SELECT *, CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(38,10)) AS net,
+                         CAST(l_extendedprice AS DECIMAL(38,10)) AS price FROM lineitem)
+            GROUP BY l_returnflag, l_linestatus""",
         "pivot_counts": """
             SELECT o_orderpriority,
                    CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS n_f,

@@ -10,3 +10,10 @@ def test_retried_tasks_reproduce_results():
     )
     assert "RETRY_OK" in proc.stdout, proc.stdout[-2000:] + proc.stderr[-4000:]
     assert "injected task failure" in proc.stderr  # the failure really happened
+
+
+def test_counts_survive_lost_map_outputs():
+    script = os.path.join(os.path.dirname(__file__), "scripts", "lost_map_check.py")
+    proc = subprocess.run([sys.executable, script], capture_output=True, text=True, timeout=600)
+    assert "LOST_MAP_OK" in proc.stdout, proc.stdout[-2000:] + proc.stderr[-4000:]
+    assert "FetchFailed" in proc.stderr  # the map stage really ran again
