@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -93,6 +94,30 @@ def arrow_pass(
     return source.mapInArrow(run, out_schema)
 
 
+def struct_pass(df: DataFrame, make: Callable[[], Callable[[pa.Array], list]], result: str) -> DataFrame:
+    """``arrow_pass`` over a column ``given`` of any type; ``df`` has ``row`` and ``given``."""
+    schema = _parse_datatype_string(result)
+    types = [to_arrow_type(f.dataType) for f in schema.fields]
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                made = [pa.array(x, t) for x, t in zip(fn(batch.column(1)), types, strict=True)]
+                out = pa.StructArray.from_arrays(made, names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), out], names=["row", "out"])
+
+    out_schema = StructType().add("row", df.schema["row"].dataType).add("out", schema)
+    return df.select("row", "given").mapInArrow(run, out_schema)
+
+
+def as_literal_path(path: str) -> str:
+    """A path whose glob characters stand for themselves (Spark's readers take paths as patterns)."""
+    return re.sub(r"([\\*?\[\]{}^,])", r"\\\1", path)
+
+
 def utf8(array: pa.Array) -> Iterator[bytes]:
     """The strings of an Arrow array as UTF-8 bytes, null as empty, without decoding."""
     for value in array.cast(pa.binary()):

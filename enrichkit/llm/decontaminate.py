@@ -9,8 +9,11 @@ offsets of the original text.
 
 Scale: the documents are never shuffled, the scan is one map pass. The
 patterns are the only broadcast data. Their bytes are summed first; beyond
-``max_block_bytes`` they are dealt into several automata of that size, which
-the same pass applies one after the other.
+``max_block_bytes`` (an automaton takes about 32 times its patterns in a worker)
+they are dealt into blocks of that size. The documents are then written once
+with a row number, and one pass after the other scans them with one block; a
+pass returns the word ranges of the rows that it hits, which are joined by row
+number. No worker, broadcast or driver ever holds two blocks.
 
 Defined cases: a null or empty text has no words, is never hit and never
 contaminated; a null item text has no windows; windows of a null item id
@@ -21,12 +24,15 @@ repeated rows give repeated results.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_pass, utf8, written
+from ._common import arrow_pass, col, struct_pass, utf8, written
 
 #: Bytes 0-9, a-z and 0x80-0xFF stay, A-Z become a-z, all others a space.
 WORD_BYTES = bytes(
@@ -60,24 +66,33 @@ def automaton_of(block: dict):
     return block["built"]
 
 
-def _scan(data: bytes, automata: list) -> tuple:
-    flat = data.translate(WORD_BYTES)
-    words = flat.split()
-    n = len(words)
+def _runs(data: bytes, automaton) -> tuple[list[tuple[int, int]], set[str]]:
+    """The word ranges that windows of one automaton cover, and their items."""
+    if not len(automaton):
+        return [], set()
+    words = data.translate(WORD_BYTES).split()
     line = f" {b' '.join(words).decode('latin-1')} "  # one character a byte: only positions count
     items: set[str] = set()
     covered = None
-    for automaton in automata:
-        done = at = 0
-        for end, (length, ids) in automaton.iter(line):
-            at += line.count(" ", done, end + 1)
-            done = end + 1
-            if covered is None:
-                covered = bytearray(n)
-            covered[at - 1 - length : at - 1] = b"\1" * length
-            items.update(ids)
-    if covered is None:
+    done = at = 0
+    for end, (length, ids) in automaton.iter(line):
+        at += line.count(" ", done, end + 1)
+        done = end + 1
+        if covered is None:
+            covered = bytearray(len(words))
+        covered[at - 1 - length : at - 1] = b"\1" * length
+        items.update(ids)
+    return ([m.span() for m in re.finditer(b"\1+", bytes(covered))] if covered else []), items
+
+
+def _judged(data: bytes, runs: list[tuple[int, int]], items: set[str]) -> tuple:
+    flat = data.translate(WORD_BYTES)
+    n = len(flat.split())
+    if not runs:
         return n, 0, [], [], [], False
+    covered = bytearray(n)
+    for a, b in runs:
+        covered[a:b] = b"\1" * (b - a)
     n_hit = covered.count(1)
     runs = [m.span() for m in re.finditer(b"\1+", bytes(covered))]
     spans = [m.span() for m in re.finditer(rb"[^ ]+", flat)]
@@ -98,9 +113,9 @@ def _char_offsets(data: bytes, at: list[int]) -> list[int]:
 
 
 def benchmark_blocks(
-    benchmark: DataFrame, *, item_col: str = "item_id", text_col: str = "text", window: int = 13, max_block_bytes: int = 32 << 20
-) -> list[dict]:
-    """The distinct windows of all items, in automata of at most about ``max_block_bytes``."""
+    benchmark: DataFrame, *, item_col: str = "item_id", text_col: str = "text", window: int = 13, max_block_bytes: int = 8 << 20
+) -> Iterator[dict]:
+    """The distinct windows of all items, one block of at most about ``max_block_bytes`` at a time."""
 
     def make():
         def windows(texts: pa.Array) -> list:
@@ -116,7 +131,6 @@ def benchmark_blocks(
     )
     total = rows.agg(F.sum(F.length("w") + 40)).first()[0] or 0
     n_blocks = 1 + int(total) // max_block_bytes
-    blocks = []
     for b in range(n_blocks):
         part = rows if n_blocks == 1 else rows.filter(F.pmod(F.xxhash64("w"), F.lit(n_blocks)) == b)
         patterns: dict[bytes, list[str]] = {}
@@ -125,8 +139,7 @@ def benchmark_blocks(
             if item is not None:
                 ids.append(item)
         if patterns:
-            blocks.append({"patterns": patterns})
-    return blocks
+            yield {"patterns": patterns}
 
 
 def contamination(
@@ -138,7 +151,7 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 13,
-    max_block_bytes: int = 32 << 20,
+    max_block_bytes: int = 8 << 20,
 ) -> DataFrame:
     """``row`` (struct of the columns ``keep``, default all) and ``out`` per document.
 
@@ -148,22 +161,55 @@ def contamination(
     (n_hit > 0 and 20 * n_hit >= n_words).
     """
     sc = docs.sparkSession.sparkContext
-    blocks = [
-        sc.broadcast(b)
-        for b in benchmark_blocks(
-            benchmark, item_col=item_col, text_col=item_text_col, window=window, max_block_bytes=max_block_bytes
-        )
-    ]
+    blocks = benchmark_blocks(
+        benchmark, item_col=item_col, text_col=item_text_col, window=window, max_block_bytes=max_block_bytes
+    )
+    first, second = next(blocks, {"patterns": {}}), next(blocks, None)
+    keep = list(keep or docs.columns)
+    if second is None:
+        held = sc.broadcast(first)
+
+        def make():
+            automaton = automaton_of(held.value)
+            return lambda texts: list(zip(*(_judged(t, *_runs(t, automaton)) for t in utf8(texts)), strict=True))
+
+        return arrow_pass(docs, keep, text_col, make, RESULT)
+    row = F.struct(*[col(c) for c in keep]).alias("row")
+    base = written(docs.select(row, col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("at")), "documents")
+    found = [_hits_of(base, block) for block in chain((first, second), blocks)]
+    hits = reduce(DataFrame.unionByName, found).groupBy("of").agg(
+        F.flatten(F.collect_list("runs")).alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
+    )
+    joined = base.join(hits, F.col("at") == F.col("of"), "left")
+
+    def judge():
+        def fn(texts: pa.Array) -> list:
+            rows = zip(utf8(texts.field("text")), texts.field("runs").to_pylist(), texts.field("items").to_pylist(), strict=True)
+            return list(zip(*(_judged(t, [(r["a"], r["b"]) for r in runs or ()], items or ()) for t, runs, items in rows), strict=True))
+
+        return fn
+
+    return struct_pass(joined.select("row", F.struct("text", "runs", "items").alias("given")), judge, RESULT)
+
+
+def _hits_of(base: DataFrame, block: dict) -> DataFrame:
+    """(of, runs, items) of the rows that one block hits; the block is gone when it returns."""
+    held = base.sparkSession.sparkContext.broadcast(block)
 
     def make():
-        automata = [automaton_of(b.value) for b in blocks]
+        automaton = automaton_of(held.value)
 
         def scan(texts: pa.Array) -> list:
-            return list(zip(*(_scan(t, automata) for t in utf8(texts)), strict=True))
+            made = [_runs(t, automaton) for t in utf8(texts)]
+            return [[[{"a": a, "b": b} for a, b in runs] for runs, _ in made], [sorted(items) for _, items in made]]
 
         return scan
 
-    return arrow_pass(docs, keep or docs.columns, text_col, make, RESULT)
+    found = arrow_pass(base, ["at"], "text", make, "runs array<struct<a:int,b:int>>, items array<string>")
+    hit = found.filter(F.size("out.runs") > 0).select(F.col("row.at").alias("of"), "out.runs", "out.items")
+    kept = written(hit, "hits")
+    held.destroy()
+    return kept
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -13,14 +13,15 @@ The state is then joined with the documents by digest (ids and digests move,
 texts do not). Full bytes are checked on every hit: for each digest with more
 than one row, the smallest and the largest text must be the same bytes. Both
 come from a map-side combined aggregate, so a group holding a third of all
-rows costs one row per task. A broadcast bitmap of fixed size keeps the texts
-without a copy from moving. Digests whose texts differ are grouped by the full
+rows costs one row per task. A broadcast bitmap, sized by the number of hits,
+keeps the texts without a copy from moving (a join by digest beyond 64 MB). Digests whose texts differ are grouped by the full
 text instead.
 
 Defined cases: null and empty texts are equal. Of equal texts the row with
 the largest id stays; null ids rank lowest; of equal ids the row with the
 largest locator stays, so exactly one row of each group stays. An empty table
-gives an empty result. Columns besides id and text are not read.
+gives an empty result. Columns besides id and text are not read. A path with
+one of ``{}[]*?\\`` is refused: Spark's file stream reads such files twice.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ._common import col, written
+from ._common import as_literal_path, col, written
 
-#: Bits of the broadcast filter of digests with more than one row (8 MB).
-HIT_BITS = 1 << 26
+#: Bits of the broadcast filter for each digest with more than one row, and in all (64 MB).
+BITS_PER_HIT, MAX_BITS = 16, 1 << 29
 #: A stream passes over new files older than this, counted back from the newest file it has seen.
 MAX_FILE_AGE = "36500d"
 _STATE = "spark.sql.streaming.stateStore."
@@ -50,12 +51,13 @@ def sha256_digest(text: Column) -> Column:
 
 def _rows(source: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    place = source.metadataColumn("_metadata")  # also beside a column of that name
     return source.select(
         digest(text).alias("digest"),
         F.struct(
             col(id_col).alias("id"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.row_index").alias("at"),
+            place["file_path"].alias("file"),
+            place["row_index"].alias("at"),
         ).alias("who"),
         text.alias("text"),
     )
@@ -75,9 +77,13 @@ def keyed_state(
 
     Call it again with the same ``checkpoint`` to add new files to the state.
     """
-    schema = spark.read.parquet(path).schema
+    if set(path) & set("{}[]*?\\"):
+        raise ValueError(f"Spark's file stream counts files twice under a path that looks like a pattern: {path}")
+    schema = spark.read.parquet(as_literal_path(path)).schema
     plain = path.rstrip("/")
-    as_glob = f"{plain[:-1]}[{plain[-1]}]"  # a stream takes a single file only as a pattern
+    # a stream takes a single file only as a pattern: one letter of the path stands in brackets
+    at = max((i for i, c in enumerate(plain) if c.isalnum()), default=len(plain) - 1)
+    as_glob = f"{as_literal_path(plain[:at])}[{as_literal_path(plain[at])}]{as_literal_path(plain[at + 1 :])}"
     options = {"maxFilesPerTrigger": max_files_per_batch, "maxFileAge": MAX_FILE_AGE}
     stream = spark.readStream.schema(schema).options(**options).parquet(as_glob)
     state = (
@@ -100,7 +106,7 @@ def keyed_state(
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    if not run.recentProgress and spark.read.schema(schema).parquet(path).isEmpty():
+    if not run.recentProgress and spark.read.schema(schema).parquet(as_literal_path(path)).isEmpty():
         return _no_groups(spark, schema, id_col)
     stored = spark.read.format("statestore").load(checkpoint)
     fields = stored.schema["value"].dataType.fieldNames()
@@ -134,7 +140,7 @@ def exact_groups(
         ),
         "exact-dedup-groups",
     )
-    source = spark.read.parquet(path)
+    source = spark.read.parquet(as_literal_path(path))
     n_state, n_rows = state.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], source.count()
     if n_state != n_rows:
         raise ValueError(f"the state at {checkpoint} counts {n_state} rows, the table at {path} has {n_rows}")
@@ -160,12 +166,18 @@ def exact_groups(
 
 
 def _maybe_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """The rows whose digest is among ``hits``, and few others, without moving any row.
+    """The rows whose digest is among ``hits``, and few others.
 
-    The hits set bits in ``HIT_BITS`` positions; the bitmaps (at most that
-    many bits in all) are broadcast. If they fill up, more rows pass.
+    The hits are counted first and set bits in ``BITS_PER_HIT`` times as many
+    positions; the bitmaps are broadcast and no row moves. Where they would
+    hold more than ``MAX_BITS`` in all, the rows meet the hits in a join by
+    digest instead.
     """
-    slot = 1 + F.pmod(F.xxhash64("digest"), F.lit(HIT_BITS))
+    n = hits.count()
+    if n * BITS_PER_HIT > MAX_BITS:
+        return rows.join(hits.select(F.col("digest").alias("of")), F.col("digest") == F.col("of"), "left_semi")
+    width = 1 << max(16, (n * BITS_PER_HIT - 1).bit_length())
+    slot = 1 + F.pmod(F.xxhash64("digest"), F.lit(width))
     bitmaps = (
         hits.groupBy(F.bitmap_bucket_number(slot).alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))

@@ -112,7 +112,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.captures(warc.read_records(spark, out))
     kind = F.col("capture.type")
     return found.select(
-        F.col("metadata.page_id").cast("long").alias("page_id"),
+        F.get("metadata", F.lit(0))["page_id"].cast("long").alias("page_id"),
         F.col("original.payload_bytes").alias("payload_bytes"),
         F.col("capture.payload_digest").alias("payload_digest"),
         kind.alias("record_type"),

@@ -77,5 +77,13 @@ def test_empty_tables(spark):
 def test_overlapping_windows_and_a_long_text():
     data = ("a b " * 30 + LONG).encode()
     blocks = [{"patterns": {w: ["1"] for w in decontaminate.item_windows(b"a b a b a", 3)}}]
-    n, hit, ids, starts, ends, _ = decontaminate._scan(data, [decontaminate.automaton_of(b) for b in blocks])
+    runs, items = decontaminate._runs(data, decontaminate.automaton_of(blocks[0]))
+    n, hit, ids, starts, ends, _ = decontaminate._judged(data, runs, items)
     assert (n, hit, ids, starts, ends) == (60 + 40_000, 60, ["1"], [0], [119])
+
+
+def test_blocks_come_one_at_a_time(spark):
+    """A benchmark of several blocks: each within its size, no two held at once."""
+    blocks = decontaminate.benchmark_blocks(items(spark), max_block_bytes=300)
+    sizes = [sum(len(w) + 40 for w in b["patterns"]) for b in blocks]
+    assert len(sizes) > 2 and max(sizes) < 900

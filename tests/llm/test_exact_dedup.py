@@ -48,6 +48,37 @@ def test_empty_table_and_clashing_columns(spark, tmp_table):
     assert [(r["id"], r["keep_id"], r["kept"]) for r in sorted(rows, key=lambda r: r["id"])] == [(1, 2, False), (2, 2, True)]
 
 
+def test_a_column_named_like_sparks_metadata(spark, tmp_table):
+    path = save(spark, tmp_table("meta"), [(1, "t", "x"), (2, "t", "y")], "doc_id long, text string, _metadata string", 1)
+    assert sorted((r["id"], r["keep_id"]) for r in exact_dedup.exact_groups(spark, path).collect()) == [(1, 2), (2, 2)]
+
+
+@pytest.mark.parametrize("name", ["a,b", "end^", "a b", "é", "-"])
+def test_paths_with_characters_of_patterns(spark, tmp_table, name):
+    folder = Path(tmp_table("odd").removeprefix("file:"))
+    made = Path(save(spark, tmp_table("even"), TEXTS, parts=2).removeprefix("file:"))
+    folder.mkdir()
+    made.rename(folder / name)
+    got = exact_dedup.exact_groups(spark, f"{folder}/{name}").collect()
+    assert sorted((str(r["id"]), str(r["keep_id"]), r["group_size"]) for r in got) == sorted(x[:3] for x in expected(TEXTS))
+
+
+@pytest.mark.parametrize("name", ["x{1}", "q?*", "[z]"])
+def test_paths_that_look_like_patterns_are_refused(spark, name):
+    with pytest.raises(ValueError, match="pattern"):
+        exact_dedup.exact_groups(spark, f"/nowhere/{name}")
+
+
+@pytest.mark.parametrize("bits", [1 << 29, 16])
+def test_hits_beyond_the_bitmap_meet_in_a_join(spark, tmp_table, monkeypatch, bits):
+    monkeypatch.setattr(exact_dedup, "MAX_BITS", bits)
+    path = save(spark, tmp_table("hits"), TEXTS)
+    rows = exact_dedup._rows(spark.read.parquet(path), "doc_id", "text", exact_dedup.sha256_digest)
+    hits = rows.groupBy("digest").count().filter("count > 1")
+    assert exact_dedup._maybe_hits(rows, hits).count() >= 9
+    assert exact_dedup.exact_groups(spark, path).count() == len(TEXTS)
+
+
 def test_state_goes_on_over_new_files_and_batches(spark, tmp_table):
     path, checkpoint = tmp_table("grow"), tmp_table("state")
     save(spark, path, TEXTS[:5])

@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import io
+import os
 
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ PAGES = [
 
 def write(spark, tmp_table, rows, **options):
     path, out = tmp_table("pages"), tmp_table("archives")
-    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1)).withColumn("uid", F.lit("q"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1)).withColumn("uid", F.lit("q")).withColumn("_metadata", F.lit(2))
     df.repartition(3).write.parquet(path)
     warc.write_archives(spark, path, out, **options)
     return out
@@ -46,8 +47,8 @@ def test_round_trip(spark, tmp_table):
         groups.setdefault(html or "", []).append(i)
     responses = {}
     for r in got:
-        c, page = r["capture"], r["metadata"]["page_id"]
-        assert r["request"]["http_head"].startswith("GET ")
+        c, page = r["capture"], r["metadata"][0]["page_id"]
+        assert r["request"][0]["http_head"].startswith("GET ")
         if c["type"] == "response":
             html = bytes(c["payload"]).decode()
             assert c["digest_ok"] and c["payload_digest"] == digest(html) and r["original"]["page_id"] == page
@@ -64,7 +65,7 @@ def test_round_trip(spark, tmp_table):
 
 def test_small_payloads_are_all_responses(spark, tmp_table):
     got = rows_of(spark, write(spark, tmp_table, PAGES, min_bytes=10))
-    kinds = {(r["metadata"]["page_id"], r["capture"]["type"]) for r in got}
+    kinds = {(r["metadata"][0]["page_id"], r["capture"]["type"]) for r in got}
     assert ("4", "response") in kinds and ("5", "response") in kinds and ("2", "revisit") in kinds
 
 
@@ -86,3 +87,49 @@ def test_hot_page_many_copies(spark, tmp_table):
     got = rows_of(spark, write(spark, tmp_table, rows))
     revisits = [r for r in got if r["capture"]["type"] == "revisit"]
     assert len(revisits) == 199 and {r["original"]["page_id"] for r in revisits} == {"299"}
+
+
+def archive(*records):
+    out = b""
+    for kind, name, headers, block in records:
+        lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>", *headers, f"Content-Length: {len(block)}"]
+        out += "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return out
+
+
+def read(spark, tmp_table, data):
+    folder = tmp_table("foreign").replace("file:", "")
+    os.makedirs(folder)
+    with open(f"{folder}/a.warc", "wb") as f:
+        f.write(data)
+    return warc.read_records(spark, folder)
+
+
+HTTP = b"HTTP/1.1 200 OK\r\n\r\nhello"
+
+
+def test_all_records_and_links_of_foreign_archives(spark, tmp_table, monkeypatch):
+    """Several metadata records, one tied to two captures, ties by either side, a wrong digest, records without a capture."""
+    data = archive(
+        ("response", "r1", ["WARC-Payload-Digest: sha1:WRONG"], HTTP),
+        ("response", "r2", ["WARC-Concurrent-To: <q2>", f"WARC-Payload-Digest: sha1:{digest('hello')}"], HTTP),
+        ("request", "q1", ["WARC-Concurrent-To: <r1>"], b"GET /1 HTTP/1.1\r\n\r\n"),
+        ("request", "q2", [], b"GET /2 HTTP/1.1\r\n\r\n"),
+        ("metadata", "m1", ["WARC-Concurrent-To: <r1>"], b"page-id: 1\r\n"),
+        ("metadata", "m2", ["WARC-Concurrent-To: <r1>", "WARC-Concurrent-To: <r2>"], b"page-id: 2\r\n"),
+        ("metadata", "m3", ["WARC-Concurrent-To: <r1>"], b"page-id: 3\r\n"),
+        ("metadata", "m4", ["WARC-Concurrent-To: <nowhere>"], b""),
+        ("request", "q3", [], b"GET /3 HTTP/1.1\r\n\r\n"),
+    )
+    records = read(spark, tmp_table, data)
+    got = {r["capture"]["record_id"]: r for r in warc.captures(records).collect()}
+    ids = lambda rows: [x["record_id"] for x in rows]
+    assert {k: (ids(r["request"]), ids(r["metadata"])) for k, r in got.items()} == {
+        "<r1>": (["<q1>"], ["<m1>", "<m2>", "<m3>"]), "<r2>": (["<q2>"], ["<m2>"])
+    }
+    assert [got[k]["capture"]["digest_ok"] for k in ("<r1>", "<r2>")] == [False, True]
+    assert got["<r1>"]["capture"]["payload_digest"] == digest("hello") and got["<r1>"]["capture"]["declared_digest"] == "WRONG"
+    assert sorted(r["record_id"] for r in warc.unassembled(records).collect()) == ["<m4>", "<q3>"]
+    monkeypatch.setattr(warc, "AT_ONCE", 2)
+    parts = [r for r in warc.captures(records).collect() if r["capture"]["record_id"] == "<r1>"]
+    assert sorted(x for r in parts for x in ids(r["metadata"])) == ["<m1>", "<m2>", "<m3>"] and len(parts) > 1
