@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_pass, col, written
+from ._common import ROWS_AT_ONCE, arrow_pass, col, written
 
 ORDER = 3
 #: Bytes scored at once (bounds the memory of a task).
@@ -76,7 +76,7 @@ def gram_counts(sample: DataFrame, *, lang: str = "lang", text: str = "text") ->
     """(lang, size, gram, n): how often each run of ``size`` bytes follows, per language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (w.slice(at, ROWS_AT_ONCE) for w in batches for at in range(0, w.num_rows, ROWS_AT_ONCE)):
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for one in sorted(set(langs)):
@@ -102,17 +102,9 @@ def gram_counts(sample: DataFrame, *, lang: str = "lang", text: str = "text") ->
     return counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(sample: DataFrame, *, min_count: int = 2) -> dict:
-    """The compiled model: plain arrays.
-
-    Contexts of two and more bytes seen fewer than ``min_count`` times are left out.
-    """
+def train(sample: DataFrame) -> dict:
+    """The compiled model, plain arrays, of every context of the sample."""
     rows = written(gram_counts(sample), "ppm-grams")
-    if min_count > 1:
-        context = F.shiftright("gram", 8)
-        totals = rows.filter("size > 1").groupBy(F.col("size").alias("s"), context.alias("c")).agg(F.sum("n").alias("total"))
-        rare = totals.filter((F.col("s") > 2) & (F.col("total") < min_count))
-        rows = rows.join(rare, (F.col("size") == F.col("s")) & (context == F.col("c")), "left_anti")
     counts: dict = {}
     for lang, size, gram, n in rows.orderBy("lang", "size", "gram").toLocalIterator():
         counts.setdefault(lang, {}).setdefault((size, gram >> 8), {})[gram & 255] = n
@@ -305,4 +297,4 @@ def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     """Train on the rows that are not held out and whose language is known."""
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"), col(lang_col).alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    return train(bounded_sample(rows, F.col("lang"), F.col("id"), max_train_rows), min_count=1)
+    return train(bounded_sample(rows, F.col("lang"), F.col("id"), max_train_rows))

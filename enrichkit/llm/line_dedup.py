@@ -5,22 +5,23 @@ Keys of at least ``min_chars`` code points that occur in at least
 ``min_docs`` documents lose all their lines except in the largest id holding
 the key.
 
+0. The long lines are counted; the filters get ``BITS_PER_KEY`` bits for each, so
+   about 2 % of the lines seen once are suspected at any size of the input.
 1. Every map task notes which hashed keys its documents hold once and which
    twice. It emits the set bits of both filters, block by block, as sorted
    positions, so the traffic follows the number of lines and not the number
    of tasks times the filter size. Merging adds to the twice-seen filter each
    bit that two tasks have in the once-seen filter: no key of two documents
    is missed.
-2. The merged twice-seen filter, ``FILTER_BITS`` at any input size, is
-   broadcast. Documents without a suspected line pass in the scan, unmoved.
+2. The merged twice-seen filter is broadcast. Documents without a suspected line
+   pass in the scan, unmoved. Filters of more than ``MAX_BITS`` are not built:
+   there the line hashes themselves are grouped over the cluster (map-side
+   combined), and the hashes of two documents are the suspects.
 3. Only documents with suspected lines are written to the scratch folder and
    only their suspected keys shuffle: an exact, map-side combined count
    confirms the repeats, a join finds the lines to drop, and the lines come
    back to their document by row number.
 
-A filter that fills up at very large inputs only suspects more lines; the
-result stays exact.
-
 Defined cases: a null or empty text is one empty line; a null text stays
 null. A document that holds a key in several lines counts once. Each row is a
 document of its own; rows that share the largest id all keep their lines.
@@ -39,8 +40,8 @@ from pyspark.sql import functions as F
 from ..session import shuffle_width
 from ._common import arrow_pass, col, let, utf8, written
 
-#: Size of each Bloom filter, fixed at every input size (16 MB).
-FILTER_BITS = 1 << 27
+#: Size of each Bloom filter: bits for each long line, at least a block, at most 128 MB.
+BITS_PER_KEY, MAX_BITS = 8, 1 << 30
 HASHES = 4
 BLOCK_BITS = 1 << 16
 #: Keys held by a task before it emits their bits.
@@ -62,17 +63,28 @@ def long_lines(text: bytes, min_chars: int) -> Iterator[tuple[int, bytes]]:
             yield i, key
 
 
-def bit_positions(hashes: np.ndarray) -> np.ndarray:
+def count_long_lines(docs: DataFrame, *, text_col: str = "text", min_chars: int = 40) -> int:
+    lines = F.split(col(text_col).cast("string"), "\n", -1)
+    long = F.filter(lines, lambda x: F.length(F.trim(x, F.lit(SPACES))) >= min_chars)
+    return int(docs.agg(F.sum(F.coalesce(F.size(long), F.lit(0)).cast("long"))).first()[0] or 0)
+
+
+def filter_bits(n_lines: int) -> int:
+    """Bits of a filter for so many long lines, a power of two."""
+    return 1 << max(BLOCK_BITS.bit_length() - 1, (n_lines * BITS_PER_KEY - 1).bit_length())
+
+
+def bit_positions(hashes: np.ndarray, n_bits: int) -> np.ndarray:
     """The filter positions of each hash, one row per hash."""
     low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32) | np.uint64(1)
     steps = np.arange(HASHES, dtype=np.uint64)
-    return ((low[:, None] + steps * high[:, None]) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+    return ((low[:, None] + steps * high[:, None]) & np.uint64(n_bits - 1)).astype(np.int64)
 
 
-def _filter_rows(hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _filter_rows(hashes: np.ndarray, n_bits: int) -> Iterator[pa.RecordBatch]:
     """The set bits of both filters of some keys, as 16-bit positions by block."""
     keys, n = np.unique(hashes, return_counts=True)
-    once, twice = np.unique(bit_positions(keys)), np.unique(bit_positions(keys[n > 1]))
+    once, twice = np.unique(bit_positions(keys, n_bits)), np.unique(bit_positions(keys[n > 1], n_bits))
     blocks = np.unique(once // BLOCK_BITS)
     rows = []
     for bits in (once, twice):
@@ -82,7 +94,7 @@ def _filter_rows(hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int32)), *rows], names=["block", "once", "twice"])
 
 
-def suspects_filter(docs: DataFrame, *, text_col: str = "text", min_chars: int = 40) -> bytes:
+def suspects_filter(docs: DataFrame, n_bits: int, *, text_col: str = "text", min_chars: int = 40) -> bytes:
     """The merged twice-seen filter."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,10 +105,10 @@ def suspects_filter(docs: DataFrame, *, text_col: str = "text", min_chars: int =
             for text in utf8(batch.column(0)):
                 held.extend({xxh3_64_intdigest(key) for _, key in long_lines(text, min_chars)})
                 if len(held) >= FLUSH_KEYS:
-                    yield from _filter_rows(np.array(held, np.uint64))
+                    yield from _filter_rows(np.array(held, np.uint64), n_bits)
                     held = []
         if held:
-            yield from _filter_rows(np.array(held, np.uint64))
+            yield from _filter_rows(np.array(held, np.uint64), n_bits)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -121,13 +133,71 @@ def suspects_filter(docs: DataFrame, *, text_col: str = "text", min_chars: int =
     rows = docs.select(col(text_col).cast("string")).mapInArrow(build, "block int, once binary, twice binary")
     parts = max(16, shuffle_width(docs.sparkSession))
     merged = rows.repartition(parts, "block").mapInArrow(merge, "block int, bits binary")
-    out = bytearray(FILTER_BITS // 8)
+    out = bytearray(n_bits // 8)
     size = BLOCK_BITS // 8
     for block, bits in merged.toLocalIterator():  # together at most the filter
         out[block * size : (block + 1) * size] = bits
     return bytes(out)
 
 
+def _suspects_by_filter(docs: DataFrame, keep: list[str], text_col: str, min_chars: int, n_bits: int) -> DataFrame:
+    """row and out (suspects: numbers of suspected lines, n_lines) of every document, by the broadcast filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        suspects_filter(docs, n_bits, text_col=text_col, min_chars=min_chars)
+    )
+
+    def make():
+        bits = np.frombuffer(shared.value, np.uint8)
+
+        def run(texts: pa.Array) -> list:
+            lines, hashes, n_lines = _hashed_lines(texts, min_chars)
+            flat = np.array([h for x in hashes for h in x], np.uint64)
+            at = bit_positions(flat, n_bits)
+            hit = iter((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1).tolist())
+            return [[[i for i in x if next(hit)] for x in lines], n_lines]
+
+        return run
+
+    return arrow_pass(docs, keep, text_col, make, "suspects array<int>, n_lines long")
+
+
+def _suspects_by_hash(docs: DataFrame, keep: list[str], text_col: str, min_chars: int) -> DataFrame:
+    """The same by grouping the hashes; only they move."""
+
+    def make():
+        def run(texts: pa.Array) -> list:
+            lines, hashes, n_lines = _hashed_lines(texts, min_chars)
+            signed = [np.array(x, np.uint64).astype(np.int64).tolist() for x in hashes]
+            return [[[{"i": i, "h": h} for i, h in zip(a, b, strict=True)] for a, b in zip(lines, signed, strict=True)], n_lines]
+
+        return run
+
+    made = arrow_pass(docs, keep, text_col, make, "lines array<struct<i:int,h:bigint>>, n_lines long")
+    held = written(made.select(F.monotonically_increasing_id().alias("at"), "row", "out"), "line-hashes")
+    each = held.select("at", F.explode("out.lines").alias("line"))
+    once = held.select(F.explode(F.array_distinct(F.transform("out.lines", lambda x: x["h"]))).alias("h"))
+    twice = written(once.groupBy("h").count().filter("count > 1").select("h"), "line-hashes-twice")
+    found = each.join(twice, F.col("line.h") == F.col("h"), "left_semi").groupBy(F.col("at").alias("of"))
+    found = found.agg(F.sort_array(F.collect_list("line.i")).alias("suspects"))
+    none = F.array().cast("array<int>")
+    return held.join(found, F.col("at") == F.col("of"), "left").select(
+        "row", F.struct(F.coalesce("suspects", none).alias("suspects"), F.col("out.n_lines").alias("n_lines")).alias("out")
+    )
+
+
+def _hashed_lines(texts: pa.Array, min_chars: int) -> tuple[list[list[int]], list[list[int]], list[int]]:
+    """Numbers and key hashes of the long lines of each text, and its lines."""
+    from xxhash import xxh3_64_intdigest
+
+    lines, hashes, n_lines = [], [], []
+    for text in utf8(texts):
+        found = list(long_lines(text, min_chars))
+        lines.append([i for i, _ in found])
+        hashes.append([xxh3_64_intdigest(key) for _, key in found])
+        n_lines.append(text.count(b"\n") + 1)
+    return lines, hashes, n_lines
+
+
 def without_repeats(
     docs: DataFrame,
     *,
@@ -139,33 +209,11 @@ def without_repeats(
 ) -> DataFrame:
     """``row`` (struct of the columns ``keep``, default all), the new ``text``, n_lines and n_dropped."""
     keep = list(dict.fromkeys([*(keep or docs.columns), id_col, text_col]))
-    shared = docs.sparkSession.sparkContext.broadcast(suspects_filter(docs, text_col=text_col, min_chars=min_chars))
-
-    def make():
-        from xxhash import xxh3_64_intdigest
-
-        bits = np.frombuffer(shared.value, np.uint8)
-
-        def run(texts: pa.Array) -> list:
-            owner, line, hashes, n_lines = [], [], [], []
-            for d, text in enumerate(utf8(texts)):
-                n_lines.append(text.count(b"\n") + 1)
-                for i, key in long_lines(text, min_chars):
-                    owner.append(d)
-                    line.append(i)
-                    hashes.append(xxh3_64_intdigest(key))
-            suspects: list[list[int]] = [[] for _ in n_lines]
-            if hashes:
-                at = bit_positions(np.array(hashes, np.uint64))
-                hit = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
-                for k in np.flatnonzero(hit).tolist():
-                    suspects[owner[k]].append(line[k])
-            return [suspects, n_lines]
-
-        return run
-
-    use = text_col
-    marked = arrow_pass(docs, keep, text_col, make, "suspects array<int>, n_lines long")
+    n_bits = filter_bits(count_long_lines(docs, text_col=text_col, min_chars=min_chars))
+    if n_bits <= MAX_BITS:
+        marked = _suspects_by_filter(docs, keep, text_col, min_chars, n_bits)
+    else:
+        marked = _suspects_by_hash(docs, keep, text_col, min_chars)
     clear = marked.filter(F.size("out.suspects") == 0).select(
         "row", F.col("row")[text_col].cast("string").alias("text"), "out.n_lines", F.lit(0).cast("long").alias("n_dropped")
     )

@@ -150,7 +150,8 @@ def pack(
     n_parts = F.lit(parts[-1])
     for b in bounds:
         n_parts = F.when(F.col("bucket") == b, F.lit(parts[b])).otherwise(n_parts)
-    draw = F.when(F.col("doc_id").isNull(), F.xxhash64("place")).otherwise(F.xxhash64("doc_id"))
+    # by id and place: rows that share an id go to different parts
+    draw = F.xxhash64(F.col("doc_id"), F.col("place"))
     dealt = rows.withColumn("bucket", bucket).withColumn("draw", draw).withColumn("part", F.pmod("draw", n_parts.cast("long")))
     inside = Window.partitionBy("bucket", "part").orderBy("draw", "doc_id", "n_tokens", "place")
     numbered = dealt.withColumn("at", F.row_number().over(inside) - 1)

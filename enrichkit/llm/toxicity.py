@@ -61,6 +61,8 @@ NO_CAPITALS = bytes(c for c in range(128) if not chr(c).isupper())
 PATTERNS = ("shouting", "bangs", "stretched", "address", "insult_after_you", "several_insults")
 #: Lengths of the word beginnings that may become voters.
 STEMS = (4, 5, 6)
+#: Jaccard similarity of five-word shingles from which on training texts are near copies.
+SIMILARITY = 0.8
 #: Correlation within the classes from which on two voters share their evidence.
 REPEATS = 0.6
 #: Strength of the L2 penalty of the classifier.
@@ -122,28 +124,55 @@ def features(text: str, voters: Voters) -> np.ndarray:
     return out
 
 
+def shingle_hashes(text: str) -> list[int]:
+    """Hashes of the distinct five-word shingles (of all words where there are fewer), ascending."""
+    from xxhash import xxh64_intdigest
+
+    w = WORD.findall(text.lower())
+    found = {xxh64_intdigest(" ".join(s)) >> 1 for s in zip(w, w[1:], w[2:], w[3:], w[4:], strict=False)}
+    return sorted(found or {xxh64_intdigest(" ".join(w)) >> 1})
+
+
+def voter_units(text: str) -> list[str]:
+    """The words and word beginnings of a text."""
+    distinct = set(WORD.findall(text.lower()))
+    return sorted(distinct.union(x[:k] + "*" for x in distinct for k in STEMS if len(x) >= k))
+
+
+def apart(shingles: list[set[int]]) -> list[int]:
+    """Of texts in order those with a Jaccard similarity below 0.8 to each one taken before."""
+    taken: list[int] = []
+    for i, own in enumerate(shingles):
+        if all(len(own & shingles[j]) < SIMILARITY * len(own | shingles[j]) for j in taken):
+            taken.append(i)
+    return taken
+
+
 def mined_voters(sample: DataFrame, *, max_voters: int, min_support: int) -> list[str]:
-    """Words and word beginnings that mark toxic training texts, by the number of different sketches."""
+    """Words and word beginnings that mark toxic training texts, near copies counted once.
 
-    def make():
-        from xxhash import xxh64_intdigest
+    Near copies meet by their least shingle hash (two texts of similarity 0.8
+    or more share it in four of five cases); only those verified by their
+    shingles collapse. A group is at most the bounded sample.
+    """
 
+    def make():
         def run(texts: pa.Array) -> list:
-            units, sketches = [], []
-            for t in texts.fill_null("").to_pylist():
-                w = WORD.findall(t.lower())
-                shingles = zip(w, w[1:], w[2:], w[3:], w[4:], strict=False)
-                least = min((xxh64_intdigest(" ".join(s)) for s in shingles), default=xxh64_intdigest(" ".join(w)))
-                distinct = set(w)
-                units.append(sorted(distinct.union(x[:k] + "*" for x in distinct for k in STEMS if len(x) >= k)))
-                sketches.append(least >> 1)
-            return [units, sketches]
+            texts = texts.fill_null("").to_pylist()
+            shingles = [shingle_hashes(t) for t in texts]
+            return [[voter_units(t) for t in texts], shingles, [s[0] for s in shingles]]
 
         return run
 
-    seen = arrow_pass(sample, ["toxic"], "text", make, "units array<string>, sketch long")
-    seen = seen.select(F.col("row.toxic").alias("toxic"), F.col("out.sketch").alias("sketch"), F.col("out.units").alias("units"))
-    seen = written(seen.groupBy("toxic", "sketch").agg(F.max("units").alias("units")), "toxicity-sketches")
+    def collapse(key: tuple, rows: pa.Table) -> pa.Table:
+        units, shingles = rows.column("units").to_pylist(), rows.column("shingles").to_pylist()
+        order = sorted(range(len(units)), key=lambda i: (shingles[i], units[i]))
+        kept = [order[i] for i in apart([set(shingles[i]) for i in order])]
+        return rows.select(["toxic", "units"]).take(pa.array(kept, pa.int64()))
+
+    seen = arrow_pass(sample, ["toxic"], "text", make, "units array<string>, shingles array<long>, sketch long")
+    seen = seen.select(F.col("row.toxic").alias("toxic"), "out.*")
+    seen = written(seen.groupBy("toxic", "sketch").applyInArrow(collapse, "toxic boolean, units array<string>"), "toxicity-sketches")
     sizes = {bool(r["toxic"]): r["n"] for r in seen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
     if not n1 or not n0:
@@ -153,7 +182,7 @@ def mined_voters(sample: DataFrame, *, max_voters: int, min_support: int) -> lis
     )
     rate1, rate0 = (F.col("in1") + 0.5) / (n1 + 1.0), (F.col("in0") + 0.5) / (n0 + 1.0)
     best = (
-        counts.filter(F.col("in1") >= max(min_support, n1 // 100))
+        counts.filter(F.col("in1") >= min_support)
         .withColumn("odds", F.log(rate1 / rate0))
         .withColumn("strength", F.col("in1") * F.col("odds"))
         .filter((F.col("odds") >= np.log(8.0)) & (F.col("strength") >= 10.0))
@@ -216,10 +245,15 @@ def learn(
     text_col: str = "text",
     label_col: str = "toxic",
     max_train_rows: int = 4000,
-    max_voters: int = 150,
-    min_support: int = 4,
+    max_voters: int = 300,
+    min_support: int = 5,
 ) -> dict:
-    """The model: voters and classifier weights."""
+    """The model: voters and classifier weights.
+
+    Bounds, the same at every size of the tables: about ``max_train_rows`` rows
+    of each label are learned from, a mined voter stands in ``min_support`` of
+    them that are no near copies, and the ``max_voters`` strongest are kept.
+    """
     # the sample of labels is bounded, so it may be broadcast; texts are not shuffled
     gold = labels.select(col(id_col).alias("id"), (col(label_col) > 0).alias("toxic"))
     gold = gold.filter(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))

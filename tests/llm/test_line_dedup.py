@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -49,8 +50,27 @@ def test_null_ids_alone_keep_their_lines(spark):
     assert all(n == 0 for _, _, n, _ in run(frame(spark, [(None, LINE, "en")] * 6)))
 
 
+def test_filters_follow_the_number_of_lines(spark):
+    rows = [(i, "\n".join(f"line {i} {j} with some forty characters and a few more" for j in range(20)) + "\nshort", "en") for i in range(40)]
+    df = frame(spark, rows, clash=False)
+    assert line_dedup.count_long_lines(df) == 800
+    assert line_dedup.filter_bits(800) == line_dedup.BLOCK_BITS == line_dedup.filter_bits(0)
+    assert line_dedup.filter_bits(80_000_000) == 1 << 30 and line_dedup.filter_bits(200_000_000) > line_dedup.MAX_BITS
+
+
+@pytest.mark.parametrize("largest", [1 << 30, 1])
+def test_all_ways_to_suspect_give_the_same(spark, monkeypatch, largest):
+    """The filter, and beyond its largest size the grouped hashes."""
+    monkeypatch.setattr(line_dedup, "MAX_BITS", largest)
+    df = frame(spark)
+    assert run(df) == brute([(r["doc_id"], r["text"]) for r in df.collect()])
+    assert run(frame(spark, [])) == []
+    rows = [(i, "\n".join(f"line {(i * j) % 50} with some forty characters and a few more" for j in range(20)), "en") for i in range(40)]
+    assert run(frame(spark, rows, clash=False)) == brute(rows)
+
+
 def test_full_filter_only_suspects_more(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "FILTER_BITS", line_dedup.BLOCK_BITS)
+    monkeypatch.setattr(line_dedup, "filter_bits", lambda n: 1 << 16)
     monkeypatch.setattr(line_dedup, "FLUSH_KEYS", 2)
     rows = [(i, "\n".join(f"line {(i * j) % 50} with some forty characters and a few more" for j in range(20)), "en") for i in range(40)]
     assert run(frame(spark, rows, clash=False)) == brute(rows)

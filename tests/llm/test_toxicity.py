@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -20,6 +23,54 @@ def test_shouting_counts_every_text():
         assert tx.cases(text) == (letters, capitals)
 
 
+def brute_mining(rows, max_voters, min_support):
+    """Voters of (text, toxic) rows: near copies counted once, odds and strength by the counts."""
+    words = lambda t: tx.WORD.findall(t.lower())
+    shingles = lambda t: {tuple(words(t)[i : i + 5]) for i in range(len(words(t)) - 4)} or {tuple(words(t))}
+    groups = {}
+    for text, toxic in rows:
+        groups.setdefault((toxic, tx.shingle_hashes(text)[0]), []).append(text)
+    kept = {True: [], False: []}
+    for (toxic, _), texts in groups.items():
+        taken = []
+        for t in sorted(texts, key=lambda t: (tx.shingle_hashes(t), tx.voter_units(t))):
+            if all(len(shingles(t) & shingles(x)) < 0.8 * len(shingles(t) | shingles(x)) for x in taken):
+                taken.append(t)
+        kept[toxic] += taken
+    n = {k: Counter(u for t in v for u in {*words(t), *(w[:k] + "*" for w in words(t) for k in tx.STEMS if len(w) >= k)}) for k, v in kept.items()}
+    found = []
+    for unit, k in n[True].items():
+        odds = math.log((k + 0.5) / (len(kept[True]) + 1) / ((n[False][unit] + 0.5) / (len(kept[False]) + 1)))
+        if k >= min_support and odds >= math.log(8) and k * odds >= 10:
+            found.append((-round(k * odds, 9), unit))
+    return [u for _, u in sorted(found)][:max_voters], sum(map(len, kept.values()))
+
+
+def test_mining_against_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    sample = docs.join(labels, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).alias("toxic"))
+    rows = [(r.text, r.toxic) for r in sample.collect()]
+    for max_voters, support in ((300, 5), (10, 4)):
+        want, n = brute_mining(rows, max_voters, support)
+        assert n < len(rows)  # the table holds near copies
+        got = tx.mined_voters(sample, max_voters=max_voters, min_support=support)
+        assert len(want) > 3 and sorted(got) == sorted(want)
+
+
+def test_only_verified_near_copies_collapse():
+    a = set(range(100))
+    assert tx.apart([a, a | {200}, set(range(50)), set(range(79)), set(range(81))]) == [0, 2, 3]
+
+
+def test_scores_are_the_classifier_on_the_features(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = tx.learn(docs, labels)
+    voters = tx.Voters(model["voters"])
+    for r in tx.score(docs, model).collect():
+        z = float(np.dot(tx.features(r["row"]["text"] or "", voters), model["weights"]))
+        assert abs(r["out"]["score"] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
+
+
 def test_label_model_finds_accuracies_and_correlations():
     rng = np.random.default_rng(0)
     y = rng.random(6000) < 0.2
