@@ -34,6 +34,8 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -139,13 +141,13 @@ def voter_units(text: str) -> list[str]:
     return sorted(distinct.union(x[:k] + "*" for x in distinct for k in STEMS if len(x) >= k))
 
 
-def apart(shingles: list[set[int]]) -> list[int]:
+def apart(shingles: Iterable[set[int]]) -> list[int]:
     """Of texts in order those with a Jaccard similarity below 0.8 to each one taken before."""
-    taken: list[int] = []
+    taken: dict[int, set[int]] = {}
     for i, own in enumerate(shingles):
-        if all(len(own & shingles[j]) < SIMILARITY * len(own | shingles[j]) for j in taken):
-            taken.append(i)
-    return taken
+        if all(len(own & other) < SIMILARITY * len(own | other) for other in taken.values()):
+            taken[i] = own
+    return list(taken)
 
 
 def mined_voters(sample: DataFrame, *, max_voters: int, min_support: int) -> list[str]:
@@ -156,23 +158,28 @@ def mined_voters(sample: DataFrame, *, max_voters: int, min_support: int) -> lis
     shingles collapse. A group is at most the bounded sample.
     """
 
-    def make():
+    def sketched():
         def run(texts: pa.Array) -> list:
-            texts = texts.fill_null("").to_pylist()
-            shingles = [shingle_hashes(t) for t in texts]
-            return [[voter_units(t) for t in texts], shingles, [s[0] for s in shingles]]
+            found = [shingle_hashes(t) for t in texts.fill_null("").to_pylist()]
+            return [[np.array(s, ">u8").tobytes() for s in found], [s[0] for s in found]]
 
         return run
 
     def collapse(key: tuple, rows: pa.Table) -> pa.Table:
-        units, shingles = rows.column("units").to_pylist(), rows.column("shingles").to_pylist()
-        order = sorted(range(len(units)), key=lambda i: (shingles[i], units[i]))
-        kept = [order[i] for i in apart([set(shingles[i]) for i in order])]
-        return rows.select(["toxic", "units"]).take(pa.array(kept, pa.int64()))
-
-    seen = arrow_pass(sample, ["toxic"], "text", make, "units array<string>, shingles array<long>, sketch long")
-    seen = seen.select(F.col("row.toxic").alias("toxic"), "out.*")
-    seen = written(seen.groupBy("toxic", "sketch").applyInArrow(collapse, "toxic boolean, units array<string>"), "toxicity-sketches")
+        column = rows.column("shingles").combine_chunks()
+        order = np.argsort(np.array([x.as_py() for x in column], object), kind="stable").tolist()
+        kept = apart(set(np.frombuffer(column[i].as_py(), ">u8").tolist()) for i in order)
+        return rows.select(["toxic", "text"]).take(pa.array([order[i] for i in kept], pa.int64()))
+
+    def units():
+        return lambda texts: [[voter_units(t) for t in texts.to_pylist()]]
+
+    seen = arrow_pass(sample, ["toxic", "text"], "text", sketched, "shingles binary, sketch long")
+    seen = seen.select(F.col("row.toxic").alias("toxic"), F.col("row.text").alias("text"), "out.*")
+    alone = seen.dropDuplicates(["toxic", "sketch", "shingles"])  # copies cost a group nothing
+    kept = alone.groupBy("toxic", "sketch").applyInArrow(collapse, "toxic boolean, text string")
+    seen = arrow_pass(kept, ["toxic"], "text", units, "units array<string>")
+    seen = written(seen.select("row.toxic", "out.units"), "toxicity-sketches")
     sizes = {bool(r["toxic"]): r["n"] for r in seen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
     if not n1 or not n0:
