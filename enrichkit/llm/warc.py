@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import as_literal_path, col
+from ._common import as_literal_path, col, written
 
 EOL = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -283,6 +283,8 @@ def captures(records: DataFrame) -> DataFrame:
             "type", "record_id", "target_uri", "payload_digest", "declared_digest", "payload_bytes", "digest_ok", "http_head", "payload"
         ).alias("capture"),
     )
+    # everything but the payloads is written once: an archive is parsed twice, not once for each join
+    records = written(records.drop("payload", "payload_digest", "declared_digest", "content_type"), "warc-records")
     links = _links(records)
     request = _sides(records, links, "request", "target_uri", "http_head")
     metadata = _sides(records, links, "metadata", "page_id")
