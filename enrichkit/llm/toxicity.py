@@ -33,7 +33,6 @@ learned from; with no training rows the fixed insults alone decide.
 from __future__ import annotations
 
 import re
-
 from collections.abc import Iterable
 
 import numpy as np
@@ -253,7 +252,7 @@ def learn(
     label_col: str = "toxic",
     max_train_rows: int = 4000,
     max_voters: int = 300,
-    min_support: int = 5,
+    min_support: int = 20,
 ) -> dict:
     """The model: voters and classifier weights.
 
