@@ -5,9 +5,11 @@ from .classify import classify, development_status
 from .generate import key_occurrences, keyed_indicators
 from .join import DuplicateKeyError, left_enrich
 from .nested import drop, flatten, flatten_countries, narrow, rename, with_columns
+from .partials import Statistics, merge_batches
 
 __all__ = [
     "DuplicateKeyError",
+    "Statistics",
     "classify",
     "development_status",
     "distribution",
@@ -18,6 +20,7 @@ __all__ = [
     "key_occurrences",
     "keyed_indicators",
     "left_enrich",
+    "merge_batches",
     "narrow",
     "regional_stats",
     "rename",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import round_columns, value_counts
 from .exact import exact_sums
+from .partials import Statistics
 
 
 def group_stats(
@@ -93,6 +94,14 @@ REGIONAL_STATUS_COUNTS = {
     "Developing": "developing_countries",
 }
 REGIONAL_ROUNDING = {"avg_population_density": 2, "avg_gdp_per_capita": 2, "avg_hdi": 3}
+REGIONAL_STATISTICS = Statistics(
+    keys=REGIONAL_KEYS,
+    sums=REGIONAL_SUMS,
+    avgs=REGIONAL_AVGS,
+    counts_by_value=("development_status", REGIONAL_STATUS_COUNTS),
+    count_alias="total_countries",
+    rounding=REGIONAL_ROUNDING,
+)
 
 
 def regional_stats(enriched: DataFrame, *, exact: bool = False) -> DataFrame:

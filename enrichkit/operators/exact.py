@@ -84,9 +84,16 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*keep, F.when(F.col("top") < 0, F.lit(0.0)).otherwise(value).alias("value"))
 
 
-def exact_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], avgs: Mapping[str, str]) -> DataFrame:
-    """keys plus the sums and averages (output name -> input column of doubles) of each group; NULL keys are a group."""
-    names = [*dict.fromkeys([*sums.values(), *avgs.values()])]
+PARTIAL_FIELDS = "of string, p int, s decimal(38,0), n bigint, nan bigint, up bigint, down bigint"
+
+
+def exact_partials(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """keys plus ``PARTIAL_FIELDS``: sums of integers per group, column (``of``) and position.
+
+    Such rows of several inputs may be put together in any order
+    (``merged_partials``); ``sums_of_partials`` rounds them to doubles.
+    """
+    names = [*dict.fromkeys(columns)]
     values = [_col(c).cast("double") for c in names]
     inf = F.lit(float("inf"))
     flags = [
@@ -107,12 +114,41 @@ def exact_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], avgs
             for i, v in enumerate(values)
         ],
     )
-    held = [f"k{i}" for i in range(len(keys))]
+    held = _held(keys)
     rows = df.select(*[_col(k).alias(h) for k, h in zip(keys, held, strict=True)], F.inline(parts))
-    count = {c: F.sum(c).alias(c) for c in ("nan", "up", "down", "n")}
-    each = rows.groupBy(*held, "of", "p").agg(F.sum(F.col("d").cast("decimal(20,0)")).alias("s"), *count.values())
-    digits = F.collect_list(F.when(F.col("p").isNotNull(), F.struct("p", F.col("s").cast("decimal(38,0)").alias("s"))))
-    whole = each.groupBy(*held, "of").agg(digits.alias("digits"), *count.values())
+    each = rows.groupBy(*held, "of", "p").agg(
+        F.sum(F.col("d").cast("decimal(20,0)")).cast("decimal(38,0)").alias("s"), *[F.sum(c).alias(c) for c in _COUNTS]
+    )
+    of = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("of") + 1)
+    return each.select(*[F.col(h).alias(k) for h, k in zip(held, keys, strict=True)], of.alias("of"), "p", "s", *_COUNTS)
+
+
+_COUNTS = ("n", "nan", "up", "down")
+
+
+def _held(keys: Sequence[str]) -> list[str]:
+    """Names of the keys while columns of this module stand beside them."""
+    return [f"k{i}" for i in range(len(keys))]
+
+
+def _with_held(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return partials.select(*[_col(k).alias(h) for k, h in zip(keys, _held(keys), strict=True)], "of", "p", "s", *_COUNTS)
+
+
+def merged_partials(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``exact_partials``, of one input or several, with one row per group, column and position."""
+    held = _held(keys)
+    out = _with_held(partials, keys).groupBy(*held, "of", "p").agg(
+        F.sum("s").cast("decimal(38,0)").alias("s"), *[F.sum(c).alias(c) for c in _COUNTS]
+    )
+    return out.select(*[F.col(h).alias(k) for h, k in zip(held, keys, strict=True)], "of", "p", "s", *_COUNTS)
+
+
+def sums_of_partials(partials: DataFrame, keys: Sequence[str], sums: Mapping[str, str], avgs: Mapping[str, str]) -> DataFrame:
+    """keys plus the sums and averages (output name -> column) of merged partials, each rounded once."""
+    held, zero, inf = _held(keys), F.lit(0).cast("bigint"), F.lit(float("inf"))
+    digits = F.collect_list(F.when(F.col("p").isNotNull(), F.struct("p", "s")))
+    whole = _with_held(partials, keys).groupBy(*held, "of").agg(digits.alias("digits"), *[F.sum(c).alias(c) for c in _COUNTS])
     total = F.coalesce("n", zero)
     both = (F.coalesce("nan", zero) > 0) | ((F.col("up") > 0) & (F.col("down") > 0))
     value = (
@@ -121,8 +157,13 @@ def exact_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], avgs
     )
     done = _rounded(whole).select(*held, "of", value.alias("value"), total.alias("n"))
     out = done.groupBy(*held).agg(F.map_from_entries(F.collect_list(F.struct("of", F.struct("value", "n")))).alias("by"))
-    found = lambda c: F.col("by")[F.lit(names.index(c))]
+    found = lambda c: F.col("by")[F.lit(c)]
     columns = [F.col(h).alias(k) for h, k in zip(held, keys, strict=True)]
     columns += [found(c)["value"].alias(n) for n, c in sums.items()]
     columns += [F.when(found(c)["n"] > 0, found(c)["value"] / found(c)["n"]).alias(n) for n, c in avgs.items()]
     return out.select(*columns)
+
+
+def exact_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], avgs: Mapping[str, str]) -> DataFrame:
+    """keys plus the sums and averages (output name -> input column of doubles) of each group; NULL keys are a group."""
+    return sums_of_partials(exact_partials(df, keys, [*sums.values(), *avgs.values()]), keys, sums, avgs)

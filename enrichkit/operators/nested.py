@@ -77,7 +77,7 @@ def country_flatten_spec() -> FlattenSpec:
     ]
 
 
-def flatten_countries(raw: DataFrame) -> DataFrame:
-    """Raw country documents -> processed table incl. ``population_density``."""
-    flat = flatten(raw, country_flatten_spec())
+def flatten_countries(raw: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw country documents -> processed table incl. ``population_density``; ``keep`` names raw columns to carry along."""
+    flat = flatten(raw, [*country_flatten_spec(), *[(c, c) for c in keep]])
     return flat.withColumn("population_density", safe_ratio("population", "area"))

@@ -351,6 +351,44 @@ def country_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, out)
 
 
+def batch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 by batch: a third of the enriched rows, then two thirds (the first replaced), then all, each read once."""
+    rows = read_table(spark, _enriched(spark, sf_dir).path)
+    third = F.pmod(F.crc32(F.coalesce("country_code_3", F.lit(""))), F.lit(3))
+    batches = {f"part {i}": rows.filter(third == i) for i in range(3)}
+    partials, out = scratch_path(spark, "partials"), scratch_path(spark, "regional_stats")
+    jobs.aggregate_batches(spark, {"part 0": batches["part 1"]}, partials, out)
+    jobs.aggregate_batches(spark, {n: batches[n] for n in ("part 0", "part 1")}, partials, out, replace=["part 0"])
+    jobs.aggregate_batches(spark, batches, partials, out)
+    return read_table(spark, out)
+
+
+def quarantined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows of the processed table (no reason) and the quarantined ones, with their reasons."""
+    path, out, bad = (scratch_path(spark, n) for n in ("broken_lines", "processed", "quarantine"))
+    broken_document_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    jobs.process_documents(spark, path, out, quarantine=bad, required=["country_code_3", "area"], max_bad_share=0.5)
+    columns = ["common_name", "country_code_3", "population", "area"]
+    held = read_table(spark, bad).select(
+        *[F.when(F.col("record").isNull(), F.col(c)).alias(c) for c in columns], F.array_join("reasons", "; ").alias("reasons")
+    )
+    return read_table(spark, out).select(*columns, F.lit(None).cast("string").alias("reasons")).unionByName(held)
+
+
+def resumed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 with resume: half of the documents, then all of them; the counts of the second run and what it kept."""
+    docs_path, codes_path = scratch_path(spark, "docs"), scratch_path(spark, "codes")
+    docs = country_documents(spark, sf_dir, with_key=True)
+    order_code_lines(spark, sf_dir).write.mode("overwrite").text(codes_path)
+    work = scratch_path(spark, "job")
+    for half in (0, 1):
+        docs.filter(F.col("doc_key") % 2 == half).drop("doc_key").write.mode("append").json(docs_path)
+        done = jobs.run_all(spark, docs_path, codes_path, work, resume=True)
+    rows = [(job, name, int(done[job].metrics[name])) for job, name in JOB_COUNTS]
+    rows += [(job, "reused", int(result.reused)) for job, result in done.items()]
+    return spark.createDataFrame(rows, "job string, metric string, n bigint")
+
+
 def job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts that the composed jobs observed during their writes, as rows."""
     docs_path, codes_path = _land_inputs(spark, sf_dir)
@@ -442,7 +480,10 @@ def queries() -> dict[str, Query]:
         "regional_rollup": regional_rollup,
         "region_report": region_report_query,
         "country_report": country_report,
+        "batch_rollup": batch_rollup,
+        "quarantined_documents": quarantined_documents,
         "job_counts": job_counts,
+        "resumed_counts": resumed_counts,
         "stream_enrich": stream_enrich,
         "key_list_indicators": key_list_indicators,
         "status_distribution": status_distribution,

@@ -14,22 +14,26 @@ is refused unless ``overwrite_schema=True``.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import regional_stats
+from ..operators.aggregate import REGIONAL_STATISTICS, regional_stats
 from ..operators.classify import DEVELOPED, DEVELOPING, EMERGING, development_status
 from ..operators.generate import DEFAULT_SEED, ECONOMIC_MEASURES, keyed_indicators
 from ..operators.join import left_enrich
 from ..operators.nested import flatten_countries
+from ..operators.partials import merge_batches
 from ..schemas import economic_schema, raw_country_schema
 from ..session import shuffle_width
 from ..sources.documents import read_documents
 from ..sources.key_list import read_key_list
-from ..sources.tables import conform, publish, read_table, save_table
+from ..sources.quarantine import bad_rows, good_rows, with_reasons
+from ..sources.tables import conform, default_format, path_exists, publish, read_table, save_table
+from .manifest import files_mark, run_once, table_mark, with_retries
 from .metrics import (
     key_metrics,
     observe,
@@ -53,6 +57,7 @@ DEFAULT_SKEW_THRESHOLD = 1_000_000
 class JobResult:
     path: str
     metrics: dict = field(default_factory=dict)
+    reused: bool = False  # kept from an earlier run (run_all with resume)
 
 
 def process_documents(
@@ -65,6 +70,9 @@ def process_documents(
     corrupt_column: str = "_corrupt_record",
     fmt: str | None = None,
     overwrite_schema: bool = False,
+    quarantine: str | None = None,
+    required: Sequence[str] = (),
+    max_bad_share: float = 1.0,
 ) -> JobResult:
     """JSON documents -> flat table with population density.
 
@@ -72,7 +80,18 @@ def process_documents(
     PERMISSIVE mode they are rows of NULLs). When no record at all could be
     parsed, for example an indented array read without ``multi_line``, the
     job fails and the stored table stays as it was.
+
+    With a ``quarantine`` path, records that could not be parsed and rows that
+    are NULL in a ``required`` output column go to that table instead (see
+    ``sources.quarantine``), with ``record`` and ``reasons``; ``bad`` counts
+    them. More than ``max_bad_share`` of the records fails the job before
+    either table changes. The documents are scanned once; a second time only
+    when there are bad ones.
     """
+    if required and not quarantine:
+        raise ValueError("required columns need a quarantine table")
+    if quarantine and mode.upper() != "PERMISSIVE":
+        raise ValueError("a quarantine needs mode PERMISSIVE: other modes drop or refuse broken records")
     with stage("process_documents"):
         # multi-line files parse in one task each; spread the rows afterwards
         width = shuffle_width(spark) if multi_line is True else None
@@ -81,6 +100,7 @@ def process_documents(
             corrupt_column=corrupt_column if mode.upper() == "PERMISSIVE" else None, partitions=width,
         )
         broken = F.col(corrupt_column).isNotNull() if corrupt_column in raw.columns else F.lit(False)
+        plain = raw
         raw, obs = observe(raw, "processed", {"rows": F.count(F.lit(1)), "corrupt": F.count_if(broken)})
 
         def any_parsed() -> None:
@@ -90,8 +110,28 @@ def process_documents(
                     + ("" if multi_line else "; documents that span lines need multi_line=True or \"array\"")
                 )
 
-        save_table(flatten_countries(raw), out, fmt, overwrite_schema=overwrite_schema, check=any_parsed)
-        return JobResult(out, obs.get)
+        if not quarantine:
+            save_table(flatten_countries(raw), out, fmt, overwrite_schema=overwrite_schema, check=any_parsed)
+            return JobResult(out, obs.get)
+
+        def marked(docs: DataFrame) -> DataFrame:
+            return with_reasons(flatten_countries(docs, keep=(corrupt_column,)), corrupt_column, required)
+
+        flat, held = observe(marked(raw), "held", {"bad": F.count_if(F.size("reasons") > 0)})
+        bad_docs = bad_rows(marked(plain))
+
+        def few_bad() -> None:
+            any_parsed()
+            total, bad = obs.get["rows"], held.get["bad"]
+            if bad > max_bad_share * total:
+                raise ValueError(f"{bad} of {total} records of {json_path} are bad, more than a share of {max_bad_share}")
+            if bad:
+                save_table(bad_docs, quarantine, fmt, overwrite_schema=overwrite_schema)
+            elif path_exists(spark, quarantine):  # of an earlier run
+                save_table(bad_docs.limit(0), quarantine, fmt, overwrite_schema=overwrite_schema)
+
+        save_table(good_rows(flat), out, fmt, overwrite_schema=overwrite_schema, check=few_bad)
+        return JobResult(out, {**obs.get, **held.get})
 
 
 def build_indicators(
@@ -193,6 +233,31 @@ def aggregate_regions(
         return JobResult(out, obs.get)
 
 
+def aggregate_batches(
+    spark: SparkSession,
+    batches: Mapping[str, str | DataFrame],
+    partials_path: str,
+    out: str,
+    fmt: str | None = None,
+    *,
+    replace: Sequence[str] = (),
+    overwrite_schema: bool = False,
+) -> JobResult:
+    """E4 kept up by batch: only batches (tables or their paths) that are not in the partials yet are read.
+
+    The statistics equal those of ``regional_stats(exact=True)`` over the rows
+    of all ``batches`` bit for bit. ``replace`` names stored batches to read
+    again; a batch taken out of ``batches`` no longer counts. Metrics: ``rows``
+    and ``read``, the names of the batches read.
+    """
+    with stage("aggregate_batches"):
+        tables = {n: read_table(spark, b, fmt) if isinstance(b, str) else b for n, b in batches.items()}
+        merged, read = merge_batches(tables, partials_path, REGIONAL_STATISTICS, replace=replace)
+        merged, obs = observe(merged, "regions")
+        save_table(merged, out, fmt, overwrite_schema=overwrite_schema)
+        return JobResult(out, {**obs.get, "read": read})
+
+
 def publish_report(
     spark: SparkSession,
     enriched_path: str,
@@ -225,37 +290,48 @@ def run_all(
     multi_line: bool | str = False,
     skew_threshold: int | None = DEFAULT_SKEW_THRESHOLD,
     fmt: str | None = None,
+    resume: bool = False,
+    retries: int = 0,
+    retry_wait: float = 0.0,
 ) -> dict[str, JobResult]:
-    """{E1, E2} -> E3 -> {E4, E5}, in one session, handing over by table."""
-    paths = {
-        name: f"{workdir.rstrip('/')}/{name}"
-        for name in ("processed", "indicators", "enriched", "regional_stats", "report")
-    }
+    """{E1, E2} -> E3 -> {E4, E5}, in one session, handing over by table.
+
+    With ``resume``, finished stages are noted under ``workdir/manifest`` and a
+    later run with ``resume`` runs only those whose input files, parameters or
+    tables are not as noted (``JobResult.reused`` tells which were kept).
+    Tables written without such a note, or by Delta, are not resumed. A failed
+    stage is run again up to ``retries`` times, ``retry_wait`` seconds later.
+    """
+    if resume and (fmt or default_format(spark)) == "delta":
+        raise ValueError("resume needs tables whose versions are folders, not Delta tables")
+    root = workdir.rstrip("/")
+    paths = {name: f"{root}/{name}" for name in ("processed", "indicators", "enriched", "regional_stats", "report")}
+
+    def step(name: str, job: Callable[..., JobResult], inputs: Sequence[str], marker: Callable, **options) -> JobResult:
+        def run() -> dict:
+            return with_retries(lambda: job(spark, *inputs, paths[name], fmt=fmt, **options).metrics, retries, retry_wait)
+
+        if not resume:
+            return JobResult(paths[name], run())
+        given = {"inputs": [[i, marker(spark, i)] for i in inputs], "options": options, "fmt": fmt}
+        metrics, reused = run_once(spark, f"{root}/manifest", name, paths[name], given, run)
+        return JobResult(paths[name], metrics, reused)
+
     # independent jobs are submitted together from two driver threads, as the
     # reference runs them as parallel tasks; Spark schedules both job's tasks
     # on the same executors, so small jobs overlap instead of queueing
     with ThreadPoolExecutor(max_workers=2) as pool:
-        processed = pool.submit(
-            process_documents, spark, json_path, paths["processed"],
-            multi_line=multi_line, fmt=fmt,
-        )
-        indicators = pool.submit(
-            build_indicators, spark, codes_path, paths["indicators"], fmt=fmt,
-            hot_threshold=skew_threshold,
-        )
+        processed = pool.submit(step, "processed", process_documents, [json_path], files_mark, multi_line=multi_line)
+        indicators = pool.submit(step, "indicators", build_indicators, [codes_path], files_mark, hot_threshold=skew_threshold)
         results = {"processed": processed.result(), "indicators": indicators.result()}
         # E2 has counted the lines of every code in its own pass
         few = skew_threshold is not None and results["indicators"].metrics["hot_keys"] == 0
-        results["enriched"] = enrich(
-            spark, paths["processed"], paths["indicators"], paths["enriched"],
-            skew_threshold=skew_threshold, hot_sides=("left",) if few else ("left", "right"), fmt=fmt,
-        )
-        stats = pool.submit(
-            aggregate_regions, spark, paths["enriched"], paths["regional_stats"], fmt
-        )
-        report = pool.submit(
-            publish_report, spark, paths["enriched"], paths["report"], fmt
+        results["enriched"] = step(
+            "enriched", enrich, [paths["processed"], paths["indicators"]], table_mark,
+            skew_threshold=skew_threshold, hot_sides=("left",) if few else ("left", "right"),
         )
+        stats = pool.submit(step, "regional_stats", aggregate_regions, [paths["enriched"]], table_mark)
+        report = pool.submit(step, "report", publish_report, [paths["enriched"]], table_mark)
         results["regional_stats"] = stats.result()
         results["report"] = report.result()
     return results

@@ -121,6 +121,22 @@ LABELLED_DOCS = """
 """
 
 
+JOB_COUNTS = f"""
+    WITH p AS ({PROCESSED_DOCS}), i AS ({ORDER_INDICATORS}), e AS ({ENRICHED_COUNTRIES})
+    SELECT 'processed' AS job, 'rows' AS metric, count(*) AS n FROM p
+    UNION ALL SELECT 'processed', 'corrupt', 0
+    UNION ALL SELECT 'indicators', 'rows', count(*) FROM i
+    UNION ALL SELECT 'indicators', 'keys', count(DISTINCT country_code_3_econ) FROM i
+    UNION ALL SELECT 'indicators', 'max_per_key', max(n) FROM (SELECT count(*) AS n FROM i GROUP BY country_code_3_econ)
+    UNION ALL SELECT 'enriched', 'left_rows', count(*) FROM p
+    UNION ALL SELECT 'enriched', 'right_rows', count(*) FROM i
+    UNION ALL SELECT 'enriched', 'rows', count(*) FROM e
+    UNION ALL SELECT 'enriched', 'developed', count(*) FROM e WHERE development_status = 'Developed'
+    UNION ALL SELECT 'enriched', 'emerging', count(*) FROM e WHERE development_status = 'Emerging'
+    UNION ALL SELECT 'enriched', 'developing', count(*) FROM e WHERE development_status = 'Developing'
+    UNION ALL SELECT 'regional_stats', 'rows', count(*) FROM (SELECT DISTINCT region, subregion FROM e)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "flagship_group_stats": FLAGSHIP,
@@ -204,20 +220,24 @@ def oracle_sql() -> dict[str, str]:
         "region_report": f"""
             SELECT region, subregion, total_countries, total_population FROM ({REGIONAL_ROLLUP})""",
         "country_report": ENRICHED_COUNTRIES,
-        "job_counts": f"""
-            WITH p AS ({PROCESSED_DOCS}), i AS ({ORDER_INDICATORS}), e AS ({ENRICHED_COUNTRIES})
-            SELECT 'processed' AS job, 'rows' AS metric, count(*) AS n FROM p
-            UNION ALL SELECT 'processed', 'corrupt', 0
-            UNION ALL SELECT 'indicators', 'rows', count(*) FROM i
-            UNION ALL SELECT 'indicators', 'keys', count(DISTINCT country_code_3_econ) FROM i
-            UNION ALL SELECT 'indicators', 'max_per_key', max(n) FROM (SELECT count(*) AS n FROM i GROUP BY country_code_3_econ)
-            UNION ALL SELECT 'enriched', 'left_rows', count(*) FROM p
-            UNION ALL SELECT 'enriched', 'right_rows', count(*) FROM i
-            UNION ALL SELECT 'enriched', 'rows', count(*) FROM e
-            UNION ALL SELECT 'enriched', 'developed', count(*) FROM e WHERE development_status = 'Developed'
-            UNION ALL SELECT 'enriched', 'emerging', count(*) FROM e WHERE development_status = 'Emerging'
-            UNION ALL SELECT 'enriched', 'developing', count(*) FROM e WHERE development_status = 'Developing'
-            UNION ALL SELECT 'regional_stats', 'rows', count(*) FROM (SELECT DISTINCT region, subregion FROM e)""",
+        "job_counts": JOB_COUNTS,
+        "resumed_counts": f"""{JOB_COUNTS}
+            UNION ALL SELECT 'processed', 'reused', 0
+            UNION ALL SELECT 'indicators', 'reused', 1
+            UNION ALL SELECT 'enriched', 'reused', 0
+            UNION ALL SELECT 'regional_stats', 'reused', 0
+            UNION ALL SELECT 'report', 'reused', 0""",
+        "batch_rollup": REGIONAL_ROLLUP,
+        "quarantined_documents": f"""
+            SELECT CASE WHEN k % 9 <> 0 THEN common_name END AS common_name,
+                   CASE WHEN k % 9 <> 0 THEN country_code_3 END AS country_code_3,
+                   CASE WHEN k % 9 <> 0 THEN population END AS population,
+                   CASE WHEN k % 9 <> 0 THEN area END AS area,
+                   CASE WHEN k % 9 = 0 THEN 'unparsable'
+                        WHEN country_code_3 IS NULL OR area IS NULL THEN
+                          concat_ws('; ', CASE WHEN country_code_3 IS NULL THEN 'country_code_3 is NULL' END,
+                                    CASE WHEN area IS NULL THEN 'area is NULL' END) END AS reasons
+            FROM (SELECT CAST(substr(common_name, 10) AS BIGINT) AS k, * FROM ({PROCESSED_DOCS}))""",
         "stream_enrich": ENRICHED_COUNTRIES,
         "key_list_indicators": ORDER_INDICATORS,
         "status_distribution": f"""
