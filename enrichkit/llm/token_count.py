@@ -18,9 +18,11 @@ Special strings of the tokenizer inside a text count as one token each, as
 the tokenizer's own library has it by default.
 
 Scale: one map pass, no shuffle. The only broadcast data are the vocabulary's
-merges, of fixed size. Memory is bounded by the chunk, state and cache sizes,
-not by a text: long texts are cut before a space, where a pre-token always
-starts.
+merges, of fixed size. Beside the text itself, memory is bounded by the
+window, chunk, state and cache sizes: a text longer than ``WINDOW`` characters is
+read window by window, between its special strings too, and both transducers
+carry their state over each cut, so a cut may fall anywhere, also inside a
+pre-token of any length.
 
 Defined cases: null counts as empty, and an empty text has no bytes and no
 tokens. Rows are counted one by one.
@@ -34,6 +36,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ._common import arrow_pass
@@ -218,7 +221,17 @@ class Merger:
         return tuple(open_), change
 
     def count(self, word: bytes) -> int:
-        state = total = 0
+        return self.run(self.items[0], word)[1]
+
+    def run(self, items: tuple, word: bytes) -> tuple[tuple, int]:
+        """The items after ``word``, read from ``items`` on, and the change of the token count."""
+        total = 0
+        state = self.known.get(items)
+        if state is None:  # never compiled
+            for b in word:
+                items, change = self.advance(items, b)
+                total += change
+            return items, total
         for i, byte in enumerate(word):
             move = self.moves.get(state << 8 | byte)
             if move is None:
@@ -230,7 +243,7 @@ class Merger:
                         for b in word[i + 1 :]:
                             items, change = self.advance(items, b)
                             total += change
-                        return total
+                        return items, total
                     to = self.known[items] = len(self.items)
                     self.items.append(items)
                 if len(self.moves) < 4 * MAX_STATES:
@@ -239,7 +252,7 @@ class Merger:
             else:
                 state, change = move
                 total += change
-        return total
+        return self.items[state], total
 
 
 class Counts(dict):
@@ -256,8 +269,11 @@ class Counts(dict):
         return n
 
 
-def starts(symbols: np.ndarray) -> np.ndarray:
-    """Start flags of the pre-tokens: chunk maps, prefix scan, then the chunks themselves."""
+def starts(symbols: np.ndarray, entry: int = FRESH) -> tuple[np.ndarray, int]:
+    """Start flags of the pre-tokens, read from state ``entry`` on, and the exit state.
+
+    Chunk maps, their prefix scan, then the chunks themselves.
+    """
     n = len(symbols)
     rows = -(-n // CHUNK)
     grid = np.full(rows * CHUNK, CUT, np.uint8)
@@ -271,13 +287,16 @@ def starts(symbols: np.ndarray) -> np.ndarray:
     while hop < rows:  # inclusive scan: the map of a chunk after the maps of all before it
         maps = np.concatenate([maps[:hop], np.take_along_axis(maps[hop:], maps[:-hop].astype(np.intp), axis=1)])
         hop *= 2
-    state = np.concatenate([[FRESH], maps[:-1, FRESH]]).astype(np.intp)
+    state = np.concatenate([[entry], maps[:-1, entry]]).astype(np.intp)
     out = np.empty((CHUNK, rows), bool)
+    last, leaves = (n - 1) % CHUNK, entry
     for i, s in enumerate(steps):
         at = state * 9 + s
         out[i] = flag[at]
         state = to[at].astype(np.intp)
-    return out.T.ravel()[:n]
+        if i == last:
+            leaves = int(state[-1])
+    return out.T.ravel()[:n], leaves
 
 
 def symbols_of(text: str, classes: np.ndarray) -> np.ndarray:
@@ -299,19 +318,35 @@ def symbols_of(text: str, classes: np.ndarray) -> np.ndarray:
     return out
 
 
-_SAFE = re.compile(r"(?<=\w) (?=\w)")
-
-
-def windows(text: str, size: int):
-    """Parts of at most about ``size`` characters, cut before a space between two words."""
-    at = 0
-    while len(text) - at > size:
-        cut = _SAFE.search(text, at + size)
-        if cut is None:
-            break
-        yield text[at : cut.start()]
-        at = cut.start()
-    yield text[at:] if at else text
+def streamed(text: str, at: int, end: int, tables: dict) -> int:
+    """Token count of ``text[at:end]``, a stretch without special strings, window by window."""
+    words, merger = tables["counts"], tables["counts"].merger
+    state, items, total = FRESH, merger.items[0], 0
+    while at < end:
+        size = min(WINDOW, end - at)
+        part = text[at : min(at + size + 2, end)]  # symbols look two characters ahead
+        flags, state = starts(symbols_of(part, tables["class_array"])[:size], state)
+        bounds = np.flatnonzero(flags).tolist()
+        whole = bounds[0] if bounds else size
+        items, change = merger.run(items, part[:whole].encode("utf-8"))  # the rest of the open pre-token
+        total += change
+        if bounds:
+            if len(words) > MAX_WORDS:
+                words.clear()
+            total += sum(words[part[a:b]] for a, b in zip(bounds, bounds[1:], strict=False))
+            items, change = merger.run(merger.items[0], part[bounds[-1] : size].encode("utf-8"))
+            total += change
+        at += size
+    return total
+
+
+def long_count(text: str, tables: dict) -> int:
+    at = total = 0
+    if tables["special_pattern"]:
+        for found in tables["special_pattern"].finditer(text):
+            total += streamed(text, at, found.start(), tables) + 1
+            at = found.end()
+    return total + streamed(text, at, len(text), tables)
 
 
 def counted(texts: list[str], tables: dict) -> list[int]:
@@ -329,7 +364,7 @@ def counted(texts: list[str], tables: dict) -> list[int]:
     if joined:
         ends = np.cumsum([len(p) + 1 for p in parts])[:-1] - 1
         symbols = np.concatenate([np.append(symbols_of(p, tables["class_array"]), CUT) for p in parts])[:-1] if len(parts) > 1 else symbols_of(joined, tables["class_array"])
-        at = np.flatnonzero(starts(symbols))
+        at = np.flatnonzero(starts(symbols)[0])
         words = tables["counts"]
         if len(words) > MAX_WORDS:
             words.clear()
@@ -361,10 +396,10 @@ def count_batch(texts: list[str], tables: dict) -> list[int]:
     group: list[str] = []
     size = 0
     for text in texts:
-        if len(text) > WINDOW and not any(s in text for s in tables["special"]):
+        if len(text) > WINDOW:
             out += counted(group, tables) if group else []
             group, size = [], 0
-            out.append(sum(counted([w], tables)[0] for w in windows(text, WINDOW)))
+            out.append(long_count(text, tables))
             continue
         group.append(text)
         size += len(text)
@@ -382,8 +417,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, keep: list[str] | None
         built = ready(tables.value)
 
         def run(texts: pa.Array) -> list:
-            values = texts.fill_null("").to_pylist()
-            return [[len(v.encode("utf-8", "surrogatepass")) for v in values], count_batch(values, built)]
+            texts = texts.fill_null("")
+            return [pc.binary_length(texts).to_pylist(), count_batch(texts.to_pylist(), built)]
 
         return run
 

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -36,6 +38,41 @@ def test_against_the_library(text):
     assert token_count.count_batch([text, "", text + " x"], TABLES) == lib([text, "", text + " x"])
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(PIECES, st.text(max_size=4)), max_size=40).map("".join), st.sampled_from([1, 2, 3, 7]))
+def test_cuts_anywhere(text, window):
+    text = text.encode("utf-8", "ignore").decode()
+    before = token_count.WINDOW, token_count.CHUNK
+    token_count.WINDOW, token_count.CHUNK = window, 3
+    try:
+        assert token_count.count_batch([text, "", text + "'re"], TABLES) == lib([text, "", text + "'re"])
+    finally:
+        token_count.WINDOW, token_count.CHUNK = before
+
+
+@pytest.mark.parametrize("make", [
+    lambda n: "word and more " * (n // 14) + "<|endoftext|>",
+    lambda n: "<|endoftext|>".join(["no,more" * 10_000] * (n // 70_000)),
+    lambda n: "漢字" * (n // 2),
+], ids=["special at the end", "specials between", "no space"])
+def test_memory_of_a_long_text_is_the_windows(make):
+    """The peak beside the text does not grow with it."""
+    peaks = []
+    for n in (1 << 18, 1 << 20):
+        text = make(n)
+        token_count.WINDOW, before = 1 << 16, token_count.WINDOW
+        tracemalloc.start()
+        try:
+            got = token_count.count_batch([text], TABLES)
+            peaks.append(tracemalloc.get_traced_memory()[1])
+        finally:
+            tracemalloc.stop()
+            token_count.WINDOW = before
+        if n == 1 << 18:
+            assert got == lib([text])
+    assert peaks[1] < peaks[0] * 1.3 + (1 << 19), peaks
+
+
 @pytest.mark.parametrize("limit", [1, 50])
 def test_small_caches_chunks_and_windows(monkeypatch, limit):
     monkeypatch.setattr(token_count, "MAX_STATES", limit)
