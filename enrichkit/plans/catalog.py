@@ -32,6 +32,7 @@ from .standins import (
     brand_lines,
     broken_document_lines,
     country_documents,
+    drifting_document_lines,
     order_code_lines,
     write_document_arrays,
 )
@@ -375,6 +376,14 @@ def quarantined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, out).select(*columns, F.lit(None).cast("string").alias("reasons")).unionByName(held)
 
 
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Undeclared and wrong-typed fields of the documents, counted in the scan that flattens them."""
+    path, out, drift = (scratch_path(spark, n) for n in ("drifting_lines", "processed", "drift"))
+    drifting_document_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    jobs.process_documents(spark, path, out, drift=drift)
+    return read_table(spark, drift)
+
+
 def resumed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E6 with resume: half of the documents, then all of them; the counts of the second run and what it kept."""
     docs_path, codes_path = scratch_path(spark, "docs"), scratch_path(spark, "codes")
@@ -482,6 +491,7 @@ def queries() -> dict[str, Query]:
         "country_report": country_report,
         "batch_rollup": batch_rollup,
         "quarantined_documents": quarantined_documents,
+        "schema_drift": schema_drift,
         "job_counts": job_counts,
         "resumed_counts": resumed_counts,
         "stream_enrich": stream_enrich,

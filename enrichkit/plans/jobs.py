@@ -28,8 +28,9 @@ from ..operators.join import left_enrich
 from ..operators.nested import flatten_countries
 from ..operators.partials import merge_batches
 from ..schemas import economic_schema, raw_country_schema
-from ..session import shuffle_width
+from ..session import scratch_path, shuffle_width
 from ..sources.documents import read_documents
+from ..sources.drift import drift_report, read_with_drift
 from ..sources.key_list import read_key_list
 from ..sources.quarantine import bad_rows, good_rows, with_reasons
 from ..sources.tables import conform, default_format, path_exists, publish, read_table, save_table
@@ -73,6 +74,7 @@ def process_documents(
     quarantine: str | None = None,
     required: Sequence[str] = (),
     max_bad_share: float = 1.0,
+    drift: str | None = None,
 ) -> JobResult:
     """JSON documents -> flat table with population density.
 
@@ -87,7 +89,15 @@ def process_documents(
     them. More than ``max_bad_share`` of the records fails the job before
     either table changes. The documents are scanned once; a second time only
     when there are bad ones.
+
+    With a ``drift`` path (JSON Lines only), the same scan looks for undeclared
+    and wrong-typed fields; their counts replace the table at that path after the
+    processed table is committed, and ``drifted`` counts the documents with any.
+    The parsed documents are then written once to the scratch folder, from which
+    both tables are made.
     """
+    if drift and (multi_line or mode.upper() != "PERMISSIVE"):
+        raise ValueError("a drift report needs JSON Lines and mode PERMISSIVE")
     if required and not quarantine:
         raise ValueError("required columns need a quarantine table")
     if quarantine and mode.upper() != "PERMISSIVE":
@@ -95,14 +105,31 @@ def process_documents(
     with stage("process_documents"):
         # multi-line files parse in one task each; spread the rows afterwards
         width = shuffle_width(spark) if multi_line is True else None
-        raw = read_documents(
-            spark, json_path, raw_country_schema(), multi_line=multi_line, mode=mode,
-            corrupt_column=corrupt_column if mode.upper() == "PERMISSIVE" else None, partitions=width,
-        )
+        departed, drifted = None, {}
+        if drift:
+            docs, seen = observe(
+                read_with_drift(spark, json_path, raw_country_schema(), corrupt_column=corrupt_column),
+                "drift", {"drifted": F.count_if(F.size("drift") > 0)},
+            )
+            staged = scratch_path(spark, "documents_with_drift")
+            docs.write.parquet(staged)
+            drifted = seen.get
+            departed = spark.read.schema(docs.schema).parquet(staged)
+            raw = departed.drop("drift")
+        else:
+            raw = read_documents(
+                spark, json_path, raw_country_schema(), multi_line=multi_line, mode=mode,
+                corrupt_column=corrupt_column if mode.upper() == "PERMISSIVE" else None, partitions=width,
+            )
         broken = F.col(corrupt_column).isNotNull() if corrupt_column in raw.columns else F.lit(False)
         plain = raw
         raw, obs = observe(raw, "processed", {"rows": F.count(F.lit(1)), "corrupt": F.count_if(broken)})
 
+        def finished(metrics: dict) -> JobResult:
+            if departed is not None:
+                save_table(drift_report(departed), drift, fmt, overwrite_schema=overwrite_schema)
+            return JobResult(out, {**metrics, **drifted})
+
         def any_parsed() -> None:
             if obs.get["rows"] and obs.get["corrupt"] == obs.get["rows"]:
                 raise ValueError(
@@ -112,7 +139,7 @@ def process_documents(
 
         if not quarantine:
             save_table(flatten_countries(raw), out, fmt, overwrite_schema=overwrite_schema, check=any_parsed)
-            return JobResult(out, obs.get)
+            return finished(obs.get)
 
         def marked(docs: DataFrame) -> DataFrame:
             return with_reasons(flatten_countries(docs, keep=(corrupt_column,)), corrupt_column, required)
@@ -131,7 +158,7 @@ def process_documents(
                 save_table(bad_docs.limit(0), quarantine, fmt, overwrite_schema=overwrite_schema)
 
         save_table(good_rows(flat), out, fmt, overwrite_schema=overwrite_schema, check=few_bad)
-        return JobResult(out, {**obs.get, **held.get})
+        return finished({**obs.get, **held.get})
 
 
 def build_indicators(

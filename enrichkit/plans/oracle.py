@@ -238,6 +238,17 @@ def oracle_sql() -> dict[str, str]:
                           concat_ws('; ', CASE WHEN country_code_3 IS NULL THEN 'country_code_3 is NULL' END,
                                     CASE WHEN area IS NULL THEN 'area is NULL' END) END AS reasons
             FROM (SELECT CAST(substr(common_name, 10) AS BIGINT) AS k, * FROM ({PROCESSED_DOCS}))""",
+        "schema_drift": f"""
+            WITH docs AS (SELECT CAST(substr(common_name, 10) AS BIGINT) AS k, * FROM ({PROCESSED_DOCS})),
+            whole AS (SELECT * FROM docs WHERE k % 9 <> 0),
+            departures AS (
+              SELECT '$' AS path, 'unparsable' AS problem, CAST(NULL AS VARCHAR) AS found FROM docs WHERE k % 9 = 0
+              UNION ALL SELECT '$.population', 'wrong type', 'STRING' FROM whole WHERE k % 4 = 0 AND population IS NOT NULL
+              UNION ALL SELECT '$.name', 'wrong type', 'STRING' FROM whole WHERE k % 4 = 1
+              UNION ALL SELECT '$.area', 'wrong type', 'ARRAY' FROM whole WHERE k % 4 = 2 AND area IS NOT NULL
+              UNION ALL SELECT '$.extra', 'undeclared', 'OBJECT' FROM whole WHERE k % 4 = 2
+              UNION ALL SELECT '$.tld', 'undeclared', 'STRING' FROM whole WHERE k % 4 = 3)
+            SELECT path, problem, found, count(*) AS records FROM departures GROUP BY path, problem, found""",
         "stream_enrich": ENRICHED_COUNTRIES,
         "key_list_indicators": ORDER_INDICATORS,
         "status_distribution": f"""

@@ -94,6 +94,24 @@ def broken_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.when(F.col("doc_key") % 9 == 0, F.substring(line, 1, 25)).otherwise(line).alias("value"))
 
 
+def drifting_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON lines, each departing from the declared schema in one of five ways (column ``value``)."""
+    docs = country_documents(spark, sf_dir, with_key=True)
+    fields = [c for c in docs.columns if c != "doc_key"]
+    k = F.col("doc_key")
+
+    def line(*more: Column, **instead: Column) -> Column:
+        return F.to_json(F.struct(*[instead.get(c, F.col(c)).alias(c) for c in fields], *more))
+
+    cases = {
+        0: line(population=F.col("population").cast("string")),
+        1: line(name=F.col("name.common")),
+        2: line(F.struct(F.lit(1).alias("deep")).alias("extra"), area=F.when(F.col("area").isNotNull(), F.array("area"))),
+    }
+    whole = _case(k, 4, cases, line(F.lit(".x").alias("tld")))
+    return docs.select(F.when(k % 9 == 0, F.substring(line(), 1, 25)).otherwise(whole).alias("value"))
+
+
 # Blanks used to pad key-list lines (all removed by str.strip).
 PAD_LEFT = ["", " ", "\t", "\u00a0", "\u3000 "]
 PAD_RIGHT = ["", " \t", "\x1f", "\x0b"]

@@ -1,6 +1,7 @@
 """Sources and sinks."""
 
 from .documents import read_documents, write_documents
+from .drift import drift_report, read_with_drift
 from .key_list import read_key_list
 from .tables import (
     SchemaMismatchError,
@@ -23,10 +24,12 @@ __all__ = [
     "conform",
     "current_path",
     "default_format",
+    "drift_report",
     "publish",
     "read_documents",
     "read_key_list",
     "read_table",
+    "read_with_drift",
     "save_table",
     "table_name",
     "typed_rows",

@@ -107,7 +107,7 @@ def read_array_documents(
     before the cut are read.
     """
     if corrupt_column:
-        schema = StructType(schema.fields).add(corrupt_column, "string")
+        schema = StructType([*schema.fields]).add(corrupt_column, "string")
     options = {"mode": mode, "columnNameOfCorruptRecord": corrupt_column or "_corrupt_record"}
     parsed = array_records(spark, path).select(F.from_json("record", schema, options).alias("doc"))
     return parsed.select("doc.*")

@@ -44,7 +44,7 @@ def read_documents(
         return df.repartition(partitions) if partitions else df
     reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode)
     if corrupt_column:
-        schema = StructType(schema.fields).add(corrupt_column, "string")
+        schema = StructType([*schema.fields]).add(corrupt_column, "string")
         reader = reader.schema(schema).option("columnNameOfCorruptRecord", corrupt_column)
     df = reader.json(path)
     return df.repartition(partitions) if partitions else df
